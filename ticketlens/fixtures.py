@@ -170,4 +170,4 @@ def changes(events: DataFrame) -> DataFrame:
 def with_views(sql: str, *names: str) -> str:
     """The query preceded by the fixture views it reads, for an engine that has only the base tables."""
     clauses = ",\n".join(f"{n} AS ({VIEWS[n].strip()})" for n in needed(names))
-    return f"WITH {clauses}\n{sql.strip()}".replace("`", '"')
+    return f"WITH RECURSIVE {clauses}\n{sql.strip()}".replace("`", '"')
