@@ -169,10 +169,10 @@ def _detected_sql(*named) -> str:
 
 
 QUERIES["detect_dates"] = lambda spark, sf: _detected(spark, sf, ("date",))
-ORACLE["detect_dates"] = _detected_sql(("c_date", "date"))
+ORACLE["detect_dates"] = _detected_sql(("extract_date", "date"), ("c_date", "date"))
 QUERIES["detect_types"] = lambda spark, sf: _detected(spark, sf, ("categorical", "date", "numeric"))
 ORACLE["detect_types"] = _detected_sql(
-    ("epic_status", "categorical"), *[(c, "categorical") for c in TEXTS], ("c_date", "date"),
+    ("epic_status", "categorical"), *[(c, "categorical") for c in TEXTS], ("extract_date", "date"), ("c_date", "date"),
     ("key", "numeric"), ("n_const", "numeric"), ("n_price", "numeric"), ("n_qty", "numeric"))
 
 

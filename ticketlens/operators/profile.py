@@ -44,8 +44,9 @@ def detect_dates(df: DataFrame, threshold: float = DATE_SHARE, sample: float | N
 
 
 def detect_types(df: DataFrame, threshold: float = DATE_SHARE) -> tuple[list[str], list[str], list[str]]:
-    """(categorical, date, numeric) columns; numeric ones in name order."""
-    dates = detect_dates(df, threshold)
+    """(categorical, date, numeric) columns; date types are dates, numeric columns come in name order."""
+    texts = detect_dates(df, threshold)
+    dates = [c for c, t in df.dtypes if c in texts or t in ("date", "timestamp", "timestamp_ntz")]
     numbers = sorted(c for c, t in df.dtypes if t.startswith(NUMBERS))
     categories = [c for c, t in df.dtypes if t in ("string", "boolean") and c not in dates]
     return categories, dates, numbers
