@@ -82,16 +82,14 @@ def shuffle_digest(key: str, seed: int) -> Column:
 def stratified_split(df: DataFrame, y: str, key: str, test_share: float = 0.2, seed: int = 42, rows: int | None = None) -> DataFrame:
     """Adds `is_test`: the share of every class, rounded half up, in shuffled order."""
     ranked = spread_rank(df, y, shuffle_digest(key, seed), key, rows)
-    sizes = df.groupBy(y).agg(F.count(F.lit(1)).alias("class_n"))
-    joined = ranked.join(F.broadcast(sizes.withColumnRenamed(y, "class_y")), q(y).eqNullSafe(F.col("class_y")))
-    held = F.floor(F.col("class_n") * F.lit(test_share) + F.lit(0.5))
-    return joined.select(*[q(c) for c in df.columns], (F.col("rank") <= held).alias("is_test"))
+    held = F.floor(F.col("group_rows") * F.lit(test_share) + F.lit(0.5))
+    return ranked.select(*[q(c) for c in df.columns], (F.col("rank") <= held).alias("is_test"))
 
 
 def stratified_folds(df: DataFrame, y: str, key: str, folds: int, seed: int = 42, rows: int | None = None) -> DataFrame:
     """Adds `fold`, 0 to folds - 1, dealt out in shuffled order within each class."""
     ranked = spread_rank(df, y, shuffle_digest(key, seed), key, rows)
-    return ranked.withColumn("fold", ((F.col("rank") - 1) % folds).cast("int")).drop("rank")
+    return ranked.withColumn("fold", ((F.col("rank") - 1) % folds).cast("int")).drop("rank", "group_rows")
 
 
 def class_weights(counts: Mapping[str, int]) -> dict[str, float]:

@@ -144,7 +144,7 @@ def last_before(
 def spread_rank(
     df: DataFrame, group: str, digest: Column, tie: str, rows: int | None = None, per_bucket: int = 100_000
 ) -> DataFrame:
-    """Adds `rank`: 1-based position of each row in its group ordered by a hex digest, then `tie`.
+    """Adds `rank`, the 1-based position of each row in its group by a hex digest, then `tie`, and `group_rows`.
 
     Rows are bucketed by the first digest digits, which are uniform, so no task
     sees a whole group; the offset of a bucket is the count of all smaller ones.
@@ -154,7 +154,10 @@ def spread_rank(
     hashed = df.withColumn("digest", digest).withColumn("bucket", F.substring("digest", 1, digits))
     sizes = hashed.groupBy(group, "bucket").agg(F.count(F.lit(1)).alias("size"))
     smaller = Window.partitionBy(group).orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = sizes.select(group, "bucket", F.coalesce(F.sum("size").over(smaller), F.lit(0)).alias("offset"))
+    offsets = sizes.select(
+        group, "bucket", F.coalesce(F.sum("size").over(smaller), F.lit(0)).alias("offset"),
+        F.sum("size").over(Window.partitionBy(group)).alias("group_rows"),
+    )
     inside = Window.partitionBy(group, "bucket").orderBy("digest", q(tie))
     placed = hashed.withColumn("place", F.row_number().over(inside))
     # null-safe on the group so that unlabelled rows keep a rank too
@@ -162,4 +165,6 @@ def spread_rank(
         offsets.withColumnRenamed(group, "offset_group").withColumnRenamed("bucket", "offset_bucket"),
         (F.col("bucket") == F.col("offset_bucket")) & q(group).eqNullSafe(F.col("offset_group")),
     )
-    return joined.select(*[q(c) for c in df.columns], (F.col("offset") + F.col("place")).cast("long").alias("rank"))
+    return joined.select(
+        *[q(c) for c in df.columns], (F.col("offset") + F.col("place")).cast("long").alias("rank"), F.col("group_rows")
+    )
