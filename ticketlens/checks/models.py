@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+from dataclasses import replace
 
 from pyspark.sql import functions as F
 
@@ -109,7 +110,8 @@ def _all(spark, sf):
 
 
 def _train_units(spark, sf):
-    return jobs.train(spark, _all(spark, sf), _all(spark, sf), _config())
+    config = replace(_config(), groups={"Rest": ["Open", "Planned"]})
+    return jobs.train(spark, _all(spark, sf), _all(spark, sf), config)
 
 
 def _predict_units(spark, sf):

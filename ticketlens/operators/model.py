@@ -150,72 +150,59 @@ class Sigmoid:
         return F.lit(1.0) / (F.lit(1.0) + F.exp(-(p * F.lit(self.slope) + F.lit(self.offset))))
 
 
-def fit_sigmoids(held: DataFrame, folds: Sequence[int], labels: Sequence[str], rounds: int = 30, tolerance: float = 1e-8) -> dict[int, list[Sigmoid]]:
+def fit_sigmoids(
+    held: DataFrame, folds: Sequence[int], labels: Sequence[str], rounds: int = 30, tolerance: float = 1e-6
+) -> dict[int, list[Sigmoid]]:
     """One sigmoid per fold and class on held-out probabilities (fold, y, p), with smoothed targets.
 
-    Newton steps; each round is one pre-aggregated pass that serves all folds and
-    classes. A step that raises the loss is halved.
+    Newton steps; each round is one pre-aggregated pass for all folds and
+    classes. The current values come from a table of folds x classes rows, so
+    the plan is the same in every round. A step that raises the loss is halved.
     """
+    spark = held.sparkSession
     counts = {(r["fold"], r["y"]): r["n"] for r in held.groupBy("fold", "y").agg(F.count(F.lit(1)).alias("n")).collect()}
+    code = F.array_position(F.array(*[F.lit(c) for c in labels]), F.col("y")) - 1
+    long = held.withColumn("own", code).select("fold", "own", F.posexplode("p").alias("c", "p"))
     cells = [(f, c) for f in folds for c in range(len(labels))]
-    at: dict[tuple[int, int], tuple[float, float]] = {}
-    best: dict[tuple[int, int], tuple[float, tuple[float, float], tuple[float, float]]] = {}
-    target = {}
+    high, low, at = {}, {}, {}
     for f, c in cells:
         size = sum(n for (fold, _), n in counts.items() if fold == f)
         positive = counts.get((f, labels[c]), 0)
-        target[f, c] = ((positive + 1) / (positive + 2), 1 / (size - positive + 2))
+        high[f, c], low[f, c] = (positive + 1) / (positive + 2), 1 / (size - positive + 2)
         at[f, c] = (0.0, math.log((positive + 1) / (size - positive + 1)))
+    best: dict[tuple[int, int], tuple[float, tuple[float, float], tuple[float, float]]] = {}
+    z = F.col("slope") * F.col("p") + F.col("offset")
+    t = F.when(F.col("own") == F.col("c"), F.col("high")).otherwise(F.col("low"))
+    s = F.lit(1.0) / (F.lit(1.0) + F.exp(-F.col("z")))
+    # log(1 + exp(z)) without overflow
+    loss = F.greatest("z", F.lit(0.0)) + F.log1p(F.exp(-F.abs("z"))) - F.col("t") * F.col("z")
+    weight = F.col("s") * (F.lit(1.0) - F.col("s"))
+    sums = [F.sum(x).alias(n) for n, x in (
+        ("loss", loss), ("ga", (F.col("s") - F.col("t")) * F.col("p")), ("gb", F.col("s") - F.col("t")),
+        ("haa", weight * F.col("p") * F.col("p")), ("hab", weight * F.col("p")), ("hbb", weight))]
     open_cells = set(cells)
     for _ in range(rounds):
-        sums = []
-        for c, label in enumerate(labels):
-            def constant(value, c=c):
-                out = F
-                for f in folds:
-                    out = out.when(F.col("fold") == f, F.lit(value(f, c)))
-                return out
-
-            p = F.col("p")[c]
-            z = p * constant(lambda f, c: at[f, c][0]) + constant(lambda f, c: at[f, c][1])
-            t = F.when(F.col("y") == F.lit(label), constant(lambda f, c: target[f, c][0])).otherwise(constant(lambda f, c: target[f, c][1]))
-            # log(1 + exp(z)) without overflow
-            loss = F.greatest(z, F.lit(0.0)) + F.log1p(F.exp(-F.abs(z))) - t * z
-            s = F.lit(1.0) / (F.lit(1.0) + F.exp(-z))
-            w = s * (F.lit(1.0) - s)
-            sums += [F.sum(x).alias(f"{n}{c}") for n, x in (
-                ("loss", loss), ("ga", (s - t) * p), ("gb", s - t), ("haa", w * p * p), ("hab", w * p), ("hbb", w))]
-        for row in held.groupBy("fold").agg(*sums).collect():
-            for c in range(len(labels)):
-                cell = (row["fold"], c)
-                if cell not in open_cells:
-                    continue
-                value = row[f"loss{c}"]
-                if cell in best and value > best[cell][0] + 1e-12 * abs(best[cell][0]):
-                    _, start, step = best[cell]
-                    step = (step[0] / 2, step[1] / 2)
-                    best[cell] = (best[cell][0], start, step)
-                    if max(map(abs, step)) < tolerance:
-                        at[cell] = start
-                        open_cells.discard(cell)
-                        continue
-                else:
-                    haa, hab, hbb = row[f"haa{c}"] + 1e-9, row[f"hab{c}"], row[f"hbb{c}"] + 1e-9
-                    ga, gb = row[f"ga{c}"], row[f"gb{c}"]
-                    det = haa * hbb - hab * hab
-                    step = (-(hbb * ga - hab * gb) / det, -(haa * gb - hab * ga) / det) if det > 0 else (-ga / haa, -gb / hbb)
-                    start = at[cell]
-                    best[cell] = (value, start, step)
-                    if max(map(abs, step)) < tolerance * (1 + max(map(abs, start))):
-                        open_cells.discard(cell)
-                        continue
-                at[cell] = (start[0] + step[0], start[1] + step[1])
+        values = [(f, c, *at[f, c], high[f, c], low[f, c]) for f, c in sorted(open_cells)]
+        current = spark.createDataFrame(values, "fold int, c int, slope double, offset double, high double, low double")
+        rows = long.join(F.broadcast(current), ["fold", "c"]).withColumns({"z": z, "t": t}).withColumn("s", s)
+        for row in rows.groupBy("fold", "c").agg(*sums).collect():
+            cell = (row["fold"], row["c"])
+            if cell in best and row["loss"] > best[cell][0] + 1e-12 * abs(best[cell][0]):
+                value, start, step = best[cell]
+                step = (step[0] / 2, step[1] / 2)
+            else:
+                value, start = row["loss"], at[cell]
+                haa, hab, hbb, ga, gb = row["haa"] + 1e-9, row["hab"], row["hbb"] + 1e-9, row["ga"], row["gb"]
+                det = haa * hbb - hab * hab
+                step = (-(hbb * ga - hab * gb) / det, -(haa * gb - hab * ga) / det) if det > 0 else (-ga / haa, -gb / hbb)
+            best[cell] = (value, start, step)
+            at[cell] = (start[0] + step[0], start[1] + step[1])
+            if max(map(abs, step)) < tolerance * (1 + max(map(abs, start))):
+                open_cells.discard(cell)
         if not open_cells:
             break
-    for cell in open_cells:
-        # a last step nobody has measured yet is not used
-        at[cell] = best[cell][1]
-    return {f: [Sigmoid(*at[f, c]) for c in range(len(labels))] for f in folds}
+    # a value counts only once its loss was measured
+    return {f: [Sigmoid(*best[f, c][1]) for c in range(len(labels))] for f in folds}
 
 
 @dataclass
