@@ -24,17 +24,15 @@ def test_dates_in_all_layouts(spark):
 
 
 def test_release_tokens(spark):
-    calendar = spark.createDataFrame([("R1", "2024-01-31"), ("R2", "2024-06-30"), ("to_plan", "2020-01-01"), ("hit-pi-9", "2020-01-01")],
+    table = spark.createDataFrame([("R1", "2024-01-31"), ("R2", "2024-06-30"), ("to_plan", "2020-01-01"), ("hit-pi-9", "2020-01-01")],
                                      "release string, dev_cutoff string").withColumn("dev_cutoff", F.col("dev_cutoff").cast("date"))
     texts = [" R2 , R1", "R1#to_plan", "hit-pi-9", "", None, "R2#nope"]
     rows = spark.createDataFrame([(t,) for t in texts], "epic_dev_roadmap string")
-    for limit in (1000, 0):
-        old, prepare.CALENDAR_CONSTANT = prepare.CALENDAR_CONSTANT, limit
+    for calendar in (table, prepare.calendar(table)):
         out = prepare.release_date(rows, "epic_dev_roadmap", calendar, (",", "#"), "min", "d")
         got = {r.epic_dev_roadmap: str(r.d) if r.d else None for r in out.collect()}
-        prepare.CALENDAR_CONSTANT = old
         assert got == {" R2 , R1": "2024-01-31", "R1#to_plan": "2024-01-31", "hit-pi-9": None, "": None, None: None, "R2#nope": "2024-06-30"}
-    bad = {r.token: r.n for r in prepare.unknown_releases(rows, {"epic_dev_roadmap": (",", "#")}, calendar).collect()}
+    bad = {r.token: r.n for r in prepare.unknown_releases(rows, {"epic_dev_roadmap": (",", "#")}, table).collect()}
     assert bad == {"to_plan": 1, "hit-pi-9": 1, "": 1, "nope": 1}
 
 

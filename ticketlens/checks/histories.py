@@ -48,7 +48,9 @@ def all_states(spark, sf, **options):
     now = current_scalars(spark, sf).join(fixture(spark, sf, "fx_tag_current"), "key")
     scalars = scalar_changes(spark, sf).drop("after")
     times = fixture(spark, sf, "fx_tag_change").select("key", "changed_at")
-    return history.states(now, scalars.unionByName(lists), [*FIELDS, "tags"], times=times, **options)
+    # every event is one change time of its user
+    sizes = table(spark, sf, "events").select(F.col("user_id").alias("key"))
+    return history.states(now, scalars.unionByName(lists), [*FIELDS, "tags"], times=times, sizes=sizes, **options)
 
 
 # the newest change of a key is row 1; each step undoes one change

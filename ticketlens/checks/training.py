@@ -64,11 +64,10 @@ ORACLE["release_lookup"] = sql("SELECT key, row_ord, dev_roadmap_date, fix_versi
 
 def _joined_calendar(spark, sf):
     """The same dates by the join used for a large calendar."""
-    constant, prepare.CALENDAR_CONSTANT = prepare.CALENDAR_CONSTANT, 0
-    try:
-        return dated(spark, sf).select(*DATES)
-    finally:
-        prepare.CALENDAR_CONSTANT = constant
+    rows = prepare.since(panel(spark, sf), CONFIG.since)
+    rows = prepare.release_date(rows, "epic_dev_roadmap", releases(spark, sf), CONFIG.roadmap_separators, "min", "dev_roadmap_date")
+    rows = prepare.release_date(rows, "epic_fix_version", releases(spark, sf), CONFIG.version_separators, "max", "fix_version_date")
+    return rows.select(*DATES)
 
 
 QUERIES["release_lookup_joined"] = _joined_calendar

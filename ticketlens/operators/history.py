@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from ticketlens.catalogue import DEFAULT, Catalogue
 from ticketlens.functions.normalise import apply_rule
 from ticketlens.functions.text import SEPARATOR, blank_as_null, tags
-from ticketlens.skew import HOT_ROWS, hot_groups, last_before, lookup_join, q, range_chunks, split_hot
+from ticketlens.skew import HOT_ROWS, hot_groups, largest_group, last_before, lookup_join, q, range_chunks, split_hot
 
 # rows one array fold may hold; longer lists are folded chunk by chunk
 LIST_ROWS = 10_000
@@ -90,7 +90,7 @@ def _walk_rank() -> Column:
     return F.struct("recent", "changed_at", "history_id", (-F.col("item_ord")).alias("item_back"))
 
 
-def list_effects(current: DataFrame, changes: DataFrame, limit: int = HOT_ROWS) -> DataFrame:
+def list_effects(current: DataFrame, changes: DataFrame, limit: int | None = HOT_ROWS) -> DataFrame:
     """List changes with `undoable`: an addition undoes if the tag is there, a removal if it is not.
 
     Whether a tag is there follows from the next later change of that tag alone.
@@ -161,11 +161,12 @@ def replay_list(
     """Joined tags in force before each undoable list change.
 
     Removed tags come back at the end of the list. Groups above `list_rows` are
-    cut into ordered chunks, each folded from the tags held at its start.
+    cut into ordered chunks, each folded from the tags held at its start. Groups
+    are measured on the change rows as given, before any other work on them.
     """
     group = ["key", "header"]
-    steps = list_effects(current, changes, limit).filter("undoable").drop("undoable")
-    hot = hot_groups(steps, group, list_rows)
+    hot = hot_groups(changes, group, min(limit, list_rows))
+    steps = list_effects(current, changes, None if hot is None else limit).filter("undoable").drop("undoable")
     if hot is None:
         folded = _fold(steps, group)
     else:
@@ -196,6 +197,7 @@ def unresolved(changes: DataFrame, effects: DataFrame | None, known: Sequence[st
 def states(
     current: DataFrame, changes: DataFrame, fields: Sequence[str], times: DataFrame | None = None,
     min_valid_from: str | None = None, require_history: bool = False, creation: bool = True, limit: int = HOT_ROWS,
+    sizes: DataFrame | None = None,
 ) -> DataFrame:
     """State of every ticket after each change and, with `creation`, at its creation.
 
@@ -203,8 +205,13 @@ def states(
     item_ord, header, before)` holds scalar before-values and replayed lists;
     `times(key, changed_at)` adds change times without a catalogued field.
     With `min_valid_from` older states are not built; the newest always is.
+    `sizes` is any cheap table with at least as many rows per key as there are
+    change times (such as the raw change items); keys are measured on it.
     """
     types = dict(current.dtypes)
+    measured = sizes if sizes is not None else (
+        changes.select("key") if times is None else changes.select("key").unionAll(times.select("key")))
+    fill_limit = limit if largest_group(measured, ["key"]) + 2 > limit else None
     touched = changes.select("key", "changed_at", "history_id", "item_ord", "header", "before")
     bare = [F.lit(None).cast("long").alias("history_id"), F.lit(None).cast("int").alias("item_ord"),
             F.lit(None).cast("string").alias("header"), F.lit(None).cast("string").alias("before")]
@@ -234,7 +241,7 @@ def states(
         *[_wrapped(q(f), F.lit(True)).alias(f) for f in fields],
     )
     order = [F.col("recent").desc(), F.col("changed_at").desc()]
-    filled = last_before(now.unionByName(before), ["key"], order, fields, limit)
+    filled = last_before(now.unionByName(before), ["key"], order, fields, fill_limit)
     return filled.filter(F.col("recent") == 0).select(
         "key", F.col("changed_at").alias("valid_from"), *[_clean(q(f"prev_{f}")["v"], types[f]).alias(f) for f in fields]
     )

@@ -49,24 +49,24 @@ def _counts(token: Column) -> Column:
     return (token != IGNORED_TOKEN) & ~token.contains(IGNORED_PART)
 
 
-def _small_calendar(releases: DataFrame) -> dict | None:
+def calendar(releases: DataFrame) -> dict | DataFrame:
+    """A small calendar as a dict, to become a constant in the plan; a larger one stays a table."""
     rows = releases.select("release", "dev_cutoff").limit(CALENDAR_CONSTANT + 1).collect()
-    return {r.release: r.dev_cutoff for r in rows} if len(rows) <= CALENDAR_CONSTANT else None
+    return {r.release: r.dev_cutoff for r in rows} if len(rows) <= CALENDAR_CONSTANT else releases
 
 
 def release_date(
-    df: DataFrame, column: str, releases: DataFrame, separators: Sequence[str], how: str, into: str
+    df: DataFrame, column: str, releases: dict | DataFrame, separators: Sequence[str], how: str, into: str
 ) -> DataFrame:
     """Adds the first (`how` = min) or last (max) cut-off day of the releases named in a text."""
-    calendar = _small_calendar(releases)
-    if calendar is not None:
-        if not calendar:
+    if isinstance(releases, dict):
+        if not releases:
             return df.withColumn(into, F.lit(None).cast("date"))
-        days = F.create_map(*[F.lit(x) for pair in calendar.items() for x in pair])
+        days = F.create_map(*[F.lit(x) for pair in releases.items() for x in pair])
         known = F.filter(release_tokens(q(column), separators), _counts)
         dates = F.transform(known, lambda t: F.try_element_at(days, t))
         return df.withColumn(into, (F.array_min if how == "min" else F.array_max)(dates).cast("date"))
-    # a large calendar: look up the distinct texts, then join them back
+    # a table: look up the distinct texts, then join them back
     texts = df.select(q(column).alias("release_text")).filter("release_text IS NOT NULL").distinct()
     named = texts.withColumn("release", F.explode(F.array_distinct(release_tokens(F.col("release_text"), separators))))
     pick = F.min if how == "min" else F.max
@@ -140,14 +140,17 @@ def drop_sparse(df: DataFrame, measured_on: DataFrame, limit: float = 0.95) -> D
 
 
 def dedup_except(df: DataFrame, ignored: Sequence[str], order: str) -> DataFrame:
-    """One row per distinct values of all other columns: the first in `order`.
+    """One row per distinct values of all other columns: the first in `order`, a unique row number.
 
-    A pre-aggregated minimum, so a large group of copies shrinks before the shuffle.
+    A pre-aggregated minimum, so a large group of copies shrinks before the
+    shuffle; with numeric and date columns aside it stays a hash aggregate.
     """
     aside = [c for c in dict.fromkeys([order, *ignored]) if c in df.columns]
     rest = [c for c in df.columns if c not in aside]
-    first = df.groupBy(*[q(c).alias(c) for c in rest]).agg(F.min(F.struct(*[q(c) for c in aside])).alias("first"))
-    return first.select(*[F.col("first")[c].alias(c) if c in aside else q(c) for c in df.columns])
+    first = df.groupBy(*[q(c).alias(c) for c in rest]).agg(
+        *[F.min(q(c)).alias(c) if c == order else F.min_by(q(c), q(order)).alias(c) for c in aside]
+    )
+    return first.select(*[q(c) for c in df.columns])
 
 
 def class_counts(df: DataFrame, column: str) -> DataFrame:
@@ -157,8 +160,9 @@ def class_counts(df: DataFrame, column: str) -> DataFrame:
 def dated(panel: DataFrame, releases: DataFrame, config: PrepareConfig = PrepareConfig()) -> DataFrame:
     """The panel from the first day on, with release dates and lead days."""
     rows = since(parse_day(panel), config.since)
-    rows = release_date(rows, "epic_dev_roadmap", releases, config.roadmap_separators, "min", "dev_roadmap_date")
-    rows = release_date(rows, "epic_fix_version", releases, config.version_separators, "max", "fix_version_date")
+    days = calendar(releases)
+    rows = release_date(rows, "epic_dev_roadmap", days, config.roadmap_separators, "min", "dev_roadmap_date")
+    rows = release_date(rows, "epic_fix_version", days, config.version_separators, "max", "fix_version_date")
     return with_lead_days(rows)
 
 

@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from ticketlens.skew import q
 
 BINS = 10
-QUANTILE_ACCURACY = 100_000
+QUANTILE_ACCURACY = 20_000
 
 
 @dataclass

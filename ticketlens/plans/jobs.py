@@ -103,7 +103,8 @@ def panel_from_tickets(
         log = log.unionByName(history.replay_list(held, routed.filter("is_list")))
     pruned = start if not targets else None
     states = history.states(
-        current, log, fields, times=tickets.history_times(good), min_valid_from=pruned, require_history=require_history)
+        current, log, fields, times=tickets.history_times(good), min_valid_from=pruned, require_history=require_history,
+        sizes=tickets.history_times(good))
     days = snapshots.asof(states, targets) if targets else snapshots.between_days(snapshots.daily_last(states), start, end)
     named = days.drop("valid_from").withColumn("issuekey", F.col("key"))
     return snapshots.lead_columns(named.select(*sorted(named.columns)))

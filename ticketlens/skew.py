@@ -43,6 +43,12 @@ def hot_groups(df: DataFrame, keys: Sequence[str], limit: int = HOT_ROWS) -> Dat
     return counts
 
 
+def largest_group(df: DataFrame, keys: Sequence[str]) -> int:
+    """Row count of the largest group, 0 for an empty table."""
+    counts = df.groupBy(*[q(k).alias(k) for k in keys]).agg(F.count(F.lit(1)).alias("n"))
+    return counts.agg(F.max("n")).first()[0] or 0
+
+
 def same_keys(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> Column:
     """Null-safe equality on the key columns."""
     condition = F.lit(True)
@@ -103,13 +109,14 @@ def range_chunks(df: DataFrame, order: Sequence[Column], total: int, chunk_rows:
 
 
 def last_before(
-    df: DataFrame, group: Sequence[str], order: Sequence[Column], values: Sequence[str], limit: int = HOT_ROWS
+    df: DataFrame, group: Sequence[str], order: Sequence[Column], values: Sequence[str], limit: int | None = HOT_ROWS
 ) -> DataFrame:
     """Adds `prev_<value>`: the nearest earlier non-null of each value within the group.
 
     Within the group `order` must be total. Groups above `limit` are cut into
     ordered chunks: each chunk is filled on its own and what is still open is
-    taken from a table with one row per chunk.
+    taken from a table with one row per chunk. None says that the caller has
+    already measured that there is no such group.
     """
     def fill(frame: DataFrame, keys: Sequence[str]) -> DataFrame:
         earlier = Window.partitionBy(*[q(k) for k in keys]).orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
@@ -117,7 +124,7 @@ def last_before(
             "*", *[F.last(q(v), ignorenulls=True).over(earlier).alias(f"prev_{v}") for v in values]
         )
 
-    hot = hot_groups(df, group, limit)
+    hot = None if limit is None else hot_groups(df, group, limit)
     if hot is None:
         return fill(df, group)
     hot_rows, cold_rows = split_hot(df, group, hot)
