@@ -239,28 +239,28 @@ def predict(
 def update_ledger(spark: SparkSession, batch: DataFrame, path: str) -> DataFrame:
     """Upserts the batch and rescores the whole ledger, as a new version folder; returns the new version.
 
-    Versions are numbered; the newest is read, the next is written, so a failed
-    job never harms the ledger it read.
+    The newest committed version is read and the next one written. A version
+    counts once its number is in the list of versions, so a failed job leaves
+    the ledger as it was and its folder is written again by the next one.
     """
-    versions = _versions(spark, path)
-    if versions:
-        old = spark.read.parquet(f"{path}/version={versions[-1]}")
+    newest = newest_version(spark, path)
+    if newest:
+        old = spark.read.parquet(f"{path}/version={newest}")
         merged = ledger.upsert(old, batch, order=["last_prediction_at"], old_unique=True)
     else:
         merged = ledger.last_per_key(batch, ledger.pick_keys(batch.columns), ["last_prediction_at"])
-    target = f"{path}/version={versions[-1] + 1 if versions else 1}"
+    target = f"{path}/version={newest + 1}"
     write_table(ledger.rescore(merged), target)
+    spark.createDataFrame([(newest + 1,)], "version int").coalesce(1).write.mode("append").json(f"{path}/versions")
     return spark.read.parquet(target)
 
 
-def _versions(spark: SparkSession, path: str) -> list[int]:
-    """Complete versions of the ledger (those with a success mark)."""
+def newest_version(spark: SparkSession, path: str) -> int:
+    """Number of the newest committed ledger version, 0 if there is none."""
     try:
-        marks = spark.read.format("binaryFile").option("pathGlobFilter", "_SUCCESS").option("recursiveFileLookup", True).load(path)
-        found = marks.select(F.regexp_extract("path", "version=(\\d+)/_SUCCESS$", 1).alias("v")).filter("v <> ''").collect()
+        return spark.read.schema("version int").json(f"{path}/versions").agg(F.max("version")).first()[0] or 0
     except AnalysisException:
-        return []
-    return sorted(int(r["v"]) for r in found)
+        return 0
 
 
 def draws(space: SearchSpace, trials: int, seed: int) -> list[tuple[int, ForestParams]]:
