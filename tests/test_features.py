@@ -135,6 +135,14 @@ def test_lookup_join_is_the_same_when_spread(spark):
         assert sorted(map(tuple, skew.lookup_join(big, small, ["k"], how, limit=20, salts=4).collect()), key=str) == plain
 
 
+def test_fill_is_the_same_when_every_group_is_hot(spark, monkeypatch):
+    rows = spark.createDataFrame([(f"k{i % 7}", i, None if i % 3 else i) for i in range(200)], "k string, t int, v int")
+    plain = sorted(map(tuple, skew.last_before(rows, ["k"], [F.col("t")], ["v"]).collect()), key=str)
+    monkeypatch.setattr(skew, "MAX_BROADCAST_ROWS", 3)
+    assert skew.hot_groups(rows, ["k"], 10).all_hot
+    assert sorted(map(tuple, skew.last_before(rows, ["k"], [F.col("t")], ["v"], limit=10).collect()), key=str) == plain
+
+
 def test_units_by_policy(spark):
     rows = spark.createDataFrame([("Open",), ("Done",), ("Odd",), (None,), ("Open",)], "epic_status string")
 

@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from ticketlens.operators import model, units
-from ticketlens.operators.model import FeatureParams, ForestParams, LeadTimeModel
+from ticketlens.operators.model import FeatureParams, ForestParams, TicketModel
 from ticketlens.plans import jobs
 
 FOREST = ForestParams(n_estimators=8, max_depth=5, min_samples_leaf=1)
@@ -30,7 +30,7 @@ def fit_options():
 
 
 def test_calibrated_model_beats_the_majority_and_survives_saving(spark, items, tmp_path):
-    fitted = LeadTimeModel.fit(items, "needed_lead_time", "key", **fit_options())
+    fitted = TicketModel.fit(items, "needed_lead_time", "key", **fit_options())
     assert fitted.classes == ["1", "2", "8+"] and "num__size" in fitted.expected_features
     out = fitted.transform(items, ["key", "needed_lead_time"])
     probabilities = [c for c in out.columns if c.startswith("proba_")]
@@ -41,7 +41,7 @@ def test_calibrated_model_beats_the_majority_and_survives_saving(spark, items, t
         assert sum(p) == pytest.approx(1) and min(p) >= 0 and r.Proba_Max == max(p)
     assert units.metrics(out, "needed_lead_time", "predicted_lead_time").f1_weighted > 0.7
     fitted.save(f"{tmp_path}/m", spark)
-    again = LeadTimeModel.load(spark, f"{tmp_path}/m")
+    again = TicketModel.load(spark, f"{tmp_path}/m")
     assert again.expected_features == fitted.expected_features and again.forest == FOREST
     got = {r.key: r.Proba_Max for r in again.transform(items, ["key"]).collect()}
     assert got == pytest.approx({r.key: r.Proba_Max for r in rows})
@@ -50,7 +50,7 @@ def test_calibrated_model_beats_the_majority_and_survives_saving(spark, items, t
 def test_two_classes_and_fixed_seed(spark, items):
     two = items.filter("needed_lead_time <> '2'")
     runs = [
-        {r.key: r.Proba_Max for r in LeadTimeModel.fit(two, "needed_lead_time", "key", **fit_options()).transform(two, ["key"]).collect()}
+        {r.key: r.Proba_Max for r in TicketModel.fit(two, "needed_lead_time", "key", **fit_options()).transform(two, ["key"]).collect()}
         for _ in range(2)
     ]
     assert runs[0] == pytest.approx(runs[1])
@@ -78,7 +78,7 @@ def test_sigmoids_minimise_the_loss(spark):
 
 def test_regression(spark, items):
     rows = items.withColumn("needed_lead_time", F.regexp_replace("needed_lead_time", "\\+", "").cast("double"))
-    fitted = LeadTimeModel.fit(rows, "needed_lead_time", "key", features=FEATURES, forest=FOREST, model_type="regression")
+    fitted = TicketModel.fit(rows, "needed_lead_time", "key", features=FEATURES, forest=FOREST, model_type="regression")
     out = fitted.transform(rows, ["needed_lead_time"])
     assert out.agg(F.corr("needed_lead_time", "predicted_lead_time")).first()[0] > 0.8
 

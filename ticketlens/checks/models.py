@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from ticketlens.fixtures import fixture, with_views
 from ticketlens.operators import model, select
-from ticketlens.operators.model import FeatureParams, ForestParams, LeadTimeModel
+from ticketlens.operators.model import FeatureParams, ForestParams, TicketModel
 from ticketlens.plans import jobs
 
 QUERIES = {}
@@ -61,7 +61,7 @@ def _random_forest(spark, sf):
 
 def _regression(spark, sf):
     rows = items(spark, sf).withColumn("y", F.regexp_replace("y", "\\+", "").cast("double"))
-    fitted = LeadTimeModel.fit(rows, "y", "key", features=FEATURES, forest=FOREST, model_type="regression")
+    fitted = TicketModel.fit(rows, "y", "key", features=FEATURES, forest=FOREST, model_type="regression")
     return fitted.transform(rows, ["key", "y"])
 
 
@@ -73,7 +73,7 @@ def _calibrate(spark, sf):
 
 
 def _fit(spark, sf):
-    return LeadTimeModel.fit(items(spark, sf), "y", "key", live(spark, sf), **FIT)
+    return TicketModel.fit(items(spark, sf), "y", "key", live(spark, sf), **FIT)
 
 
 def _model_fit(spark, sf):
@@ -89,7 +89,7 @@ def _predict(spark, sf):
 def _model_io(spark, sf):
     folder = tempfile.mkdtemp(prefix="ticketlens-model-")
     _fit(spark, sf).save(folder, spark)
-    return LeadTimeModel.load(spark, folder).transform(live(spark, sf), ["key"])
+    return TicketModel.load(spark, folder).transform(live(spark, sf), ["key"])
 
 
 def _cross_validate(spark, sf):
@@ -119,7 +119,7 @@ def _predict_units(spark, sf):
     rows = _all(spark, sf)
     for unit in jobs.planned(rows, config):
         part = jobs._unit_rows(rows, unit, config)
-        LeadTimeModel.fit(part, "y", jobs.ROW_KEY, **FIT).save(jobs.model_path(unit, config), spark)
+        TicketModel.fit(part, "y", jobs.ROW_KEY, **FIT).save(jobs.model_path(unit, config), spark)
     return jobs.predict(spark, rows, config, ["n_price", "c_onehot"], "2024-07-01 10:00:00")
 
 

@@ -50,8 +50,12 @@ def scaling(df: DataFrame, fill: dict[str, float]) -> dict[str, tuple[float, flo
 
 def frequencies(values: DataFrame) -> DataFrame:
     """(column, value, share): share of a value among the non-null rows of its column."""
-    sums = values.groupBy("column").agg(F.sum("n").alias("total"))
-    return values.join(F.broadcast(sums), "column").select("column", "value", (F.col("n") / F.col("total")).alias("share"))
+    totals = values.groupBy("column").agg(F.sum("n").alias("total")).collect()
+    total = F
+    for r in totals:
+        total = total.when(F.col("column") == r["column"], F.lit(r["total"]))
+    share = F.col("n") / total if totals else F.lit(None).cast("double")
+    return values.select("column", "value", share.alias("share"))
 
 
 def join_frequency(df: DataFrame, shares: DataFrame, column: str, into: str, limit: int = HOT_ROWS) -> DataFrame:

@@ -171,8 +171,7 @@ def replay_list(
         folded = _fold(steps, group)
     else:
         hot_rows, cold_rows = split_hot(steps, group, hot)
-        total = hot.agg(F.sum("hot_n")).first()[0]
-        chunks = range_chunks(hot_rows, [F.col("key"), F.col("header"), *_walk()], total, list_rows)
+        chunks = range_chunks(hot_rows, [F.col("key"), F.col("header"), *_walk()], hot.rows, min(limit, list_rows))
         hot_folded = _fold(chunks, [*group, "chunk"], _carried_tags(chunks)).drop("chunk")
         folded = _fold(cold_rows, group).unionByName(hot_folded)
     rows = folded.filter(F.col("rank.recent") == 0)

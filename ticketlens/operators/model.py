@@ -265,7 +265,7 @@ def calibrate(rows: DataFrame, params: ForestParams = ForestParams(), cv: int =
 
 
 @dataclass
-class LeadTimeModel:
+class TicketModel:
     """A fitted model: features, calibrated forest (or regression forest) and its settings."""
 
     plan: FeaturePlan
@@ -279,7 +279,7 @@ class LeadTimeModel:
     def fit(
         cls, df: DataFrame, y: str, key: str, ref: DataFrame | None = None, features: FeatureParams = FeatureParams(),
         forest: ForestParams = ForestParams(), model_type: str = "classification", cv: int = 5,
-    ) -> LeadTimeModel:
+    ) -> TicketModel:
         """Fits on all columns but `key` and `y`. `key` tells rows apart; `ref` defaults to the training rows."""
         plan, rows = fit_features(df, y, key, ref, features)
         if model_type == "regression":
@@ -327,7 +327,7 @@ class LeadTimeModel:
         spark.createDataFrame([(json.dumps(meta),)], "meta string").coalesce(1).write.mode("overwrite").json(f"{path}/meta")
 
     @classmethod
-    def load(cls, spark: SparkSession, path: str) -> LeadTimeModel:
+    def load(cls, spark: SparkSession, path: str) -> TicketModel:
         meta = json.loads(spark.read.schema("meta string").json(f"{path}/meta").first()["meta"])
         plan = FeaturePlan(Preprocessor.load(spark, path), meta["names"])
         kind = RandomForestClassificationModel if meta["model_type"] == "classification" else RandomForestRegressionModel
@@ -350,7 +350,7 @@ def cross_predict(df: DataFrame, y: str, key: str, folds: int = 10, seed: int =
     rows, used = _folded(df, y, key, folds, seed)
     out = None
     for f in range(used):
-        model = LeadTimeModel.fit(rows.filter(F.col("fold") != f).drop("fold"), y, key, **fit)
+        model = TicketModel.fit(rows.filter(F.col("fold") != f).drop("fold"), y, key, **fit)
         part = model.transform(rows.filter(F.col("fold") == f), [key, y, "fold"])
         part = part.select(q(key), q(y), "fold", F.col("predicted_lead_time").alias("pred"))
         out = part if out is None else out.unionByName(part)
@@ -362,7 +362,7 @@ def cross_validate(df: DataFrame, y: str, key: str, folds: int = 5, seed: int =
     rows, used = _folded(df, y, key, folds, seed)
     out = []
     for f in range(used):
-        model = LeadTimeModel.fit(rows.filter(F.col("fold") != f).drop("fold"), y, key, **fit)
+        model = TicketModel.fit(rows.filter(F.col("fold") != f).drop("fold"), y, key, **fit)
         scores = {"fold": f}
         for side, part in (("test", rows.filter(F.col("fold") == f)), ("train", rows.filter(F.col("fold") != f))):
             if side == "train" and not train_scores:

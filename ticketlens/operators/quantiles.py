@@ -1,7 +1,8 @@
-"""Exact medians with bounded memory."""
+"""Medians and bin edges with bounded memory."""
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
@@ -12,6 +13,8 @@ from ticketlens.skew import q
 # values one task may hold; a longer column is narrowed first
 EXACT_ROWS = 1_000_000
 ACCURACY = 10_000
+# rows up to which bin edges are exact order statistics
+EXACT_EDGE_ROWS = 200_000
 
 
 def _inside(c: str, low: float, high: float) -> Column:
@@ -81,3 +84,18 @@ def _around_middle(n: int, below: int, inside: int, accuracy: int) -> list[float
     low = (_lower(n) - below) / inside - slack
     high = (_upper(n) - below + 1) / inside + slack
     return [max(0.0, low), min(1.0, high)]
+
+
+def bin_edges(df: DataFrame, values: dict[str, Column], shares: Sequence[float], rows: int) -> dict[str, list[float]]:
+    """Distinct values at the given shares of the sorted values, per name, in one pass.
+
+    Exact up to EXACT_EDGE_ROWS rows, beyond with a rank error of at most
+    rows / ACCURACY. `rows` is the number of (non-null) values of each column.
+    """
+    if rows <= EXACT_EDGE_ROWS:
+        ranks = [max(1, math.ceil(rows * p - 1e-9)) - 1 for p in shares]
+        ordered = df.agg(*[F.sort_array(F.collect_list(x)).alias(n) for n, x in values.items()])
+        found = ordered.select(*[F.array(*[q(n)[r] for r in ranks]).alias(n) for n in values]).first()
+    else:
+        found = df.agg(*[F.percentile_approx(x, list(shares), ACCURACY).alias(n) for n, x in values.items()]).first()
+    return {n: sorted(set(found[n])) for n in values}

@@ -16,10 +16,10 @@ from pyspark.ml.stat import Summarizer
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ticketlens.operators.quantiles import bin_edges
 from ticketlens.skew import q
 
 BINS = 10
-QUANTILE_ACCURACY = 20_000
 
 
 @dataclass
@@ -110,12 +110,11 @@ def information(table: Sequence[Sequence[int]]) -> float:
     return max(0.0, out)
 
 
-def mutual_info(df: DataFrame, stats: Sequence[FeatureStats], y: str, bins: int = BINS, accuracy: int = QUANTILE_ACCURACY) -> dict[str, float]:
+def mutual_info(df: DataFrame, stats: Sequence[FeatureStats], y: str, bins: int = BINS) -> dict[str, float]:
     """Mutual information of each varying feature and the class over equal-frequency bins.
 
     For a 0/1 feature the class statistics already hold the table. The others
-    are cut at quantiles of bounded memory (rank error up to rows / accuracy)
-    and counted in one pre-aggregated pass.
+    are cut at quantiles (see `bin_edges`) and counted in one pre-aggregated pass.
     """
     out: dict[str, float] = {}
     rest = []
@@ -130,10 +129,9 @@ def mutual_info(df: DataFrame, stats: Sequence[FeatureStats], y: str, bins: int
         return out
     labelled = df.filter(q(y).isNotNull())
     shares = [b / bins for b in range(1, bins)]
-    edges = labelled.agg(*[
-        F.percentile_approx(F.col("features")[i], shares, accuracy).alias(f"f{i}") for i, _ in rest]).first()
+    edges = bin_edges(labelled, {f"f{i}": F.col("features")[i] for i, _ in rest}, shares, stats[0].n)
     cells = F.array(*[
-        F.struct(F.lit(i).alias("feature"), sum(((F.col("features")[i] > e).cast("int") for e in sorted(set(edges[f"f{i}"]))), F.lit(0)).alias("bin"))
+        F.struct(F.lit(i).alias("feature"), sum(((F.col("features")[i] > e).cast("int") for e in edges[f"f{i}"]), F.lit(0)).alias("bin"))
         for i, _ in rest
     ])
     counts = labelled.select(q(y).cast("string").alias("label"), F.inline(cells)).groupBy("feature", "bin", "label").agg(

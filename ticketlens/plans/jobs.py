@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from ticketlens.catalogue import DEFAULT, Catalogue
 from ticketlens.operators import history, ledger, prepare, snapshots, units
-from ticketlens.operators.model import FeatureParams, ForestParams, LeadTimeModel, cross_predict, cross_validate
+from ticketlens.operators.model import FeatureParams, ForestParams, TicketModel, cross_predict, cross_validate
 from ticketlens.operators.score import score
 from ticketlens.skew import q
 from ticketlens.sources import tickets
@@ -92,9 +92,8 @@ def panel_from_tickets(
 ) -> DataFrame:
     """Raw tickets -> one row per ticket and day (or target date), as one lazy plan. Targets replace the period."""
     good, _ = tickets.split_bad(raw, ["key", "created"])
-    flat = tickets.flatten_current(good, catalogue)
-    fields = [c for c in flat.columns if c != "issuekey"]
-    current = flat.withColumnRenamed("issuekey", "key").join(good.select("key", "created"), "key")
+    current = tickets.flatten_current(good, catalogue, ["key", "created"]).drop("issuekey")
+    fields = [c for c in current.columns if c not in ("key", "created")]
     routed = history.normalise_changes(history.route_changes(tickets.flatten_changes(good, catalogue), catalogue), people)
     lists = sorted({r.header for rs in catalogue.routes().values() for r in rs if r.is_list}.intersection(fields))
     log = routed.filter(~F.col("is_list")).drop("is_list", "field", "after")
@@ -129,7 +128,7 @@ def planned(df: DataFrame, config: JobConfig) -> list[Unit]:
 
 
 def model_path(unit: Unit, config: JobConfig) -> str:
-    return f"{config.model_dir}/lead_time_{unit.tag}"
+    return f"{config.model_dir}/model_{unit.tag}"
 
 
 def stored_params(spark: SparkSession, unit: Unit, config: JobConfig) -> tuple[FeatureParams, ForestParams]:
@@ -183,7 +182,7 @@ def train(spark: SparkSession, training: DataFrame, ref: DataFrame, config: JobC
         folds = units.fold_count(list(kept.values()), config.cv_folds)
         guesses = cross_predict(inside, config.target, ROW_KEY, folds, config.seed, **options)
         oof = units.metrics(guesses, config.target, "pred")
-        model = LeadTimeModel.fit(inside, config.target, ROW_KEY, **options)
+        model = TicketModel.fit(inside, config.target, ROW_KEY, **options)
         test = units.metrics(model.transform(outside, [config.target]), config.target, "predicted_lead_time")
         path = model_path(unit, config)
         model.save(path, spark)
@@ -201,12 +200,12 @@ METRICS_SCHEMA = (
 )
 
 
-def load_if_there(spark: SparkSession, path: str) -> LeadTimeModel | None:
+def load_if_there(spark: SparkSession, path: str) -> TicketModel | None:
     try:
         spark.read.schema("meta string").json(f"{path}/meta").first()
     except AnalysisException:
         return None
-    return LeadTimeModel.load(spark, path)
+    return TicketModel.load(spark, path)
 
 
 def predict(
@@ -326,7 +325,7 @@ def tune(
             F.struct("k_features", F.struct(*params).alias("rf_params")).alias("best_params"))
         write_metrics(stored.coalesce(1), f"{folder}/best_params")
         features, forest = stored_params(spark, unit, config)
-        model = LeadTimeModel.fit(rows, config.target, ROW_KEY, **{**options, "features": features, "forest": forest})
+        model = TicketModel.fit(rows, config.target, ROW_KEY, **{**options, "features": features, "forest": forest})
         model.save(model_path(unit, config), spark)
         part = best.withColumn("unit_name", F.lit(unit.name))
         out = part if out is None else out.unionByName(part)

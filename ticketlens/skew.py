@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import math
 from collections.abc import Sequence
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -24,23 +25,33 @@ def q(name: str) -> Column:
     return F.col("`" + name.replace("`", "``") + "`")
 
 
-def hot_groups(df: DataFrame, keys: Sequence[str], limit: int = HOT_ROWS) -> DataFrame | None:
-    """Groups with more than `limit` rows and their counts, or None if there are none.
+@dataclass
+class Hot:
+    """Groups above the limit, largest first, as a broadcast table of at most MAX_BROADCAST_ROWS rows.
 
-    At most rows/limit groups can qualify. The list is broadcast while it is
-    below MAX_BROADCAST_ROWS; a longer one stays a distributed table.
+    `all_hot` says that there are more such groups than the table holds; those
+    left out are no larger than rows / MAX_BROADCAST_ROWS.
     """
+
+    table: DataFrame
+    rows: int
+    all_hot: bool
+
+
+def hot_groups(df: DataFrame, keys: Sequence[str], limit: int = HOT_ROWS) -> Hot | None:
+    """Groups with more than `limit` rows, or None if there are none. At most rows / limit groups can qualify."""
     counts = (
         df.groupBy(*[q(k).alias(k) for k in keys])
         .agg(F.count(F.lit(1)).alias("hot_n"))
         .filter(F.col("hot_n") > limit)
     )
-    found = counts.limit(MAX_BROADCAST_ROWS + 1).collect()
+    found = counts.orderBy(F.col("hot_n").desc()).limit(MAX_BROADCAST_ROWS + 1).collect()
     if not found:
         return None
-    if len(found) <= MAX_BROADCAST_ROWS:
-        return F.broadcast(df.sparkSession.createDataFrame(found, counts.schema))
-    return counts
+    all_hot = len(found) > MAX_BROADCAST_ROWS
+    listed = df.sparkSession.createDataFrame(found[:MAX_BROADCAST_ROWS], counts.schema).drop("hot_n")
+    rows = df.count() if all_hot else sum(r["hot_n"] for r in found)
+    return Hot(F.broadcast(listed), rows, all_hot)
 
 
 def largest_group(df: DataFrame, keys: Sequence[str]) -> int:
@@ -58,10 +69,12 @@ def same_keys(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> Column:
     return condition
 
 
-def split_hot(df: DataFrame, keys: Sequence[str], hot: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(rows of hot groups, all other rows)."""
-    condition = same_keys(df, hot, keys)
-    return df.join(hot, condition, "left_semi"), df.join(hot, condition, "left_anti")
+def split_hot(df: DataFrame, keys: Sequence[str], hot: Hot) -> tuple[DataFrame, DataFrame]:
+    """(rows of hot groups, all other rows); with too many hot groups to list, every row counts as hot."""
+    if hot.all_hot:
+        return df, df.limit(0)
+    condition = same_keys(df, hot.table, keys)
+    return df.join(hot.table, condition, "left_semi"), df.join(hot.table, condition, "left_anti")
 
 
 def row_salt(df: DataFrame, salts: int) -> Column:
@@ -83,11 +96,11 @@ def lookup_join(
     hot = hot_groups(big, on, limit)
     if hot is None:
         return big.join(lookup, on, how)
-    hot = hot.drop("hot_n").withColumn("hot_key", F.lit(True))
+    listed = hot.table.withColumn("hot_key", F.lit(True))
     spread = F.when(F.col("hot_key") | ~_not_null(on), row_salt(big, salts)).otherwise(F.lit(0))
-    salted = big.join(hot, on, "left").withColumn("salt", spread).drop("hot_key")
+    salted = big.join(listed, on, "left").withColumn("salt", spread).drop("hot_key")
     every = F.when(F.col("hot_key"), F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(0)))
-    copies = lookup.join(hot, on, "left").withColumn("salt", F.explode(every)).drop("hot_key")
+    copies = lookup.join(listed, on, "left").withColumn("salt", F.explode(every)).drop("hot_key")
     return salted.join(copies, [*on, "salt"], how).drop("salt")
 
 
@@ -128,8 +141,7 @@ def last_before(
     if hot is None:
         return fill(df, group)
     hot_rows, cold_rows = split_hot(df, group, hot)
-    total = hot.agg(F.sum("hot_n")).first()[0]
-    chunks = range_chunks(hot_rows, [*[q(k) for k in group], *order], total, limit)
+    chunks = range_chunks(hot_rows, [*[q(k) for k in group], *order], hot.rows, limit)
     keys = [*group, "chunk"]
     position = F.row_number().over(Window.partitionBy(*[q(k) for k in keys]).orderBy(*order))
     local = fill(chunks, keys)

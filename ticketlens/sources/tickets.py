@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -28,12 +30,12 @@ def read_tickets(spark: SparkSession, path: str, catalogue: Catalogue = DEFAULT)
     return spark.read.schema(ticket_schema(catalogue)).json(path)
 
 
-def flatten_current(raw: DataFrame, catalogue: Catalogue = DEFAULT) -> DataFrame:
-    """One flat row per ticket: `issuekey` and the catalogued columns in name order."""
+def flatten_current(raw: DataFrame, catalogue: Catalogue = DEFAULT, keep: Sequence[str] = ()) -> DataFrame:
+    """One flat row per ticket: kept raw columns, `issuekey` and the catalogued columns in name order."""
     columns = {"issuekey": F.col("key")}
     for h in catalogue.used_headers():
         columns[h.name] = apply_rule(catalogue.current_rule(h), F.col("fields")[h.source])
-    return raw.select(*[columns[c].alias(c) for c in sorted(columns)])
+    return raw.select(*[q(c) for c in keep], *[columns[c].alias(c) for c in sorted(columns)])
 
 
 def flatten_changes(raw: DataFrame, catalogue: Catalogue = DEFAULT) -> DataFrame:
