@@ -7,6 +7,11 @@ from pyspark.sql import functions as F
 from ticketlens.catalogue import DEFAULT
 from ticketlens.fixtures import fixture, table, with_views
 from ticketlens.operators import history, snapshots
+from ticketlens.plans import jobs
+from ticketlens.session import scratch_folder
+from ticketlens.functions.dates import text_day
+from ticketlens.functions.normalise import RULES
+from ticketlens.functions.text import plain_text, sorted_joined, sorted_words
 from ticketlens.sources import tables, tickets
 
 QUERIES = {}
@@ -269,30 +274,55 @@ def raw_tickets(spark, sf):
             item("status", F.lit(1), F.lit(2), F.lit("Open"), F.col("o_orderstatus")),
             item("colour", F.lit(1), F.lit(2), F.lit("red"), F.lit("blue"))).alias("items")),
         F.struct((F.col("o_orderdate") + F.expr("INTERVAL '1' DAY")).cast("string").alias("created"), F.array(
-            item("Fix Version", F.lit(None), F.col("o_orderkey"), F.lit(None), F.col("o_orderpriority"))).alias("items")),
+            item("Fix Version", F.lit(None), F.col("o_orderkey"), F.lit(None), F.concat(F.lit("R"), (F.col("o_orderkey") % 7).cast("string")))).alias("items")),
     )
-    return orders.select(F.concat(F.lit("T-"), F.col("o_orderkey").cast("string")).alias("key"),
+    created = (F.col("o_orderdate") - F.expr("INTERVAL '1' DAY")).cast("string")
+    return orders.select(F.concat(F.lit("T-"), F.col("o_orderkey").cast("string")).alias("key"), created.alias("created"),
                          fields.alias("fields"), F.struct(histories.alias("histories")).alias("changelog"))
 
 
+def _held(raw):
+    """The catalogue of the fields these tickets have."""
+    return DEFAULT.restricted(set(raw.schema["fields"].dataType.names))
+
+
+def _rounded(df):
+    doubles = {n for n, t in df.dtypes if t == "double"}
+    return df.select(*[F.round(c, 6).alias(c) if c in doubles else c for c in df.columns])
+
+
 def _current(spark, sf):
     raw = raw_tickets(spark, sf)
-    held = set(raw.schema["fields"].dataType.names)
-    flat = tickets.flatten_current(raw, DEFAULT.restricted(held))
-    doubles = {n for n, t in flat.dtypes if t == "double"}
-    return flat.select(*[F.round(c, 6).alias(c) if c in doubles else c for c in flat.columns])
+    return _rounded(tickets.flatten_current(raw, _held(raw)))
 
 
-QUERIES["flatten_current"] = _current
-ORACLE["flatten_current"] = """
-SELECT 'T-' || o_orderkey AS issuekey, o_orderpriority AS epic_priority, o_orderstatus AS epic_status,
-       CASE WHEN o_orderkey % 3 > 0 THEN 'Q' || (o_orderkey % 5) || '#R' || (o_orderkey % 7) END AS epic_fix_version,
-       CASE WHEN o_orderkey % 3 > 0 THEN 'Q' || (o_orderkey % 5) || '#R' || (o_orderkey % 7) END AS "epic_PI",
-       CASE WHEN o_orderkey % 3 > 0 THEN 'Q' || (o_orderkey % 5) || '#R' || (o_orderkey % 7) END AS epic_release_name,
-       o_orderpriority || '#a,b' AS epic_labels, 'Doe  ' || o_custkey AS epic_owner, 'u' || o_custkey || '@x.org' AS epic_owner_email,
+FIX = "CASE WHEN o_orderkey % 3 > 0 THEN 'Q' || (o_orderkey % 5) || '#R' || (o_orderkey % 7) END"
+FLAT = """o_orderpriority || '#a,b' AS epic_labels, 'Doe  ' || o_custkey AS epic_owner, {mail} AS epic_owner_email,
        round(CASE WHEN o_orderkey % 4 > 0 THEN o_orderkey * 100 / 86400.0::DOUBLE ELSE 0.0::DOUBLE END, 6) AS epic_jira_forecast_dev_etc_md,
        round(o_custkey * 60 / 86400.0::DOUBLE, 6) AS epic_jira_spent_dev_etc_md, 0.0::DOUBLE AS epic_jira_remaining_dev_etc_md,
-       'a big  order ' || o_orderkey AS epic_summary FROM orders"""
+       'a big  order ' || o_orderkey AS epic_summary, o_orderpriority AS epic_priority""".format(mail="'u' || o_custkey || '@x.org'")
+
+
+def versions_sql(value: str) -> str:
+    return ", ".join(f'{value} AS "{c}"' for c in ("epic_fix_version", "epic_PI", "epic_release_name"))
+
+
+QUERIES["flatten_current"] = _current
+ORACLE["flatten_current"] = f"SELECT 'T-' || o_orderkey AS issuekey, o_orderstatus AS epic_status, {versions_sql(FIX)}, {FLAT} FROM orders"
+
+
+def _panel(spark, sf):
+    """Nested tickets to daily snapshots in one plan."""
+    raw = raw_tickets(spark, sf)
+    return _rounded(jobs.panel_from_tickets(raw, _held(raw)))
+
+
+EARLIER = "CASE WHEN o_orderkey % 3 > 0 THEN 'Q' || (o_orderkey % 5) END"
+QUERIES["ticket_panel"] = _panel
+ORACLE["ticket_panel"] = " UNION ALL ".join(
+    f"""SELECT CAST(o_orderdate AS DATE) + {day} AS extract_date, 'T-' || o_orderkey AS key, 'T-' || o_orderkey AS issuekey,
+    {status} AS epic_status, {versions_sql(fix)}, {FLAT} FROM orders"""
+    for day, status, fix in ((-1, "'Open'", EARLIER), (0, "o_orderstatus", EARLIER), (1, "o_orderstatus", FIX)))
 
 QUERIES["flatten_changes"] = lambda spark, sf: tickets.flatten_changes(raw_tickets(spark, sf))
 ORACLE["flatten_changes"] = """
@@ -300,7 +330,69 @@ SELECT 'T-' || o_orderkey AS key, CAST(0 AS BIGINT) AS history_id, 0 AS item_ord
        '1' AS from_id, '2' AS to_id, 'Open' AS from_string, o_orderstatus AS to_string FROM orders
 UNION ALL
 SELECT 'T-' || o_orderkey, 1, 0, CAST(o_orderdate + INTERVAL 1 DAY AS VARCHAR), 'Fix Version',
-       NULL, CAST(o_orderkey AS VARCHAR), NULL, o_orderpriority FROM orders"""
+       NULL, CAST(o_orderkey AS VARCHAR), NULL, 'R' || (o_orderkey % 7) FROM orders"""
+
+
+
+def _write_table(spark, sf):
+    """Orders written by status and read back."""
+    folder = scratch_folder(spark)
+    tables.write_table(table(spark, sf, "orders").select("o_orderkey", "o_totalprice", "o_orderstatus"), folder, "parquet", partition_by=["o_orderstatus"])
+    return tables.read_table(spark, folder).filter("o_orderstatus = 'F'")
+
+
+def _csv(spark, sf):
+    """Parts through CSV with inferred types."""
+    folder = scratch_folder(spark)
+    tables.write_table(table(spark, sf, "part").select("p_partkey", "p_name", "p_retailprice"), folder, "csv")
+    return tables.read_table(spark, folder, "csv").select(F.col("p_partkey").cast("long").alias("p_partkey"), "p_name", "p_retailprice")
+
+
+def _metrics(spark, sf):
+    """Counts per status as JSON metrics."""
+    folder = scratch_folder(spark)
+    counts = table(spark, sf, "orders").groupBy("o_orderstatus").agg(F.count(F.lit(1)).alias("n"), F.round(F.avg("o_totalprice"), 4).alias("mean"))
+    tables.write_metrics(counts, folder)
+    return tables.read_table(spark, folder, "json", "o_orderstatus string, n long, mean double")
+
+
+def _params(spark, sf):
+    """Parameters made from the orders, stored in both shapes and read back."""
+    folder = scratch_folder(spark)
+    sizes = table(spark, sf, "orders").groupBy("o_orderstatus").agg(F.count(F.lit(1)).cast("int").alias("k_features"))
+    flat = F.struct("k_features", F.struct((F.col("k_features") % 50).alias("n_estimators"), F.col("o_orderstatus").alias("max_features")).alias("rf_params"))
+    wrapped = F.col("o_orderstatus") == "F"
+    sizes.select(F.when(wrapped, flat).alias("best_params"), F.when(~wrapped, flat).alias("flat")).select(
+        "best_params", "flat.*").coalesce(1).write.json(folder)
+    return tables.read_params(spark, folder, multi_line=False).select("k_features", "rf_params.n_estimators", "rf_params.max_features")
+
+
+QUERIES["write_table"] = _write_table
+ORACLE["write_table"] = "SELECT o_orderkey, o_totalprice, o_orderstatus FROM orders WHERE o_orderstatus = 'F'"
+QUERIES["csv_round_trip"] = _csv
+ORACLE["csv_round_trip"] = "SELECT p_partkey, p_name, p_retailprice FROM part"
+QUERIES["write_metrics"] = _metrics
+ORACLE["write_metrics"] = "SELECT o_orderstatus, count(*) AS n, round(avg(o_totalprice), 4) AS mean FROM orders GROUP BY 1"
+QUERIES["read_params"] = _params
+ORACLE["read_params"] = """
+SELECT CAST(count(*) AS INTEGER) AS k_features, CAST(count(*) % 50 AS INTEGER) AS n_estimators, o_orderstatus AS max_features FROM orders GROUP BY o_orderstatus"""
+
+
+def _normalisers(spark, sf):
+    """The value normalisers on texts of the tables."""
+    docs = table(spark, sf, "documents")
+    stamped = F.concat(F.lit("2024-0"), (F.col("doc_id") % 9 + 1).cast("string"), F.lit("-15T23:30:00.000+0200"))
+    return docs.select(
+        "doc_id", plain_text(F.col("text")).alias("plain"), F.md5(sorted_words(F.substring("lang", 1, 2))).alias("words"),
+        sorted_joined(F.array("source", "lang")).alias("joined"), RULES["float"](F.col("n_chars").cast("string")).alias("number"),
+        RULES["int"](F.col("lang")).alias("no_number"), text_day(stamped).alias("day"))
+
+
+QUERIES["normalisers"] = _normalisers
+ORACLE["normalisers"] = """
+SELECT doc_id, replace(replace(text, ',', ' '), '"', '') AS plain, md5(lang[1:2]) AS words, least(source, lang) || '#' || greatest(source, lang) AS joined,
+       CAST(n_chars AS DOUBLE) AS number, CAST(NULL AS INTEGER) AS no_number, CAST('2024-0' || (doc_id % 9 + 1) || '-15' AS DATE) AS day
+FROM documents"""
 
 QUERIES["read_table"] = lambda spark, sf: tables.read_table(spark, f"{sf}/orders.parquet").filter("o_totalprice > 1000").select("o_orderkey", "o_orderstatus")
 ORACLE["read_table"] = "SELECT o_orderkey, o_orderstatus FROM orders WHERE o_totalprice > 1000"

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 from dataclasses import replace
 
 from pyspark.sql import functions as F
@@ -11,6 +10,7 @@ from ticketlens.fixtures import fixture, with_views
 from ticketlens.operators import model, select
 from ticketlens.operators.model import FeatureParams, ForestParams, TicketModel
 from ticketlens.plans import jobs
+from ticketlens.session import scratch_folder
 
 QUERIES = {}
 ORACLE = {}
@@ -87,7 +87,7 @@ def _predict(spark, sf):
 
 
 def _model_io(spark, sf):
-    folder = tempfile.mkdtemp(prefix="ticketlens-model-")
+    folder = scratch_folder(spark)
     _fit(spark, sf).save(folder, spark)
     return TicketModel.load(spark, folder).transform(live(spark, sf), ["key"])
 
@@ -97,8 +97,8 @@ def _cross_validate(spark, sf):
     return spark.createDataFrame(rows)
 
 
-def _config():
-    folder = tempfile.mkdtemp(prefix="ticketlens-jobs-")
+def _config(spark):
+    folder = scratch_folder(spark)
     return jobs.JobConfig(
         model_dir=f"{folder}/models", results_dir=f"{folder}/results", metrics_dir=f"{folder}/metrics", ledger_path=f"{folder}/ledger",
         target="y", id_column="key", row_key=("key",), drop=("key", "c_date", "c_text", "c_high", "c_topk", "t_topk"), cv_folds=2, calibration_folds=2,
@@ -110,12 +110,12 @@ def _all(spark, sf):
 
 
 def _train_units(spark, sf):
-    config = replace(_config(), groups={"Rest": ["Open", "Planned"]})
+    config = replace(_config(spark), groups={"Rest": ["Open", "Planned"]})
     return jobs.train(spark, _all(spark, sf), _all(spark, sf), config)
 
 
 def _predict_units(spark, sf):
-    config = _config()
+    config = _config(spark)
     rows = _all(spark, sf)
     for unit in jobs.planned(rows, config):
         part = jobs._unit_rows(rows, unit, config)

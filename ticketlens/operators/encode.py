@@ -114,28 +114,21 @@ class Preprocessor:
         state = EncoderState(groups, {c: kinds[c] for c in used})
         state.fill = impute_median(df, groups.numeric)
         state.scale = scaling(df, state.fill)
-        single = [*groups.one_hot, *groups.top_k]
-        if single:
-            counts = value_counts(df, single)
-            few = most_frequent(counts.filter(F.col("column").isin(*groups.top_k)), "value", k) if groups.top_k else None
-            every = counts.filter(F.col("column").isin(*groups.one_hot)).withColumn("place", F.lit(0))
-            wanted = every if few is None else every.unionByName(few)
-            for c, rows in _by_column(wanted.collect()).items():
-                if c in groups.one_hot:
-                    state.categories[c] = sorted(r["value"] for r in rows)
-                    state.mode[c] = min(rows, key=lambda r: (-r["n"], r["value"]))["value"]
-                else:
-                    state.top_values[c] = [r["value"] for r in sorted(rows, key=lambda r: r["place"])]
-        tagged = [*groups.tag_binarize, *groups.tag_top_k]
-        if tagged:
-            counts = tag_counts(value_counts(df, tagged), sep)
-            few = most_frequent(counts.filter(F.col("column").isin(*groups.tag_top_k)), "tag", k)
-            every = counts.filter(F.col("column").isin(*groups.tag_binarize)).withColumn("place", F.lit(0))
-            for c, rows in _by_column(every.unionByName(few).collect()).items():
-                if c in groups.tag_binarize:
-                    state.tag_vocabulary[c] = sorted(r["tag"] for r in rows)
-                else:
-                    state.top_tags[c] = [r["tag"] for r in sorted(rows, key=lambda r: r["place"])]
+        # each read scans only the columns of its own group
+        if groups.one_hot:
+            for c, rows in _by_column(value_counts(df, groups.one_hot).collect()).items():
+                state.categories[c] = sorted(r["value"] for r in rows)
+                state.mode[c] = min(rows, key=lambda r: (-r["n"], r["value"]))["value"]
+        if groups.top_k:
+            for c, rows in _by_column(most_frequent(value_counts(df, groups.top_k), "value", k).collect()).items():
+                state.top_values[c] = [r["value"] for r in sorted(rows, key=lambda r: r["place"])]
+        if groups.tag_binarize:
+            for c, rows in _by_column(tag_counts(value_counts(df, groups.tag_binarize), sep).collect()).items():
+                state.tag_vocabulary[c] = sorted(r["tag"] for r in rows)
+        if groups.tag_top_k:
+            counts = tag_counts(value_counts(df, groups.tag_top_k), sep)
+            for c, rows in _by_column(most_frequent(counts, "tag", k).collect()).items():
+                state.top_tags[c] = [r["tag"] for r in sorted(rows, key=lambda r: r["place"])]
         shares = frequencies(value_counts(df, groups.frequency)) if groups.frequency else None
         return cls(state, shares, sep)
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -42,3 +43,8 @@ def materialize(df: DataFrame) -> DataFrame:
     """Write the rows once to the shared checkpoint folder; survives lost executors."""
     ensure_checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def scratch_folder(spark: SparkSession) -> str:
+    """A fresh path below the folder that all executors share."""
+    return f"{ensure_checkpoint_dir(spark)}/scratch-{uuid.uuid4().hex}"

@@ -45,9 +45,9 @@ PARAMS_SCHEMA = (
 )
 
 
-def read_params(spark: SparkSession, path: str) -> DataFrame:
-    """Stored best parameters, whether wrapped in `best_params` or flat."""
-    raw = spark.read.option("multiLine", True).schema(f"best_params struct<{_inner()}>, {PARAMS_SCHEMA}").json(path)
+def read_params(spark: SparkSession, path: str, multi_line: bool = True) -> DataFrame:
+    """Stored best parameters, whether wrapped in `best_params` or flat; one JSON document per file or per line."""
+    raw = spark.read.option("multiLine", multi_line).schema(f"best_params struct<{_inner()}>, {PARAMS_SCHEMA}").json(path)
     return raw.select(
         F.coalesce("best_params.k_features", "k_features").alias("k_features"),
         F.coalesce("best_params.rf_params", "rf_params").alias("rf_params"),
