@@ -71,11 +71,11 @@ def lists(now, tag_log, **options):
     return history.replay_list(held, tag_log, **options)
 
 
-@pytest.mark.parametrize("seed, limit", [(1, 1_000_000), (2, 25), (3, 7)])
-def test_states_equal_a_backward_walk(spark, seed, limit):
+@pytest.mark.parametrize("seed, limit, list_rows", [(1, 1_000_000, 1_000), (2, 25, 25), (3, 40, 6), (4, 1_000, 9)])
+def test_states_equal_a_backward_walk(spark, seed, limit, list_rows):
     current, changes = random_log(seed)
     now, scalars, tag_log = frames(spark, current, changes)
-    replayed = lists(now, tag_log, limit=limit, list_rows=limit)
+    replayed = lists(now, tag_log, limit=limit, list_rows=list_rows)
     want_states, want_undone = backward_walk(current, changes)
     got = sorted((r.key, r.history_id, r.item_ord, r.before) for r in replayed.collect())
     assert got == want_undone

@@ -17,8 +17,8 @@ from ticketlens.functions.normalise import apply_rule
 from ticketlens.functions.text import SEPARATOR, blank_as_null, tags
 from ticketlens.skew import HOT_ROWS, hot_groups, largest_group, last_before, lookup_join, q, range_chunks, split_hot
 
-# rows one array fold may hold; longer lists are folded chunk by chunk
-LIST_ROWS = 10_000
+# changes one array fold may hold (its cost grows with the square); longer logs are folded piece by piece
+LIST_ROWS = 1_000
 
 
 def route_changes(changes: DataFrame, catalogue: Catalogue = DEFAULT) -> DataFrame:
@@ -140,19 +140,30 @@ def _fold(rows: DataFrame, keys: Sequence[str], carry: DataFrame | None = None)
     return grouped.select(*keys, F.inline(steps))
 
 
-def _carried_tags(chunks: DataFrame) -> DataFrame:
-    """Tags held at the start of each chunk: set by the last earlier chunk that touched the tag."""
+def _pieces(chunks: DataFrame, rows: int) -> DataFrame:
+    """Cuts the ordered chunks of each group into pieces of at most `rows`; adds `piece`, counting up along the walk."""
+    keys = ["key", "header", "chunk"]
+    place = F.row_number().over(Window.partitionBy(*keys).orderBy(*_walk()))
+    used = chunks.groupBy(*keys).agg(F.ceil(F.count(F.lit(1)) / rows).alias("used"))
+    earlier = Window.partitionBy("key", "header").orderBy("chunk").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = used.select(*keys, F.coalesce(F.sum("used").over(earlier), F.lit(0)).alias("offset"))
+    placed = chunks.withColumn("place", place).join(offsets, keys)
+    return placed.withColumn("piece", F.col("offset") + F.floor((F.col("place") - 1) / rows)).drop("place", "offset", "chunk")
+
+
+def _carried_tags(pieces: DataFrame) -> DataFrame:
+    """Tags held at the start of each piece: set by the last earlier piece that touched the tag."""
     group = ["key", "header"]
-    last = chunks.groupBy(*group, "tag", "chunk").agg(F.min(F.struct(_walk_rank().alias("rank"), "added")).alias("last"))
-    ends = chunks.groupBy(*group).agg(F.max("chunk").alias("last_chunk"))
-    following = F.lead("chunk").over(Window.partitionBy(*group, "tag").orderBy("chunk"))
+    last = pieces.groupBy(*group, "tag", "piece").agg(F.min(F.struct(_walk_rank().alias("rank"), "added")).alias("last"))
+    ends = pieces.groupBy(*group).agg(F.max("piece").alias("last_piece"))
+    following = F.lead("piece").over(Window.partitionBy(*group, "tag").orderBy("piece"))
     spans = last.withColumn("following", following).join(ends, group)
-    until = F.coalesce("following", "last_chunk")
-    held = spans.filter(~F.col("last.added") & (F.col("chunk") < until)).select(
-        *group, "tag", F.col("last.rank").alias("rank"), F.explode(F.sequence(F.col("chunk") + 1, until)).alias("chunk")
+    until = F.coalesce("following", "last_piece")
+    held = spans.filter(~F.col("last.added") & (F.col("piece") < until)).select(
+        *group, "tag", F.col("last.rank").alias("rank"), F.explode(F.sequence(F.col("piece") + 1, until)).alias("piece")
     )
     in_order = F.reverse(F.sort_array(F.collect_list(F.struct("rank", "tag"))))
-    return held.groupBy(*group, "chunk").agg(F.transform(in_order, lambda x: x["tag"]).alias("carry"))
+    return held.groupBy(*group, "piece").agg(F.transform(in_order, lambda x: x["tag"]).alias("carry"))
 
 
 def replay_list(
@@ -161,7 +172,7 @@ def replay_list(
     """Joined tags in force before each undoable list change.
 
     Removed tags come back at the end of the list. Groups above `list_rows` are
-    cut into ordered chunks, each folded from the tags held at its start. Groups
+    cut into ordered pieces, each folded from the tags held at its start. Groups
     are measured on the change rows as given, before any other work on them.
     """
     group = ["key", "header"]
@@ -171,8 +182,8 @@ def replay_list(
         folded = _fold(steps, group)
     else:
         hot_rows, cold_rows = split_hot(steps, group, hot)
-        chunks = range_chunks(hot_rows, [F.col("key"), F.col("header"), *_walk()], hot.rows, min(limit, list_rows))
-        hot_folded = _fold(chunks, [*group, "chunk"], _carried_tags(chunks)).drop("chunk")
+        pieces = _pieces(range_chunks(hot_rows, [F.col("key"), F.col("header"), *_walk()], hot.rows, limit), list_rows)
+        hot_folded = _fold(pieces, [*group, "piece"], _carried_tags(pieces)).drop("piece")
         folded = _fold(cold_rows, group).unionByName(hot_folded)
     rows = folded.filter(F.col("rank.recent") == 0)
     return rows.select(
