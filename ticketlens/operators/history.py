@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from ticketlens.catalogue import DEFAULT, Catalogue
 from ticketlens.functions.normalise import apply_rule
 from ticketlens.functions.text import SEPARATOR, blank_as_null, tags
+from ticketlens.session import materialize
 from ticketlens.skew import HOT_ROWS, hot_groups, largest_group, last_before, lookup_join, q, range_chunks, split_hot
 
 # changes one array fold may hold (its cost grows with the square); longer logs are folded piece by piece
@@ -181,7 +182,7 @@ def replay_list(
     if hot is None:
         folded = _fold(steps, group)
     else:
-        hot_rows, cold_rows = split_hot(steps, group, hot)
+        hot_rows, cold_rows = split_hot(materialize(steps), group, hot)
         pieces = _pieces(range_chunks(hot_rows, [F.col("key"), F.col("header"), *_walk()], hot.rows, limit), list_rows)
         hot_folded = _fold(pieces, [*group, "piece"], _carried_tags(pieces)).drop("piece")
         folded = _fold(cold_rows, group).unionByName(hot_folded)
@@ -251,7 +252,9 @@ def states(
         *[_wrapped(q(f), F.lit(True)).alias(f) for f in fields],
     )
     order = [F.col("recent").desc(), F.col("changed_at").desc()]
-    filled = last_before(now.unionByName(before), ["key"], order, fields, fill_limit)
+    log = now.unionByName(before)
+    # with a hot key the log is read several times, so it is built once
+    filled = last_before(log if fill_limit is None else materialize(log), ["key"], order, fields, fill_limit)
     return filled.filter(F.col("recent") == 0).select(
         "key", F.col("changed_at").alias("valid_from"), *[_clean(q(f"prev_{f}")["v"], types[f]).alias(f) for f in fields]
     )
