@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from ticketlens.llm import quality
+from ticketlens.llm import langid, quality
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -63,5 +64,21 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
 FROM figures
 """
 
-QUERIES = {"op9_quality_rules": op9_quality_rules}
+def id_remainder(modulus: int) -> Column:
+    """crc32 of the id as text, modulo `modulus`; a null id counts as the empty text."""
+    return F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit(""))) % modulus
+
+
+def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    held_out = id_remainder(4) == 2
+    model = langid.fit(docs.filter(~held_out))
+    rows = docs.select("doc_id", held_out.alias("held_out"), "text")
+    return langid.predict(rows, model, keep=("doc_id", "held_out"))
+
+
+QUERIES = {
+    "op9_quality_rules": op9_quality_rules,
+    "op10_language_id": op10_language_id,
+}
 ORACLE = {"op9_quality_rules": OP9_SQL}

@@ -13,6 +13,7 @@ import numpy as np
 import pyarrow as pa
 
 BLOCK_BYTES = 2 << 20
+BLOCK_ROWS = 1024
 
 _SEED = np.random.default_rng(20_240_229)
 #: A random odd number for each byte value, and the base of the polynomial.
@@ -42,7 +43,7 @@ class Block:
         return len(self.bounds) - 1
 
 
-def blocks(texts: pa.Array, most: int = BLOCK_BYTES) -> Iterator[Block]:
+def blocks(texts: pa.Array, most: int = BLOCK_BYTES, most_rows: int = BLOCK_ROWS) -> Iterator[Block]:
     """The rows of a text column in blocks of about `most` bytes; a longer text has a block of its own. Null is empty."""
     if isinstance(texts, pa.ChunkedArray):
         texts = texts.combine_chunks()
@@ -55,7 +56,7 @@ def blocks(texts: pa.Array, most: int = BLOCK_BYTES) -> Iterator[Block]:
     at = 0
     while at < len(texts):
         to = max(at + 1, int(np.searchsorted(ends, ends[at] + most, side="right")) - 1)
-        to = min(to, len(texts))
+        to = min(to, len(texts), at + most_rows)
         yield Block(at, whole[ends[at] : ends[to]], ends[at : to + 1] - ends[at])
         at = to
 
