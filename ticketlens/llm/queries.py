@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ticketlens.llm import langid, quality
+from ticketlens.llm import cube, langid, quality
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -69,6 +69,13 @@ def id_remainder(modulus: int) -> Column:
     return F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit(""))) % modulus
 
 
+def op6_cube_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    mixed = cube.mix(table(spark, sf_dir, "documents"))
+    return mixed.select(
+        "doc_id", "size", "source_size", "target", (F.col("times") * F.col("size")).alias("taken"), "times"
+    )
+
+
 def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
     held_out = id_remainder(4) == 2
@@ -78,6 +85,7 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op6_cube_mixing": op6_cube_mixing,
     "op9_quality_rules": op9_quality_rules,
     "op10_language_id": op10_language_id,
 }
