@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ticketlens.llm import cube, langid, quality
+from ticketlens.llm import cube, langid, lattice, quality
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -69,6 +69,14 @@ def id_remainder(modulus: int) -> Column:
     return F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit(""))) % modulus
 
 
+def op3_lattice_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    scored = lattice.score(docs, train=id_remainder(7) != 2)
+    return scored.select(
+        "doc_id", (~F.col("train")).alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score"
+    )
+
+
 def op6_cube_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     mixed = cube.mix(table(spark, sf_dir, "documents"))
     return mixed.select(
@@ -85,6 +93,7 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op3_lattice_score": op3_lattice_score,
     "op6_cube_mixing": op6_cube_mixing,
     "op9_quality_rules": op9_quality_rules,
     "op10_language_id": op10_language_id,
