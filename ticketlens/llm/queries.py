@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ticketlens.llm import cube, langid, lattice, quality
+from ticketlens.llm import cube, langid, lattice, quality, warc
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -69,6 +69,24 @@ def id_remainder(modulus: int) -> Column:
     return F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit(""))) % modulus
 
 
+def op1_warc_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.archive_pages(table(spark, sf_dir, "pages")).select(
+        "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to"
+    )
+
+
+OP1_SQL = """
+WITH p AS (
+  SELECT page_id, strlen(coalesce(html, '')) AS payload_bytes, sha256(coalesce(html, '')) AS payload_digest FROM pages
+),
+f AS (SELECT *, min(page_id) OVER (PARTITION BY payload_digest) AS first_id FROM p)
+SELECT page_id, payload_bytes, payload_digest,
+  CASE WHEN payload_bytes >= 100 AND page_id <> first_id THEN 'revisit' ELSE 'response' END AS record_type,
+  CASE WHEN payload_bytes >= 100 AND page_id <> first_id THEN first_id END AS refers_to
+FROM f
+"""
+
+
 def op3_lattice_score(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     scored = lattice.score(docs, train=id_remainder(7) != 2)
@@ -93,9 +111,13 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_warc_index": op1_warc_index,
     "op3_lattice_score": op3_lattice_score,
     "op6_cube_mixing": op6_cube_mixing,
     "op9_quality_rules": op9_quality_rules,
     "op10_language_id": op10_language_id,
 }
-ORACLE = {"op9_quality_rules": OP9_SQL}
+ORACLE = {
+    "op1_warc_index": OP1_SQL,
+    "op9_quality_rules": OP9_SQL,
+}
