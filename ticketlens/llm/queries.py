@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ticketlens.llm import cube, langid, lattice, quality, warc
+from ticketlens.llm import cube, langid, lattice, quality, sharding, warc
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -95,6 +95,14 @@ def op3_lattice_score(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op4_label_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    placed = sharding.shard(table(spark, sf_dir, "documents"), shards=16)
+    return placed.select(
+        "doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot",
+        F.lit(None).cast("int").alias("grown_shard"),
+    )
+
+
 def op6_cube_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     mixed = cube.mix(table(spark, sf_dir, "documents"))
     return mixed.select(
@@ -113,6 +121,7 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_warc_index": op1_warc_index,
     "op3_lattice_score": op3_lattice_score,
+    "op4_label_sharding": op4_label_sharding,
     "op6_cube_mixing": op6_cube_mixing,
     "op9_quality_rules": op9_quality_rules,
     "op10_language_id": op10_language_id,
