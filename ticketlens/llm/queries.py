@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ticketlens.llm import cube, langid, lattice, quality, sharding, warc
+from ticketlens.llm import chat, cube, langid, lattice, quality, sharding, warc
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -103,6 +103,31 @@ def op4_label_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op5_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    marks = "</s>[INST] ok [/INST]"
+    more = spark.createDataFrame([(-7, 0, "user", marks), (-7, 1, "assistant", marks)], rows.schema)
+    records = chat.as_records(chat.gather_turns(rows.unionByName(more)))
+    turns = chat.canonical_turns(records, "record").select("conv_id", "turns")
+    return chat.digests(chat.read_back(chat.format_turns(turns)))
+
+
+OP5_SQL = r"""
+WITH c AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL
+  SELECT -7, t, r, '</s>[INST] ok [/INST]' FROM (VALUES (0, 'user'), (1, 'assistant')) v(t, r)
+)
+SELECT conv_id, count(*) AS n_turns,
+  sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text)) AS turns_sha256,
+  CAST(coalesce(sum(length(text)) FILTER (role = 'assistant'), 0) AS BIGINT) AS loss_chars,
+  sha256(coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (role = 'assistant'), '')) AS loss_sha256,
+  CAST(sum(length('<|turn|>' || url_encode(role) || chr(10) || replace(replace(text, '<', '<;'), '[', '[;')
+    || '<|end|>' || chr(10))) AS BIGINT) AS formatted_chars
+FROM c GROUP BY conv_id
+"""
+
+
 def op6_cube_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     mixed = cube.mix(table(spark, sf_dir, "documents"))
     return mixed.select(
@@ -122,11 +147,13 @@ QUERIES = {
     "op1_warc_index": op1_warc_index,
     "op3_lattice_score": op3_lattice_score,
     "op4_label_sharding": op4_label_sharding,
+    "op5_chat_format": op5_chat_format,
     "op6_cube_mixing": op6_cube_mixing,
     "op9_quality_rules": op9_quality_rules,
     "op10_language_id": op10_language_id,
 }
 ORACLE = {
     "op1_warc_index": OP1_SQL,
+    "op5_chat_format": OP5_SQL,
     "op9_quality_rules": OP9_SQL,
 }
