@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ticketlens.llm import chat, cube, langid, lattice, quality, sharding, warc
+from ticketlens.llm import chat, cube, decontam, langid, lattice, quality, sharding, warc
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -135,6 +135,48 @@ def op6_cube_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = decontam.decontaminate(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return found.select(
+        "doc_id", "n_words", "n_hit", F.size("item_ids").cast("long").alias("n_items"),
+        F.sha2(F.array_join("item_ids", ","), 256).alias("items_sha256"), "contaminated",
+    )
+
+
+OP8_SQL = r"""
+WITH d AS (
+  SELECT doc_id, list_filter(string_split_regex(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda x: x <> '') AS words FROM documents
+),
+b AS (
+  SELECT item_id, list_filter(string_split_regex(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda x: x <> '') AS words FROM benchmark
+),
+iw AS (
+  SELECT DISTINCT item_id, least(len(words), 10) AS n, array_to_string(words[i:i + least(len(words), 10) - 1], ' ') AS win
+  FROM (SELECT item_id, words, unnest(range(1, len(words) - least(len(words), 10) + 2)) AS i FROM b WHERE len(words) > 0)
+),
+dw AS (
+  SELECT doc_id, i, n, array_to_string(words[i:i + n - 1], ' ') AS win
+  FROM (
+    SELECT doc_id, words, n, unnest(range(1, len(words) - n + 2)) AS i
+    FROM d, (SELECT DISTINCT n FROM iw) WHERE len(words) >= n
+  )
+),
+m AS (SELECT doc_id, item_id, i, dw.n FROM dw JOIN iw ON dw.win = iw.win AND dw.n = iw.n),
+hits AS (SELECT doc_id, count(DISTINCT i + k) AS n_hit FROM m, range(0, 10) t(k) WHERE k < n GROUP BY doc_id),
+items AS (
+  SELECT doc_id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS listed
+  FROM (SELECT DISTINCT doc_id, CAST(item_id AS VARCHAR) AS item FROM m) GROUP BY doc_id
+)
+SELECT d.doc_id, CAST(len(words) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+  sha256(coalesce(listed, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM d LEFT JOIN hits ON d.doc_id = hits.doc_id LEFT JOIN items ON d.doc_id = items.doc_id
+"""
+
+
 def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
     held_out = id_remainder(4) == 2
@@ -149,11 +191,13 @@ QUERIES = {
     "op4_label_sharding": op4_label_sharding,
     "op5_chat_format": op5_chat_format,
     "op6_cube_mixing": op6_cube_mixing,
+    "op8_decontamination": op8_decontamination,
     "op9_quality_rules": op9_quality_rules,
     "op10_language_id": op10_language_id,
 }
 ORACLE = {
     "op1_warc_index": OP1_SQL,
     "op5_chat_format": OP5_SQL,
+    "op8_decontamination": OP8_SQL,
     "op9_quality_rules": OP9_SQL,
 }
