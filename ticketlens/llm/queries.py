@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ticketlens.llm import chat, cube, decontam, langid, lattice, quality, sharding, warc
+from ticketlens.llm import chat, cube, decontam, langid, lattice, neardup, quality, sharding, warc
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -87,6 +87,10 @@ FROM f
 """
 
 
+def op2_bottom_k_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neardup.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 def op3_lattice_score(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     scored = lattice.score(docs, train=id_remainder(7) != 2)
@@ -187,6 +191,7 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_warc_index": op1_warc_index,
+    "op2_bottom_k_dedup": op2_bottom_k_dedup,
     "op3_lattice_score": op3_lattice_score,
     "op4_label_sharding": op4_label_sharding,
     "op5_chat_format": op5_chat_format,
