@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ticketlens.llm import chat, cube, decontam, langid, lattice, neardup, quality, sharding, warc
+from ticketlens.llm import chat, cube, decontam, langid, lattice, neardup, pfp, quality, sharding, warc
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -139,6 +139,10 @@ def op6_cube_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op7_prefix_free_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pfp.remove_repeats(table(spark, sf_dir, "documents")).drop("kept")
+
+
 def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = decontam.decontaminate(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
     return found.select(
@@ -196,6 +200,7 @@ QUERIES = {
     "op4_label_sharding": op4_label_sharding,
     "op5_chat_format": op5_chat_format,
     "op6_cube_mixing": op6_cube_mixing,
+    "op7_prefix_free_dedup": op7_prefix_free_dedup,
     "op8_decontamination": op8_decontamination,
     "op9_quality_rules": op9_quality_rules,
     "op10_language_id": op10_language_id,
