@@ -168,12 +168,12 @@ def mix(
     docs: DataFrame, doc_id: str = "doc_id", text: str = "text", source: str = "source",
     weights: Sequence[float] = WEIGHTS, share: float = SHARE, most: float = MOST,
 ) -> DataFrame:
-    """One row per document: doc_id, source, size, source_size, target (of its source) and times (how often it is taken)."""
+    """One row per row: doc_id, row_key, source, size, source_size, target (of its source) and times (how often it is taken)."""
     sizes = materialize(
         docs.select(
             F.col(doc_id).alias("doc_id"), F.col(source).alias("source"),
             F.coalesce(F.size(word_array(F.col(text))), F.lit(0)).cast("long").alias("size"),
-            F.xxhash64(F.col(doc_id)).alias("digest"),
+            F.xxhash64(F.col(doc_id), F.col(text)).alias("digest"),
         ).withColumn("size", F.greatest("size", F.lit(0).cast("long")))
     )
     targets = source_targets(sizes, weights, share, most).select(
@@ -187,6 +187,6 @@ def mix(
     parted = rated.withColumn("whole", F.floor("rate").cast("long")).withColumn("pi", F.col("rate") - F.col("whole"))
     drawn = draw_balanced(parted.drop("rate"), "source", "doc_id", "pi", "size", "blocks")
     return drawn.select(
-        "doc_id", "source", "size", "source_size", "target",
+        "doc_id", F.col("digest").alias("row_key"), "source", "size", "source_size", "target",
         F.when(F.col("source_size") > 0, F.col("whole") + F.col("pi").cast("long")).otherwise(0).cast("long").alias("times"),
     )

@@ -70,7 +70,7 @@ def shingle_sets(block: Block, hasher: Hasher) -> Iterator[np.ndarray]:
 
 
 def sketches(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", size: int = SKETCH) -> DataFrame:
-    """doc_id, n_shingles, print_a and print_b (the set's fingerprint) and sketch (its smallest hashes, sorted)."""
+    """doc_id, row_key, n_shingles, print_a and print_b (the set's fingerprint) and sketch (its smallest hashes, sorted)."""
 
     def sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hasher = Hasher()
@@ -87,15 +87,15 @@ def sketches(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", size:
                     ]
                 yield pa.RecordBatch.from_arrays(
                     [
-                        batch.column(0).slice(block.first, block.rows), pa.array([len(s) for s in found], pa.int64()),
-                        *map(pa.array, prints), pa.ListArray.from_arrays(pa.array(bounds), pa.array(values)),
+                        batch.column(0).slice(block.first, block.rows), batch.column(2).slice(block.first, block.rows),
+                        pa.array([len(s) for s in found], pa.int64()), *map(pa.array, prints), pa.ListArray.from_arrays(pa.array(bounds), pa.array(values)),
                     ],
-                    ["doc_id", "n_shingles", "print_a", "print_b", "sketch"],
+                    ["doc_id", "row_key", "n_shingles", "print_a", "print_b", "sketch"],
                 )
 
-    rows = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
+    rows = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"), F.xxhash64(F.col(doc_id), F.col(text)).alias("row_key"))
     id_type = dict(rows.dtypes)["doc_id"]
-    return rows.mapInArrow(sketch, f"doc_id {id_type}, n_shingles long, print_a long, print_b long, sketch array<long>")
+    return rows.mapInArrow(sketch, f"doc_id {id_type}, row_key long, n_shingles long, print_a long, print_b long, sketch array<long>")
 
 
 def listed_values(classes: DataFrame, percent: int = PERCENT) -> DataFrame:
@@ -248,7 +248,7 @@ def links_between(members: DataFrame, sets: DataFrame, percent: int = PERCENT, p
     return links.union(more.filter(F.col("b").isNotNull()).select("a", "b"))
 
 
-def full_sets(docs: DataFrame, names: DataFrame, doc_id: str, text: str) -> DataFrame:
+def full_sets(docs: DataFrame, names: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """name and shingles (sorted 64-bit hashes) of the named documents, computed again from their texts."""
 
     def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -265,14 +265,14 @@ def full_sets(docs: DataFrame, names: DataFrame, doc_id: str, text: str) -> Data
 def near_duplicates(
     docs: DataFrame, doc_id: str = "doc_id", text: str = "text", percent: int = PERCENT, part_shingles: int = PART_SHINGLES
 ) -> DataFrame:
-    """doc_id, n_shingles, component_id (the smallest linked id) and kept (is it its own) for each row; ids are long."""
-    docs = docs.withColumn(doc_id, F.col(doc_id).cast("long"))
-    rows = stored(sketches(docs, doc_id, text))
+    """doc_id, row_key, n_shingles, component_id (the smallest linked id) and kept (is it its own) for each row; ids are long."""
+    docs = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
+    rows = stored(sketches(docs))
     prints = ["print_a", "print_b", "n_shingles"]
     classes = rows.filter(F.col("n_shingles") > 0).groupBy(*prints).agg(F.min("doc_id").alias("name"), F.first("sketch").alias("sketch"))
     classes = stored(classes.filter(F.col("name").isNotNull()))
     members = materialize(gathered(listed_values(classes, percent)))
-    sets = full_sets(docs, members.select("name").distinct(), doc_id, text)
+    sets = full_sets(docs, members.select("name").distinct())
     links = links_between(members, sets, percent, part_shingles)
     roots = components(links.select("a", "b"))
     named = classes.select(*prints, "name").join(roots.withColumnRenamed("node", "name"), "name", "left").select(
@@ -281,4 +281,4 @@ def near_duplicates(
     same = [F.col(c) == F.col(f"class_{c}") for c in prints]
     joined = rows.drop("sketch").join(named, same[0] & same[1] & same[2], "left")
     component = F.coalesce("class_root", "doc_id")
-    return joined.select("doc_id", "n_shingles", component.alias("component_id"), F.col("doc_id").eqNullSafe(component).alias("kept"))
+    return joined.select("doc_id", "row_key", "n_shingles", component.alias("component_id"), F.col("doc_id").eqNullSafe(component).alias("kept"))

@@ -163,7 +163,7 @@ def frequent_lines(lines: DataFrame, docs: DataFrame, host: str, limits: Limits)
 def verdicts(
     docs: DataFrame, doc_id: str = "doc_id", text: str = "text", host: str = "source", limits: Limits = Limits()
 ) -> DataFrame:
-    """Base figures, words in removed lines, and `kept`: neither failed by the base rule nor depleted. One row per row."""
+    """Base figures, words in removed lines, `kept` (neither failed by the base rule nor depleted) and row_key for each row."""
     lines = host_lines(docs, doc_id, text, host)
     frequent = frequent_lines(lines, docs, host, limits)
     # the lines above the limit are few, their occurrences may be many: Spark splits a hot line in this join
@@ -193,6 +193,6 @@ def verdicts(
     gone = F.coalesce("n_removed_words", F.lit(0)).cast("long")
     depleted = (F.col("n_words") - gone) < limits.left_share * F.col("n_words")
     return joined.select(
-        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed",
+        "doc_id", "row_key", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed",
         gone.alias("n_removed_words"), (~F.col("base_failed") & ~depleted).alias("kept"),
     )
