@@ -13,7 +13,7 @@ from ticketlens.functions.text import slug, tag_count
 from ticketlens.operators import encode, prepare, profile, select, units
 from ticketlens.operators.encode import Preprocessor
 from ticketlens.operators.profile import ColumnGroups
-from ticketlens.operators.quantiles import medians
+from ticketlens.operators.quantiles import medians, order_statistics
 
 
 def test_dates_in_all_layouts(spark):
@@ -42,14 +42,27 @@ def test_copies_differ_in_a_sparse_column_before_it_goes(spark):
     assert sorted(r.ord for r in unique.collect()) == [1, 2]
 
 
-@pytest.mark.parametrize("values", [[1.0], [1.0, 2.0], [5.0] * 50 + [1.0] * 10, list(range(1001)), [0.1 * i for i in range(2000)]])
-@pytest.mark.parametrize("exact_rows, accuracy", [(1_000_000, 10_000), (20, 100)])
-def test_median_is_exact_when_narrowed(spark, values, exact_rows, accuracy):
-    mixed = [float(v) for v in values]
-    random.Random(1).shuffle(mixed)
-    rows = spark.createDataFrame([(v, None) for v in mixed] + [(None, None)], "v double, empty double").repartition(4)
-    got = medians(rows, ["v", "empty"], exact_rows, accuracy)
-    assert got["v"] == pytest.approx(median(mixed)) and got["empty"] is None
+COLUMNS = {
+    "one": [1.0], "two": [1.0, 2.0], "few": [5.0] * 50 + [1.0] * 10, "range": list(range(1001)), "tenths": [0.1 * i for i in range(2000)],
+    "balanced": [0.0] * 400 + [1.0] * 400, "three": [0.0] * 300 + [0.5] + [1.0] * 300, "same": [7.0] * 900, "infinite": [float("-inf"), 3.0, float("inf")],
+}
+
+
+@pytest.mark.parametrize("accuracy, gathered", [(10_000, 50_000), (100, 20), (20, 1)])
+def test_order_statistics_are_exact_at_every_size(spark, accuracy, gathered):
+    draw = random.Random(1)
+    longest = max(map(len, COLUMNS.values()))
+    cells = {}
+    for name, values in COLUMNS.items():
+        cells[name] = [float(v) for v in values] + [draw.choice([None, float("nan")]) for _ in range(longest - len(values))]
+        draw.shuffle(cells[name])
+    cells["empty"] = [None, float("nan")] * (longest // 2)
+    rows = spark.createDataFrame(list(zip(*cells.values())), ", ".join(f"{c} double" for c in cells)).repartition(4)
+    got = medians(rows, list(cells), accuracy, gathered)
+    assert got == {**{c: pytest.approx(median(map(float, v))) for c, v in COLUMNS.items()}, "empty": None}
+    ranks = lambda n: [0, n // 10, n // 2, n - 1]
+    found = order_statistics(rows, {c: F.col(c) for c in cells}, [0.0, 0.1, 0.5, 1.0], ranks, accuracy, gathered)
+    assert found == {**{c: [sorted(map(float, v))[r] for r in ranks(len(v))] for c, v in COLUMNS.items()}, "empty": []}
 
 
 def test_encoding_keeps_its_columns_for_unseen_values(spark):
@@ -132,7 +145,7 @@ def test_lookup_join_is_the_same_when_spread(spark):
     small = spark.createDataFrame([("hot", 1), ("k2", 2), ("k4", 3)], "k string, w int")
     for how in ("left", "inner", "left_semi", "left_anti"):
         plain = sorted(map(tuple, big.join(small, ["k"], how).collect()), key=str)
-        assert sorted(map(tuple, skew.lookup_join(big, small, ["k"], how, limit=20, salts=4).collect()), key=str) == plain
+        assert sorted(map(tuple, skew.lookup_join(big, small, ["k"], how, limit=20).collect()), key=str) == plain
 
 
 def test_fill_is_the_same_when_every_group_is_hot(spark, monkeypatch):

@@ -173,7 +173,26 @@ ORACLE["align_features"] = sql(
 
 def _text(spark, sf):
     rows = items(spark, sf).select("key", "c_text")
-    return encode.text_tfidf(rows, "c_text").transform(rows).select("key", F.col("tfidf").cast("string").alias("tfidf"))
+    return encode.text_tfidf(rows, "key", "c_text").select("key", "term", F.round("tfidf", 9).alias("tfidf"))
 
 
 QUERIES["text_tfidf"] = _text
+ORACLE["text_tfidf"] = with_views("", "fx_items").rstrip() + r""",
+pieces AS (SELECT key, unnest(list_filter(string_split_regex(lower(c_text), '\s+'), lambda w: w <> '')) AS term FROM fx_items),
+uses AS (SELECT key, term, count(*) AS uses FROM pieces GROUP BY 1, 2),
+idf AS (SELECT term, ln(((SELECT count(*) FROM fx_items) + 1.0) / (count(*) + 1.0)) AS idf FROM uses GROUP BY 1)
+SELECT key, term, round(uses * idf, 9) AS tfidf FROM uses JOIN idf USING (term)"""
+
+
+def _text_columns(spark, sf):
+    rows = items(spark, sf)
+    fitted = Preprocessor.fit(rows, ColumnGroups(text=["c_text"]), text_terms=60)
+    wide = fitted.transform(rows, ["key"])
+    cells = F.array(*[F.struct(F.lit(c).alias("feature"), q(c).alias("value")) for c in wide.columns if c != "key"])
+    return wide.select("key", F.inline(cells)).filter("value <> 0").select("key", "feature", F.round("value", 9).alias("value"))
+
+
+QUERIES["text_columns"] = _text_columns
+ORACLE["text_columns"] = ORACLE["text_tfidf"].split("SELECT key, term, round")[0] + """
+SELECT key, 'text__c_text_' || term AS feature, round(uses * idf, 9) AS value FROM uses JOIN idf USING (term)
+WHERE idf <> 0 AND term IN (SELECT term FROM uses GROUP BY 1 ORDER BY count(*) DESC, term LIMIT 60)"""

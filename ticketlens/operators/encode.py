@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import functools
 import json
+import math
 from collections.abc import Sequence
 from dataclasses import asdict, dataclass, field
 from operator import add
@@ -18,12 +19,15 @@ from pyspark.sql import functions as F
 from ticketlens.functions.dates import day_of
 from ticketlens.functions.text import SEPARATOR, tag_count, tags
 from ticketlens.operators.profile import ColumnGroups, as_text, most_frequent, tag_counts, value_counts
-from ticketlens.operators.quantiles import medians
-from ticketlens.skew import HOT_ROWS, lookup_join, q
+from ticketlens.operators.quantiles import medians, number
+from ticketlens.session import materialize
+from ticketlens.skew import HOT_ROWS, Hot, hot_table, lookup_join, q
 
 OTHER = "Other"
 TOP_K = 10
 MISSING_DATE_PART = -1
+# values of all columns together that may become columns of their own
+MOST_COLUMNS = 100_000
 DATE_PARTS = {"year": F.year, "month": F.month}
 
 
@@ -41,11 +45,19 @@ def scaling(df: DataFrame, fill: dict[str, float]) -> dict[str, tuple[float, flo
     """Mean and population deviation of the filled columns, deviation 1 for constants."""
     if not fill:
         return {}
-    filled = {c: F.coalesce(q(c).cast("double"), F.lit(float(m))) for c, m in fill.items()}
-    row = df.agg(
-        *[F.avg(x).alias(f"{c} mean") for c, x in filled.items()], *[F.stddev_pop(x).alias(f"{c} std") for c, x in filled.items()]
-    ).first()
-    return {c: (row[f"{c} mean"], row[f"{c} std"] or 1.0) for c in fill}
+    measures = [F.count(F.lit(1)).alias("rows")]
+    for i, c in enumerate(fill):
+        x = number(q(c))
+        measures += [F.count(x).alias(f"n{i}"), F.avg(x).alias(f"m{i}"), F.var_pop(x).alias(f"v{i}")]
+    row = df.agg(*measures).first()
+    out = {}
+    for i, (c, f) in enumerate(fill.items()):
+        # the moments of the values there and of the copies of the fill value, put together
+        n, m, v, rows = row[f"n{i}"], row[f"m{i}"], row[f"v{i}"], row["rows"]
+        mean = (n * m + (rows - n) * f) / rows
+        variance = (n * (v + (m - mean) ** 2) + (rows - n) * (f - mean) ** 2) / rows
+        out[c] = (mean, math.sqrt(variance) or 1.0)
+    return out
 
 
 def frequencies(values: DataFrame) -> DataFrame:
@@ -58,10 +70,27 @@ def frequencies(values: DataFrame) -> DataFrame:
     return values.select("column", "value", share.alias("share"))
 
 
-def join_frequency(df: DataFrame, shares: DataFrame, column: str, into: str, limit: int = HOT_ROWS) -> DataFrame:
-    """Adds the share of the column's value; 0 for null and unseen values."""
+def hot_values(df: DataFrame, columns: Sequence[str], limit: int = HOT_ROWS) -> dict[str, Hot | None]:
+    """The values of each column that more than `limit` rows have, as `lookup_join` takes them; one job for all columns."""
+    if not columns:
+        return {}
+    texts = F.array(*[F.struct(F.lit(c).alias("column"), as_text(df, c).alias("value")) for c in columns])
+    counts = df.select(F.explode(texts).alias("v")).groupBy("v.column", "v.value").agg(F.count(F.lit(1)).alias("hot_n"))
+    found = _by_column(counts.filter(F.col("hot_n") > limit).collect())  # at most rows / limit per column
+    return {
+        c: hot_table(df.sparkSession, "frequency_value string", [(r["value"],) for r in found[c]], [r["hot_n"] for r in found[c]])
+        if c in found else None
+        for c in columns
+    }
+
+
+def join_frequency(
+    df: DataFrame, shares: DataFrame, column: str, into: str, limit: int = HOT_ROWS, hot: Hot | None | bool = True
+) -> DataFrame:
+    """Adds the share of the column's value; 0 for null and unseen values. `hot` as `hot_values` found it, or True to look."""
     one = shares.filter(F.col("column") == column).select(F.col("value").alias("frequency_value"), F.col("share").alias(into))
-    found = lookup_join(df.withColumn("frequency_value", as_text(df, column)), one, ["frequency_value"], limit=limit)
+    asked = df.withColumn("frequency_value", as_text(df, column))
+    found = lookup_join(asked, one, ["frequency_value"], limit=limit, hot=hot)
     return found.drop("frequency_value").withColumn(into, F.coalesce(q(into), F.lit(0.0)))
 
 
@@ -97,6 +126,7 @@ class EncoderState:
     top_values: dict[str, list[str]] = field(default_factory=dict)
     tag_vocabulary: dict[str, list[str]] = field(default_factory=dict)
     top_tags: dict[str, list[str]] = field(default_factory=dict)
+    text_terms: dict[str, dict[str, float]] = field(default_factory=dict)
 
 
 class Preprocessor:
@@ -108,28 +138,35 @@ class Preprocessor:
         self.sep = sep
 
     @classmethod
-    def fit(cls, df: DataFrame, groups: ColumnGroups, k: int = TOP_K, sep: str = SEPARATOR) -> Preprocessor:
+    def fit(
+        cls, df: DataFrame, groups: ColumnGroups, k: int = TOP_K, sep: str = SEPARATOR, within: EncoderState | None = None,
+        text_terms: int = 0, most_columns: int = MOST_COLUMNS,
+    ) -> Preprocessor:
+        """Fit on the rows. The texts of all columns are counted once, the numbers take three passes.
+
+        `within` limits the values that become columns to those of another encoder,
+        so that what reaches the driver is bounded by it. More than `most_columns`
+        such values are an error. `text_terms` > 0 gives each long text the TF-IDF
+        columns of its most frequent terms; without it long texts go.
+        """
         kinds = dict(df.dtypes)
         used = [*groups.numeric, *groups.dates, *groups.one_hot, *groups.top_k, *groups.frequency, *groups.tag_count]
         state = EncoderState(groups, {c: kinds[c] for c in used})
         state.fill = impute_median(df, groups.numeric)
         state.scale = scaling(df, state.fill)
-        # each read scans only the columns of its own group
-        if groups.one_hot:
-            for c, rows in _by_column(value_counts(df, groups.one_hot).collect()).items():
-                state.categories[c] = sorted(r["value"] for r in rows)
-                state.mode[c] = min(rows, key=lambda r: (-r["n"], r["value"]))["value"]
-        if groups.top_k:
-            for c, rows in _by_column(most_frequent(value_counts(df, groups.top_k), "value", k).collect()).items():
-                state.top_values[c] = [r["value"] for r in sorted(rows, key=lambda r: r["place"])]
-        if groups.tag_binarize:
-            for c, rows in _by_column(tag_counts(value_counts(df, groups.tag_binarize), sep).collect()).items():
-                state.tag_vocabulary[c] = sorted(r["tag"] for r in rows)
-        if groups.tag_top_k:
-            counts = tag_counts(value_counts(df, groups.tag_top_k), sep)
-            for c, rows in _by_column(most_frequent(counts, "tag", k).collect()).items():
-                state.top_tags[c] = [r["tag"] for r in sorted(rows, key=lambda r: r["place"])]
-        shares = frequencies(value_counts(df, groups.frequency)) if groups.frequency else None
+        texts = list(dict.fromkeys([*groups.one_hot, *groups.top_k, *groups.tag_binarize, *groups.tag_top_k]))
+        if texts:
+            values = value_counts(df, texts).persist()
+            for r in _vocabularies(values, groups, k, sep, within, most_columns):
+                c, v = r["column"], r["value"]
+                if r["kind"] == "mode":
+                    state.mode[c] = v
+                else:
+                    getattr(state, r["kind"]).setdefault(c, []).append(v)
+            values.unpersist()
+        shares = materialize(frequencies(value_counts(df, groups.frequency))) if groups.frequency else None
+        for c in groups.text if text_terms else []:
+            state.text_terms[c] = frequent_terms(df, c, text_terms)
         return cls(state, shares, sep)
 
     # one method per encoder: output name -> expression over the input columns
@@ -137,7 +174,7 @@ class Preprocessor:
     def numeric(self) -> dict[str, Column]:
         s = self.state
         return {
-            f"num__{c}": (F.coalesce(q(c).cast("double"), F.lit(float(s.fill[c]))) - F.lit(s.scale[c][0])) / F.lit(s.scale[c][1])
+            f"num__{c}": (F.coalesce(number(q(c)), F.lit(float(s.fill[c]))) - F.lit(s.scale[c][0])) / F.lit(s.scale[c][1])
             for c in s.groups.numeric if c in s.fill
         }
 
@@ -185,6 +222,14 @@ class Preprocessor:
             for c in s.groups.tag_top_k for t in s.top_tags.get(c, [])
         }
 
+    def text_columns(self) -> dict[str, Column]:
+        """Uses of a term in the text times its inverse document frequency."""
+        out = {}
+        for c, terms in self.state.text_terms.items():
+            for term, idf in terms.items():
+                out[f"text__{c}_{term}"] = _uses(q(f"words of {c}"), term) * F.lit(float(idf))
+        return out
+
     def _text(self, c: str) -> Column:
         return F.initcap(q(c).cast("string")) if self.state.kinds[c] == "boolean" else q(c).cast("string")
 
@@ -192,19 +237,20 @@ class Preprocessor:
         """All output columns in order, over the columns of `prepared`."""
         return {
             **self.numeric(), **self.one_hot(), **self.date_parts(), **self.top_k(), **self.frequency(),
-            **self.tag_count(), **self.tag_binarize(), **self.tag_top_k(),
+            **self.tag_count(), **self.tag_binarize(), **self.tag_top_k(), **self.text_columns(),
         }
 
     def names(self) -> list[str]:
         return list(self.features())
 
     def prepared(self, df: DataFrame, names: Sequence[str] | None = None) -> DataFrame:
-        """The input with the frequency columns that are asked for and the split tags."""
+        """The input with the frequency columns that are asked for, the split tags and words."""
         g = self.state.groups
-        for c in g.frequency:
-            if names is None or f"high_card__{c}" in names:
-                df = join_frequency(df, self.shares, c, f"high_card__{c}")
+        asked = [c for c in g.frequency if names is None or f"high_card__{c}" in names]
+        for c, hot in hot_values(df, asked).items():
+            df = join_frequency(df, self.shares, c, f"high_card__{c}", hot=hot)
         split = {f"tags of {c}": tags(q(c), self.sep) for c in [*g.tag_binarize, *g.tag_top_k]}
+        split.update({f"words of {c}": terms(q(c)) for c in self.state.text_terms})
         return df.withColumns(split) if split else df
 
     def transform(self, df: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
@@ -244,12 +290,71 @@ def _by_column(rows: list) -> dict[str, list]:
     return out
 
 
-def text_tfidf(df: DataFrame, column: str, size: int = 4096):
-    """Optional text vectors: hashed term counts weighted by inverse document frequency."""
-    from pyspark.ml import Pipeline
-    from pyspark.ml.feature import IDF, HashingTF, Tokenizer
+def _vocabularies(
+    values: DataFrame, groups: ColumnGroups, k: int, sep: str, within: EncoderState | None, most_columns: int
+) -> list:
+    """Rows kind, column, value, in the order in which the columns will stand; `values` are value counts."""
+    def of(columns: Sequence[str]) -> DataFrame:
+        return values.filter(F.col("column").isin(list(columns)))
+
+    def limited(rows: DataFrame, known: dict[str, list[str]] | None) -> DataFrame:
+        if known is None:
+            return rows
+        allowed = F.lit(False)
+        for c, listed in known.items():
+            allowed = allowed | ((F.col("column") == c) & F.col("value").isin(listed))
+        return rows.filter(allowed)
+
+    parts = []
+    if groups.one_hot:
+        rows = of(groups.one_hot)
+        parts.append(limited(rows, within and within.categories).select(F.lit("categories").alias("kind"), "column", "value", F.lit(0).alias("place")))
+        parts.append(most_frequent(rows, "value", 1).select(F.lit("mode").alias("kind"), "column", "value", F.lit(0).alias("place")))
+    if groups.top_k:
+        parts.append(most_frequent(of(groups.top_k), "value", k).select(F.lit("top_values").alias("kind"), "column", "value", "place"))
+    if groups.tag_binarize:
+        rows = tag_counts(of(groups.tag_binarize), sep).withColumnRenamed("tag", "value")
+        parts.append(limited(rows, within and within.tag_vocabulary).select(F.lit("tag_vocabulary").alias("kind"), "column", "value", F.lit(0).alias("place")))
+    if groups.tag_top_k:
+        rows = most_frequent(tag_counts(of(groups.tag_top_k), sep), "tag", k)
+        parts.append(rows.select(F.lit("top_tags").alias("kind"), "column", F.col("tag").alias("value"), "place"))
+    found = functools.reduce(DataFrame.unionByName, parts).limit(most_columns + 1).collect()
+    if len(found) > most_columns:
+        raise ValueError(f"more than {most_columns} values would become columns; choose other encodings")
+    return sorted(found, key=lambda r: (r["kind"], r["column"], r["place"], r["value"]))
+
+
+def terms(text: Column) -> Column:
+    """Words of a text, lower-cased, between white space."""
+    return F.filter(F.split(F.lower(F.coalesce(text, F.lit(""))), r"\s+"), lambda w: w != "")
+
+
+def _uses(words: Column, term: str) -> Column:
+    return F.size(F.filter(words, lambda w: w == F.lit(term)))
+
+
+def document_frequency(df: DataFrame, column: str) -> DataFrame:
+    """term and the number of rows whose text has it."""
+    return df.select(F.explode(F.array_distinct(terms(q(column)))).alias("term")).groupBy("term").agg(F.count(F.lit(1)).alias("rows"))
+
+
+def inverse_frequency(rows: Column, total: int) -> Column:
+    return F.log((F.lit(float(total)) + 1.0) / (rows + 1.0))
+
+
+def frequent_terms(df: DataFrame, column: str, k: int) -> dict[str, float]:
+    """Inverse document frequency of the k terms that most rows have, smallest term first on ties."""
+    order = [F.col("rows").desc(), F.col("term")]
+    idf = inverse_frequency(F.col("rows"), df.count())
+    return {r["term"]: r["idf"] for r in document_frequency(df, column).orderBy(*order).limit(k).select("term", idf.alias("idf")).collect()}
+
+
+def text_tfidf(df: DataFrame, key: str, column: str) -> DataFrame:
+    """key, term and tfidf for every term of every text: its uses times ln((rows + 1) / (rows with the term + 1)).
 
-    steps = [Tokenizer(inputCol=column, outputCol="words"), HashingTF(numFeatures=size, inputCol="words", outputCol="counts"),
-             IDF(inputCol="counts", outputCol="tfidf")]
-    filled = df.withColumn(column, F.coalesce(q(column), F.lit("")))
-    return Pipeline(stages=steps).fit(filled)
+    Terms stay apart at any vocabulary size; the table is as long as the texts and
+    stays distributed.
+    """
+    uses = df.select(q(key).alias("key"), F.explode(terms(q(column))).alias("term")).groupBy("key", "term").agg(F.count(F.lit(1)).alias("uses"))
+    weight = document_frequency(df, column).select("term", inverse_frequency(F.col("rows"), df.count()).alias("idf"))
+    return lookup_join(uses, weight, ["term"], "inner").select("key", "term", (F.col("uses") * F.col("idf")).alias("tfidf"))

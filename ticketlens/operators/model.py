@@ -17,9 +17,9 @@ from pyspark.sql import functions as F
 from ticketlens.functions.labels import ordered_labels
 from ticketlens.operators import select, units
 from ticketlens.operators.encode import Preprocessor
-from ticketlens.operators.profile import group_columns
+from ticketlens.operators.profile import ColumnGroups, group_columns
 from ticketlens.operators.score import PREFIX, total
-from ticketlens.session import ensure_checkpoint_dir
+from ticketlens.session import ensure_checkpoint_dir, materialize
 from ticketlens.skew import q
 
 # Spark grows trees to this depth at most
@@ -39,8 +39,10 @@ class ForestParams:
     random_state: int = 42
 
     def settings(self) -> dict:
+        if self.max_depth > DEEPEST:
+            raise ValueError(f"trees grow to depth {DEEPEST} at most, not {self.max_depth}")
         return {
-            "numTrees": self.n_estimators, "maxDepth": min(self.max_depth, DEEPEST), "minInstancesPerNode": self.min_samples_leaf,
+            "numTrees": self.n_estimators, "maxDepth": self.max_depth, "minInstancesPerNode": self.min_samples_leaf,
             "featureSubsetStrategy": self.max_features, "seed": self.random_state, "cacheNodeIds": self.max_depth > 10,
         }
 
@@ -73,40 +75,68 @@ class FeaturePlan:
 
 
 def fit_features(
-    df: DataFrame, y: str, key: str, ref: DataFrame | None = None, params: FeatureParams = FeatureParams()
+    df: DataFrame, y: str, key: str, ref: DataFrame | None = None, params: FeatureParams = FeatureParams(), numeric_target: bool = False
 ) -> tuple[FeaturePlan, DataFrame]:
     """Profile, encode, drop constants, select; also the encoded training rows (key, y, features).
 
-    The reference rows get an encoder of their own over the same column groups,
-    so only features that exist in both vocabularies can be chosen.
+    The reference rows get an encoder of their own over the same column groups
+    and within the training vocabularies, so only features that exist in both can
+    be chosen. A numeric target is scored by equal-frequency classes. Both inputs
+    are held while they are profiled and encoded, and let go of in the end.
     """
+    held = [t.persist(StorageLevel.MEMORY_AND_DISK) for t in (df, ref) if t is not None]
+    try:
+        return _fit_features(df, y, key, ref, params, numeric_target)
+    finally:
+        for t in held:
+            t.unpersist()
+
+
+def _fit_features(
+    df: DataFrame, y: str, key: str, ref: DataFrame | None, params: FeatureParams, numeric_target: bool
+) -> tuple[FeaturePlan, DataFrame]:
     inputs = df.drop(key, y)
     groups = group_columns(inputs)
     encoder = Preprocessor.fit(inputs, groups)
     names = encoder.names()
-    rows = encoder.vectors(df, [key, y]).persist(StorageLevel.MEMORY_AND_DISK)
-    stats = select.feature_stats(rows, names, y)
+    classes = "target class" if numeric_target else y
+    labelled = select.target_classes(df, y, classes) if numeric_target else df
+    rows = encoder.vectors(labelled, list(dict.fromkeys([key, y, classes]))).persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        return FeaturePlan(encoder, chosen := _choose(encoder, rows, classes, ref, groups, params)), _chosen_vectors(rows, key, y, names, chosen)
+    finally:
+        rows.unpersist()
+
+
+def _choose(
+    encoder: Preprocessor, rows: DataFrame, y: str, ref: DataFrame | None, groups: ColumnGroups, params: FeatureParams
+) -> list[str]:
+    """The features chosen from the encoded rows."""
+    stats = select.feature_stats(rows, encoder.names(), y)
     mi = select.mutual_info(rows, stats, y)
     if ref is None:
         ref_stats = stats
     else:
         absent = {c: F.lit(None).cast(encoder.state.kinds[c]) for c in encoder.state.kinds if c not in ref.columns}
         ref_inputs = ref.withColumns(absent) if absent else ref
-        ref_encoder = Preprocessor.fit(ref_inputs, groups)
+        ref_encoder = Preprocessor.fit(ref_inputs, groups, within=encoder.state)
         ref_stats = select.feature_stats(ref_encoder.vectors(ref_inputs), ref_encoder.names())
     kept = set(select.varying(stats))
     candidates = [s for s in stats if s.name in kept]
     if not candidates:
         raise ValueError("no feature varies in the training rows")
     scores = select.joint_scores(candidates, mi, ref_stats, params.w_f, params.w_mi, params.w_ref, params.min_presence)
-    chosen = select.joint_select(scores, params.k_features, candidates)
+    return select.joint_select(scores, params.k_features, candidates)
+
+
+def _chosen_vectors(rows: DataFrame, key: str, y: str, names: Sequence[str], chosen: Sequence[str]) -> DataFrame:
+    """key, y and the chosen features as a vector, held until the caller lets go of them."""
     places = [names.index(n) for n in chosen]
     vectors = rows.select(
         q(key).alias("key"), q(y).alias("y"), array_to_vector(F.array(*[F.col("features")[i] for i in places])).alias("features")
     ).persist(StorageLevel.MEMORY_AND_DISK)
     vectors.count()
-    rows.unpersist()
-    return FeaturePlan(encoder, chosen), vectors
+    return vectors
 
 
 def _index(labels: Sequence[str]) -> Column:
@@ -281,7 +311,7 @@ class TicketModel:
         forest: ForestParams = ForestParams(), model_type: str = "classification", cv: int = 5,
     ) -> TicketModel:
         """Fits on all columns but `key` and `y`. `key` tells rows apart; `ref` defaults to the training rows."""
-        plan, rows = fit_features(df, y, key, ref, features)
+        plan, rows = fit_features(df, y, key, ref, features, numeric_target=model_type == "regression")
         if model_type == "regression":
             model = cls(plan, None, fit_forest(rows, None, forest), features, forest)
         else:
@@ -346,7 +376,7 @@ def _folded(df: DataFrame, y: str, key: str, folds: int, seed: int) -> tuple[Dat
 
 
 def cross_predict(df: DataFrame, y: str, key: str, folds: int = 10, seed: int = 42, **fit) -> DataFrame:
-    """Out-of-fold prediction of every row (key, y, fold, pred); everything is fitted anew per fold."""
+    """Out-of-fold prediction of every row (key, y, fold, pred), written once; everything is fitted anew per fold."""
     rows, used = _folded(df, y, key, folds, seed)
     out = None
     for f in range(used):
@@ -354,6 +384,8 @@ def cross_predict(df: DataFrame, y: str, key: str, folds: int = 10, seed: int =
         part = model.transform(rows.filter(F.col("fold") == f), [key, y, "fold"])
         part = part.select(q(key), q(y), "fold", F.col("predicted_lead_time").alias("pred"))
         out = part if out is None else out.unionByName(part)
+    out = materialize(out)
+    rows.unpersist()
     return out
 
 

@@ -1,4 +1,4 @@
-"""Medians and bin edges with bounded memory."""
+"""Exact order statistics with bounded memory, the same at every size."""
 
 from __future__ import annotations
 
@@ -10,92 +10,109 @@ from pyspark.sql import functions as F
 
 from ticketlens.skew import q
 
-# values one task may hold; a longer column is narrowed first
-EXACT_ROWS = 1_000_000
+# rank error of one approximate pass is at most rows / ACCURACY
 ACCURACY = 10_000
-# rows up to which bin edges are exact order statistics
-EXACT_EDGE_ROWS = 200_000
+# values between two bounds that one array may hold; more are narrowed by another pass
+GATHERED = 50_000
 
 
-def _inside(c: str, low: float, high: float) -> Column:
-    return q(c).cast("double").between(F.lit(low), F.lit(high))
+def number(c: Column) -> Column:
+    """The value as a double; NaN is no value."""
+    return F.nanvl(c.cast("double"), F.lit(None).cast("double"))
 
 
-def medians(df: DataFrame, columns: Sequence[str], exact_rows: int = EXACT_ROWS, accuracy: int = ACCURACY) -> dict[str, float | None]:
-    """Median per column, the mean of the two middle values of an even count; null for an empty column.
+def order_statistics(
+    df: DataFrame, values: dict[str, Column], shares: Sequence[float], ranks_of, accuracy: int = ACCURACY, gathered: int = GATHERED
+) -> dict[str, list[float]]:
+    """Exact values at certain ranks of the sorted (non-null, non-NaN) values, per name; none for an empty column.
 
-    A long column is narrowed by approximate quantiles to a range that must hold
-    the middle ranks. Each pass shrinks it by about accuracy / 4 and is one
-    aggregation over all columns; only bounds and counts reach the driver.
+    `shares` say roughly where the ranks lie; `ranks_of(n)` gives the 0-based ranks
+    once the number of values is known. A first pass counts and finds, around each
+    share, two bounds that enclose its rank. A second pass counts the values below,
+    at and between the bounds and gathers those between, which are few. Values equal
+    to a bound are only counted, so no number of equal values is ever gathered, and
+    each further pass narrows what lies strictly between.
     """
-    if not columns:
+    if not values:
         return {}
-    total = df.agg(*[F.count(q(c)).alias(c) for c in columns]).first()
-    out: dict[str, float | None] = {c: None for c in columns if total[c] == 0}
-    short = [c for c in columns if 0 < total[c] <= exact_rows]
-    if short:
-        row = df.agg(*[F.median(q(c).cast("double")).alias(c) for c in short]).first()
-        out.update({c: row[c] for c in short})
-    # (low, high, rows below low, rows inside) per long column
-    spans = {c: (float("-inf"), float("inf"), 0, total[c]) for c in columns if total[c] > exact_rows}
-    while spans:
-        bounds = df.agg(*[F.percentile_approx(
-            F.when(_inside(c, low, high), q(c).cast("double")), _around_middle(total[c], below, inside, accuracy), accuracy
-        ).alias(c) for c, (low, high, below, inside) in spans.items()]).first()
-        cut = {c: (bounds[c][0], bounds[c][-1]) for c in spans}
-        counts = df.agg(*[
-            x for c, (low, high) in cut.items()
-            for x in (F.count(F.when(q(c).cast("double") < low, 1)).alias(f"{c} below"), F.count(F.when(_inside(c, low, high), 1)).alias(f"{c} inside"))
-        ]).first()
-        ready = {}
-        for c, (low, high) in cut.items():
-            below, inside = counts[f"{c} below"], counts[f"{c} inside"]
-            if low == high:
-                out[c] = low
-                del spans[c]
-            elif inside <= exact_rows:
-                ready[c] = (low, high, below)
-                del spans[c]
-            else:
-                spans[c] = (low, high, below, inside)
-        if ready:
-            values = df.agg(*[
-                F.sort_array(F.collect_list(F.when(_inside(c, low, high), q(c).cast("double")))).alias(c)
-                for c, (low, high, _) in ready.items()
-            ]).select(*[
-                ((q(c)[_lower(total[c]) - below] + q(c)[_upper(total[c]) - below]) / 2).alias(c)
-                for c, (_, _, below) in ready.items()
-            ]).first()
-            out.update({c: values[c] for c in ready})
-    return out
-
-
-def _lower(n: int) -> int:
-    return (n - 1) // 2
-
-
-def _upper(n: int) -> int:
-    return n // 2
-
-
-def _around_middle(n: int, below: int, inside: int, accuracy: int) -> list[float]:
-    """Shares of the current range that surely enclose both middle ranks."""
     slack = 2.0 / accuracy
-    low = (_lower(n) - below) / inside - slack
-    high = (_upper(n) - below + 1) / inside + slack
-    return [max(0.0, low), min(1.0, high)]
-
-
-def bin_edges(df: DataFrame, values: dict[str, Column], shares: Sequence[float], rows: int) -> dict[str, list[float]]:
-    """Distinct values at the given shares of the sorted values, per name, in one pass.
-
-    Exact up to EXACT_EDGE_ROWS rows, beyond with a rank error of at most
-    rows / ACCURACY. `rows` is the number of (non-null) values of each column.
-    """
-    if rows <= EXACT_EDGE_ROWS:
-        ranks = [max(1, math.ceil(rows * p - 1e-9)) - 1 for p in shares]
-        ordered = df.agg(*[F.sort_array(F.collect_list(x)).alias(n) for n, x in values.items()])
-        found = ordered.select(*[F.array(*[q(n)[r] for r in ranks]).alias(n) for n in values]).first()
-    else:
-        found = df.agg(*[F.percentile_approx(x, list(shares), ACCURACY).alias(n) for n, x in values.items()]).first()
-    return {n: sorted(set(found[n])) for n in values}
+    around = sorted({min(1.0, max(0.0, p + d)) for p in shares for d in (-slack, slack)})
+    names = list(values)
+    long = df.select(F.explode(F.array(*[
+        F.struct(F.lit(i).alias("i"), number(values[n]).alias("x")) for i, n in enumerate(names)
+    ])).alias("v")).select("v.i", "v.x").filter("x IS NOT NULL")
+    first = long.groupBy("i").agg(F.count(F.lit(1)).alias("n"), F.percentile_approx("x", around, accuracy).alias("bounds")).collect()
+    wanted = {r["i"]: ranks_of(r["n"]) for r in first}
+    bounds = {r["i"]: sorted(set(r["bounds"])) for r in first}
+    out: dict[int, list[float]] = {}
+    while bounds:
+        cells, parts = _cells(long, bounds), {i: len(b) + 1 for i, b in bounds.items()}
+        sizes: dict[int, dict[int, int]] = {i: {} for i in bounds}
+        for r in cells.groupBy("i", "cell").agg(F.count(F.lit(1)).alias("n")).collect():
+            sizes[r["i"]][r["cell"]] = r["n"]
+        found: dict[tuple[int, int], float] = {}
+        inside: dict[tuple[int, int], list[tuple[int, int]]] = {}
+        for i in bounds:
+            below = 0
+            for cell in range(2 * parts[i] - 1):
+                n = sizes[i].get(cell, 0)
+                for rank in wanted[i]:
+                    if below <= rank < below + n:
+                        if cell % 2:
+                            found[i, rank] = bounds[i][cell // 2]
+                        else:
+                            inside.setdefault((i, cell), []).append((rank, rank - below))
+                below += n
+        small = [c for c in inside if sizes[c[0]][c[1]] <= gathered]
+        if small:
+            asked = F.struct("i", "cell").isin([F.struct(F.lit(i), F.lit(cell)) for i, cell in small])
+            lists = cells.filter(asked).groupBy("i", "cell").agg(F.sort_array(F.collect_list("x")).alias("xs"))
+            places = F
+            for i, cell in small:
+                picked = F.array(*[F.col("xs")[place] for _, place in inside[i, cell]])
+                places = places.when((F.col("i") == i) & (F.col("cell") == cell), picked)
+            for r in lists.select("i", "cell", places.alias("at")).collect():
+                for (rank, _), x in zip(inside[r["i"], r["cell"]], r["at"], strict=True):
+                    found[r["i"], rank] = x
+        # where too much lies between two bounds, new ones are sought there
+        large = [c for c in inside if c not in small]
+        more: dict[int, list[float]] = {}
+        if large:
+            asked = F.struct("i", "cell").isin([F.struct(F.lit(i), F.lit(cell)) for i, cell in large])
+            steps = [k / 16 for k in range(17)]
+            for r in cells.filter(asked).groupBy("i", "cell").agg(F.percentile_approx("x", steps, accuracy).alias("b")).collect():
+                more.setdefault(r["i"], []).extend(r["b"])
+        for i in list(bounds):
+            if i in more:
+                bounds[i] = sorted({*bounds[i], *more[i]})
+            else:
+                out[i] = [found[i, rank] for rank in wanted[i]]
+                del bounds[i]
+    return {n: out.get(i, []) for i, n in enumerate(names)}
+
+
+def _cells(long: DataFrame, bounds: dict[int, list[float]]) -> DataFrame:
+    """Adds `cell` to (i, x): 2 k strictly between bounds k - 1 and k, 2 k + 1 at bound k. Other columns' rows go."""
+    cell = F
+    for i, b in bounds.items():
+        edges = F.array(*[F.lit(float(x)) for x in b])
+        # each bound below counts two, the one that is met counts one
+        place = F.aggregate(edges, F.lit(0), lambda n, e: n + F.when(e < F.col("x"), 2).when(e == F.col("x"), 1).otherwise(0))
+        cell = cell.when(F.col("i") == i, place)
+    return long.filter(F.col("i").isin(list(bounds))).withColumn("cell", cell)
+
+
+def medians(df: DataFrame, columns: Sequence[str], accuracy: int = ACCURACY, gathered: int = GATHERED) -> dict[str, float | None]:
+    """Exact median per column, the mean of the two middle values of an even count; null for a column without values."""
+    found = order_statistics(
+        df, {c: q(c) for c in columns}, [0.5], lambda n: sorted({(n - 1) // 2, n // 2}), accuracy, gathered
+    )
+    return {c: (found[c][0] + found[c][-1]) / 2 if found[c] else None for c in columns}
+
+
+def bin_edges(df: DataFrame, values: dict[str, Column], shares: Sequence[float]) -> dict[str, list[float]]:
+    """Distinct exact values at the given shares of the sorted values, per name."""
+    found = order_statistics(
+        df, values, shares, lambda n: [max(1, math.ceil(n * p - 1e-9)) - 1 for p in shares]
+    )
+    return {n: sorted(set(xs)) for n, xs in found.items()}

@@ -7,19 +7,23 @@ on one row per feature, so it does not grow with the data.
 
 from __future__ import annotations
 
+import functools
 import math
 from collections.abc import Sequence
 from dataclasses import dataclass
+from operator import add
 
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.stat import Summarizer
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ticketlens.operators.quantiles import bin_edges
+from ticketlens.operators.quantiles import bin_edges, number
 from ticketlens.skew import q
 
 BINS = 10
+# classes of a target that may reach the driver, one row of statistics each
+MOST_CLASSES = 1_000
 
 
 @dataclass
@@ -54,7 +58,10 @@ def with_features(df: DataFrame, columns: Sequence[str], keep: Sequence[str] = (
 
 
 def feature_stats(df: DataFrame, names: Sequence[str], y: str | None = None) -> list[FeatureStats]:
-    """Statistics of the `features` array, split by class `y` if given; nulls in y form no class."""
+    """Statistics of the `features` array, split by class `y` if given; nulls in y form no class.
+
+    A target with more than MOST_CLASSES values is an error; cut a numeric one into classes first (`target_classes`).
+    """
     measure = Summarizer.metrics("count", "mean", "variance", "numNonZeros", "min", "max")
     label = q(y).cast("string") if y else F.lit("")
     rows = (
@@ -62,8 +69,11 @@ def feature_stats(df: DataFrame, names: Sequence[str], y: str | None = None) ->
         .groupBy("label").agg(measure.summary(F.col("v")).alias("s"))
         .select("label", F.col("s.count").alias("n"), *[
             vector_to_array(F.col(f"s.{m}")).alias(m) for m in ("mean", "variance", "numNonZeros", "min", "max")])
-        .orderBy("label").collect()
+        .limit(MOST_CLASSES + 1).collect()
     )
+    if len(rows) > MOST_CLASSES:
+        raise ValueError(f"the target has more than {MOST_CLASSES} values; a numeric one needs classes")
+    rows = sorted(rows, key=lambda r: r["label"])
     out = []
     total = sum(r["n"] for r in rows)
     for i, name in enumerate(names):
@@ -82,6 +92,14 @@ def feature_stats(df: DataFrame, names: Sequence[str], y: str | None = None) ->
     return out
 
 
+def target_classes(df: DataFrame, y: str, into: str, bins: int = BINS) -> DataFrame:
+    """Adds the equal-frequency class of a numeric target, as text; no value has no class."""
+    value = number(q(y))
+    edges = bin_edges(df, {"y": value}, [b / bins for b in range(1, bins)])["y"]
+    place = functools.reduce(add, [(value > e).cast("int") for e in edges], F.lit(0))
+    return df.withColumn(into, place.cast("string"))
+
+
 def varying(stats: Sequence[FeatureStats], threshold: float = 0.0) -> list[str]:
     """Names of the features whose (population) variance is above the threshold."""
     return [s.name for s in stats if s.varies and s.variance > threshold]
@@ -129,7 +147,7 @@ def mutual_info(df: DataFrame, stats: Sequence[FeatureStats], y: str, bins: int
         return out
     labelled = df.filter(q(y).isNotNull())
     shares = [b / bins for b in range(1, bins)]
-    edges = bin_edges(labelled, {f"f{i}": F.col("features")[i] for i, _ in rest}, shares, stats[0].n)
+    edges = bin_edges(labelled, {f"f{i}": F.col("features")[i] for i, _ in rest}, shares)
     cells = F.array(*[
         F.struct(F.lit(i).alias("feature"), sum(((F.col("features")[i] > e).cast("int") for e in edges[f"f{i}"]), F.lit(0)).alias("bin"))
         for i, _ in rest

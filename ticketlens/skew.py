@@ -10,14 +10,14 @@ import math
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from ticketlens.session import materialize
 
 HOT_ROWS = 1_000_000
 MAX_BROADCAST_ROWS = 100_000
-SALTS = 64
 
 
 def q(name: str) -> Column:
@@ -30,12 +30,21 @@ class Hot:
     """Groups above the limit, largest first, as a broadcast table of at most MAX_BROADCAST_ROWS rows.
 
     `all_hot` says that there are more such groups than the table holds; those
-    left out are no larger than rows / MAX_BROADCAST_ROWS.
+    left out are no larger than rows / MAX_BROADCAST_ROWS. `largest` is the row
+    count of the largest group.
     """
 
     table: DataFrame
     rows: int
     all_hot: bool
+    largest: int = 0
+
+
+def hot_table(spark: SparkSession, schema: StructType | str, keys: Sequence[tuple], sizes: Sequence[int]) -> Hot:
+    """Hot groups that the caller has already counted."""
+    listed = sorted(zip(sizes, range(len(keys))), key=lambda x: (-x[0], x[1]))[:MAX_BROADCAST_ROWS]
+    table = spark.createDataFrame([keys[k] for _, k in listed], schema)
+    return Hot(F.broadcast(table), sum(sizes), len(keys) > MAX_BROADCAST_ROWS, max(sizes))
 
 
 def hot_groups(df: DataFrame, keys: Sequence[str], limit: int = HOT_ROWS) -> Hot | None:
@@ -51,7 +60,7 @@ def hot_groups(df: DataFrame, keys: Sequence[str], limit: int = HOT_ROWS) -> Hot
     all_hot = len(found) > MAX_BROADCAST_ROWS
     listed = df.sparkSession.createDataFrame(found[:MAX_BROADCAST_ROWS], counts.schema).drop("hot_n")
     rows = df.count() if all_hot else sum(r["hot_n"] for r in found)
-    return Hot(F.broadcast(listed), rows, all_hot)
+    return Hot(F.broadcast(listed), rows, all_hot, found[0]["hot_n"])
 
 
 def largest_group(df: DataFrame, keys: Sequence[str]) -> int:
@@ -83,19 +92,22 @@ def row_salt(df: DataFrame, salts: int) -> Column:
 
 
 def lookup_join(
-    big: DataFrame, lookup: DataFrame, on: Sequence[str], how: str = "left", limit: int = HOT_ROWS, salts: int = SALTS
+    big: DataFrame, lookup: DataFrame, on: Sequence[str], how: str = "left", limit: int = HOT_ROWS, hot: Hot | None | bool = True
 ) -> DataFrame:
     """Equi-join to a table with at most one row per key, balanced when a key is hot in `big`.
 
-    Rows of a hot key are spread over `salts` tasks and its single lookup row is
-    copied to each; rows with a null key match nothing and are spread too. Other
-    keys join as usual (Spark broadcasts `lookup` by its measured size). `how` is
-    inner, left, left_semi or left_anti.
+    Rows of a hot key are spread over as many tasks as keep each below `limit`
+    rows, and its single lookup row is copied to each; rows with a null key match
+    nothing and are spread too. Other keys join as usual (Spark broadcasts `lookup`
+    by its measured size). `how` is inner, left, left_semi or left_anti. `hot` are
+    the hot groups if the caller has counted them, None if there are none.
     """
     on = list(on)
-    hot = hot_groups(big, on, limit)
-    if hot is None:
+    if hot is True:
+        hot = hot_groups(big, on, limit)
+    if not hot:
         return big.join(lookup, on, how)
+    salts = max(2, math.ceil(hot.largest / limit))
     listed = hot.table.withColumn("hot_key", F.lit(True))
     spread = F.when(F.col("hot_key") | ~_not_null(on), row_salt(big, salts)).otherwise(F.lit(0))
     salted = big.join(listed, on, "left").withColumn("salt", spread).drop("hot_key")

@@ -8,18 +8,26 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from ticketlens.skew import q
+
 FORMATS = ("csv", "parquet", "json", "orc")
 
 
 def read_table(spark: SparkSession, path: str, fmt: str = "parquet", schema: StructType | str | None = None) -> DataFrame:
-    """A table file or folder. CSV has a header; without a schema its types are inferred (a second pass)."""
+    """A table file or folder, NaN as null. CSV has a header; without a schema its types are inferred (a second pass)."""
     if fmt not in FORMATS:
         raise ValueError(f"unknown format {fmt!r}, use one of {FORMATS}")
     reader = spark.read.format(fmt)
     if fmt == "csv":
         reader = reader.options(header=True, multiLine=False, escape='"')
         reader = reader if schema else reader.option("inferSchema", True)
-    return (reader.schema(schema) if schema else reader).load(path)
+    return nan_as_null((reader.schema(schema) if schema else reader).load(path))
+
+
+def nan_as_null(df: DataFrame) -> DataFrame:
+    """NaN in a number column is no value."""
+    floats = [c for c, t in df.dtypes if t in ("float", "double")]
+    return df.withColumns({c: F.when(~F.isnan(q(c)), q(c)) for c in floats}) if floats else df
 
 
 def write_table(
