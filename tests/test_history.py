@@ -138,3 +138,22 @@ def test_asof_takes_the_latest_earlier_day(spark):
     got = snapshots.asof(states, ["2024-01-31", "2024-01-04", "2024-02-01", "2024-01-31"], keep_target=True)
     rows = sorted((r.key, str(r.target_date), str(r.extract_date), r.v) for r in got.collect())
     assert rows == [("K", "2024-01-31", "2024-01-05", "late"), ("K", "2024-01-31", "2024-01-05", "late"), ("K", "2024-02-01", "2024-02-01", "new")]
+
+
+def test_texts_with_unlike_zones_are_in_time_order(spark):
+    """The second change in text order came first: 23:00 and 04:30 of the next day, in UTC."""
+    early, late = "2024-01-02T01:00:00.000+0200", "2024-01-01T23:30:00.000-0500"
+    changes = spark.createDataFrame(
+        [("k", late, 1, 0, "f", "b", "c"), ("k", early, 0, 0, "f", "a", "b")],
+        "key string, changed_at string, history_id long, item_ord int, header string, before string, after string")
+    current = spark.createDataFrame([("k", "2023-12-01T00:00:00.000+0000", "c")], "key string, created string, f string")
+    found = {r.valid_from: r.f for r in history.states(current, changes.drop("after"), ["f"]).collect()}
+    assert found == {"2023-12-01T00:00:00.000+0000": "a", early: "b", late: "c"}
+    tags = spark.createDataFrame([("k", "f", "y")], "key string, header string, value string")
+    moved = spark.createDataFrame(
+        [("k", late, 1, 0, "f", "x", None), ("k", early, 0, 0, "f", None, "x"), ("k", early, 0, 1, "f", None, "y")],
+        "key string, changed_at string, history_id long, item_ord int, header string, before string, after string")
+    before = {(r.changed_at, r.item_ord): r.before for r in history.replay_list(tags, moved).collect()}
+    assert before == {(late, 0): "y#x", (early, 0): "y", (early, 1): None}
+    states = spark.createDataFrame([("k", "2024-01-01T23:30:00.000+0500", 1), ("k", "2024-01-01T20:00:00.000-0500", 2)], "key string, valid_from string, v int")
+    assert [r.v for r in snapshots.daily_last(states).collect()] == [2]

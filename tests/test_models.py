@@ -104,9 +104,14 @@ def test_jobs_end_to_end(spark, items, tmp_path):
     assert live == items.filter("epic_status <> 'Done'").count()
     assert {r.data_quality for r in first.select("data_quality").distinct().collect()} == {0.5, 1.0}
     jobs.predict(spark, items, config, None, "2024-02-01 00:00:00")
-    ledger = spark.read.parquet(f"{tmp_path}/ledger/version=2")
+    ledger = jobs.read_ledger(spark, f"{tmp_path}/ledger")
     assert ledger.count() == live and {r[0] for r in ledger.select("last_prediction_at").distinct().collect()} == {"2024-02-01 01:00:00"}
 
+    bands = spark.read.parquet(f"{tmp_path}/results/reports_ledger/bands")
+    assert bands.agg(F.sum("n")).first()[0] == live
+    trusts = [r.trust_score_v2 for r in spark.read.parquet(f"{tmp_path}/results/predictions_group_early").collect()]
+    assert sorted(trusts, reverse=True) == sorted(trusts, reverse=True) and len(trusts) == live
+
     space = jobs.SearchSpace(k_features=(2, 8), n_estimators=(3,), max_depth=(2, 5), min_samples_leaf=(1,))
     best = jobs.tune(spark, items, items, config, space, 2).collect()
     assert len(best) == 1 and best[0].f1w > 0.5

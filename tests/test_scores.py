@@ -76,6 +76,15 @@ def test_upsert_keeps_the_last_of_a_batch_and_of_old_copies(spark):
     assert got == {("a", 5, "last"), ("c", 3, "q")}
 
 
+def test_upsert_keeps_the_last_row_of_equal_stamps(spark):
+    """Neither the greatest nor the first: the last one as the batch has it."""
+    schema = "epic_key string, at int, v string"
+    new = spark.createDataFrame([("a", 1, "z"), ("a", 1, "m"), ("b", 1, "q")], schema).coalesce(1)
+    old = spark.createDataFrame([("a", 9, "old"), ("c", 2, "y"), ("c", 2, "b")], schema).coalesce(1)
+    for order in ([], ["at"]):
+        assert {r.epic_key: r.v for r in ledger.upsert(old, new, order=order).collect()} == {"a": "m", "b": "q", "c": "b"}
+
+
 def test_upsert_without_keys_drops_full_copies(spark):
     old = spark.createDataFrame([(1, "x"), (2, "y")], "a int, b string")
     new = spark.createDataFrame([(1, "x"), (3, None), (3, None)], "a int, b string")

@@ -122,3 +122,19 @@ def test_metrics_as_json(spark, tmp_path):
 
 def test_catalogue_size():
     assert len(DEFAULT.headers) == 45 and len(DEFAULT.used_headers()) == 43
+
+
+def test_refresh_types_and_reports(spark, raw, tmp_path):
+    releases = spark.createDataFrame([("R1", "2023-03-31"), ("R2", "2024-03-31")], "release string, dev_cutoff string").withColumn(
+        "dev_cutoff", F.col("dev_cutoff").cast("date"))
+    for fmt in ("csv", "parquet"):
+        out = jobs.refresh(raw, releases, f"{tmp_path}/{fmt}/panel", f"{tmp_path}/{fmt}/training", PrepareConfig(since="2020-01-01"), fmt,
+                           reports=f"{tmp_path}/{fmt}/reports")
+        panel = tables.read_table(spark, f"{tmp_path}/{fmt}/panel", fmt)
+        kinds = dict(panel.dtypes)
+        assert kinds["epic_business_value"] == "double" and kinds["epic_jira_spent_dev_etc_md"] == "double"
+        assert out.count() >= 0
+        report = lambda name: tables.read_table(spark, f"{tmp_path}/{fmt}/reports/{name}", fmt).collect()
+        assert [(r.key, r.reason) for r in report("rejected")] == [(None, "no key")]
+        assert ("colour", "unknown field", 1) in {tuple(r) for r in report("unresolved")}
+        assert report("release_errors") == []

@@ -27,6 +27,10 @@ class Source:
     is_list: bool = False
 
 
+#: Rules that give numbers.
+NUMBERS = ("float", "int")
+
+
 @dataclass(frozen=True)
 class Route:
     """Where a change item of one display name goes."""
@@ -50,8 +54,12 @@ class Catalogue:
         return sorted((h for h in self.headers if h.source), key=lambda h: h.name)
 
     def current_rule(self, header: Header) -> str | None:
+        """How the column reads the current ticket. A field whose changes are numbers is a number there too."""
         source = self.source(header.source)
-        return source.rules.get("default" if header.step == 0 else str(header.step)) if source else None
+        if source is None:
+            return None
+        changes = source.rules.get(header.change_step)
+        return source.rules.get("default" if header.step == 0 else str(header.step), changes if changes in NUMBERS else None)
 
     def restricted(self, sources: set[str]) -> Catalogue:
         """The catalogue of tickets that hold only these fields."""

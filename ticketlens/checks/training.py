@@ -62,6 +62,24 @@ QUERIES["release_lookup"] = lambda spark, sf: dated(spark, sf).select(*DATES)
 ORACLE["release_lookup"] = sql("SELECT key, row_ord, dev_roadmap_date, fix_version_date FROM dated")
 
 
+def _copied_calendar(spark, sf):
+    """A calendar that lists releases again with earlier days, as a constant and joined."""
+    listed = releases(spark, sf)
+    copies = listed.select("release", F.date_sub("dev_cutoff", 30).alias("dev_cutoff"))
+    both = copies.unionByName(listed).unionByName(copies)
+    out = None
+    for way, days in (("constant", prepare.calendar(both)), ("joined", both)):
+        rows = prepare.release_date(panel(spark, sf), "epic_dev_roadmap", days, CONFIG.roadmap_separators, "min", "dev_roadmap_date")
+        rows = rows.select("key", "row_ord", F.lit(way).alias("way"), "dev_roadmap_date")
+        out = rows if out is None else out.unionByName(rows)
+    return out
+
+
+QUERIES["release_lookup_copies"] = _copied_calendar
+ORACLE["release_lookup_copies"] = sql(
+    "SELECT key, row_ord, way, dev_roadmap_date FROM dated0, (VALUES ('constant'), ('joined')) w(way)")
+
+
 def _joined_calendar(spark, sf):
     """The same dates by the join used for a large calendar."""
     rows = prepare.since(panel(spark, sf), CONFIG.since)

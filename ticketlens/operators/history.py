@@ -79,16 +79,24 @@ def normalise_changes(routed: DataFrame, people: DataFrame | None = None) -> Dat
     )
 
 
+def with_moment(df: DataFrame) -> DataFrame:
+    """Adds `moment`, the point in time of `changed_at`. Texts with unlike zone offsets are in order only by it."""
+    at = F.col("changed_at")
+    text = df.schema["changed_at"].dataType.simpleString() == "string"
+    return df.withColumn("moment", F.try_to_timestamp(at) if text else at.cast("timestamp"))
+
+
 def _walk() -> list[Column]:
     """Newest to oldest; histories backwards, items of one history forwards."""
     return [
-        F.col("recent").desc(), F.col("changed_at").desc(), F.col("history_id").desc(), F.col("item_ord").asc(),
+        F.col("recent").desc(), F.col("moment").desc(), F.col("history_id").desc(), F.col("item_ord").asc(),
+        F.col("changed_at").desc(),
     ]
 
 
 def _walk_rank() -> Column:
     """Ascending order of this struct is the reverse of the walk."""
-    return F.struct("recent", "changed_at", "history_id", (-F.col("item_ord")).alias("item_back"))
+    return F.struct("recent", "moment", "history_id", (-F.col("item_ord")).alias("item_back"), "changed_at")
 
 
 def list_effects(current: DataFrame, changes: DataFrame, limit: int | None = HOT_ROWS) -> DataFrame:
@@ -99,14 +107,14 @@ def list_effects(current: DataFrame, changes: DataFrame, limit: int | None = HOT
     """
     before, after = blank_as_null(F.col("before")), blank_as_null(F.col("after"))
     one_sided = before.isNull() != after.isNull()
-    logged = changes.select(
-        "key", "header", "changed_at", "history_id", "item_ord", F.lit(0).alias("recent"),
+    logged = with_moment(changes).select(
+        "key", "header", "changed_at", "moment", "history_id", "item_ord", F.lit(0).alias("recent"),
         F.when(one_sided, F.coalesce(before, after)).alias("tag"), before.isNull().alias("added"),
     )
     held = current.select("key", "header", F.posexplode(F.array_distinct(tags(F.col("value")))).alias("item_ord", "tag"))
     start = held.select(
         "key", "header", F.lit(None).cast(changes.schema["changed_at"].dataType).alias("changed_at"),
-        F.lit(0).cast("long").alias("history_id"), "item_ord", F.lit(1).alias("recent"), "tag", F.lit(False).alias("added"),
+        F.lit(None).cast("timestamp").alias("moment"), F.lit(0).cast("long").alias("history_id"), "item_ord", F.lit(1).alias("recent"), "tag", F.lit(False).alias("added"),
     )
     later = last_before(logged.unionByName(start), ["key", "header", "tag"], _walk(), ["added"], limit)
     present = F.coalesce(~F.col("prev_added"), F.lit(False))
@@ -229,29 +237,33 @@ def states(
     if times is not None:
         touched = touched.unionByName(times.select("key", "changed_at", *bare))
     births = current.select("key", F.col("created").alias("changed_at"), *bare).filter(F.lit(creation))
+    touched, births = with_moment(touched), with_moment(births)
     if require_history:
         births = births.join(touched.select("key").distinct(), "key", "left_semi")
     if min_valid_from is not None:
         start = F.lit(min_valid_from).cast("date")
-        newest = touched.groupBy("key").agg(F.max("changed_at").alias("changed_at")).select("key", "changed_at", *bare)
+        newest = touched.groupBy("key").agg(F.max(F.struct("moment", "changed_at")).alias("newest"))
+        newest = newest.select("key", "newest.changed_at", *bare, "newest.moment")
         touched = touched.filter(F.col("changed_at").cast("date") >= start).unionByName(newest)
         births = births.filter(F.col("changed_at").cast("date") >= start)
     # several changes at one time: the one undone last holds the value before all of them
     undone_last = F.struct("history_id", (-F.col("item_ord")).alias("item_back"))
-    per_time = touched.unionByName(births).groupBy("key", "changed_at").agg(
+    per_time = touched.unionByName(births).groupBy("key", "moment", F.when(F.col("moment").isNull(), F.col("changed_at")).alias("at")).agg(
+        F.max("changed_at").alias("changed_at"),
         *[
             F.min(F.when(F.col("header") == f, F.struct(undone_last.alias("rank"), F.col("before").try_cast(types[f]).alias("v")))).alias(f)
             for f in fields
         ]
     )
     before = per_time.select(
-        "key", "changed_at", F.lit(0).alias("recent"), *[_wrapped(q(f)["v"], q(f).isNotNull()).alias(f) for f in fields]
+        "key", "changed_at", "moment", F.lit(0).alias("recent"), *[_wrapped(q(f)["v"], q(f).isNotNull()).alias(f) for f in fields]
     )
     now = current.select(
-        "key", F.lit(None).cast(before.schema["changed_at"].dataType).alias("changed_at"), F.lit(1).alias("recent"),
+        "key", F.lit(None).cast(before.schema["changed_at"].dataType).alias("changed_at"),
+        F.lit(None).cast("timestamp").alias("moment"), F.lit(1).alias("recent"),
         *[_wrapped(q(f), F.lit(True)).alias(f) for f in fields],
     )
-    order = [F.col("recent").desc(), F.col("changed_at").desc()]
+    order = [F.col("recent").desc(), F.col("moment").desc(), F.col("changed_at").desc()]
     log = now.unionByName(before)
     # with a hot key the log is read several times, so it is built once
     filled = last_before(log if fill_limit is None else materialize(log), ["key"], order, fields, fill_limit)

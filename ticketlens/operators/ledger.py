@@ -44,11 +44,11 @@ def last_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> Da
     """The row with the greatest order values per key; nulls in a key are equal.
 
     An aggregate with map-side combine, so copies of a key never meet in one task.
-    Rows equal in `order` are told apart by their other columns.
+    Of rows equal in `order` the last one in the table's own order stays.
     """
     rest = [c for c in df.columns if c not in keys]
-    ranked = F.struct(*[q(c).alias(f"order_{i}") for i, c in enumerate(order)], *[q(c) for c in rest])
-    best = df.groupBy(*[q(k).alias(k) for k in keys]).agg(F.max(ranked).alias("best"))
+    ranked = F.struct(*[q(c).alias(f"order_{i}") for i, c in enumerate(order)], F.col("row number"), *[q(c) for c in rest])
+    best = df.withColumn("row number", F.monotonically_increasing_id()).groupBy(*[q(k).alias(k) for k in keys]).agg(F.max(ranked).alias("best"))
     return best.select(*[q(k) if k in keys else F.col("best")[k].alias(k) for k in df.columns])
 
 

@@ -49,9 +49,14 @@ def _counts(token: Column) -> Column:
     return (token != IGNORED_TOKEN) & ~token.contains(IGNORED_PART)
 
 
+def one_per_release(releases: DataFrame) -> DataFrame:
+    """release and dev_cutoff; of a release listed more than once the latest day counts."""
+    return releases.filter("release IS NOT NULL").groupBy("release").agg(F.max("dev_cutoff").alias("dev_cutoff"))
+
+
 def calendar(releases: DataFrame) -> dict | DataFrame:
-    """A small calendar as a dict, to become a constant in the plan; a larger one stays a table."""
-    rows = releases.select("release", "dev_cutoff").limit(CALENDAR_CONSTANT + 1).collect()
+    """A small calendar as a dict, to become a constant in the plan; a larger one stays a table. Both give the same days."""
+    rows = one_per_release(releases).limit(CALENDAR_CONSTANT + 1).collect()
     return {r.release: r.dev_cutoff for r in rows} if len(rows) <= CALENDAR_CONSTANT else releases
 
 
@@ -71,7 +76,7 @@ def release_date(
     named = texts.withColumn("release", F.explode(F.array_distinct(release_tokens(F.col("release_text"), separators))))
     pick = F.min if how == "min" else F.max
     found = (
-        lookup_join(named.filter(_counts(F.col("release"))), releases.select("release", "dev_cutoff"), ["release"], "inner")
+        lookup_join(named.filter(_counts(F.col("release"))), one_per_release(releases), ["release"], "inner")
         .groupBy("release_text").agg(pick("dev_cutoff").cast("date").alias(into))
     )
     return lookup_join(df.withColumn("release_text", q(column)), found, ["release_text"]).drop("release_text")

@@ -16,10 +16,12 @@ def _day(df: DataFrame, column: str = "valid_from") -> Column:
 
 
 def _newest(df: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Latest state per key set, as a pre-aggregated maximum."""
+    """Latest state per key set, as a pre-aggregated maximum; times in text are compared as points in time."""
     rest = [c for c in df.columns if c not in (*keys, "valid_from")]
-    best = df.groupBy(*keys).agg(F.max(F.struct("valid_from", *[q(c) for c in rest])).alias("best"))
-    return best.select(*keys, "best.*")
+    text = dict(df.dtypes)["valid_from"] == "string"
+    moment = [F.try_to_timestamp(F.col("valid_from")).alias("moment")] if text else []
+    best = df.groupBy(*keys).agg(F.max(F.struct(*moment, "valid_from", *[q(c) for c in rest])).alias("best"))
+    return best.select(*keys, "best.valid_from", *[F.col("best")[c].alias(c) for c in rest])
 
 
 def daily_last(states: DataFrame) -> DataFrame:

@@ -5,18 +5,20 @@ from __future__ import annotations
 import random
 from collections.abc import Mapping, Sequence
 from dataclasses import asdict, dataclass, field, replace
+from urllib.parse import quote
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ticketlens.catalogue import DEFAULT, Catalogue
-from ticketlens.operators import history, ledger, prepare, snapshots, units
+from ticketlens.operators import history, ledger, prepare, snapshots, summaries, units
 from ticketlens.operators.model import FeatureParams, ForestParams, TicketModel, cross_predict, cross_validate
-from ticketlens.operators.score import score
+from ticketlens.operators.score import class_labels, rank_rows, score
+from ticketlens.session import remove_folder
 from ticketlens.skew import q
 from ticketlens.sources import tickets
-from ticketlens.sources.tables import read_params, write_metrics, write_table
+from ticketlens.sources.tables import read_params, read_table, write_metrics, write_table
 
 
 @dataclass(frozen=True)
@@ -110,14 +112,46 @@ def panel_from_tickets(
 
 def refresh(
     raw: DataFrame, releases: DataFrame, panel_path: str, training_path: str,
-    config: prepare.PrepareConfig = prepare.PrepareConfig(), fmt: str = "parquet", **window,
+    config: prepare.PrepareConfig = prepare.PrepareConfig(), fmt: str = "parquet", reports: str | None = None, **window,
 ) -> DataFrame:
-    """Writes the snapshot panel, then the training table made from it; returns the latter as read back."""
+    """Writes the snapshot panel, then the training table made from it; returns the latter as read back, with types.
+
+    With `reports`, a folder, also what the panel and the training table leave out (see `refresh_reports`).
+    """
     spark = raw.sparkSession
     write_table(panel_from_tickets(raw, **window), panel_path, fmt)
-    panel = spark.read.format(fmt).options(header=True).load(panel_path)
+    panel = read_table(spark, panel_path, fmt)
     write_table(prepare.training_table(panel, releases, config=config), training_path, fmt)
-    return spark.read.format(fmt).options(header=True).load(training_path)
+    if reports:
+        for name, rows in refresh_reports(raw, panel, releases, config, window.get("catalogue", DEFAULT)).items():
+            write_table(rows, f"{reports}/{name}", fmt)
+    # classes are names, also where all of them look like numbers
+    return read_table(spark, training_path, fmt).withColumn("needed_lead_time", F.col("needed_lead_time").cast("string"))
+
+
+def refresh_reports(
+    raw: DataFrame, panel: DataFrame, releases: DataFrame, config: prepare.PrepareConfig = prepare.PrepareConfig(),
+    catalogue: Catalogue = DEFAULT, known: DataFrame | None = None,
+) -> dict[str, DataFrame]:
+    """Rejected tickets, changes that could not be used, release names without a day and, with a list of `known`
+    equivalent names (var1, var2), the pairs of owner and product manager that it lacks."""
+    good, bad = tickets.split_bad(raw, ["key", "created"])
+    current = tickets.flatten_current(good, catalogue, ["key", "created"])
+    routed = history.normalise_changes(history.route_changes(tickets.flatten_changes(good, catalogue), catalogue))
+    lists = sorted({r.header for rs in catalogue.routes().values() for r in rs if r.is_list}.intersection(current.columns))
+    effects = None
+    if lists:
+        held = current.select("key", F.inline(F.array(*[F.struct(F.lit(c).alias("header"), q(c).alias("value")) for c in lists])))
+        effects = history.list_effects(held, routed.filter("is_list"))
+    columns = {"epic_dev_roadmap": config.roadmap_separators, "epic_fix_version": config.version_separators}
+    out = {
+        "rejected": bad.select("key", "created", F.when(F.col("key").isNull(), "no key").otherwise("no creation time").alias("reason")),
+        "unresolved": history.unresolved(tickets.changed_fields(good), effects, sorted(catalogue.routes())),
+        "release_errors": prepare.unknown_releases(panel, {c: s for c, s in columns.items() if c in panel.columns}, releases),
+    }
+    if known is not None:
+        out["new_equivalences"] = history.new_equivalences(panel, "epic_owner", "epic_product_manager", known)
+    return out
 
 
 def planned(df: DataFrame, config: JobConfig) -> list[Unit]:
@@ -145,8 +179,8 @@ def stored_params(spark: SparkSession, unit: Unit, config: JobConfig) -> tuple[F
 
 
 def _unit_rows(df: DataFrame, unit: Unit, config: JobConfig) -> DataFrame:
-    """Rows of the unit with a row key, without identifiers and leaks."""
-    rows = units.segment(df, list(unit.statuses), config.status)
+    """Rows of the unit with a row key, without identifiers and leaks; the target as class names."""
+    rows = units.segment(df, list(unit.statuses), config.status).withColumn(config.target, q(config.target).cast("string"))
     parts = [q(c).cast("string") for c in config.row_key if c in df.columns]
     return units.build_xy(rows.withColumn(ROW_KEY, F.concat_ws("|", *parts)), config.target, config.drop, [ROW_KEY])
 
@@ -226,39 +260,83 @@ def predict(
         guessed = model.transform(rows, keep).withColumnRenamed(config.id_column, "epic_key")
         scored = score(ledger.stamp(guessed, unit.tag, at), quality_columns).drop(*extra)
         target = f"{config.results_dir}/predictions_{unit.tag}"
-        write_table(ledger.report_columns(scored), target)
+        write_table(rank_rows(ledger.report_columns(scored)), target)
         part = spark.read.parquet(target)
+        write_reports(part, f"{config.results_dir}/reports_{unit.tag}")
         out = part if out is None else out.unionByName(part, allowMissingColumns=True)
     if out is not None and config.ledger_path:
-        update_ledger(spark, out, config.ledger_path)
+        write_reports(update_ledger(spark, out, config.ledger_path), f"{config.results_dir}/reports_ledger")
     return out
 
 
-def update_ledger(spark: SparkSession, batch: DataFrame, path: str) -> DataFrame:
-    """Upserts the batch and rescores the whole ledger, as a new version folder; returns the new version.
+def report_tables(scored: DataFrame) -> dict[str, DataFrame]:
+    """The summaries of scored predictions by name."""
+    found = {
+        "classes": summaries.class_histogram(scored), "trust": summaries.trust_histogram(scored),
+        "statuses": summaries.status_trust(scored), "bands": summaries.band_counts(scored),
+    }
+    if len(class_labels(scored)) > 1:
+        found |= {"margins": summaries.margin_histogram(scored), "entropy": summaries.entropy_histogram(scored)}
+    return found
+
+
+def write_reports(scored: DataFrame, folder: str) -> None:
+    for name, rows in report_tables(scored).items():
+        write_table(rows.coalesce(1), f"{folder}/{name}")
+
+
+def update_ledger(spark: SparkSession, batch: DataFrame, path: str, keep: int = 1) -> DataFrame:
+    """Upserts the batch into the parts of the models it names; other models' parts are not touched. Returns the ledger.
 
-    The newest committed version is read and the next one written. A version
-    counts once its number is in the list of versions, so a failed job leaves
-    the ledger as it was and its folder is written again by the next one.
+    A part is one model's rows, in version folders. The newest committed version
+    of a part is read and the next one written; versions count once they are in
+    the list of versions, which one write adds for all parts, so a failed job
+    leaves the ledger as it was. Of older versions the last `keep` stay.
     """
-    newest = newest_version(spark, path)
-    if newest:
-        old = spark.read.parquet(f"{path}/version={newest}")
-        merged = ledger.upsert(old, batch, order=["last_prediction_at"], old_unique=True)
-    else:
-        merged = ledger.last_per_key(batch, ledger.pick_keys(batch.columns), ["last_prediction_at"])
-    target = f"{path}/version={newest + 1}"
-    write_table(ledger.rescore(merged), target)
-    spark.createDataFrame([(newest + 1,)], "version int").coalesce(1).write.mode("append").json(f"{path}/versions")
-    return spark.read.parquet(target)
-
-
-def newest_version(spark: SparkSession, path: str) -> int:
-    """Number of the newest committed ledger version, 0 if there is none."""
+    newest = newest_versions(spark, path)
+    models = [r["model_name"] for r in batch.select("model_name").distinct().collect()]
+    written = []
+    for model in models:
+        rows = batch.filter(F.col("model_name").eqNullSafe(F.lit(model)))
+        part = quote(model or "", safe="") or "none"
+        version = newest.get(part, 0)
+        if version:
+            old = spark.read.parquet(_version_path(path, part, version))
+            merged = ledger.upsert(old, rows, order=["last_prediction_at"], old_unique=True)
+        else:
+            merged = ledger.last_per_key(rows, ledger.pick_keys(rows.columns), ["last_prediction_at"])
+        write_table(merged, _version_path(path, part, version + 1))
+        written.append((part, version + 1))
+    spark.createDataFrame(written, VERSIONS).coalesce(1).write.mode("append").json(f"{path}/versions")
+    for part, version in written:
+        if version > keep + 1:
+            remove_folder(spark, _version_path(path, part, version - keep - 1))
+    return read_ledger(spark, path)
+
+
+VERSIONS = "part string, version int"
+
+
+def _version_path(path: str, part: str, version: int) -> str:
+    return f"{path}/part={part}/version={version}"
+
+
+def newest_versions(spark: SparkSession, path: str) -> dict[str, int]:
+    """Newest committed version of each part; there is a part per model."""
     try:
-        return spark.read.schema("version int").json(f"{path}/versions").agg(F.max("version")).first()[0] or 0
+        rows = spark.read.schema(VERSIONS).json(f"{path}/versions").groupBy("part").agg(F.max("version").alias("version")).collect()
     except AnalysisException:
-        return 0
+        return {}
+    return {r["part"]: r["version"] for r in rows}
+
+
+def read_ledger(spark: SparkSession, path: str) -> DataFrame | None:
+    """All models' newest rows, rescored over all their classes, row by row; None for a ledger never written."""
+    out = None
+    for part, version in sorted(newest_versions(spark, path).items()):
+        rows = spark.read.parquet(_version_path(path, part, version))
+        out = rows if out is None else out.unionByName(rows, allowMissingColumns=True)
+    return None if out is None else ledger.rescore(out)
 
 
 def draws(space: SearchSpace, trials: int, seed: int) -> list[tuple[int, ForestParams]]:

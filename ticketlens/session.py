@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import atexit
 import tempfile
 import uuid
 
@@ -36,9 +37,20 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
             raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         folder = tempfile.mkdtemp(prefix="ticketlens-checkpoint-")
     context.setCheckpointDir(folder)
+    # Spark makes a folder of its own below; nothing in it outlives the application
+    atexit.register(remove_folder, spark, context.getCheckpointDir())
     return folder
 
 
+def remove_folder(spark: SparkSession, path: str) -> None:
+    """Remove a folder in whatever file system holds it; one that is gone, or a session that is, is no error."""
+    try:
+        target = spark._jvm.org.apache.hadoop.fs.Path(path)
+        target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
+    except Exception:
+        pass
+
+
 def materialize(df: DataFrame) -> DataFrame:
     """Write the rows once to the shared checkpoint folder; survives lost executors."""
     ensure_checkpoint_dir(df.sparkSession)
@@ -46,5 +58,7 @@ def materialize(df: DataFrame) -> DataFrame:
 
 
 def scratch_folder(spark: SparkSession) -> str:
-    """A fresh path below the folder that all executors share."""
-    return f"{ensure_checkpoint_dir(spark)}/scratch-{uuid.uuid4().hex}"
+    """A fresh path below the folder that all executors share, removed when the application ends."""
+    path = f"{ensure_checkpoint_dir(spark)}/scratch-{uuid.uuid4().hex}"
+    atexit.register(remove_folder, spark, path)
+    return path

@@ -53,6 +53,12 @@ def flatten_changes(raw: DataFrame, catalogue: Catalogue = DEFAULT) -> DataFrame
     )
 
 
+def changed_fields(raw: DataFrame) -> DataFrame:
+    """The field of every change item, known or not."""
+    items = raw.select("key", F.explode("changelog.histories").alias("history")).select("key", F.explode("history.items").alias("item"))
+    return items.select("key", F.col("item.field").alias("field"))
+
+
 def history_times(raw: DataFrame) -> DataFrame:
     """Every change time of every ticket, whatever field changed."""
     return raw.select("key", F.explode("changelog.histories.created").alias("changed_at"))
