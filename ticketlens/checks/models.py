@@ -1,11 +1,14 @@
-"""Registered queries over models. Forests have no SQL twin; small settings keep them quick, the rows are whole."""
+"""Registered queries over models. Small settings keep them quick; rows and columns are whole.
 
-from __future__ import annotations
+Forests have no SQL twin, so these queries return what must hold of every row (probabilities sum to one, the label is
+the most probable class, a saved model predicts the same) beside what SQL can count: rows, folds, splits, classes.
+"""
 
-from dataclasses import replace
+from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from ticketlens.checks.selection import F_TABLE, MI_TABLE, REF_TABLE, SCALED
 from ticketlens.fixtures import fixture, with_views
 from ticketlens.operators import model, select
 from ticketlens.operators.model import FeatureParams, ForestParams, TicketModel
@@ -17,8 +20,10 @@ ORACLE = {}
 
 FOREST = ForestParams(n_estimators=5, max_depth=4)
 FEATURES = FeatureParams(k_features=12)
-# columns a model may read: numbers, one-hot, tags
-INPUTS = ["key", "y", "n_price", "n_qty", "n_const", "c_onehot", "t_bin", "extract_date"]
+# columns of every kind: numbers, dates, one-hot, top-k, frequency, long text, tags of both kinds
+INPUTS = [
+    "key", "y", "n_price", "n_qty", "n_const", "c_onehot", "c_topk", "c_high", "c_text", "c_date", "t_bin", "t_topk", "extract_date",
+]
 FIT = {"features": FEATURES, "forest": FOREST, "cv": 2}
 
 
@@ -52,24 +57,42 @@ ORACLE["transform_features"] = with_views(
     + ", CAST(year(extract_date) AS DOUBLE) AS date__extract_date_year, CAST(month(extract_date) AS DOUBLE) AS date__extract_date_month FROM fx_items", "fx_items")
 
 
+def _laws(p) -> list:
+    """What holds of an array of class probabilities."""
+    total = F.aggregate(p, F.lit(0.0), lambda acc, x: acc + x)
+    return [
+        (F.abs(total - 1) < 1e-9).alias("sums_to_one"), F.forall(p, lambda x: (x >= 0) & (x <= 1)).alias("in_range"),
+        F.size(p).alias("n_classes"),
+    ]
+
+
+LAWS_SQL = "TRUE AS sums_to_one, TRUE AS in_range, CAST((SELECT count(DISTINCT y) FROM fx_items) AS INTEGER) AS n_classes"
+LIVE_SQL = "FROM fx_items WHERE epic_status <> 'Accepted'"
+
+
+def _sql(select_text: str) -> str:
+    return with_views(select_text, "fx_items")
+
+
 def _random_forest(spark, sf):
     _, rows = _vectors(spark, sf)
     labels = sorted(r["y"] for r in rows.select("y").distinct().collect())
     forest = model.fit_forest(rows, labels, FOREST)
-    return model.forest_probabilities(forest, rows, "p").select("key", "y", *[F.col("p")[i].alias(f"proba_{c}") for i, c in enumerate(labels)])
+    return model.forest_probabilities(forest, rows, "p").select("key", "y", *_laws(F.col("p")))
 
 
 def _regression(spark, sf):
+    """Means of targets stay within the targets."""
     rows = items(spark, sf).withColumn("y", F.regexp_replace("y", "\\+", "").cast("double"))
     fitted = TicketModel.fit(rows, "y", "key", features=FEATURES, forest=FOREST, model_type="regression")
-    return fitted.transform(rows, ["key", "y"])
+    low, high = rows.agg(F.min("y"), F.max("y")).first()
+    return fitted.transform(rows, ["key", "y"]).select("key", "y", F.col("predicted_lead_time").between(low, high).alias("within"))
 
 
 def _calibrate(spark, sf):
     _, rows = _vectors(spark, sf)
     fitted = model.calibrate(rows, FOREST, 2)
-    out = fitted.probabilities(rows)
-    return out.select("key", "y", *[F.col("probabilities")[i].alias(f"proba_{c}") for i, c in enumerate(fitted.labels)])
+    return fitted.probabilities(rows).select("key", "y", *_laws(F.col("probabilities")))
 
 
 def _fit(spark, sf):
@@ -77,31 +100,102 @@ def _fit(spark, sf):
 
 
 def _model_fit(spark, sf):
-    """The chosen features with their place in the model."""
+    """A model over all column kinds: as many features as asked for, each once, in training order, of the encoder's."""
     fitted = _fit(spark, sf)
+    chosen, known = fitted.expected_features, fitted.plan.encoder.names()
+    places = [known.index(n) for n in chosen if n in known]
+    row = (len(chosen), len(set(chosen)), places == sorted(places) and len(places) == len(chosen), len(fitted.classes))
+    return spark.createDataFrame([row], "n_features int, n_names int, in_order boolean, n_classes int")
+
+
+# encoded features of the small model: numbers scaled, flags and date parts as they are, in training order
+SMALL = ["n_price", "n_qty", "n_const", "c_onehot", "extract_date"]
+FILLED = "coalesce(n_price, (SELECT median(n_price) FROM fx_items))"
+ENCODED = {
+    "num__n_const": "CAST(0 AS DOUBLE)",
+    "num__n_price": f"({FILLED} - avg({FILLED}) OVER ()) / stddev_pop({FILLED}) OVER ()",
+    "num__n_qty": "(n_qty - avg(n_qty) OVER ()) / stddev_pop(n_qty) OVER ()",
+    **{
+        f"onehot__c_onehot_{v}": f"CASE WHEN coalesce(c_onehot, {MODE}) = '{v}' THEN 1.0 ELSE 0.0 END"
+        for v in ("1-URGENT", "2-HIGH", "3-MEDIUM", "4-NOT SPECIFIED", "5-LOW")
+    },
+    "date__extract_date_year": "CAST(year(extract_date) AS DOUBLE)", "date__extract_date_month": "CAST(month(extract_date) AS DOUBLE)",
+}
+
+
+def _model_features(spark, sf):
+    """The features that a model over a few columns chooses, with their place."""
+    rows = fixture(spark, sf, "fx_items").select("key", "y", *SMALL)
+    fitted = TicketModel.fit(rows, "y", "key", features=FeatureParams(k_features=4), forest=FOREST, cv=2)
     return select.score_table(spark, list(enumerate(fitted.expected_features)), "place int, feature string")
 
 
+def _model_features_sql() -> str:
+    wide = "enc AS (SELECT y, " + ", ".join(f'{x} AS "{n}"' for n, x in ENCODED.items()) + " FROM fx_items)"
+    long = "long AS (" + " UNION ALL ".join(
+        f"SELECT '{n}' AS feature, {i} AS ord, y, \"{n}\" AS x FROM enc" for i, n in enumerate(ENCODED)) + ")"
+    tables = (F_TABLE + MI_TABLE + SCALED).replace("JOIN ref_table", "JOIN ref_rows")
+    # without reference rows the training rows are their own reference; constants are never scored
+    ref = REF_TABLE.replace("ref_table", "ref_rows").split(" WHERE ")[0] + " GROUP BY 1)"
+    varied = "long0 AS (SELECT *, max(x) OVER (PARTITION BY feature) > min(x) OVER (PARTITION BY feature) AS varied FROM long_all), long AS (SELECT * FROM long0 WHERE varied)"
+    return (
+        with_views("", "fx_items").rstrip() + ",\n" + wide + ",\n" + long.replace("long AS", "long_all AS", 1) + ",\n" + varied
+        + F_TABLE + MI_TABLE + ref + tables[len(F_TABLE + MI_TABLE):] + """,
+best AS (SELECT feature, ord, row_number() OVER (ORDER BY
+  CASE WHEN cov >= 0.05 THEN 0.85 * (0.5 * fn + 0.5 * mn) + 0.15 * (CASE WHEN varies THEN cn ELSE 0 END) ELSE 0 END DESC, ord) AS place FROM scaled)
+SELECT CAST(row_number() OVER (ORDER BY ord) - 1 AS INTEGER) AS place, feature FROM best WHERE place <= 4""")
+
+
+def _predicted(rows):
+    """key and what holds of a prediction: its label is the most probable class."""
+    labels = [c for c in rows.columns if c.startswith("proba_")]
+    p = F.array(*[F.col(f"`{c}`") for c in labels])
+    top = F.element_at(F.array(*[F.lit(c.removeprefix("proba_")) for c in labels]), F.array_position(p, F.array_max(p)).cast("int"))
+    return rows.select(
+        "key", (F.col("predicted_lead_time") == top).alias("label_is_top"), (F.col("Proba_Max") == F.array_max(p)).alias("max_is_top"), *_laws(p)
+    )
+
+
+PREDICTED_SQL = f"SELECT key, TRUE AS label_is_top, TRUE AS max_is_top, {LAWS_SQL} {LIVE_SQL}"
+
+
 def _predict(spark, sf):
-    return _fit(spark, sf).transform(live(spark, sf), ["key"])
+    return _predicted(_fit(spark, sf).transform(live(spark, sf), ["key"]))
 
 
 def _model_io(spark, sf):
+    """A saved and loaded model predicts what it did before."""
     folder = scratch_folder(spark)
-    _fit(spark, sf).save(folder, spark)
-    return TicketModel.load(spark, folder).transform(live(spark, sf), ["key"])
+    fitted = _fit(spark, sf)
+    fitted.save(folder, spark)
+    before = fitted.transform(live(spark, sf), ["key"])
+    after = TicketModel.load(spark, folder).transform(live(spark, sf), ["key"])
+    names = [c for c in before.columns if c.startswith("proba_")]
+    both = before.join(after.select("key", *[F.col(f"`{c}`").alias(f"again {c}") for c in names], F.col("predicted_lead_time").alias("again")), "key")
+    same = F.col("predicted_lead_time") == F.col("again")
+    for c in names:
+        same = same & (F.abs(F.col(f"`{c}`") - F.col(f"`again {c}`")) < 1e-12)
+    return both.select("key", same.alias("same"))
+
+
+def _cross_predict(spark, sf):
+    rows = model.cross_predict(items(spark, sf), "y", "key", 2, ref=live(spark, sf), **FIT)
+    known = [r["y"] for r in items(spark, sf).select("y").distinct().collect()]
+    return rows.select("key", "y", "fold", F.col("pred").isin(known).alias("known_class"))
 
 
 def _cross_validate(spark, sf):
+    """Scores of each fold are shares, and better than none on the rows that were trained on."""
     rows = model.cross_validate(items(spark, sf), "y", "key", 2, ref=live(spark, sf), **FIT)
-    return spark.createDataFrame(rows)
+    shares = [all(0 <= r[c] <= 1 for c in r if c != "fold") and r["train_accuracy"] > 0 for r in rows]
+    return spark.createDataFrame([(r["fold"], ok) for r, ok in zip(rows, shares)], "fold int, are_shares boolean")
 
 
 def _config(spark):
     folder = scratch_folder(spark)
     return jobs.JobConfig(
         model_dir=f"{folder}/models", results_dir=f"{folder}/results", metrics_dir=f"{folder}/metrics", ledger_path=f"{folder}/ledger",
-        target="y", id_column="key", row_key=("key",), drop=("key", "c_date", "c_text", "c_high", "c_topk", "t_topk"), cv_folds=2, calibration_folds=2,
+        target="y", id_column="key", row_key=("key",), drop=("key",), cv_folds=2, calibration_folds=2,
         features=FEATURES, forest=FOREST, groups={"Finished": ["Accepted"], "Rest": ["Open", "Planned"]})
 
 
@@ -109,9 +203,14 @@ def _all(spark, sf):
     return fixture(spark, sf, "fx_items")
 
 
+UNIT_SQL = "CASE WHEN epic_status = 'Accepted' THEN 'Finished' ELSE 'Rest' END"
+
+
 def _train_units(spark, sf):
-    config = replace(_config(spark), groups={"Rest": ["Open", "Planned"]})
-    return jobs.train(spark, _all(spark, sf), _all(spark, sf), config)
+    """Both units with their folds and the sizes of the split."""
+    rows = jobs.train(spark, _all(spark, sf), _all(spark, sf), _config(spark))
+    shares = [F.col(c).between(0, 1) for c in ("acc_oof", "f1w_oof", "acc_test", "f1w_test")]
+    return rows.select("unit_name", "cv_folds", "n_train", "n_test", (shares[0] & shares[1] & shares[2] & shares[3]).alias("are_shares"))
 
 
 def _predict_units(spark, sf):
@@ -120,23 +219,50 @@ def _predict_units(spark, sf):
     for unit in jobs.planned(rows, config):
         part = jobs._unit_rows(rows, unit, config)
         TicketModel.fit(part, "y", jobs.ROW_KEY, **FIT).save(jobs.model_path(unit, config), spark)
-    return jobs.predict(spark, rows, config, ["n_price", "c_onehot"], "2024-07-01 10:00:00")
+    out = jobs.predict(spark, rows, config, ["n_price", "c_onehot"], "2024-07-01 10:00:00")
+    filled = F.round("data_quality", 6).alias("data_quality")
+    return out.select("epic_key", "model_name", "last_prediction_at", filled, F.col("trust_score_v2").between(0, 1).alias("trusted"))
 
 
 def _search(spark, sf):
+    """The best trial is the best, and was drawn from the space."""
     space = jobs.SearchSpace(k_features=(6, 12), n_estimators=(2, 4), max_depth=(3, 5))
     rows = items(spark, sf)
-    return jobs.best_trial(jobs.search(rows, "y", "key", space, 2, 42, 2, ref=live(spark, sf), cv=2))
+    trials = jobs.search(rows, "y", "key", space, 2, 42, 2, ref=live(spark, sf), cv=2)
+    best = jobs.best_trial(trials)
+    top = trials.agg(F.max("f1w").alias("top"), F.count(F.lit(1)).alias("n_trials"))
+    return best.join(F.broadcast(top)).select(
+        "n_trials", (F.col("f1w") == F.col("top")).alias("is_best"), F.col("k_features").isin(6, 12).alias("in_space"))
 
 
 QUERIES["random_forest"] = _random_forest
+ORACLE["random_forest"] = _sql(f"SELECT key, y, {LAWS_SQL} FROM fx_items")
 QUERIES["random_forest_regression"] = _regression
+ORACLE["random_forest_regression"] = _sql("SELECT key, CAST(replace(y, '+', '') AS DOUBLE) AS y, TRUE AS within FROM fx_items")
 QUERIES["calibrate"] = _calibrate
+ORACLE["calibrate"] = ORACLE["random_forest"]
 QUERIES["model_fit"] = _model_fit
+ORACLE["model_fit"] = _sql("SELECT 12 AS n_features, 12 AS n_names, TRUE AS in_order, CAST(count(DISTINCT y) AS INTEGER) AS n_classes FROM fx_items")
+QUERIES["model_features"] = _model_features
+ORACLE["model_features"] = _model_features_sql()
 QUERIES["predict"] = _predict
+ORACLE["predict"] = _sql(PREDICTED_SQL)
 QUERIES["model_io"] = _model_io
-QUERIES["cross_predict"] = lambda spark, sf: model.cross_predict(items(spark, sf), "y", "key", 2, ref=live(spark, sf), **FIT)
+ORACLE["model_io"] = _sql(f"SELECT key, TRUE AS same {LIVE_SQL}")
+QUERIES["cross_predict"] = _cross_predict
+ORACLE["cross_predict"] = _sql("""
+SELECT key, y, CAST((row_number() OVER (PARTITION BY y ORDER BY md5(CAST(key AS VARCHAR) || ':42'), key) - 1) % 2 AS INTEGER) AS fold,
+       TRUE AS known_class FROM fx_items""")
 QUERIES["cross_validate"] = _cross_validate
+ORACLE["cross_validate"] = "SELECT CAST(range AS INTEGER) AS fold, TRUE AS are_shares FROM range(2)"
 QUERIES["train_units"] = _train_units
+ORACLE["train_units"] = with_views("", "fx_items").rstrip() + f""",
+sizes AS (SELECT {UNIT_SQL} AS unit_name, y, count(*) AS n FROM fx_items GROUP BY 1, 2)
+SELECT unit_name, 2 AS cv_folds, CAST(sum(n - floor(n * 0.2 + 0.5)) AS BIGINT) AS n_train, CAST(sum(floor(n * 0.2 + 0.5)) AS BIGINT) AS n_test,
+       TRUE AS are_shares FROM sizes GROUP BY 1"""
 QUERIES["predict_units"] = _predict_units
+ORACLE["predict_units"] = _sql(f"""
+SELECT key AS epic_key, 'group_' || lower({UNIT_SQL}) AS model_name, '2024-07-01 12:00:00' AS last_prediction_at,
+       round(((n_price IS NOT NULL)::INT + (c_onehot IS NOT NULL)::INT) / 2.0, 6)::DOUBLE AS data_quality, TRUE AS trusted FROM fx_items""")
 QUERIES["param_search"] = _search
+ORACLE["param_search"] = "SELECT CAST(2 AS BIGINT) AS n_trials, TRUE AS is_best, TRUE AS in_space"
