@@ -20,6 +20,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ticketlens.llm.storage import stored
 from ticketlens.session import materialize, scratch_folder
 
 WINDOW_WORDS = 10
@@ -144,11 +145,13 @@ def exact_matches(docs: DataFrame, index: Index, doc_id: str = "doc_id", text: s
         listed = F.broadcast(listed)
     texts = docs.select(F.xxhash64(F.col(doc_id), F.col(text)).alias("row_key"), F.col(text).alias("text"))
     asked = texts.join(listed, F.col("row_key") == F.col("listed"), "left_semi").dropDuplicates(["row_key"])
-    compared = asked.join(candidates, "row_key").select("row_key", "candidates", word_hashes(F.col("text")).alias("terms"))
-    same = F.filter(
-        "candidates", lambda c: F.xxhash64(F.slice("terms", c["at"] + 1, c["length"])) == c["digest"]
-    )
-    return compared.select("row_key", same.alias("matches")).filter(F.size("matches") > 0)
+    # the words are bound once per text, as the element of an array, and not per candidate
+    same = F.transform(
+        F.array(word_hashes(F.col("text"))),
+        lambda terms: F.filter("candidates", lambda c: F.xxhash64(F.slice(terms, c["at"] + 1, c["length"])) == c["digest"]),
+    )[0]
+    compared = asked.join(candidates, "row_key").select("row_key", same.alias("matches"))
+    return stored(compared.filter(F.size("matches") > 0))
 
 
 def proximity_matches(index: Index, slop: int) -> DataFrame:
