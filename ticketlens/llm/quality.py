@@ -18,8 +18,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 #: White space as the rules understand it: blank, tab, line feed, vertical tab, form feed, carriage return.
-SPACES = " \t\n\x0b\x0c\r"
 SPACE_RUN = r"[\x20\x09-\x0D]+"
+NOT_SPACE = r"[^\x20\x09-\x0D]"
 #: Symbols that are counted.
 SYMBOLS = "#*$%&|<>"
 WINDOW_WORDS = 8
@@ -45,10 +45,16 @@ def word_array(text: Column) -> Column:
     return F.filter(F.split(text, SPACE_RUN), lambda w: w != "")
 
 
-def normalise_line(line: Column) -> Column:
-    """Lower case, runs of white space as one blank, no digits: counters and dates do not make lines differ."""
-    bare = F.regexp_replace(F.lower(line), "[0-9]+", "0")
-    return F.trim(F.regexp_replace(bare, SPACE_RUN, " "))
+def normalised_lines(text: Column) -> Column:
+    """The lines with a word, in lower case, runs of white space as one blank, numbers as 0: counters and dates
+    do not make lines differ. The whole text is normalised at once, its line ends apart."""
+    bare = F.regexp_replace(F.lower(text), "[0-9]+", "0")
+    lines = F.split(F.regexp_replace(bare, r"[\x20\x09\x0B-\x0D]+", " "), "\n")
+    return F.filter(F.transform(lines, lambda x: F.trim(x)), lambda x: x != "")
+
+
+def blanks(line: Column) -> Column:
+    return F.length(line) - F.length(F.replace(line, F.lit(" "), F.lit("")))
 
 
 def base_figures(docs: DataFrame, doc_id: str, text: str, host: str, limits: Limits = Limits()) -> DataFrame:
@@ -62,9 +68,9 @@ def base_figures(docs: DataFrame, doc_id: str, text: str, host: str, limits: Lim
     counted = split.select(
         "doc_id", "host", "row_key",
         F.size("words").cast("long").alias("n_words"),
-        F.length(F.translate("text", SPACES, "")).cast("long").alias("word_chars"),
+        F.length(F.array_join("words", "")).cast("long").alias("word_chars"),
         (F.length("text") - F.length(F.translate("text", SYMBOLS, ""))).cast("long").alias("n_symbols"),
-        F.filter(F.split("text", "\n"), lambda x: F.length(F.translate(x, SPACES, "")) > 0).alias("lines"),
+        F.filter(F.split("text", "\n"), lambda x: x.rlike(NOT_SPACE)).alias("lines"),
         F.transform("words", lambda w: F.xxhash64(w)).alias("hashes"),
     )
     several = F.size("hashes") >= 2 * 1 + WINDOW_WORDS - 1
@@ -124,13 +130,10 @@ def host_lines(docs: DataFrame, doc_id: str, text: str, host: str) -> DataFrame:
     whole = F.coalesce(F.col(text), F.lit(""))
     lines = docs.select(
         F.col(doc_id).alias("doc_id"), F.col(host).alias("host"), row_key(F.col(doc_id), F.col(host), whole).alias("row_key"),
-        F.filter(F.split(whole, "\n"), lambda x: F.length(F.translate(x, SPACES, "")) > 0).alias("lines"),
+        normalised_lines(whole).alias("lines"),
     )
     hashed = F.array_sort(
-        F.transform(
-            "lines",
-            lambda x: F.struct(F.xxhash64(normalise_line(x)).alias("line"), F.size(word_array(x)).alias("words")),
-        )
+        F.transform("lines", lambda x: F.struct(F.xxhash64(x).alias("line"), (blanks(x) + 1).alias("words")))
     )
     ordered = lines.select("doc_id", "host", "row_key", hashed.alias("lines"))
     marked = F.transform(
