@@ -48,22 +48,23 @@ GRAM = 16
 SPREAD = WINDOW - GRAM + 1
 #: Bytes of text in a packed block, and bytes of phrases in a part of the dictionary.
 BLOCK_BYTES = 8 << 20
-PART_BYTES = 24 << 20
+PART_BYTES = 16 << 20
 #: Bytes whose hashes are held at once.
-PIECE_BYTES = 2 << 20
+PIECE_BYTES = 1 << 20
 NO_ID = np.iinfo(np.int64).max
 
-_ZSTD = "zstd"
+#: What is shuffled and stored is mostly text; a higher level costs little beside the hashing.
+ZSTD_LEVEL = 6
 
 
 def pack(array: np.ndarray) -> bytes:
     """Compressed bytes after their plain length."""
     raw = np.ascontiguousarray(array).tobytes()
-    return len(raw).to_bytes(8, "little") + pa.compress(raw, codec=_ZSTD, asbytes=True)
+    return len(raw).to_bytes(8, "little") + pa.Codec("zstd", compression_level=ZSTD_LEVEL).compress(raw, asbytes=True)
 
 
 def unpack(packed: bytes, dtype: type = np.uint8) -> np.ndarray:
-    return np.frombuffer(pa.decompress(packed[8:], int.from_bytes(packed[:8], "little"), _ZSTD, asbytes=True), dtype=dtype)
+    return np.frombuffer(pa.Codec("zstd").decompress(packed[8:], int.from_bytes(packed[:8], "little"), asbytes=True), dtype=dtype)
 
 
 @dataclass
@@ -247,7 +248,7 @@ def sort_windows(data: np.ndarray, start: np.ndarray, group: np.ndarray) -> tupl
     alone leave, so few are sorted to the end.
     """
     groups = np.ndarray((max(len(data) - 7, 0),), dtype=">u8", buffer=np.ascontiguousarray(data), strides=(1,))
-    index, cls = np.arange(len(start)), group
+    index, cls = np.arange(len(start), dtype=np.int32), group
     for depth in (*range(0, WINDOW - 8, 8), WINDOW - 8):
         if not len(index):
             break
@@ -256,7 +257,7 @@ def sort_windows(data: np.ndarray, start: np.ndarray, group: np.ndarray) -> tupl
         key, cls, index = key[order], cls[order], index[order]
         new = np.ones(len(index), dtype=bool)
         new[1:] = (key[1:] != key[:-1]) | (cls[1:] != cls[:-1])
-        cls = np.cumsum(new) - 1
+        cls = np.cumsum(new, dtype=np.int32) - 1
         shared = np.bincount(cls)[cls] > 1
         index, cls = index[shared], cls[shared]
     return index, cls
@@ -287,14 +288,16 @@ def first_documents(rows: list[tuple[int, bytes]]) -> list[tuple[int, bytes]]:
     alike = several[group] > 1
     n = np.where(alike, windows[kept], 1)
     ends = np.cumsum(n)
-    owner = np.repeat(np.arange(len(kept)), n)
-    within = np.arange(ends[-1]) - np.repeat(ends - n, n)
+    owner = np.repeat(np.arange(len(kept), dtype=np.int32), n)
+    within = (np.arange(ends[-1], dtype=np.int32) - np.repeat((ends - n).astype(np.int32), n)).astype(np.uint8)
     document = first[owner]
     # only phrases that share their trigger with another one are sorted
-    sorted_ = np.flatnonzero(alike[owner])
-    place = start[kept[owner[sorted_]]] + within[sorted_]
-    distance = triggers[kept[owner[sorted_]]] - within[sorted_]
+    sorted_ = np.flatnonzero(alike[owner]).astype(np.int32)
+    phrase_of = kept[owner[sorted_]]
+    place = start[phrase_of].astype(np.int32) + within[sorted_]
+    distance = triggers[phrase_of] - within[sorted_]
     index, cls = sort_windows(data, place, group[owner[sorted_]] * 64 + distance)
+    del place, distance, phrase_of
     if len(index):
         least = np.full(cls.max() + 1, NO_ID)
         np.minimum.at(least, cls, document[sorted_[index]])
@@ -303,8 +306,8 @@ def first_documents(rows: list[tuple[int, bytes]]) -> list[tuple[int, bytes]]:
     new = np.ones(len(owner), dtype=bool)
     new[1:] = (owner[1:] != owner[:-1]) | (document[1:] != document[:-1])
     run = np.flatnonzero(new)
-    run_owner, run_from, run_document = owner[run], within[run], document[run]
-    run_to = np.append(within[run[1:] - 1], within[-1] if len(within) else 0)[: len(run)]
+    run_owner, run_from, run_document = owner[run], within[run].astype(np.int64), document[run]
+    run_to = np.append(within[run[1:] - 1], within[-1:])[: len(run)].astype(np.int64)
     run_to = np.where(alike[run_owner], run_to, windows[kept[run_owner]] - 1)
     run_first = np.searchsorted(run_owner, np.arange(len(kept) + 1))
     out, at = [], 0
