@@ -52,6 +52,7 @@ PART_BYTES = 16 << 20
 #: Bytes whose hashes are held at once.
 PIECE_BYTES = 1 << 20
 NO_ID = np.iinfo(np.int64).max
+HIGH = np.uint64(0xFFFFFFFF00000000)
 
 #: What is shuffled and stored is mostly text; a higher level costs little beside the hashing.
 ZSTD_LEVEL = 6
@@ -102,14 +103,15 @@ def _parse(whole: np.ndarray, bounds: np.ndarray, first_row: int, hasher: Hasher
         return Parse(none, none, none, none.view(np.uint64), none.view(np.uint64), none)
     sums = hasher.prefix(data)
     gram = mix((sums[GRAM:] - sums[:-GRAM]) * hasher._down[: len(sums) - GRAM])
-    # the smallest hash of each window and its first place, by doubling the span
-    least, place, span = gram, np.arange(len(gram), dtype=np.int32), 1
+    # the smallest hash of each window and its first place, by doubling the span: the place stands in the low half,
+    # so of equal high halves the first one wins
+    least = (gram & HIGH) | np.arange(len(gram), dtype=np.uint64)
+    span = 1
     while span < SPREAD:
         step = min(span, SPREAD - span)
-        right = least[step:] < least[:-step]
-        least = np.where(right, least[step:], least[:-step])
-        place = np.where(right, place[step:], place[:-step])
+        least = np.minimum(least[step:], least[:-step])
         span += step
+    place = (least & ~HIGH).astype(np.int64)
     lengths = np.diff(bounds)
     inside = np.zeros(len(data) + 1, dtype=np.int32)
     long_ = lengths >= WINDOW
@@ -118,7 +120,7 @@ def _parse(whole: np.ndarray, bounds: np.ndarray, first_row: int, hasher: Hasher
     window = np.flatnonzero(np.cumsum(inside)[: len(place)])
     if not len(window):
         return Parse(none, none, none, none.view(np.uint64), none.view(np.uint64), none)
-    trigger = place[window].astype(np.int64)
+    trigger = place[window]
     new = np.ones(len(window), dtype=bool)
     new[1:] = (trigger[1:] != trigger[:-1]) | (window[1:] != window[:-1] + 1)
     head = np.flatnonzero(new)
