@@ -12,7 +12,7 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 
-BLOCK_BYTES = 2 << 20
+BLOCK_BYTES = 1 << 20
 BLOCK_ROWS = 1024
 
 _SEED = np.random.default_rng(20_240_229)
