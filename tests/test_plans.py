@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
+from ticketlens.checks import features, histories, scores, selection, training
 from ticketlens.fixtures import fixture, table
 from ticketlens.operators import history, ledger, prepare, profile, score, snapshots
 
@@ -21,7 +22,13 @@ def shuffles(df) -> int:
     return len(re.findall(r"Exchange (?:hash|range|single|round)", plan_of(df)))
 
 
-@pytest.mark.parametrize("name", sorted(entry.oracle_sql()))
+# fitted models end in plans of their own; the training-data operators have tests of their own beside them
+PLANNED = sorted(set(entry.oracle_sql()).intersection(
+    n for m in (features, histories, scores, selection, training) for n in m.QUERIES
+))
+
+
+@pytest.mark.parametrize("name", PLANNED)
 def test_no_python_and_no_nested_loops(spark, name):
     plan = plan_of(entry.queries()[name](spark, SF_DIR))
     assert not [w for w in FORBIDDEN if w in plan]

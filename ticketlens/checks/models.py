@@ -229,10 +229,9 @@ def _search(spark, sf):
     space = jobs.SearchSpace(k_features=(6, 12), n_estimators=(2, 4), max_depth=(3, 5))
     rows = items(spark, sf)
     trials = jobs.search(rows, "y", "key", space, 2, 42, 2, ref=live(spark, sf), cv=2)
-    best = jobs.best_trial(trials)
+    best = jobs.best_trial(trials).first()
     top = trials.agg(F.max("f1w").alias("top"), F.count(F.lit(1)).alias("n_trials"))
-    return best.join(F.broadcast(top)).select(
-        "n_trials", (F.col("f1w") == F.col("top")).alias("is_best"), F.col("k_features").isin(6, 12).alias("in_space"))
+    return top.select("n_trials", (F.col("top") == best["f1w"]).alias("is_best"), F.lit(best["k_features"] in (6, 12)).alias("in_space"))
 
 
 QUERIES["random_forest"] = _random_forest
