@@ -5,8 +5,10 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from ticketlens.operators import model, units
+from ticketlens.operators import model, select, units
+from ticketlens.operators.encode import Preprocessor
 from ticketlens.operators.model import FeatureParams, ForestParams, TicketModel
+from ticketlens.operators.profile import ColumnGroups
 from ticketlens.plans import jobs
 
 FOREST = ForestParams(n_estimators=8, max_depth=5, min_samples_leaf=1)
@@ -83,6 +85,34 @@ def test_regression(spark, items):
     assert out.agg(F.corr("needed_lead_time", "predicted_lead_time")).first()[0] > 0.8
 
 
+def test_regression_on_a_target_without_equal_values(spark, items, monkeypatch):
+    """Statistics stay a row per class: every target value is its own, and there are more of them than classes allowed."""
+    monkeypatch.setattr(select, "MOST_CLASSES", 20)
+    size = F.regexp_replace("needed_lead_time", "\\+", "").cast("double")
+    rows = items.withColumn("needed_lead_time", size + F.crc32("key") / 1e11)
+    assert rows.select("needed_lead_time").distinct().count() > 20
+    fitted = TicketModel.fit(rows, "needed_lead_time", "key", features=FEATURES, forest=FOREST, model_type="regression")
+    assert fitted.transform(rows, ["needed_lead_time"]).agg(F.corr("needed_lead_time", "predicted_lead_time")).first()[0] > 0.8
+    with pytest.raises(ValueError, match="more than 20 values"):
+        model.fit_features(rows, "needed_lead_time", "key")
+
+
+def test_live_values_beyond_the_training_vocabulary_stay_on_the_executors(spark):
+    train = spark.createDataFrame([(f"v{k % 3}", f"a#b{k % 2}") for k in range(30)], "kind string, tags string")
+    live = spark.createDataFrame([(f"u{k}", f"t{k}#a") for k in range(500)] + [("v1", "b1")] * 3, "kind string, tags string")
+    groups = ColumnGroups(one_hot=["kind"], tag_binarize=["tags"])
+    fitted = Preprocessor.fit(train, groups)
+    within = Preprocessor.fit(live, groups, within=fitted.state, most_columns=10)
+    assert within.names() == ["onehot__kind_v1", "ml_binarize__tags_a", "ml_binarize__tags_b1"]
+    with pytest.raises(ValueError, match="would become columns"):
+        Preprocessor.fit(live, groups, most_columns=100)
+
+
+def test_depth_beyond_the_deepest_tree_is_an_error():
+    with pytest.raises(ValueError, match="depth 30"):
+        ForestParams(max_depth=31).settings()
+
+
 def test_reference_rows_limit_the_features(spark, items):
     ref = items.drop("noise").withColumn("tags", F.lit("x#z"))
     plan, _ = model.fit_features(items, "needed_lead_time", "key", ref, FeatureParams(k_features=99))

@@ -1,6 +1,9 @@
 """Files in and out, nested tickets, stored parameters, and the refresh job."""
 
 import json
+import subprocess
+import sys
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
@@ -138,3 +141,25 @@ def test_refresh_types_and_reports(spark, raw, tmp_path):
         assert [(r.key, r.reason) for r in report("rejected")] == [(None, "no key")]
         assert ("colour", "unknown field", 1) in {tuple(r) for r in report("unresolved")}
         assert report("release_errors") == []
+
+
+def test_nothing_is_left_in_the_checkpoint_folder(tmp_path):
+    """Checkpoints and scratch tables go with the application."""
+    script = f"""
+from pyspark.sql import SparkSession
+spark = SparkSession.builder.master("local[2]").config("spark.ui.enabled", "false").config("spark.checkpoint.dir", "{tmp_path}/shared").getOrCreate()
+from ticketlens.session import materialize, scratch_folder
+assert materialize(spark.range(100)).count() == 100
+folder = scratch_folder(spark)
+spark.range(10).write.parquet(folder)
+print("rows", spark.read.parquet(folder).count())
+"""
+    root = Path(__file__).resolve().parents[1]
+    ran = subprocess.run([sys.executable, "-c", script], cwd=root, capture_output=True, text=True, timeout=300)
+    assert "rows 10" in ran.stdout, ran.stderr[-2000:]
+    assert not [p for p in Path(tmp_path, "shared").rglob("*") if p.is_file()]
+
+
+def test_nan_is_no_value(spark, tmp_path):
+    spark.createDataFrame([(1.0, 2.0), (float("nan"), None)], "a double, b float").write.parquet(f"{tmp_path}/t")
+    assert sorted(tables.read_table(spark, f"{tmp_path}/t").collect(), key=str) == [(1.0, 2.0), (None, None)]

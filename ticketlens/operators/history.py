@@ -166,7 +166,7 @@ def _carried_tags(pieces: DataFrame) -> DataFrame:
     last = pieces.groupBy(*group, "tag", "piece").agg(F.min(F.struct(_walk_rank().alias("rank"), "added")).alias("last"))
     ends = pieces.groupBy(*group).agg(F.max("piece").alias("last_piece"))
     following = F.lead("piece").over(Window.partitionBy(*group, "tag").orderBy("piece"))
-    spans = last.withColumn("following", following).join(ends, group)
+    spans = lookup_join(last.withColumn("following", following), ends, group, "inner")
     until = F.coalesce("following", "last_piece")
     held = spans.filter(~F.col("last.added") & (F.col("piece") < until)).select(
         *group, "tag", F.col("last.rank").alias("rank"), F.explode(F.sequence(F.col("piece") + 1, until)).alias("piece")

@@ -25,21 +25,33 @@ def local_session(cores: str = "8", app: str = "ticketlens") -> SparkSession:
     return spark
 
 
+#: Folders that go when the application ends.
+_passing: set[str] = set()
+
+
+def _remove_at_end(spark: SparkSession, path: str) -> str:
+    if path not in _passing:
+        _passing.add(path)
+        atexit.register(remove_folder, spark, path)
+    return path
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Checkpoint folder of the session; a local one is made only on a local master."""
+    """Checkpoint folder of the session, Spark's own one below the one that is set; removed when the application ends.
+
+    A local one is made only on a local master.
+    """
     context = spark.sparkContext
     folder = context.getCheckpointDir()
     if folder:
-        return folder
+        return _remove_at_end(spark, folder)
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if not folder:
         if not context.master.startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         folder = tempfile.mkdtemp(prefix="ticketlens-checkpoint-")
     context.setCheckpointDir(folder)
-    # Spark makes a folder of its own below; nothing in it outlives the application
-    atexit.register(remove_folder, spark, context.getCheckpointDir())
-    return folder
+    return _remove_at_end(spark, context.getCheckpointDir())
 
 
 def remove_folder(spark: SparkSession, path: str) -> None:
@@ -59,6 +71,4 @@ def materialize(df: DataFrame) -> DataFrame:
 
 def scratch_folder(spark: SparkSession) -> str:
     """A fresh path below the folder that all executors share, removed when the application ends."""
-    path = f"{ensure_checkpoint_dir(spark)}/scratch-{uuid.uuid4().hex}"
-    atexit.register(remove_folder, spark, path)
-    return path
+    return f"{ensure_checkpoint_dir(spark)}/scratch-{uuid.uuid4().hex}"
