@@ -24,7 +24,7 @@ import math
 from collections.abc import Callable, Sequence
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -122,22 +122,26 @@ def settle(pi: np.ndarray, free: np.ndarray, size: np.ndarray, wanted: float, sw
         pi[out[best]], pi[spare[near[best]]] = 0.0, 1.0
 
 
-def _player(key: str, pi: str, size: str, landing: bool) -> Callable[[pd.DataFrame], pd.DataFrame]:
-    def play(frame: pd.DataFrame) -> pd.DataFrame:
-        frame = frame.sort_values(["digest", key, size], kind="stable", na_position="last")
-        chance, weight = frame[pi].to_numpy(dtype=float).copy(), frame[size].to_numpy(dtype=float)
-        seed = int(np.bitwise_xor.reduce(frame["digest"].to_numpy(dtype=np.int64)) & 0x7FFFFFFFFFFFFFFF)
+def _player(pi: str, size: str, landing: bool) -> Callable[[pa.Table], pa.Table]:
+    def play(block: pa.Table) -> pa.Table:
+        digest, weight = block.column("digest").to_numpy(), block.column(size).to_numpy().astype(float)
+        # rows alike in both are interchangeable
+        order = np.lexsort((weight, digest))
+        chance, weight = block.column(pi).to_numpy()[order], weight[order]
+        seed = int(np.bitwise_xor.reduce(digest) & 0x7FFFFFFFFFFFFFFF)
         free, wanted = np.flatnonzero((chance > 0) & (chance < 1)), float(chance @ weight)
-        flight(chance, weight, np.random.default_rng([seed, len(frame)]))
+        flight(chance, weight, np.random.default_rng([seed, len(order)]))
         if landing:
             land(chance, weight)
             settle(chance, free, weight, wanted)
-        return frame.assign(**{pi: chance})
+        drawn = np.empty(len(order))
+        drawn[order] = chance
+        return block.set_column(block.schema.get_field_index(pi), pi, pa.array(drawn))
 
     return play
 
 
-def draw_balanced(rows: DataFrame, group: str, key: str, pi: str, size: str, groups_blocks: str) -> DataFrame:
+def draw_balanced(rows: DataFrame, group: str, pi: str, size: str, groups_blocks: str) -> DataFrame:
     """Replace the inclusion probabilities `pi` by 0 or 1, balanced per `group` on count and `size`.
 
     `groups_blocks` is the column with the first number of blocks of the row's
@@ -149,7 +153,7 @@ def draw_balanced(rows: DataFrame, group: str, key: str, pi: str, size: str, gro
     while True:
         last = blocks <= 1
 
-        moved = now.groupBy(group, "block").applyInPandas(_player(key, pi, size, last), schema)
+        moved = now.groupBy(group, "block").applyInArrow(_player(pi, size, last), schema)
         if last:
             done.append(moved)
             break
@@ -185,7 +189,7 @@ def mix(
         targets = F.broadcast(targets)
     rated = sizes.join(targets, F.col("source").eqNullSafe(F.col("target_source"))).drop("target_source")
     parted = rated.withColumn("whole", F.floor("rate").cast("long")).withColumn("pi", F.col("rate") - F.col("whole"))
-    drawn = draw_balanced(parted.drop("rate"), "source", "doc_id", "pi", "size", "blocks")
+    drawn = draw_balanced(parted.drop("rate"), "source", "pi", "size", "blocks")
     return drawn.select(
         "doc_id", F.col("digest").alias("row_key"), "source", "size", "source_size", "target",
         F.when(F.col("source_size") > 0, F.col("whole") + F.col("pi").cast("long")).otherwise(0).cast("long").alias("times"),
