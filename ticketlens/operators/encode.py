@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from ticketlens.functions.dates import day_of
 from ticketlens.functions.text import SEPARATOR, tag_count, tags
 from ticketlens.operators.profile import ColumnGroups, as_text, most_frequent, tag_counts, value_counts
-from ticketlens.operators.quantiles import medians, number
+from ticketlens.operators.quantiles import Moments, medians, number
 from ticketlens.session import materialize
 from ticketlens.skew import HOT_ROWS, Hot, hot_table, lookup_join, q
 
@@ -41,21 +41,15 @@ def impute_median(df: DataFrame, columns: Sequence[str]) -> dict[str, float]:
     return {c: m for c, m in medians(df, columns).items() if m is not None}
 
 
-def scaling(df: DataFrame, fill: dict[str, float]) -> dict[str, tuple[float, float]]:
+def scaling(fill: dict[str, float], moments: dict[str, Moments]) -> dict[str, tuple[float, float]]:
     """Mean and population deviation of the filled columns, deviation 1 for constants."""
-    if not fill:
-        return {}
-    measures = [F.count(F.lit(1)).alias("rows")]
-    for i, c in enumerate(fill):
-        x = number(q(c))
-        measures += [F.count(x).alias(f"n{i}"), F.avg(x).alias(f"m{i}"), F.var_pop(x).alias(f"v{i}")]
-    row = df.agg(*measures).first()
     out = {}
-    for i, (c, f) in enumerate(fill.items()):
+    for c, f in fill.items():
         # the moments of the values there and of the copies of the fill value, put together
-        n, m, v, rows = row[f"n{i}"], row[f"m{i}"], row[f"v{i}"], row["rows"]
-        mean = (n * m + (rows - n) * f) / rows
-        variance = (n * (v + (m - mean) ** 2) + (rows - n) * (f - mean) ** 2) / rows
+        m = moments[c]
+        missing = (m.rows - m.n) / m.rows
+        mean = m.mean + missing * (f - m.mean)
+        variance = (1 - missing) * m.variance + missing * (1 - missing) * (f - m.mean) ** 2
         out[c] = (mean, math.sqrt(variance) or 1.0)
     return out
 
@@ -142,7 +136,7 @@ class Preprocessor:
         cls, df: DataFrame, groups: ColumnGroups, k: int = TOP_K, sep: str = SEPARATOR, within: EncoderState | None = None,
         text_terms: int = 0, most_columns: int = MOST_COLUMNS,
     ) -> Preprocessor:
-        """Fit on the rows. The texts of all columns are counted once, the numbers take three passes.
+        """Fit on the rows. The texts of all columns are counted once, the numbers take two passes.
 
         `within` limits the values that become columns to those of another encoder,
         so that what reaches the driver is bounded by it. More than `most_columns`
@@ -152,8 +146,9 @@ class Preprocessor:
         kinds = dict(df.dtypes)
         used = [*groups.numeric, *groups.dates, *groups.one_hot, *groups.top_k, *groups.frequency, *groups.tag_count]
         state = EncoderState(groups, {c: kinds[c] for c in used})
-        state.fill = impute_median(df, groups.numeric)
-        state.scale = scaling(df, state.fill)
+        moments: dict[str, Moments] = {}
+        state.fill = {c: m for c, m in medians(df, groups.numeric, moments=moments).items() if m is not None}
+        state.scale = scaling(state.fill, moments)
         texts = list(dict.fromkeys([*groups.one_hot, *groups.top_k, *groups.tag_binarize, *groups.tag_top_k]))
         if texts:
             values = value_counts(df, texts).persist()
