@@ -128,15 +128,31 @@ def gathered(lists: DataFrame) -> DataFrame:
     return pairs.join(alone.select("centre"), "centre")
 
 
-def union_sketch(one: np.ndarray, others: np.ndarray, size: int) -> np.ndarray:
-    """Estimated Jaccard similarity of one sketch with each row of others: the share of common values among the
-    smallest of the union. Rows are sorted and padded with the greatest value."""
-    pad = np.uint64(0xFFFFFFFFFFFFFFFF)
-    both = np.sort(np.concatenate([np.broadcast_to(one, (len(others), len(one))), others], axis=1), axis=1)
-    twice = (both[:, 1:] == both[:, :-1]) & (both[:, 1:] != pad)
-    rank = 1 + np.cumsum(both[:, 1:] != both[:, :-1], axis=1)
-    distinct = (np.concatenate([both[:, :1], np.where(twice, pad, both[:, 1:])], axis=1) != pad).sum(axis=1)
-    return (twice & (rank <= size)).sum(axis=1) / np.maximum(np.minimum(distinct, size), 1)
+class Sketches:
+    """The sketches of a group: the codes of their values in order, rows padded with -1."""
+
+    def __init__(self, sets: list[np.ndarray], size: int = SKETCH) -> None:
+        self.size = size
+        self.length = np.array([min(len(s), size) for s in sets])
+        _, codes = np.unique(np.concatenate([s[:size] for s in sets]), return_inverse=True)
+        self.codes = np.full((len(sets), size), -1, dtype=np.int32)
+        self.codes[np.arange(size) < self.length[:, None]] = codes
+        self.rank = np.full(codes.max(initial=0) + 2, -1, dtype=np.int32)
+
+    def estimate(self, a: int, who: np.ndarray) -> np.ndarray:
+        """Estimated Jaccard similarity of a with others: the share of common values among the smallest of the union.
+
+        Before a common value stand, in the union, those before it in either sketch, common ones once.
+        """
+        own = self.codes[a, : self.length[a]]
+        self.rank[own] = np.arange(len(own))
+        rank = self.rank[self.codes[who]]
+        self.rank[own] = -1
+        common = rank >= 0
+        before = np.cumsum(common, axis=1) - common
+        place = rank + np.arange(self.size) - before
+        union = self.length[a] + self.length[who] - common.sum(axis=1)
+        return (common & (place < self.size)).sum(axis=1) / np.maximum(np.minimum(union, self.size), 1)
 
 
 class Forest:
@@ -158,39 +174,37 @@ class Forest:
 def group_links(sets: list[np.ndarray], asked: np.ndarray, centre: int, percent: int = PERCENT) -> tuple[list[tuple[int, int]], np.ndarray]:
     """Links of the `asked` members with any member that connect something new, and who links with the centre."""
     n = np.array([len(s) for s in sets])
-    flat, owner = np.concatenate(sets), np.repeat(np.arange(len(sets)), n)
-    ends = np.cumsum(n)
-
-    def common(a: int, who: np.ndarray) -> np.ndarray:
-        if len(who) < len(sets):
-            cut = np.concatenate([sets[b] for b in who])
-            own = np.repeat(np.arange(len(who)), n[who])
-        else:
-            cut, own = flat, owner
-        at = np.minimum(np.searchsorted(sets[a], cut), len(sets[a]) - 1)
-        return np.bincount(own[sets[a][at] == cut], minlength=len(who))
+    begin = np.cumsum(n) - n
+    values, codes = np.unique(np.concatenate(sets), return_inverse=True)
+    codes, has = codes.astype(np.int32), np.zeros(len(values), dtype=np.int32)
+
+    def common(a: int) -> np.ndarray:
+        """Sizes of the intersections of a with every member; no set is empty."""
+        own = codes[begin[a] : begin[a] + n[a]]
+        has[own] = 1
+        found = np.add.reduceat(has[codes], begin)
+        has[own] = 0
+        return found
 
     def linked(inter: np.ndarray, a: int, who: np.ndarray) -> np.ndarray:
         return 100 * inter >= percent * (n[a] + n[who] - inter)
 
     every = np.arange(len(sets))
-    with_centre = common(centre, every)
+    with_centre = common(centre)
     forest, links = Forest(len(sets)), []
     near = linked(with_centre, centre, every)
     links += [(centre, b) for b in forest.join(centre, every[near])]
     left = asked[~near[asked]]
-    if len(left) and ends[-1]:
-        table = np.full((len(sets), SKETCH), 0xFFFFFFFFFFFFFFFF, dtype=np.uint64)
-        for k, s in enumerate(sets):
-            table[k, : min(len(s), SKETCH)] = s[:SKETCH]
+    if len(left):
+        sketched = Sketches(sets)
         for a in left.tolist():
             # what both have and have not of the centre bounds their overlap
             most = np.minimum(with_centre[a], with_centre) + np.minimum(n[a] - with_centre[a], n - with_centre)
             who = every[(forest.root != forest.root[a]) & linked(most, a, every)]
             if len(who):
-                who = who[union_sketch(table[a], table[who], SKETCH) >= percent / 100 - SLACK]
+                who = who[sketched.estimate(a, who) >= percent / 100 - SLACK]
             if len(who):
-                links += [(a, b) for b in forest.join(a, who[linked(common(a, who), a, who)])]
+                links += [(a, b) for b in forest.join(a, who[linked(common(a)[who], a, who)])]
     return links, near
 
 

@@ -20,7 +20,7 @@ from ticketlens.functions.dates import day_of
 from ticketlens.functions.text import SEPARATOR, tag_count, tags
 from ticketlens.operators.profile import ColumnGroups, as_text, most_frequent, tag_counts, value_counts
 from ticketlens.operators.quantiles import Moments, medians, number
-from ticketlens.session import materialize
+from ticketlens.session import materialize, together
 from ticketlens.skew import HOT_ROWS, Hot, hot_table, lookup_join, q
 
 OTHER = "Other"
@@ -146,11 +146,14 @@ class Preprocessor:
         kinds = dict(df.dtypes)
         used = [*groups.numeric, *groups.dates, *groups.one_hot, *groups.top_k, *groups.frequency, *groups.tag_count]
         state = EncoderState(groups, {c: kinds[c] for c in used})
-        moments: dict[str, Moments] = {}
-        state.fill = {c: m for c, m in medians(df, groups.numeric, moments=moments).items() if m is not None}
-        state.scale = scaling(state.fill, moments)
         texts = list(dict.fromkeys([*groups.one_hot, *groups.top_k, *groups.tag_binarize, *groups.tag_top_k]))
-        if texts:
+
+        def numbers() -> None:
+            moments: dict[str, Moments] = {}
+            state.fill = {c: m for c, m in medians(df, groups.numeric, moments=moments).items() if m is not None}
+            state.scale = scaling(state.fill, moments)
+
+        def vocabularies() -> None:
             values = value_counts(df, texts).persist()
             for r in _vocabularies(values, groups, k, sep, within, most_columns):
                 c, v = r["column"], r["value"]
@@ -159,10 +162,16 @@ class Preprocessor:
                 else:
                     getattr(state, r["kind"]).setdefault(c, []).append(v)
             values.unpersist()
-        shares = materialize(frequencies(value_counts(df, groups.frequency))) if groups.frequency else None
+
+        def shares() -> DataFrame:
+            return materialize(frequencies(value_counts(df, groups.frequency)))
+
+        # three independent sets of small jobs
+        asked = [t for t, there in ((numbers, groups.numeric), (vocabularies, texts), (shares, groups.frequency)) if there]
+        found = dict(zip(asked, together(*asked), strict=True)) if asked else {}
         for c in groups.text if text_terms else []:
             state.text_terms[c] = frequent_terms(df, c, text_terms)
-        return cls(state, shares, sep)
+        return cls(state, found.get(shares), sep)
 
     # one method per encoder: output name -> expression over the input columns
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import json
 import math
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from dataclasses import asdict, dataclass, field
 
 from pyspark import StorageLevel
@@ -19,7 +19,7 @@ from ticketlens.operators import select, units
 from ticketlens.operators.encode import Preprocessor
 from ticketlens.operators.profile import ColumnGroups, group_columns
 from ticketlens.operators.score import PREFIX, total
-from ticketlens.session import ensure_checkpoint_dir, materialize
+from ticketlens.session import ensure_checkpoint_dir, materialize, together
 from ticketlens.skew import q
 
 # Spark grows trees to this depth at most
@@ -269,7 +269,7 @@ class CalibratedForest:
 
 
 def calibrate(rows: DataFrame, params: ForestParams = ForestParams(), cv: int = 5) -> CalibratedForest:
-    """Per fold a class-balanced forest on the other folds, calibrated on the held-out one."""
+    """Per fold a class-balanced forest on the other folds, calibrated on the held-out one. Forests grow side by side."""
     seed = params.random_state
     counts = {r["y"]: r["n"] for r in units.class_counts(rows, "y").collect()}
     labels = ordered_labels(sorted(counts))
@@ -281,12 +281,13 @@ def calibrate(rows: DataFrame, params: ForestParams = ForestParams(), cv: int =
         for f in folds:
             if f != r["fold"]:
                 sizes[f][r["y"]] = sizes[f].get(r["y"], 0) + r["n"]
-    forests, held = [], None
-    for f in folds:
-        forest = fit_forest(rows.filter(F.col("fold") != f), labels, params, units.class_weights(sizes[f]))
+    def fitted(f: int) -> Callable[[], object]:
+        return lambda: fit_forest(rows.filter(F.col("fold") != f), labels, params, units.class_weights(sizes[f]))
+
+    forests, held = together(*[fitted(f) for f in folds]), None
+    for f, forest in zip(folds, forests, strict=True):
         part = forest_probabilities(forest, rows.filter(F.col("fold") == f), "p").select("fold", "y", "p")
         held = part if held is None else held.unionByName(part)
-        forests.append(forest)
     held = held.persist(StorageLevel.MEMORY_AND_DISK)
     sigmoids = fit_sigmoids(held, folds, labels)
     held.unpersist()

@@ -5,7 +5,10 @@ from __future__ import annotations
 import atexit
 import tempfile
 import uuid
+from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 
 
@@ -63,6 +66,12 @@ def remove_folder(spark: SparkSession, path: str) -> None:
         pass
 
 
+def together(*tasks: Callable[[], object], most: int = 4) -> list:
+    """Results of independent steps, whose jobs run side by side; a small job leaves most of a cluster idle."""
+    with ThreadPoolExecutor(max_workers=max(1, min(most, len(tasks)))) as pool:
+        return [f.result() for f in [pool.submit(inheritable_thread_target(t)) for t in tasks]]
+
+
 def materialize(df: DataFrame) -> DataFrame:
     """Write the rows once to the shared checkpoint folder; survives lost executors."""
     ensure_checkpoint_dir(df.sparkSession)
