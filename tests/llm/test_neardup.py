@@ -57,14 +57,18 @@ def test_empty_table(spark):
 
 
 def test_union_sketch_estimates():
+    """Equal to the share of common values among the smallest of the union, and near the similarity."""
     draw = np.random.default_rng(3)
     values = draw.integers(1, 1 << 62, 3_000, dtype=np.uint64)
-    one, two = np.unique(values[:2_700]), np.unique(values[300:])
-    near = neardup.union_sketch(one[:64], two[None, :64], 64)[0]
-    assert abs(near - 0.8) < 0.2
-    short = np.full(64, 0xFFFFFFFFFFFFFFFF, dtype=np.uint64)
-    short[:3] = [1, 2, 3]
-    assert neardup.union_sketch(short, np.array([short]), 64)[0] == 1.0
+    sets = [np.unique(values[a:b]) for a, b in ((0, 2_700), (300, 3_000), (0, 40), (10, 60), (5, 9), (2_000, 2_001), (0, 2_700))]
+    sketched = neardup.Sketches(sets)
+    every = np.arange(len(sets))
+    for a in every:
+        for b, got in zip(every, sketched.estimate(a, every), strict=True):
+            one, two = set(sets[a][:64].tolist()), set(sets[b][:64].tolist())
+            smallest = sorted(one | two)[:64]
+            assert got == pytest.approx(sum(x in one and x in two for x in smallest) / len(smallest))
+    assert abs(sketched.estimate(0, every[1:2])[0] - 0.8) < 0.2
 
 
 def test_components_of_long_paths(spark):
