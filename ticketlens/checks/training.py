@@ -180,17 +180,28 @@ def _detected(spark, sf, pick):
         F.struct(F.lit(c).alias("column"), F.lit(kind).alias("kind"), F.col(c).alias("n")) for c, kind in named])))
 
 
-def _detected_sql(*named) -> str:
-    return with_views(" UNION ALL ".join(
-        f"SELECT '{c}' AS \"column\", '{kind}' AS kind, count({c}) AS n FROM fx_items" for c, kind in named), "fx_items")
+def _kind_sql(c: str) -> str:
+    """The rule for one column: its type, and for texts the share of values that are dates."""
+    is_date = f"avg(CASE WHEN {c} IS NOT NULL THEN CAST(TRY_CAST(CAST({c} AS VARCHAR) AS DATE) IS NOT NULL AS INT) END) >= 0.8"
+    kind = f"""CASE WHEN typeof(any_value({c})) IN ('DATE', 'TIMESTAMP') THEN 'date' WHEN typeof(any_value({c})) <> 'VARCHAR' THEN 'numeric'
+      WHEN {is_date} THEN 'date' ELSE 'categorical' END"""
+    return f"SELECT '{c}' AS \"column\", {kind} AS kind, count({c}) AS n FROM fx_items"
+
+
+def _detected_sql(*kinds: str) -> str:
+    columns = ["epic_status", *TEXTS, "extract_date", "c_date", "key", "n_const", "n_price", "n_qty"]
+    wanted = ", ".join(f"'{k}'" for k in kinds)
+    return with_views(f"SELECT * FROM ({' UNION ALL '.join(map(_kind_sql, columns))}) found WHERE kind IN ({wanted})", "fx_items")
 
 
 QUERIES["detect_dates"] = lambda spark, sf: _detected(spark, sf, ("date",))
-ORACLE["detect_dates"] = _detected_sql(("extract_date", "date"), ("c_date", "date"))
+ORACLE["detect_dates"] = _detected_sql("date")
 QUERIES["detect_types"] = lambda spark, sf: _detected(spark, sf, ("categorical", "date", "numeric"))
-ORACLE["detect_types"] = _detected_sql(
-    ("epic_status", "categorical"), *[(c, "categorical") for c in TEXTS], ("extract_date", "date"), ("c_date", "date"),
-    ("key", "numeric"), ("n_const", "numeric"), ("n_price", "numeric"), ("n_qty", "numeric"))
+ORACLE["detect_types"] = _detected_sql("categorical", "date", "numeric")
+
+QUERIES["sample"] = lambda spark, sf: profile.sample_rows(items(spark, sf), 0.1, F.col("key")).select("key")
+ORACLE["sample"] = with_views(
+    "SELECT key FROM fx_items WHERE CAST('0x' || substr(md5(CAST(key AS VARCHAR) || ':42'), 1, 8) AS BIGINT) / 4294967296.0 < 0.1", "fx_items")
 
 
 def _values(spark, sf):

@@ -30,13 +30,19 @@ def as_text(df: DataFrame, column: str) -> Column:
     return F.initcap(c.cast("string")) if dict(df.dtypes)[column] == "boolean" else c.cast("string")
 
 
+def sample_rows(df: DataFrame, share: float, key: Column, seed: int = 42) -> DataFrame:
+    """About the share of the rows, chosen by a digest of their key: the same rows however the table is partitioned."""
+    digest = F.substring(F.md5(F.concat(key.cast("string"), F.lit(f":{seed}"))), 1, 8)
+    return df.filter(F.conv(digest, 16, 10).cast("long") / F.lit(2.0**32) < share)
+
+
 def detect_dates(df: DataFrame, threshold: float = DATE_SHARE, sample: float | None = None) -> list[str]:
     """Text columns whose values are dates in at least the given share of rows, in one pass."""
     texts = [c for c, t in df.dtypes if t == "string"]
     if not texts:
         return []
     rows = df.select(*[q(c) for c in texts])
-    rows = rows.sample(sample, 42) if sample else rows
+    rows = sample_rows(rows, sample, F.xxhash64(*[q(c) for c in texts])) if sample else rows
     share = rows.agg(
         *[F.avg(F.when(q(c).isNotNull(), date_or_null(q(c)).isNotNull().cast("int"))).alias(c) for c in texts]
     ).first()
