@@ -64,7 +64,7 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def assign_shards(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """doc_id, size, text_crc32, shard and slot of each row of the mix."""
+    """doc_id, size, text_crc32, law, shard, slot and grown_shard of each row of the mix."""
     return sharding.shard(docs, shards=16)
 
 

@@ -24,6 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ticketlens.llm.storage import small
 from ticketlens.llm.textblocks import LOWER, blocks
 from ticketlens.session import materialize
 
@@ -141,7 +142,7 @@ def fit(train: DataFrame, doc_id: str = "doc_id", text: str = "text", lang: str
     chosen = rows.select(F.col(lang).alias("lang"), F.xxhash64(F.col(doc_id)).alias("digest"), F.col(doc_id).alias("doc_id"))
     chosen = materialize(chosen.withColumn("place", place).filter(F.col("place") <= settings.sample_rows).drop("place", "digest").distinct())
     own = rows.select(F.col(doc_id).alias("doc_id"), F.col(lang).alias("lang"), F.col(text).alias("text"))
-    sample = own.join(F.broadcast(chosen), ["doc_id", "lang"], "left_semi").select("doc_id", "lang", "text")
+    sample = own.join(small(chosen), ["doc_id", "lang"], "left_semi").select("doc_id", "lang", "text")
 
     def to_vectors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

@@ -100,11 +100,7 @@ def op3_lattice_score(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op4_label_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
-    placed = sharding.shard(table(spark, sf_dir, "documents"), shards=16)
-    return placed.select(
-        "doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot",
-        F.lit(None).cast("int").alias("grown_shard"),
-    )
+    return sharding.shard(table(spark, sf_dir, "documents"), shards=16)
 
 
 def op5_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -171,6 +171,13 @@ def _by_shard(column: str, values: list[int]) -> Column:
     return F.element_at(F.array(*[F.lit(v).cast("long") for v in values]), F.col(column) + 1)
 
 
+#: Shard sizes are even in rows; adding a shard moves rows anywhere, so there is no shard to tell for one more.
+LAW = "rows"
+
+
 def shard(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", shards: int = 16, rounds: int = ROUNDS) -> DataFrame:
-    """doc_id, size, text_crc32, shard and slot of each row; equal texts are the links."""
-    return place(vertices(docs, doc_id, text), shards, rounds).drop("vid", "group")
+    """doc_id, size, text_crc32, law, shard, slot and grown_shard (null) of each row; equal texts are the links."""
+    placed = place(vertices(docs, doc_id, text), shards, rounds)
+    return placed.select(
+        "doc_id", "size", "text_crc32", F.lit(LAW).alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard")
+    )
