@@ -134,13 +134,13 @@ def _model_features_sql() -> str:
     wide = "enc AS (SELECT y, " + ", ".join(f'{x} AS "{n}"' for n, x in ENCODED.items()) + " FROM fx_items)"
     long = "long AS (" + " UNION ALL ".join(
         f"SELECT '{n}' AS feature, {i} AS ord, y, \"{n}\" AS x FROM enc" for i, n in enumerate(ENCODED)) + ")"
-    tables = (F_TABLE + MI_TABLE + SCALED).replace("JOIN ref_table", "JOIN ref_rows")
+    scaled = SCALED.replace("JOIN ref_table", "JOIN ref_rows")
     # without reference rows the training rows are their own reference; constants are never scored
     ref = REF_TABLE.replace("ref_table", "ref_rows").split(" WHERE ")[0] + " GROUP BY 1)"
     varied = "long0 AS (SELECT *, max(x) OVER (PARTITION BY feature) > min(x) OVER (PARTITION BY feature) AS varied FROM long_all), long AS (SELECT * FROM long0 WHERE varied)"
     return (
         with_views("", "fx_items").rstrip() + ",\n" + wide + ",\n" + long.replace("long AS", "long_all AS", 1) + ",\n" + varied
-        + F_TABLE + MI_TABLE + ref + tables[len(F_TABLE + MI_TABLE):] + """,
+        + F_TABLE + MI_TABLE + ref + scaled + """,
 best AS (SELECT feature, ord, row_number() OVER (ORDER BY
   CASE WHEN cov >= 0.05 THEN 0.85 * (0.5 * fn + 0.5 * mn) + 0.15 * (CASE WHEN varies THEN cn ELSE 0 END) ELSE 0 END DESC, ord) AS place FROM scaled)
 SELECT CAST(row_number() OVER (ORDER BY ord) - 1 AS INTEGER) AS place, feature FROM best WHERE place <= 4""")
