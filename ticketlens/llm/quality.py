@@ -73,12 +73,12 @@ def base_figures(docs: DataFrame, doc_id: str, text: str, host: str, limits: Lim
         F.filter(F.split("text", "\n"), lambda x: x.rlike(NOT_SPACE)).alias("lines"),
         F.transform("words", lambda w: F.xxhash64(w)).alias("hashes"),
     )
-    several = F.size("hashes") >= 2 * 1 + WINDOW_WORDS - 1
+    # a window can come back only if there are two
+    last = F.size("hashes") - (WINDOW_WORDS - 1)
     windows = F.when(
-        several,
+        last >= 2,
         F.transform(
-            F.sequence(F.lit(1), F.greatest(F.size("hashes") - (WINDOW_WORDS - 1), F.lit(1))),
-            lambda i: F.xxhash64(F.slice("hashes", i, WINDOW_WORDS)),
+            F.sequence(F.lit(1), F.greatest(last, F.lit(1))), lambda i: F.xxhash64(F.slice("hashes", i, WINDOW_WORDS))
         ),
     )
     windowed = counted.select(
