@@ -68,8 +68,9 @@ def remove_folder(spark: SparkSession, path: str) -> None:
 
 def together(*tasks: Callable[[], object], most: int = 4) -> list:
     """Results of independent steps, whose jobs run side by side; a small job leaves most of a cluster idle."""
+    inherit = inheritable_thread_target(SparkSession.active())
     with ThreadPoolExecutor(max_workers=max(1, min(most, len(tasks)))) as pool:
-        return [f.result() for f in [pool.submit(inheritable_thread_target(t)) for t in tasks]]
+        return [f.result() for f in [pool.submit(inherit(t)) for t in tasks]]
 
 
 def materialize(df: DataFrame) -> DataFrame:
