@@ -1,8 +1,10 @@
 """Components of near-duplicates against all pairs of full sets."""
 
+from math import ceil, comb
+
 import numpy as np
 import pytest
-from frames import edge_docs, empty_docs, lower, plain, prose, words
+from frames import edge_docs, edge_texts, empty_docs, lower, plain, prose, words
 
 from ticketlens.llm import neardup
 from ticketlens.llm.graph import components
@@ -79,3 +81,23 @@ def test_components_of_long_paths(spark):
     for part in range(4):
         members = [int(x) for x in names[part * 100 : part * 100 + 100]]
         assert {rows[m] for m in members} == {min(members)}
+
+
+def test_allowances_follow_the_threshold():
+    """At 85 the given ones; elsewhere a link is as unlikely to be missed."""
+
+    def chance(fewer, p):
+        return sum(comb(64, k) * p**k * (1 - p) ** (64 - k) for k in range(fewer))
+
+    assert neardup.allowances(85) == pytest.approx((neardup.SHARED, neardup.SLACK))
+    for percent in (70, 80, 90):
+        shared, slack = neardup.allowances(percent)
+        assert chance(ceil(64 * shared), percent / 100) < 1e-9
+        assert chance(ceil(64 * (percent / 100 - slack)), percent / 100) < 5e-6
+
+
+@pytest.mark.parametrize("part", [neardup.PART_SHINGLES, 300])
+def test_components_at_80(spark, part):
+    docs = edge_docs(spark, edge_texts() + chain(30)).cache()
+    assert found(neardup.near_duplicates(docs, percent=80, part_shingles=part)) == brute_force(plain(docs), 80)
+    docs.unpersist()

@@ -78,3 +78,16 @@ def test_run(spark):
     rows = corpus_pipeline.run(spark, "/root/testdata/sf0.001").collect()
     assert rows
     test_sharding.check_laws(rows, 16)
+
+
+def test_near_duplicates_from_80_on(spark, tmp_path):
+    """Of each component at 80 one row stays, also where the links lie below the 85 of op2."""
+    docs = stored(corpus(spark))
+    before = plain(docs)
+    survivors = [{d for d, _, c, _ in test_neardup.brute_force(before, percent) if d == c} for percent in (80, 85)]
+    assert survivors[0] < survivors[1]
+    after = plain(corpus_pipeline.drop_near_duplicates(spark, docs, str(tmp_path)))
+    # texts without words are in no group
+    assert sorted(d for d, text, _ in after if test_neardup.words(text)) == sorted(
+        {d for d, text, _ in before if d in survivors[0] and test_neardup.words(text)}
+    )

@@ -2,9 +2,9 @@
 
 A document is the set of its distinct 5-word shingles, hashed. Equal sets are one
 class with the smallest id as its name. The k smallest hashes of a class are its
-sketch. Inverted lists of the retained values give the overlaps: two linked
-classes share more than half of their sketches but for a chance below one in a
-billion, so a class is listed only under those of its values that come first by
+sketch. Inverted lists of the retained values give the overlaps: two classes
+linked at 85 % share more than half of their sketches but for a chance below one
+in a billion (at other thresholds a part as unlikely to be missed), so a class is listed only under those of its values that come first by
 rarity and that a partner could not all miss. The classes of a list are gathered
 around its smallest member; there the sketch of the union estimates the overlap
 of each pair, and pairs that pass are confirmed on the full sets. Only links that
@@ -22,6 +22,7 @@ take part in their class but name none. Equal sets have one class at any number.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -37,9 +38,9 @@ from ticketlens.session import materialize
 SHINGLE_WORDS = 5
 PERCENT = 85
 SKETCH = 64
-#: Linked classes share at least this part of their sketches, but for a negligible chance (7 standard deviations).
+#: At PERCENT, linked classes share at least this part of their sketches, but for a negligible chance (7 standard deviations).
 SHARED = 0.5
-#: Pairs whose estimate is this far below the threshold are not confirmed (5 to 6 standard deviations).
+#: At PERCENT, pairs whose estimate is this far below the threshold are not confirmed (5 to 6 standard deviations).
 SLACK = 0.25
 PART_SHINGLES = 1_000_000
 
@@ -98,11 +99,17 @@ def sketches(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", size:
     return rows.mapInArrow(sketch, f"doc_id {id_type}, row_key long, n_shingles long, print_a long, print_b long, sketch array<long>")
 
 
+def allowances(percent: int = PERCENT) -> tuple[float, float]:
+    """SHARED and SLACK at a threshold: as many standard deviations below it as theirs are below PERCENT."""
+    wider = math.sqrt(percent * (100 - percent) / (PERCENT * (100 - PERCENT)))
+    return max(percent / 100 - (PERCENT / 100 - SHARED) * wider, 1 / SKETCH), SLACK * wider
+
+
 def listed_values(classes: DataFrame, percent: int = PERCENT) -> DataFrame:
     """name, n_shingles and value: the inverted lists that a class must be in, rarest values first.
 
-    Of m retained values a partner shares at least half, so it shares one of any
-    m / 2 + 1 of them. Of a set so small that its partners are retained whole, it
+    Of m retained values a partner shares at least a part s (half at PERCENT), so
+    it shares one of any m - s m + 1 of them. Of a set so small that its partners are retained whole, it
     shares `percent` for certain. Values that no other class has come first; a
     class with so many of those is in no list at all.
     """
@@ -113,7 +120,7 @@ def listed_values(classes: DataFrame, percent: int = PERCENT) -> DataFrame:
     )
     retained = F.least(F.col("n_shingles"), F.lit(SKETCH))
     whole = F.col("n_shingles") <= SKETCH * percent // 100
-    needed = retained - F.when(whole, F.ceil(retained * percent / 100)).otherwise(F.ceil(retained * SHARED)) + 1
+    needed = retained - F.when(whole, F.ceil(retained * percent / 100)).otherwise(F.ceil(retained * allowances(percent)[0])) + 1
     first = F.greatest(needed - (retained - F.size("values")), F.lit(0)).cast("int")
     return several.select("name", "n_shingles", F.explode(F.slice("values", F.lit(1), first)).alias("v")).select(
         "name", "n_shingles", F.col("v.value").alias("value")
@@ -192,6 +199,7 @@ def group_links(sets: list[np.ndarray], asked: np.ndarray, centre: int, percent:
     every = np.arange(len(sets))
     with_centre = common(centre)
     forest, links = Forest(len(sets)), []
+    least = percent / 100 - allowances(percent)[1]
     near = linked(with_centre, centre, every)
     links += [(centre, b) for b in forest.join(centre, every[near])]
     left = asked[~near[asked]]
@@ -202,7 +210,7 @@ def group_links(sets: list[np.ndarray], asked: np.ndarray, centre: int, percent:
             most = np.minimum(with_centre[a], with_centre) + np.minimum(n[a] - with_centre[a], n - with_centre)
             who = every[(forest.root != forest.root[a]) & linked(most, a, every)]
             if len(who):
-                who = who[sketched.estimate(a, who) >= percent / 100 - SLACK]
+                who = who[sketched.estimate(a, who) >= least]
             if len(who):
                 links += [(a, b) for b in forest.join(a, who[linked(common(a)[who], a, who)])]
     return links, near
