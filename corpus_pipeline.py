@@ -29,9 +29,11 @@ def _without(docs: DataFrame, gone: DataFrame, key: Column) -> DataFrame:
 
 
 def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the quality rules reject go."""
+    """Documents that the quality rules reject go; the others go on without their lines above the limit."""
+    removed = quality.removed_lines(docs)
     key = quality.row_key(F.col("doc_id"), F.col("source"), F.coalesce("text", F.lit("")))
-    return _without(docs, quality.verdicts(docs).filter(~F.col("kept")), key)
+    kept = _without(docs, quality.verdicts(docs, removed=removed).filter(~F.col("kept")), key)
+    return quality.cleaned(kept, removed=removed)
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

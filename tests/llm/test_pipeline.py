@@ -91,3 +91,10 @@ def test_near_duplicates_from_80_on(spark, tmp_path):
     assert sorted(d for d, text, _ in after if test_neardup.words(text)) == sorted(
         {d for d, text, _ in before if d in survivors[0] and test_neardup.words(text)}
     )
+
+
+def test_quality_stage_hands_on_cleaned_texts(spark, tmp_path):
+    docs = stored(spark.createDataFrame(test_quality.boilerplate(30), "doc_id long, text string, source string"))
+    after = plain(corpus_pipeline.keep_quality(spark, docs, str(tmp_path)))
+    assert len(after) == 30
+    assert [d for d, text, _ in after if "Terms OF" in text] == [0]

@@ -67,3 +67,22 @@ def test_long_text(spark):
 
 def test_empty_table(spark):
     assert quality.verdicts(empty_docs(spark)).count() == 0
+
+
+def boilerplate(n):
+    line = "  Terms OF use,\tas of 20%02d, hold in every place "
+    return [(k, f"{prose(900 + k, 60)}\n\n{line % k}\nend {prose(950 + k, 4)}", "h") for k in range(n)] + [(n, None, "h"), (3, None, "g")]
+
+
+def test_cleaned_texts(spark):
+    rows = boilerplate(30) + boilerplate(30)[5:6]
+    schema = "doc_id long, text string, source string"
+    docs = spark.createDataFrame(rows, schema)
+    often = normalised("terms of use, as of 0, hold in every place")
+    expected = [
+        (d, t and "\n".join(x for x in t.split("\n") if d == 0 or normalised(x) != often), s) for d, t, s in rows
+    ]
+    assert sorted(plain(quality.cleaned(docs)), key=str) == sorted(expected, key=str)
+    lost = {d: len(words(t)) - len(words(c)) for (d, t, _), (_, c, _) in zip(rows, expected, strict=True) if t}
+    assert {r["doc_id"]: r["n_removed_words"] for r in quality.verdicts(docs).collect() if r["n_words"]} == lost
+    assert lost[0] == 0 and set(list(lost.values())[1:]) == {10}

@@ -17,6 +17,8 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ticketlens.llm.storage import small, stored
+
 #: White space as the rules understand it: blank, tab, line feed, vertical tab, form feed, carriage return.
 SPACE_RUN = r"[\x20\x09-\x0D]+"
 NOT_SPACE = r"[^\x20\x09-\x0D]"
@@ -45,16 +47,17 @@ def word_array(text: Column) -> Column:
     return F.filter(F.split(text, SPACE_RUN), lambda w: w != "")
 
 
-def normalised_lines(text: Column) -> Column:
-    """The lines with a word, in lower case, runs of white space as one blank, numbers as 0: counters and dates
-    do not make lines differ. The whole text is normalised at once, its line ends apart."""
+def every_line(text: Column) -> Column:
+    """All lines in lower case, runs of white space as one blank, numbers as 0: counters and dates do not make
+    lines differ. The whole text is normalised at once, its line ends apart."""
     bare = F.regexp_replace(F.lower(text), "[0-9]+", "0")
     lines = F.split(F.regexp_replace(bare, r"[\x20\x09\x0B-\x0D]+", " "), "\n")
-    return F.filter(F.transform(lines, lambda x: F.trim(x)), lambda x: x != "")
+    return F.transform(lines, lambda x: F.trim(x))
 
 
-def blanks(line: Column) -> Column:
-    return F.length(line) - F.length(F.replace(line, F.lit(" "), F.lit("")))
+def normalised_lines(text: Column) -> Column:
+    """Those of them that hold a word."""
+    return F.filter(every_line(text), lambda x: x != "")
 
 
 def base_figures(docs: DataFrame, doc_id: str, text: str, host: str, limits: Limits = Limits()) -> DataFrame:
@@ -126,21 +129,18 @@ def row_key(*columns: Column) -> Column:
 
 
 def host_lines(docs: DataFrame, doc_id: str, text: str, host: str) -> DataFrame:
-    """One row per line with a word: row_key, host, line (a hash), its words, and whether it is the document's first such."""
+    """One row per line with a word: row_key, host, line (a hash), and whether it is the document's first such."""
     whole = F.coalesce(F.col(text), F.lit(""))
     lines = docs.select(
         F.col(doc_id).alias("doc_id"), F.col(host).alias("host"), row_key(F.col(doc_id), F.col(host), whole).alias("row_key"),
         normalised_lines(whole).alias("lines"),
     )
-    hashed = F.array_sort(
-        F.transform("lines", lambda x: F.struct(F.xxhash64(x).alias("line"), (blanks(x) + 1).alias("words")))
-    )
+    hashed = F.array_sort(F.transform("lines", lambda x: F.xxhash64(x)))
     ordered = lines.select("doc_id", "host", "row_key", hashed.alias("lines"))
     marked = F.transform(
         "lines",
         lambda x, k: F.struct(
-            x["line"].alias("line"), x["words"].alias("words"),
-            F.coalesce(x["line"] != F.get("lines", k - 1)["line"], F.lit(True)).alias("first"),
+            x.alias("line"), F.coalesce(x != F.get("lines", k - 1), F.lit(True)).alias("first")
         ),
     )
     return ordered.select("doc_id", "host", "row_key", F.inline(marked))
@@ -163,36 +163,61 @@ def frequent_lines(lines: DataFrame, docs: DataFrame, host: str, limits: Limits)
     )
 
 
-def verdicts(
+def removed_lines(
     docs: DataFrame, doc_id: str = "doc_id", text: str = "text", host: str = "source", limits: Limits = Limits()
 ) -> DataFrame:
-    """Base figures, words in removed lines, `kept` (neither failed by the base rule nor depleted) and row_key for each row."""
+    """removed_key, removed_doc and gone (hashes of lines) of each document with lines above the limit that are not its own to keep."""
     lines = host_lines(docs, doc_id, text, host)
     frequent = frequent_lines(lines, docs, host, limits)
     # the lines above the limit are few, their occurrences may be many: Spark splits a hot line in this join
-    removed = (
-        lines.join(
-            frequent,
-            (F.col("line") == F.col("frequent_line")) & F.col("host").eqNullSafe(F.col("frequent_host")),
-        )
-        .filter(~F.col("doc_id").eqNullSafe(F.col("first_doc")))
-        .groupBy(F.col("row_key").alias("removed_key"), F.col("doc_id").alias("removed_doc"))
-        .agg(F.sum("words").alias("row_removed"), F.sum(F.col("first").cast("long")).alias("row_lines"))
+    held = lines.filter("first").join(
+        frequent,
+        (F.col("line") == F.col("frequent_line")) & F.col("host").eqNullSafe(F.col("frequent_host")),
+    ).filter(~F.col("doc_id").eqNullSafe(F.col("first_doc")))
+    # at most the distinct lines of one document
+    return stored(
+        held.groupBy(F.col("row_key").alias("removed_key"), F.col("doc_id").alias("removed_doc")).agg(F.collect_set("line").alias("gone"))
     )
-    # rows that repeat a document were added up in `removed`; each has its share
-    copies = docs.groupBy(
-        row_key(F.col(doc_id), F.col(host), F.coalesce(F.col(text), F.lit(""))).alias("copy_key")
-    ).agg(F.count(F.lit(1)).alias("copies")).filter(F.col("copies") > 1)
-    removed = removed.join(copies, F.col("removed_key") == F.col("copy_key"), "left").select(
-        "removed_key", "removed_doc",
-        F.expr("row_removed div coalesce(copies, 1)").alias("n_removed_words"),
+
+
+def without_lines(text: Column, gone: Column) -> Column:
+    """The text without the lines of these hashes; all others stay as they are."""
+    normal = every_line(text)
+    left = F.filter(
+        F.arrays_zip(F.split(text, "\n").alias("raw"), normal.alias("normal")),
+        lambda x: ~F.array_contains(gone, F.xxhash64(x["normal"])),
     )
-    figures = base_figures(docs, doc_id, text, host, limits)
-    joined = figures.join(
-        removed,
-        (F.col("row_key") == F.col("removed_key")) & F.col("doc_id").eqNullSafe(F.col("removed_doc")),
-        "left",
+    return F.array_join(F.transform(left, lambda x: x["raw"]), "\n")
+
+
+def cleaned(
+    docs: DataFrame, doc_id: str = "doc_id", text: str = "text", host: str = "source", limits: Limits = Limits(),
+    removed: DataFrame | None = None,
+) -> DataFrame:
+    """The same rows and columns, `text` without the lines above the limit; lengths in other columns stay those of the whole text."""
+    removed = removed_lines(docs, doc_id, text, host, limits) if removed is None else removed
+    gone = removed.select(F.col("removed_key").alias("__key"), F.col("removed_doc").alias("__doc"), F.col("gone").alias("__gone"))
+    key = row_key(F.col(doc_id), F.col(host), F.coalesce(F.col(text), F.lit("")))
+    joined = docs.withColumn("__row_key", key).join(
+        small(gone), (F.col("__row_key") == F.col("__key")) & F.col(doc_id).eqNullSafe(F.col("__doc")), "left"
     )
+    left = F.when(F.col("__gone").isNull(), F.col(text)).otherwise(without_lines(F.col(text), F.col("__gone")))
+    return joined.withColumn(text, left).select(*docs.columns)
+
+
+def verdicts(
+    docs: DataFrame, doc_id: str = "doc_id", text: str = "text", host: str = "source", limits: Limits = Limits(),
+    removed: DataFrame | None = None,
+) -> DataFrame:
+    """Base figures, words less in the cleaned text, `kept` (neither failed by the base rule nor depleted) and row_key for each row."""
+    removed = removed_lines(docs, doc_id, text, host, limits) if removed is None else removed
+    whole = F.coalesce(F.col(text), F.lit(""))
+    own = docs.select(F.col(doc_id).alias("doc_id"), row_key(F.col(doc_id), F.col(host), whole).alias("row_key"), whole.alias("text"))
+    same = (F.col("row_key") == F.col("removed_key")) & F.col("doc_id").eqNullSafe(F.col("removed_doc"))
+    fewer = F.size(word_array(F.col("text"))) - F.size(word_array(without_lines(F.col("text"), F.col("gone"))))
+    # rows that repeat a document lose the same words
+    words = own.join(small(removed), same).groupBy("removed_key", "removed_doc").agg(F.max(fewer).alias("n_removed_words"))
+    joined = base_figures(docs, doc_id, text, host, limits).join(words, same, "left")
     gone = F.coalesce("n_removed_words", F.lit(0)).cast("long")
     depleted = (F.col("n_words") - gone) < limits.left_share * F.col("n_words")
     return joined.select(
