@@ -85,3 +85,17 @@ def test_equal_sizes_and_sources_without_words(spark):
 
 def test_empty_table(spark):
     assert cube.mix(empty_docs(spark)).count() == 0
+
+
+def test_small_source_beside_several_blocks(spark, monkeypatch):
+    """What one long document leaves over is settled in a source of one block too, whatever the blocks of another."""
+    monkeypatch.setattr(cube, "BLOCK_DOCS", 60)
+    draw = np.random.default_rng(4)
+    data = [(k, prose(k, int(draw.integers(20, 80))), "small") for k in range(50)]
+    data += [(50, prose(50, 600), "small")]
+    data += [(100 + k, prose(100 + k, int(draw.integers(20, 80))), "large") for k in range(400)]
+    docs = spark.createDataFrame(data, "doc_id long, text string, source string")
+    rows = cube.mix(docs, weights=(8.0, 1.0), share=0.5).collect()
+    for source in ("small", "large"):
+        of = [r for r in rows if r["source"] == source]
+        assert abs(sum(r["times"] * r["size"] for r in of) - of[0]["target"]) <= 1

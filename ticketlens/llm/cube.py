@@ -7,8 +7,8 @@ constraints (document count and token total of the source), three documents at a
 time, until at most two per block are still fractional. Those of many blocks
 meet in the next, smaller round, until each source is one block; what is left
 there, at most two documents per source, is landed on the combination nearest to
-the token total, and a few swaps within the last block settle what a long document
-left over.
+the token total. What a long document left over is settled by swaps within the
+first block of each source, whatever rounds the other sources take.
 
 Blocks are cut by a hash of the id, so a source of any size is many tasks, and
 every block is worked in hash order with its own seed: reruns agree.
@@ -104,9 +104,9 @@ def land(pi: np.ndarray, size: np.ndarray) -> None:
     pi[left] = min(choices, key=lambda s: (abs(s @ size[left] - wanted), abs(s.sum() - many), tuple(s)))
 
 
-def settle(pi: np.ndarray, free: np.ndarray, size: np.ndarray, wanted: float, swaps: int = 8) -> None:
+def settle(pi: np.ndarray, free: np.ndarray, size: np.ndarray, wanted: float) -> None:
     """Swap a taken for an untaken one of the `free` documents while that brings the size nearer to `wanted`."""
-    for _ in range(swaps):
+    for _ in range(len(free)):
         error = float(pi @ size) - wanted
         taken, spare = free[pi[free] == 1], free[pi[free] == 0]
         if abs(error) < 0.5 or not len(taken) or not len(spare):
@@ -122,25 +122,42 @@ def settle(pi: np.ndarray, free: np.ndarray, size: np.ndarray, wanted: float, sw
         pi[out[best]], pi[spare[near[best]]] = 0.0, 1.0
 
 
+def _in_order(block: pa.Table, size: str) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Digests, sizes and the order of the rows; rows alike in both are interchangeable."""
+    digest, weight = block.column("digest").to_numpy(), block.column(size).to_numpy().astype(float)
+    return digest, weight, np.lexsort((weight, digest))
+
+
+def _with_drawn(block: pa.Table, pi: str, chance: np.ndarray, order: np.ndarray) -> pa.Table:
+    drawn = np.empty(len(order))
+    drawn[order] = chance
+    return block.set_column(block.schema.get_field_index(pi), pi, pa.array(drawn))
+
+
 def _player(pi: str, size: str, landing: bool) -> Callable[[pa.Table], pa.Table]:
     def play(block: pa.Table) -> pa.Table:
-        digest, weight = block.column("digest").to_numpy(), block.column(size).to_numpy().astype(float)
-        # rows alike in both are interchangeable
-        order = np.lexsort((weight, digest))
+        digest, weight, order = _in_order(block, size)
         chance, weight = block.column(pi).to_numpy()[order], weight[order]
         seed = int(np.bitwise_xor.reduce(digest) & 0x7FFFFFFFFFFFFFFF)
-        free, wanted = np.flatnonzero((chance > 0) & (chance < 1)), float(chance @ weight)
         flight(chance, weight, np.random.default_rng([seed, len(order)]))
         if landing:
             land(chance, weight)
-            settle(chance, free, weight, wanted)
-        drawn = np.empty(len(order))
-        drawn[order] = chance
-        return block.set_column(block.schema.get_field_index(pi), pi, pa.array(drawn))
+        return _with_drawn(block, pi, chance, order)
 
     return play
 
 
+def _settler(pi: str, size: str) -> Callable[[pa.Table], pa.Table]:
+    def swap(block: pa.Table) -> pa.Table:
+        _, weight, order = _in_order(block, size)
+        chance, weight = block.column(pi).to_numpy()[order], weight[order]
+        error = block.column("error")[0].as_py()
+        settle(chance, np.arange(len(order)), weight, float(chance @ weight) - error)
+        return _with_drawn(block, pi, chance, order)
+
+    return swap
+
+
 def draw_balanced(rows: DataFrame, group: str, pi: str, size: str, groups_blocks: str) -> DataFrame:
     """Replace the inclusion probabilities `pi` by 0 or 1, balanced per `group` on count and `size`.
 
@@ -149,15 +166,16 @@ def draw_balanced(rows: DataFrame, group: str, pi: str, size: str, groups_blocks
     """
     blocks = rows.agg(F.max(groups_blocks)).first()[0] or 1
     done, now = [], rows.withColumn("block", F.pmod("digest", F.col(groups_blocks)).cast("long"))
+    # the fractional documents of its first block settle a source
+    own = (F.col("block") == 0) & (F.col(pi) > 0) & (F.col(pi) < 1)
+    now = now.withColumn("own", own).withColumn("expected", F.col(pi) * F.col(size))
     schema = now.schema
     while True:
         last = blocks <= 1
-
-        moved = now.groupBy(group, "block").applyInArrow(_player(pi, size, last), schema)
+        moved = materialize(now.groupBy(group, "block").applyInArrow(_player(pi, size, last), schema))
         if last:
             done.append(moved)
             break
-        moved = materialize(moved)
         done.append(moved.filter((F.col(pi) == 0) | (F.col(pi) == 1)))
         merge = max(2, BLOCK_DOCS // LEFT_PER_BLOCK)
         now = moved.filter((F.col(pi) > 0) & (F.col(pi) < 1)).withColumn("block", F.floor(F.col("block") / merge))
@@ -165,7 +183,13 @@ def draw_balanced(rows: DataFrame, group: str, pi: str, size: str, groups_blocks
     out = done[0]
     for more in done[1:]:
         out = out.unionByName(more)
-    return out.drop("block")
+    # sums in any order agree to far less than a word
+    errors = out.groupBy(F.col(group).alias("error_group")).agg(
+        F.round(F.sum(F.col(pi) * F.col(size)) - F.sum("expected"), 3).alias("error")
+    )
+    first = out.filter("own").join(errors, F.col(group).eqNullSafe(F.col("error_group"))).drop("error_group")
+    settled = first.groupBy(group).applyInArrow(_settler(pi, size), first.schema).drop("error")
+    return out.filter(~F.col("own")).unionByName(settled).drop("block", "own", "expected")
 
 
 def mix(
