@@ -9,10 +9,11 @@ the same distance. The parse of a text is its sequence of phrases; the dictionar
 holds each distinct phrase once, with the smallest document that has it.
 
 The dictionary is dealt out by trigger. Each part sorts the windows of its
-phrases, the dictionary suffixes as deep as a window, byte group by byte group,
-within their trigger and distance; together with the documents that the parse
-gives each phrase this is the corpus order, in which equal windows stand side by
-side and their first document is known. What goes back to a text are runs of
+phrases, as deep as a window, byte group by byte group, within their trigger and
+distance, so that equal windows stand side by side; the documents that the parse
+gives each phrase tell the first of them. No suffix array of the dictionary or of
+the parse is built, and no corpus order results: as phrases overlap, equal windows
+never cross a phrase, and the parse need not be sorted. What goes back to a text are runs of
 windows whose first document is smaller than its own.
 
 Texts that equal the text of a smaller document are settled by their digest and
