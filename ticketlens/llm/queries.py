@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ticketlens.llm import chat, cube, decontam, langid, lattice, neardup, pfp, quality, sharding, warc
+from ticketlens.llm import chat, cube, decontam, langid, lattice, neardup, pfp, privacy, quality, sharding, turns, vafile, warc
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -189,6 +189,142 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.predict(rows, model, keep=("doc_id", "held_out"))
 
 
+def op11_va_file_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vafile.cluster(table(spark, sf_dir, "embeddings"))
+
+
+def _op11_sql(rounds: int = 3) -> str:
+    """The rounds written out one after another."""
+    steps = []
+    for r in range(rounds + 1):
+        steps.append(f"""a{r} AS (
+  SELECT n, vec_id, v, c, d FROM (
+    SELECT *, row_number() OVER (PARTITION BY n ORDER BY d, c) AS place FROM (
+      SELECT n, vec_id, k.v, c, list_sum(list_transform(range(1, 65), lambda i: (k.v[i] - m.v[i]) * (k.v[i] - m.v[i]))) AS d FROM k, m{r} m
+    )
+  ) WHERE place = 1
+)""")
+        if r < rounds:
+            steps.append(f"""s{r} AS (
+  SELECT c, list(CAST((s - (s % n + n) % n) // n AS BIGINT) ORDER BY i) AS v FROM (
+    SELECT c, i, count(*) AS n, sum(v[i]) AS s FROM a{r}, range(1, 65) t(i) GROUP BY c, i
+  ) GROUP BY c
+),
+m{r + 1} AS (SELECT m.c, coalesce(s.v, m.v) AS v FROM m{r} m LEFT JOIN s{r} s ON m.c = s.c)""")
+    return f"""
+WITH k AS (
+  SELECT row_number() OVER () AS n, vec_id, list_transform(embedding, lambda x: CAST(floor(64 * CAST(x AS DOUBLE)) AS BIGINT)) AS v
+  FROM embeddings
+  WHERE len(embedding) = 64 AND len(list_filter(embedding, lambda x: x IS NULL OR isnan(x) OR isinf(x))) = 0
+),
+m0 AS (
+  SELECT place - 1 AS c, v FROM (SELECT v, row_number() OVER (ORDER BY sha256('1:' || coalesce(CAST(vec_id AS VARCHAR), '')), v) AS place FROM k)
+  WHERE place <= 16
+),
+{",".join(steps)}
+SELECT vec_id, CAST(a.c AS INTEGER) AS cluster, CAST(d AS BIGINT) AS distance, CAST(sum(d) OVER (PARTITION BY a.c) AS BIGINT) AS cluster_inertia,
+  CAST(sum(d) OVER () AS BIGINT) AS inertia, sha256(array_to_string(m.v, ',')) AS centroid_sha256
+FROM a{rounds} a JOIN m{rounds} m ON a.c = m.c
+"""
+
+
+def op12_skip_chain_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = privacy.find(docs, privacy.fit(docs))
+
+    def listed(spans: str) -> Column:
+        return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ",")
+
+    def count(kind: str) -> Column:
+        return F.size(F.filter("base", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+
+    return found.select("doc_id", *[count(k) for k in privacy.KINDS], F.sha2(listed("base"), 256).alias("base_sha256"), listed("spans").alias("spans"))
+
+
+def op13_turn_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "conversations")
+    return turns.report(turns.damaged(rows), ids=rows)
+
+
+def _op13_sql() -> str:
+    """Damage, faults, and the least weights as texts: nine digits of cost, then the letters."""
+    def front(cost: str, letter: str, weight: str) -> str:
+        return f"lpad(CAST(CAST(substr({weight}, 1, 9) AS INTEGER) + {cost} AS VARCHAR), 9, '0') || '{letter}' || substr({weight}, 10)"
+
+    def taken(state: int, kept: str, to: int) -> str:
+        return f"least({front('4', 'D', f'v{state}')}, {kept}, CASE WHEN NOT gone THEN {front('3 + more', 'R', f'v{to}')} END)"
+
+    def keep(initial: str, to: int) -> str:
+        return f"CASE WHEN NOT gone AND initial = '{initial}' THEN {front('more', 'K', f'v{to}')} END"
+
+    return f"""
+WITH RECURSIVE crc(n, k, c) AS (
+  SELECT range, 0, range FROM range(256)
+  UNION ALL SELECT n, k + 1, CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END FROM crc WHERE k < 8
+),
+tab AS (SELECT list(c ORDER BY n) AS t FROM crc WHERE k = 8),
+hashed AS (
+  SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text, xor(list_reduce(
+    list_transform(string_split(coalesce(CAST(conv_id AS VARCHAR), ' ') || ':' || coalesce(CAST(turn AS VARCHAR), ' '), ''), lambda x: CAST(ascii(x) AS BIGINT)),
+    lambda a, b: xor(a >> 8, t[(xor(a, b) & 255) + 1]), CAST(4294967295 AS BIGINT)), CAST(4294967295 AS BIGINT)) % 20 AS part
+  FROM conversations, tab
+),
+hurt AS (
+  SELECT conv_id, turn, CASE WHEN part = 4 THEN 'user' ELSE role END AS role,
+    CASE WHEN part = 1 THEN '' WHEN part = 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text
+  FROM hashed, range(0, 2) t(copy) WHERE part <> 0 AND (copy = 0 OR part = 3)
+),
+placed AS (
+  SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, sha256(text)) AS i, left(role, 1) AS initial,
+    NOT regexp_matches(text, '[^\x20\x09-\x0D]') AS blank, NOT regexp_matches(text, '[.!?][\x20\x09-\x0D]*$') AS cut
+  FROM hurt
+),
+judged AS (
+  SELECT *, CASE WHEN blank THEN 1 WHEN row_number() OVER (PARTITION BY conv_id, role, text ORDER BY i) > 1 THEN 2 WHEN cut THEN 3 ELSE 0 END AS fault,
+    lag(initial) OVER (PARTITION BY conv_id ORDER BY i) || initial AS pair
+  FROM placed
+),
+counts AS (
+  SELECT conv_id, count(*) AS n, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps, count(*) FILTER (fault = 1) AS blank,
+    count(*) FILTER (fault = 2) AS duplicate, count(*) FILTER (fault = 3) AS truncated, count(*) FILTER (pair NOT IN ('su', 'ua', 'au')) AS illegal
+  FROM judged GROUP BY conv_id
+),
+dp(conv_id, i, v0, v1, v2, v3) AS (
+  SELECT conv_id, n + 1, '000000000', CAST(NULL AS VARCHAR), '000000003I', '000000000' FROM counts
+  UNION ALL
+  SELECT conv_id, i, least(t0, {front('3', 'I', 't2')}), least(t1, {front('3', 'I', 't2')}), least(t2, {front('3', 'I', 't3')}),
+    least(t3, {front('3', 'I', 't2')})
+  FROM (
+    SELECT conv_id, i, {taken(0, f"{keep('s', 1)}, {keep('u', 2)}", 2)} AS t0, {taken(1, keep('u', 2), 2)} AS t1,
+      {taken(2, keep('a', 3), 3)} AS t2, {taken(3, keep('u', 2), 2)} AS t3
+    FROM (
+      SELECT dp.*EXCLUDE (i), j.i, j.initial, j.fault IN (1, 2) AS gone, CASE WHEN j.fault = 3 THEN 3 ELSE 0 END AS more
+      FROM dp JOIN judged j ON dp.conv_id IS NOT DISTINCT FROM j.conv_id AND j.i = dp.i - 1
+    )
+  )
+),
+best AS (SELECT conv_id, CAST(substr(v0, 1, 9) AS BIGINT) AS cost, substr(v0, 10) AS audit FROM dp WHERE i = 1),
+edits AS (
+  SELECT conv_id, k, letter, sum(CASE WHEN letter <> 'I' THEN 1 ELSE 0 END) OVER (PARTITION BY conv_id ORDER BY k) AS i
+  FROM (SELECT conv_id, k, substr(audit, CAST(k AS INTEGER), 1) AS letter FROM (SELECT conv_id, audit, unnest(range(1, length(audit) + 1)) AS k FROM best))
+),
+put AS (
+  SELECT e.conv_id, k, letter, j.role, CASE WHEN letter = 'I' THEN '' ELSE j.text END AS text,
+    row_number() OVER (PARTITION BY e.conv_id ORDER BY k) - 1 AS p, first_value(letter = 'K' AND j.initial = 's') OVER (PARTITION BY e.conv_id ORDER BY k) AS led
+  FROM edits e LEFT JOIN judged j ON e.conv_id IS NOT DISTINCT FROM j.conv_id AND e.i = j.i WHERE letter <> 'D'
+),
+mended AS (
+  SELECT conv_id, sha256(string_agg(
+    CASE WHEN letter = 'K' THEN role WHEN (p - CASE WHEN led THEN 1 ELSE 0 END) % 2 = 0 THEN 'user' ELSE 'assistant' END || ':' || text, chr(10) ORDER BY k
+  )) AS repaired_sha256 FROM put GROUP BY conv_id
+)
+SELECT c.conv_id, coalesce(n.gaps, 0) AS gaps, coalesce(n.blank, 0) AS blank, coalesce(n.duplicate, 0) AS duplicate, coalesce(n.truncated, 0) AS truncated,
+  coalesce(n.illegal, 0) AS illegal, coalesce(b.cost, 0) AS cost, coalesce(b.audit, '') AS audit, coalesce(m.repaired_sha256, sha256('')) AS repaired_sha256
+FROM (SELECT DISTINCT conv_id FROM conversations) c LEFT JOIN counts n ON c.conv_id IS NOT DISTINCT FROM n.conv_id
+LEFT JOIN best b ON c.conv_id IS NOT DISTINCT FROM b.conv_id LEFT JOIN mended m ON c.conv_id IS NOT DISTINCT FROM m.conv_id
+"""
+
+
 QUERIES = {
     "op1_warc_index": op1_warc_index,
     "op2_bottom_k_dedup": op2_bottom_k_dedup,
@@ -200,10 +336,15 @@ QUERIES = {
     "op8_decontamination": op8_decontamination,
     "op9_quality_rules": op9_quality_rules,
     "op10_language_id": op10_language_id,
+    "op11_va_file_clusters": op11_va_file_clusters,
+    "op12_skip_chain_pii": op12_skip_chain_pii,
+    "op13_turn_repair": op13_turn_repair,
 }
 ORACLE = {
     "op1_warc_index": OP1_SQL,
     "op5_chat_format": OP5_SQL,
     "op8_decontamination": OP8_SQL,
     "op9_quality_rules": OP9_SQL,
+    "op11_va_file_clusters": _op11_sql(),
+    "op13_turn_repair": _op13_sql(),
 }
