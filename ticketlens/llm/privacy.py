@@ -221,10 +221,18 @@ def lesson(text: str, other: str = "") -> Labelled:
 
 
 def fit(docs: DataFrame, text: str = "text", sample_rows: int = SAMPLE_ROWS) -> Field:
-    """The field, fitted on at most `sample_rows` texts of at most SAMPLE_CHARS characters, those with the smallest hashes."""
+    """The field, fitted on at most `sample_rows` different texts of at most SAMPLE_CHARS characters, those with the smallest hashes.
+
+    Texts are counted first, so that no more than about as many as are wanted leave
+    their tasks; copies are combined before.
+    """
     chosen = docs.select(F.col(text).alias("text")).filter(F.col("text").rlike("[0-9@]") & (F.length("text") <= SAMPLE_CHARS))
-    texts = [r["text"] for r in chosen.select("text", F.xxhash64("text").alias("h")).orderBy("h", "text").limit(sample_rows).collect()]
-    return learned(texts)
+    share = 1.25 * sample_rows / max(1, chosen.count())
+    hashed = chosen.select("text", F.xxhash64("text").alias("h"))
+    if share < 1:
+        hashed = hashed.filter(F.col("h") < int((share - 0.5) * 2.0**64))
+    rows = hashed.groupBy("h").agg(F.min("text").alias("text")).collect()  # bounded by the share
+    return learned([r["text"] for r in sorted(rows, key=lambda r: r["h"])[:sample_rows]])
 
 
 def learned(texts: Sequence[str]) -> Field:
