@@ -36,7 +36,7 @@ def test_each_stage(spark, tmp_path):
             kept = Counter((d, t) for (d, t, _), row in zip(sorted(before, key=str), sorted(before, key=str), strict=True) if verdict(row, before))
             assert after == kept
         elif name == "near-duplicates":
-            expected = [d for d, _, component, _ in test_neardup.brute_force(before) if d == component]
+            expected = [d for d, _, component, _ in test_neardup.brute_force(before, 80) if d == component]
             assert sorted(d for d, _ in after.elements()) == sorted(set(expected))
         elif name == "benchmark decontamination":
             clean = {(r[0]) for r in test_decontam.brute_force(before, test_decontam.items()) if not r[5]}
