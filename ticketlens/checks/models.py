@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ticketlens.checks.selection import F_TABLE, MI_TABLE, REF_TABLE, SCALED
+from ticketlens.checks.selection import F_TABLE, MI_TABLE, REF_TABLE, SCALED, neighbours_sql
 from ticketlens.fixtures import fixture, with_views
 from ticketlens.operators import model, select
 from ticketlens.operators.model import FeatureParams, ForestParams, TicketModel
@@ -126,7 +126,7 @@ ENCODED = {
 def _model_features(spark, sf):
     """The features that a model over a few columns chooses, with their place."""
     rows = fixture(spark, sf, "fx_items").select("key", "y", *SMALL)
-    fitted = TicketModel.fit(rows, "y", "key", features=FeatureParams(k_features=4), forest=FOREST, cv=2)
+    fitted = TicketModel.fit(rows, "y", "key", features=FeatureParams(k_features=4, bins=10), forest=FOREST, cv=2)
     return select.score_table(spark, list(enumerate(fitted.expected_features)), "place int, feature string")
 
 
@@ -191,6 +191,56 @@ def _cross_validate(spark, sf):
     return spark.createDataFrame([(r["fold"], ok) for r, ok in zip(rows, shares)], "fold int, are_shares boolean")
 
 
+def _fold_scores(spark, sf):
+    """F and neighbour information of every feature on the training side of each fold, all from one count of the values."""
+    rows = fixture(spark, sf, "fx_items").select("key", "y", *SMALL)
+    folded, used = model._folded(rows, "y", "key", 2, 42)
+    found = [(f, s.name, round(s.f, 4), round(s.mi, 6)) for f, (_, scores) in enumerate(model.fold_scores(folded, "y", "key", used)) for s in scores.scored]
+    return select.score_table(spark, found, "fold int, feature string, f double, mi double")
+
+
+def _fold_ranking(spark, sf):
+    """The ranking that the trials of a search cut: place of each feature per fold, by F and binned information."""
+    rows = fixture(spark, sf, "fx_items").select("key", "y", *SMALL)
+    shared = model.SharedFolds.prepare(rows, "y", "key", 2, 42, 6, features=FeatureParams(bins=10))
+    found = [(f, k, n) for f in range(shared.folds) for k in (2, 6) for n in shared.scores[f].names(k)]
+    shared.release()
+    return select.score_table(spark, found, "fold int, k_features int, feature string")
+
+
+FOLD = "CAST((row_number() OVER (PARTITION BY y ORDER BY md5(CAST(key AS VARCHAR) || ':42'), key) - 1) % 2 AS INTEGER)"
+# training sides: rows of the other fold, each side with its own median, mode, mean and deviation
+SIDES = f"""folds AS (SELECT key, y, n_price, n_qty, c_onehot, extract_date, {FOLD} AS fold FROM fx_items),
+sides AS (SELECT f.*, CAST(v.range AS INTEGER) AS side FROM folds f JOIN range(2) v ON f.fold <> v.range),
+modes AS (SELECT side, c_onehot AS mode FROM (SELECT side, c_onehot, row_number() OVER (PARTITION BY side ORDER BY count(*) DESC, c_onehot) AS place
+          FROM sides WHERE c_onehot IS NOT NULL GROUP BY 1, 2) WHERE place = 1),
+filled AS (SELECT s.side, y, coalesce(n_price, median(n_price) OVER (PARTITION BY s.side)) AS price, n_qty, coalesce(c_onehot, mode) AS kind, extract_date
+           FROM sides s JOIN modes m ON s.side = m.side),
+long AS (""" + " UNION ALL ".join(f"SELECT side, '{name}' AS feature, {i} AS ord, y, {x} AS x FROM filled" for i, (name, x) in enumerate({
+    "num__n_price": "(price - avg(price) OVER (PARTITION BY side)) / stddev_pop(price) OVER (PARTITION BY side)",
+    "num__n_qty": "(n_qty - avg(n_qty) OVER (PARTITION BY side)) / stddev_pop(n_qty) OVER (PARTITION BY side)",
+    **{f"onehot__c_onehot_{v}": f"CASE WHEN kind = '{v}' THEN 1.0 ELSE 0.0 END" for v in ("1-URGENT", "2-HIGH", "3-MEDIUM", "4-NOT SPECIFIED", "5-LOW")},
+    "date__extract_date_year": "CAST(year(extract_date) AS DOUBLE)", "date__extract_date_month": "CAST(month(extract_date) AS DOUBLE)",
+}.items())) + """),
+per_class AS (SELECT side, feature, ord, y, count(*) AS n, avg(x) AS m, var_samp(x) AS v FROM long GROUP BY 1, 2, 3, 4),
+overall AS (SELECT side, feature, count(*) AS n, avg(x) AS m FROM long GROUP BY 1, 2),
+f_table AS (SELECT c.side, c.feature, c.ord, (sum(c.n * (c.m - o.m) * (c.m - o.m)) / (count(*) - 1)) / (sum((c.n - 1) * coalesce(c.v, 0)) / (any_value(o.n) - count(*))) AS f
+            FROM per_class c JOIN overall o ON o.side = c.side AND o.feature = c.feature GROUP BY 1, 2, 3)"""
+BINNED = """,
+edges AS (SELECT side, feature, list_distinct(quantile_disc(x, [0.1, 0.2, 0.3, 0.4, 0.5, 0.6, 0.7, 0.8, 0.9])) AS e, count(DISTINCT x) AS d FROM long GROUP BY 1, 2),
+cells AS (SELECT l.side, l.feature, l.y, CASE WHEN d <= 2 THEN x ELSE len(list_filter(e, lambda t: l.x > t)) END AS bin, count(*) AS n
+          FROM long l JOIN edges ON edges.side = l.side AND edges.feature = l.feature GROUP BY ALL),
+sums AS (SELECT *, sum(n) OVER (PARTITION BY side, feature) AS total, sum(n) OVER (PARTITION BY side, feature, bin) AS of_bin,
+                sum(n) OVER (PARTITION BY side, feature, y) AS of_y FROM cells),
+bin_table AS (SELECT side, feature, greatest(0, sum(n / total * ln(n * total / (of_bin * of_y)))) AS mi FROM sums GROUP BY 1, 2),
+cover AS (SELECT side, feature, avg(CASE WHEN x <> 0 THEN 1.0 ELSE 0.0 END) AS cov FROM long GROUP BY 1, 2),
+scaled AS (SELECT f.side, f.feature, f.ord, (f - min(f) OVER w) / (max(f) OVER w - min(f) OVER w) AS fn, (mi - min(mi) OVER w) / (max(mi) OVER w - min(mi) OVER w) AS mn,
+                  (cov - min(cov) OVER w) / (max(cov) OVER w - min(cov) OVER w) AS cn, cov
+           FROM f_table f JOIN bin_table b ON b.side = f.side AND b.feature = f.feature JOIN cover c ON c.side = f.side AND c.feature = f.feature
+           WINDOW w AS (PARTITION BY f.side)),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY side ORDER BY round(CASE WHEN cov >= 0.05 THEN 0.85 * (0.5 * fn + 0.5 * mn) + 0.15 * cn ELSE 0 END, 9) DESC, ord) AS place FROM scaled)"""
+
+
 def _config(spark):
     folder = scratch_folder(spark)
     return jobs.JobConfig(
@@ -254,6 +304,12 @@ SELECT key, y, CAST((row_number() OVER (PARTITION BY y ORDER BY md5(CAST(key AS
        TRUE AS known_class FROM fx_items""")
 QUERIES["cross_validate"] = _cross_validate
 ORACLE["cross_validate"] = "SELECT CAST(range AS INTEGER) AS fold, TRUE AS are_shares FROM range(2)"
+QUERIES["fold_scores"] = _fold_scores
+ORACLE["fold_scores"] = with_views("", "fx_items").rstrip() + ",\n" + SIDES + neighbours_sql("side, feature") + """
+SELECT f.side AS fold, f.feature, round(f, 4) AS f, round(mi, 6) AS mi FROM f_table f JOIN near_table n ON n.side = f.side AND n.feature = f.feature"""
+QUERIES["fold_ranking"] = _fold_ranking
+ORACLE["fold_ranking"] = with_views("", "fx_items").rstrip() + ",\n" + SIDES + BINNED + """
+SELECT side AS fold, CAST(k AS INTEGER) AS k_features, feature FROM ranked JOIN (VALUES (2), (6)) v(k) ON place <= k"""
 QUERIES["train_units"] = _train_units
 ORACLE["train_units"] = with_views("", "fx_items").rstrip() + f""",
 sizes AS (SELECT {UNIT_SQL} AS unit_name, y, count(*) AS n FROM fx_items GROUP BY 1, 2)

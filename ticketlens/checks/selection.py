@@ -82,6 +82,35 @@ QUERIES["mutual_info"] = _mutual_info
 ORACLE["mutual_info"] = sql("SELECT feature, round(mi, 6) AS mi FROM mi_table", MI_TABLE)
 
 
+def digamma_sql(n: str) -> str:
+    """Digamma of a whole number: series ten places on, and back."""
+    m = f"(({n}) + 10.0)"
+    back = " + ".join(f"1.0 / (({n}) + {j})" for j in range(10))
+    return f"(ln{m} - 0.5 / {m} - 1.0 / (12 * pow({m}, 2)) + 1.0 / (120 * pow({m}, 4)) - 1.0 / (252 * pow({m}, 6)) - ({back}))"
+
+
+def neighbours_sql(by: str, source: str = "long") -> str:
+    """near_table: mutual information by three neighbours for each group of `by`, over window frames of the neighbour's distance."""
+    gaps = ", ".join([f"x - lag(x, {k}) OVER w" for k in (1, 2, 3)] + [f"lead(x, {k}) OVER w - x" for k in (1, 2, 3)])
+    reach = "r * (1 - 1e-9)"
+    return f""",
+points AS (SELECT * FROM (SELECT {by}, y, CAST(x AS DOUBLE) AS x, count(*) OVER (PARTITION BY {by}, y) AS size FROM {source}) WHERE size > 1),
+radii AS (SELECT *, list_sort(list_filter([{gaps}], lambda d: d IS NOT NULL))[least(3, size - 1)] AS r FROM points WINDOW w AS (PARTITION BY {by}, y ORDER BY x)),
+within AS (SELECT *, least(3, size - 1) AS k, count(*) OVER (PARTITION BY {by}, y, x) AS same_class, count(*) OVER (PARTITION BY {by}, x) AS same,
+                  count(*) OVER (PARTITION BY {by} ORDER BY x RANGE BETWEEN {reach} PRECEDING AND {reach} FOLLOWING) AS inside FROM radii),
+near_table AS (SELECT {by}, greatest(0, {digamma_sql("count(*)")} + avg({digamma_sql("CASE WHEN r = 0 THEN same_class ELSE k END")}
+                 - {digamma_sql("size")} - {digamma_sql("CASE WHEN r = 0 THEN same ELSE inside END")})) AS mi FROM within GROUP BY ALL)"""
+
+
+def _mutual_info_neighbours(spark, sf):
+    mi = select.mutual_info(featured(spark, sf), stats(spark, sf), "y", bins=None)
+    return _table(spark, [(n, round(mi[n], 6)) for n in NAMES], "feature string, mi double")
+
+
+QUERIES["mutual_info_neighbours"] = _mutual_info_neighbours
+ORACLE["mutual_info_neighbours"] = sql("SELECT feature, round(mi, 6) AS mi FROM near_table", neighbours_sql("feature"))
+
+
 def _minmax(spark, sf):
     scaled = select.minmax([select.f_score(s) for s in stats(spark, sf)])
     return _table(spark, [(n, round(v, 6)) for n, v in zip(NAMES, scaled)], "feature string, scaled double")

@@ -9,6 +9,7 @@ from __future__ import annotations
 import functools
 import json
 import math
+import zlib
 from collections.abc import Sequence
 from dataclasses import asdict, dataclass, field
 from operator import add
@@ -247,6 +248,64 @@ class Preprocessor:
     def names(self) -> list[str]:
         return list(self.features())
 
+    @property
+    def term_count(self) -> int:
+        """Terms of the long text that has most of them; 0 if long texts have no columns."""
+        return max(map(len, self.state.text_terms.values()), default=0)
+
+    def entries(self, names: Sequence[str] | None = None, shares: dict[str, Column] | None = None) -> dict[str, Column]:
+        """Per input column its features that are not 0, as an array of j (the place in `names`) and x.
+
+        Over the columns of `prepared`; numbers have an entry also for 0. A value's
+        flag is looked up, so the work and the size of a row follow its values, not
+        the vocabulary. `shares` are the frequencies of columns that are not joined.
+        """
+        s, g = self.state, self.state.groups
+        place = {n: j for j, n in enumerate(self.names() if names is None else names)}
+        out: dict[str, list[Column]] = {}
+
+        def known(prefix: str, values: Sequence[str]) -> dict[str, int]:
+            return {v: place[prefix + v] for v in values if prefix + v in place}
+
+        for name, x in {**self.numeric(), **self.date_parts(), **self.tag_count()}.items():
+            if name in place:
+                out.setdefault(_source_column(name, g), []).append(F.array(_entry(F.lit(place[name]), x)))
+        for c in g.frequency:
+            if f"high_card__{c}" in place:
+                share = shares[c] if shares else q(f"high_card__{c}")
+                out.setdefault(c, []).append(F.array(_entry(F.lit(place[f"high_card__{c}"]), share)))
+        for c in g.one_hot:
+            if listed := known(f"onehot__{c}_", s.categories.get(c, [])):
+                out.setdefault(c, []).append(_flags(F.array(F.coalesce(self._text(c), F.lit(s.mode[c]))), listed))
+        for c in g.top_k:
+            listed = known(f"topk__{c}_", [v for v in s.top_values.get(c, []) if v != OTHER])
+            other = place.get(f"topk__{c}_{OTHER}")
+            found = _flags(F.array(self._text(c)), listed) if listed else F.array().cast(ENTRIES)
+            if other is not None:
+                named = [v for v in s.top_values.get(c, []) if v != OTHER]
+                rest = F.when(self._text(c).isin(*named), F.array().cast(ENTRIES)) if named else F
+                found = F.concat(found, rest.otherwise(F.array(_entry(F.lit(other), F.lit(1.0)))) if named else F.array(_entry(F.lit(other), F.lit(1.0))))
+            out.setdefault(c, []).append(found)
+        for columns, prefix, vocabulary in ((g.tag_binarize, "ml_binarize__", s.tag_vocabulary), (g.tag_top_k, "ml_topk__", s.top_tags)):
+            for c in columns:
+                if listed := known(f"{prefix}{c}_", vocabulary.get(c, [])):
+                    out.setdefault(c, []).append(_flags(F.array_distinct(q(f"tags of {c}")), listed))
+        for c, idf in s.text_terms.items():
+            listed = known(f"text__{c}_", list(idf))
+            if listed:
+                said = F.transform(_flags(F.array_distinct(q(f"words of {c}")), {t: k for k, t in enumerate(listed)}), lambda e: e["j"])
+                terms_, places, weights = (F.array(*[F.lit(v) for v in vs]) for vs in (list(listed), list(listed.values()), [float(idf[t]) for t in listed]))
+                out.setdefault(c, []).append(F.transform(said, lambda k: _entry(
+                    F.get(places, k), F.size(F.filter(q(f"words of {c}"), lambda w: w == F.get(terms_, k))) * F.get(weights, k))))
+        return {c: F.concat(*parts) if len(parts) > 1 else parts[0] for c, parts in out.items()}
+
+    def sparse(self, df: DataFrame, keep: Sequence[str] = (), names: Sequence[str] | None = None) -> DataFrame:
+        """The kept columns and `entries`: j (the place in `names`) and x of the features that are not 0."""
+        found = self.entries(names)
+        ready = self.prepared(df, names)
+        together_ = F.concat(*found.values()) if found else F.array().cast(ENTRIES)
+        return ready.select(*[q(c) for c in keep], together_.alias("entries"))
+
     def prepared(self, df: DataFrame, names: Sequence[str] | None = None) -> DataFrame:
         """The input with the frequency columns that are asked for, the split tags and words."""
         g = self.state.groups
@@ -287,6 +346,34 @@ class Preprocessor:
         return cls(state, shares, row["sep"])
 
 
+ENTRIES = "array<struct<j:int,x:double>>"
+
+
+def _entry(j: Column, x: Column) -> Column:
+    return F.struct(j.cast("int").alias("j"), x.cast("double").alias("x"))
+
+
+def _flags(keys: Column, places: dict[str, int], per_bucket: int = 4) -> Column:
+    """An entry 1 for each of the keys that has a place. The keys are looked up in buckets by crc32, so a long list costs no more."""
+    buckets: list[dict[str, int]] = [{} for _ in range(max(1, len(places) // per_bucket))]
+    for key, j in places.items():
+        buckets[zlib.crc32(key.encode()) % len(buckets)][key] = j
+    table = F.from_json(F.lit(json.dumps(buckets)), "array<map<string,int>>")
+
+    def place(key: Column) -> Column:
+        return F.try_element_at(F.get(table, (F.crc32(key) % len(buckets)).cast("int")), key)
+
+    return F.transform(F.filter(keys, lambda k: place(k).isNotNull()), lambda k: _entry(place(k), F.lit(1.0)))
+
+
+def _source_column(name: str, groups: ColumnGroups) -> str:
+    """The input column of a number, a part of a date or a tag count."""
+    kind, _, rest = name.partition("__")
+    if kind == "date":
+        return next(c for c in groups.dates for part in DATE_PARTS if rest == f"{c}_{part}")
+    return rest
+
+
 def _by_column(rows: list) -> dict[str, list]:
     out: dict[str, list] = {}
     for r in rows:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import json
 import math
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Iterator, Sequence
 from dataclasses import asdict, dataclass, field
 
 from pyspark import StorageLevel
@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from ticketlens.functions.labels import ordered_labels
 from ticketlens.operators import select, units
 from ticketlens.operators.encode import Preprocessor
+from ticketlens.operators.folds import ALL_ROWS, ValueCounts, column_groups, encoders, feature_stats, feature_table, information
 from ticketlens.operators.profile import ColumnGroups, group_columns
 from ticketlens.operators.score import PREFIX, total
 from ticketlens.session import ensure_checkpoint_dir, materialize, together
@@ -55,6 +56,8 @@ class FeatureParams:
     w_mi: float = 0.5
     w_ref: float = 0.15
     min_presence: float = 0.05
+    # mutual information by nearest neighbours (None), or over so many equal-frequency bins
+    bins: int | None = None
 
 
 @dataclass
@@ -98,12 +101,11 @@ def _fit_features(
     inputs = df.drop(key, y)
     groups = group_columns(inputs)
     encoder = Preprocessor.fit(inputs, groups)
-    names = encoder.names()
     classes = "target class" if numeric_target else y
     labelled = select.target_classes(df, y, classes) if numeric_target else df
-    rows = encoder.vectors(labelled, list(dict.fromkeys([key, y, classes]))).persist(StorageLevel.MEMORY_AND_DISK)
+    rows = encoder.sparse(labelled, list(dict.fromkeys([key, y, classes]))).persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        return FeaturePlan(encoder, chosen := _choose(encoder, rows, classes, ref, groups, params)), _chosen_vectors(rows, key, y, names, chosen)
+        return FeaturePlan(encoder, chosen := _choose(encoder, rows, classes, ref, groups, params)), _chosen_vectors(rows, key, y, encoder.names(), chosen)
     finally:
         rows.unpersist()
 
@@ -111,34 +113,77 @@ def _fit_features(
 def _choose(
     encoder: Preprocessor, rows: DataFrame, y: str, ref: DataFrame | None, groups: ColumnGroups, params: FeatureParams
 ) -> list[str]:
-    """The features chosen from the encoded rows."""
-    stats = select.feature_stats(rows, encoder.names(), y)
-    mi = select.mutual_info(rows, stats, y)
+    """The features chosen from the encoded rows (with sparse entries)."""
+    stats = select.sparse_stats(rows, encoder.names(), y)
+    mi = select.sparse_information(rows, stats, y, params.bins)
     if ref is None:
         ref_stats = stats
     else:
-        absent = {c: F.lit(None).cast(encoder.state.kinds[c]) for c in encoder.state.kinds if c not in ref.columns}
-        ref_inputs = ref.withColumns(absent) if absent else ref
-        ref_encoder = Preprocessor.fit(ref_inputs, groups, within=encoder.state)
-        ref_stats = select.feature_stats(ref_encoder.vectors(ref_inputs), ref_encoder.names())
-    kept = set(select.varying(stats))
-    candidates = [s for s in stats if s.name in kept]
-    if not candidates:
-        raise ValueError("no feature varies in the training rows")
-    scores = select.joint_scores(candidates, mi, ref_stats, params.w_f, params.w_mi, params.w_ref, params.min_presence)
-    return select.joint_select(scores, params.k_features, candidates)
+        ref_inputs = with_absent(ref, encoder.state.kinds)
+        ref_encoder = Preprocessor.fit(ref_inputs, groups, within=encoder.state, text_terms=encoder.term_count)
+        ref_stats = select.sparse_stats(ref_encoder.sparse(ref_inputs), ref_encoder.names())
+    return Scores.of(stats, mi, ref_stats, params).names(params.k_features)
+
+
+def with_absent(ref: DataFrame, kinds: dict[str, str]) -> DataFrame:
+    """The reference rows with the columns that they lack, as nulls."""
+    absent = {c: F.lit(None).cast(kind) for c, kind in kinds.items() if c not in ref.columns}
+    return ref.withColumns(absent) if absent else ref
+
+
+@dataclass
+class Scores:
+    """Scores of the features that vary; a number of features cuts their ranking."""
+
+    scored: list[select.Scored]
+    candidates: list[select.FeatureStats]
+
+    @classmethod
+    def of(cls, stats: list, mi: dict[str, float], ref_stats: list, params: FeatureParams) -> Scores:
+        kept = set(select.varying(stats))
+        candidates = [s for s in stats if s.name in kept]
+        if not candidates:
+            raise ValueError("no feature varies in the training rows")
+        return cls(select.joint_scores(candidates, mi, ref_stats, params.w_f, params.w_mi, params.w_ref, params.min_presence), candidates)
+
+    def names(self, k: int) -> list[str]:
+        return select.joint_select(self.scored, k, self.candidates)
 
 
 def _chosen_vectors(rows: DataFrame, key: str, y: str, names: Sequence[str], chosen: Sequence[str]) -> DataFrame:
     """key, y and the chosen features as a vector, held until the caller lets go of them."""
-    places = [names.index(n) for n in chosen]
-    vectors = rows.select(
-        q(key).alias("key"), q(y).alias("y"), array_to_vector(F.array(*[F.col("features")[i] for i in places])).alias("features")
-    ).persist(StorageLevel.MEMORY_AND_DISK)
+    place = {n: j for j, n in enumerate(names)}
+    there = F.map_from_entries("entries")
+    cells = F.transform(F.array(*[F.lit(place[n]) for n in chosen]), lambda j: F.coalesce(F.try_element_at(there, j), F.lit(0.0)))
+    vectors = rows.select(q(key).alias("key"), q(y).alias("y"), array_to_vector(cells).alias("features")).persist(StorageLevel.MEMORY_AND_DISK)
     vectors.count()
     return vectors
 
 
+def fold_scores(
+    rows: DataFrame, y: str, key: str, folds: int, ref: DataFrame | None = None, params: FeatureParams = FeatureParams()
+) -> list[tuple[Preprocessor, Scores]]:
+    """Encoder and scores of each fold's training side, from one count of the rows (with `fold`) and one of the reference rows.
+
+    The number of jobs does not depend on the number of folds.
+    """
+    inputs = [c for c in rows.columns if c not in (key, y, "fold")]
+    views = list(range(folds))
+    counts = ValueCounts.count(rows, inputs, q(y), F.col("fold"))
+    groups = column_groups(counts, views)
+    fitted = encoders(counts, groups, views)
+    table = feature_table(counts, fitted, views)
+    stats = feature_stats(counts, table, fitted, views)
+    mi = information(counts, table, stats, views, params.bins)
+    ref_stats = stats
+    if ref is not None:
+        ref_counts = ValueCounts.count(with_absent(ref, counts.kinds).select(*[q(c) for c in inputs]), inputs)
+        every = [ALL_ROWS] * folds
+        ref_fitted = encoders(ref_counts, groups, every, within=[e.state for e in fitted])
+        ref_stats = feature_stats(ref_counts, feature_table(ref_counts, ref_fitted, every), ref_fitted, every)
+    return [(e, Scores.of(s, m, r, params)) for e, s, m, r in zip(fitted, stats, mi, ref_stats, strict=True)]
+
+
 def _index(labels: Sequence[str]) -> Column:
     """Class index of y, with the class list as metadata so that every forest knows all classes."""
     code = F
@@ -309,10 +354,16 @@ class TicketModel:
     @classmethod
     def fit(
         cls, df: DataFrame, y: str, key: str, ref: DataFrame | None = None, features: FeatureParams = FeatureParams(),
-        forest: ForestParams = ForestParams(), model_type: str = "classification", cv: int = 5,
+        forest: ForestParams = ForestParams(), model_type: str = "classification", cv: int = 5, plan: FeaturePlan | None = None,
     ) -> TicketModel:
-        """Fits on all columns but `key` and `y`. `key` tells rows apart; `ref` defaults to the training rows."""
-        plan, rows = fit_features(df, y, key, ref, features, numeric_target=model_type == "regression")
+        """Fits on all columns but `key` and `y`. `key` tells rows apart; `ref` defaults to the training rows.
+
+        With a `plan` the features are given, and only the forests are fitted.
+        """
+        if plan is None:
+            plan, rows = fit_features(df, y, key, ref, features, numeric_target=model_type == "regression")
+        else:
+            rows = plan.vectors(df, [key, y]).select(q(key).alias("key"), q(y).alias("y"), "features").persist(StorageLevel.MEMORY_AND_DISK)
         if model_type == "regression":
             model = cls(plan, None, fit_forest(rows, None, forest), features, forest)
         else:
@@ -376,12 +427,25 @@ def _folded(df: DataFrame, y: str, key: str, folds: int, seed: int) -> tuple[Dat
     return units.stratified_folds(df, y, key, used, seed, sum(counts)).persist(StorageLevel.MEMORY_AND_DISK), used
 
 
+def _fold_models(
+    rows: DataFrame, used: int, y: str, key: str, ref: DataFrame | None = None, features: FeatureParams = FeatureParams(),
+    model_type: str = "classification", **fit,
+) -> Iterator[tuple[int, TicketModel]]:
+    """A model per fold, of its training side. The features of all folds come from one count (of a numeric target: fold by fold)."""
+    if model_type == "regression":
+        plans = [None] * used
+    else:
+        plans = [FeaturePlan(e, s.names(features.k_features)) for e, s in fold_scores(rows, y, key, used, ref, features)]
+    for f, plan in enumerate(plans):
+        side = rows.filter(F.col("fold") != f).drop("fold")
+        yield f, TicketModel.fit(side, y, key, ref=ref, features=features, model_type=model_type, plan=plan, **fit)
+
+
 def cross_predict(df: DataFrame, y: str, key: str, folds: int = 10, seed: int = 42, **fit) -> DataFrame:
-    """Out-of-fold prediction of every row (key, y, fold, pred), written once; everything is fitted anew per fold."""
+    """Out-of-fold prediction of every row (key, y, fold, pred), written once; encoders, features and forests are each fold's own."""
     rows, used = _folded(df, y, key, folds, seed)
     out = None
-    for f in range(used):
-        model = TicketModel.fit(rows.filter(F.col("fold") != f).drop("fold"), y, key, **fit)
+    for f, model in _fold_models(rows, used, y, key, **fit):
         part = model.transform(rows.filter(F.col("fold") == f), [key, y, "fold"])
         part = part.select(q(key), q(y), "fold", F.col("predicted_lead_time").alias("pred"))
         out = part if out is None else out.unionByName(part)
@@ -394,8 +458,7 @@ def cross_validate(df: DataFrame, y: str, key: str, folds: int = 5, seed: int =
     """Accuracy and weighted F1 per fold, on held-out and (optionally) training rows."""
     rows, used = _folded(df, y, key, folds, seed)
     out = []
-    for f in range(used):
-        model = TicketModel.fit(rows.filter(F.col("fold") != f).drop("fold"), y, key, **fit)
+    for f, model in _fold_models(rows, used, y, key, **fit):
         scores = {"fold": f}
         for side, part in (("test", rows.filter(F.col("fold") == f)), ("train", rows.filter(F.col("fold") != f))):
             if side == "train" and not train_scores:
@@ -405,3 +468,53 @@ def cross_validate(df: DataFrame, y: str, key: str, folds: int = 5, seed: int =
         out.append(scores)
     rows.unpersist()
     return out
+
+
+@dataclass
+class SharedFolds:
+    """Folded rows whose encodings and scores all trials of a search share.
+
+    Per fold the rows, held-out ones included, are encoded once, with the features
+    of the largest number that is asked for; a trial takes those within its own number.
+    """
+
+    rows: DataFrame
+    folds: int
+    scores: list[Scores]
+    names: list[list[str]]
+    encoded: list[DataFrame]
+
+    @classmethod
+    def prepare(
+        cls, df: DataFrame, y: str, key: str, folds: int, seed: int, most: int, ref: DataFrame | None = None, features: FeatureParams = FeatureParams()
+    ) -> SharedFolds:
+        rows, used = _folded(df, y, key, folds, seed)
+        found = fold_scores(rows, y, key, used, ref, features)
+        names = [s.names(most) for _, s in found]
+        encoded = [
+            e.vectors(rows, [key, y, "fold"], n).select(q(key).alias("key"), q(y).alias("y"), "fold", F.col("features").alias("wide")).persist(StorageLevel.MEMORY_AND_DISK)
+            for (e, _), n in zip(found, names, strict=True)
+        ]
+        return cls(rows, used, [s for _, s in found], names, encoded)
+
+    def vectors(self, fold: int, k: int) -> DataFrame:
+        """key, y, fold and the vector of the k features of a fold."""
+        places = [self.names[fold].index(n) for n in self.scores[fold].names(k)]
+        cells = F.array(*[F.col("wide")[i] for i in places])
+        return self.encoded[fold].select("key", "y", "fold", array_to_vector(cells).alias("features"))
+
+    def trial(self, k: int, forest: ForestParams, cv: int = 5) -> list[units.Metrics]:
+        """Scores on each fold's held-out rows."""
+        out = []
+        for f in range(self.folds):
+            rows = self.vectors(f, k)
+            fitted = calibrate(rows.filter(F.col("fold") != f).drop("fold"), forest, cv)
+            p = F.col("probabilities")
+            top = F.element_at(F.array(*[F.lit(c) for c in fitted.labels]), F.array_position(p, F.array_max(p)).cast("int"))
+            guessed = fitted.probabilities(rows.filter(F.col("fold") == f)).select("y", top.alias("pred"))
+            out.append(units.metrics(guessed, "y", "pred"))
+        return out
+
+    def release(self) -> None:
+        for held in (self.rows, *self.encoded):
+            held.unpersist()

@@ -18,7 +18,9 @@ from pyspark.ml.stat import Summarizer
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ticketlens.operators.neighbours import binned_information, neighbour_information, value_table
 from ticketlens.operators.quantiles import bin_edges, number
+from ticketlens.session import materialize
 from ticketlens.skew import q
 
 BINS = 10
@@ -74,22 +76,90 @@ def feature_stats(df: DataFrame, names: Sequence[str], y: str | None = None) ->
     if len(rows) > MOST_CLASSES:
         raise ValueError(f"the target has more than {MOST_CLASSES} values; a numeric one needs classes")
     rows = sorted(rows, key=lambda r: r["label"])
-    out = []
-    total = sum(r["n"] for r in rows)
-    for i, name in enumerate(names):
-        if not total:
-            out.append(FeatureStats(name, 0, 0, 0.0, 0.0, 0.0, 0.0, [], [], [], []))
-            continue
-        class_n = [r["n"] for r in rows]
-        means = [r["mean"][i] for r in rows]
-        variances = [r["variance"][i] for r in rows]
-        present = [int(r["numNonZeros"][i]) for r in rows]
-        mean = sum(n * m for n, m in zip(class_n, means)) / total
-        square = sum((n - 1) * v + n * (m - mean) ** 2 for n, m, v in zip(class_n, means, variances))
-        out.append(FeatureStats(
-            name, total, sum(present), mean, square / total, min(r["min"][i] for r in rows), max(r["max"][i] for r in rows),
-            class_n, means, variances, present))
-    return out
+    return [
+        combined(
+            name, [r["n"] for r in rows], [r["mean"][i] for r in rows], [r["variance"][i] for r in rows],
+            [int(r["numNonZeros"][i]) for r in rows], min((r["min"][i] for r in rows), default=0.0), max((r["max"][i] for r in rows), default=0.0))
+        for i, name in enumerate(names)
+    ]
+
+
+def combined(
+    name: str, class_n: list[int], means: list[float], variances: list[float], present: list[int], low: float, high: float
+) -> FeatureStats:
+    """Statistics over all rows from those of the classes."""
+    total = sum(class_n)
+    if not total:
+        return FeatureStats(name, 0, 0, 0.0, 0.0, 0.0, 0.0, [], [], [], [])
+    mean = sum(n * m for n, m in zip(class_n, means)) / total
+    square = sum((n - 1) * v + n * (m - mean) ** 2 for n, m, v in zip(class_n, means, variances))
+    return FeatureStats(name, total, sum(present), mean, square / total, low, high, class_n, means, variances, present)
+
+
+def sparse_stats(df: DataFrame, names: Sequence[str], y: str | None = None) -> list[FeatureStats]:
+    """Statistics of sparse rows (`entries`: j and x), split by class `y` if given; features without an entry are 0.
+
+    Only the entries are combined, so memory and shuffle follow the values that are
+    not 0, whatever the number of features.
+    """
+    label = q(y).cast("string") if y else F.lit("")
+    rows = df.select(label.alias("label"), "entries").filter("label IS NOT NULL")
+    sizes = {r["label"]: r["n"] for r in rows.groupBy("label").agg(F.count(F.lit(1)).alias("n")).limit(MOST_CLASSES + 1).collect()}
+    if len(sizes) > MOST_CLASSES:
+        raise ValueError(f"the target has more than {MOST_CLASSES} values; a numeric one needs classes")
+    x = F.col("x")
+    cells = rows.select("label", F.inline("entries")).groupBy("j", "label").agg(
+        F.count(F.lit(1)).alias("n"), F.avg(x).alias("mean"), F.var_pop(x).alias("variance"), F.count(F.when(x != 0, True)).alias("present"),
+        F.min(x).alias("low"), F.max(x).alias("high"))
+    found = {(r["j"], r["label"]): r for r in cells.collect()}  # features x classes
+    labels = sorted(sizes)
+    return [of_entries(name, [sizes[c] for c in labels], [found.get((j, c)) for c in labels]) for j, name in enumerate(names)]
+
+
+def of_entries(name: str, sizes: list[int], cells: Sequence) -> FeatureStats:
+    """Statistics of a feature from those of its entries per class (n, mean, variance, present, low, high; None without any)."""
+    means, variances, present, lows, highs = [], [], [], [], []
+    for size, r in zip(sizes, cells, strict=True):
+        zeros = size - (r["n"] if r else 0)
+        mean = r["mean"] * r["n"] / size if r else 0.0
+        around = r["n"] * (r["variance"] + (r["mean"] - mean) ** 2) + zeros * mean**2 if r else 0.0
+        means.append(mean)
+        variances.append(around / (size - 1) if size > 1 else 0.0)
+        present.append(r["present"] if r else 0)
+        lows += ([r["low"]] if r else []) + ([0.0] if zeros else [])
+        highs += ([r["high"]] if r else []) + ([0.0] if zeros else [])
+    return combined(name, sizes, means, variances, present, min(lows, default=0.0), max(highs, default=0.0))
+
+
+def sparse_information(df: DataFrame, stats: Sequence[FeatureStats], y: str, bins: int | None = None) -> dict[str, float]:
+    """Mutual information of each varying feature of sparse rows and the class: by nearest neighbours, or over equal-frequency bins.
+
+    For a flag the class statistics already hold the table of values and counts.
+    """
+    out = {s.name: 0.0 for s in stats}
+    asked = [(j, s) for j, s in enumerate(stats) if s.varies]
+    if not asked:
+        return out
+    spark = df.sparkSession
+    flags = [(j, s) for j, s in asked if s.is_flag]
+    rest = [j for j, s in asked if not s.is_flag]
+    rows = df.select(q(y).cast("string").alias("label"), "entries").filter("label IS NOT NULL")
+    sizes = {r["label"]: r["n"] for r in rows.groupBy("label").agg(F.count(F.lit(1)).alias("n")).collect()}
+    labels = sorted(sizes)
+    counted = [
+        (j, c, float(v), n) for j, s in flags for c, size, p in zip(labels, s.class_n, s.class_present, strict=True) for v, n in ((1, p), (0, size - p)) if n
+    ]
+    table = spark.createDataFrame(counted, "i int, label string, x double, n long")
+    if rest:
+        wanted = F.col("j").isin(rest) if len(rest) < len(stats) else F.lit(True)
+        there = rows.select("label", F.inline("entries")).filter(wanted).groupBy(F.col("j").alias("i"), "label", "x").agg(F.count(F.lit(1)).alias("n"))
+        there = materialize(there)
+        full = spark.createDataFrame([(j, c, sizes[c]) for j in rest for c in labels], "i int, label string, size long")
+        zeros = full.join(there.groupBy("i", "label").agg(F.sum("n").alias("n")), ["i", "label"], "left").select(
+            "i", "label", F.lit(0.0).alias("x"), (F.col("size") - F.coalesce("n", F.lit(0))).alias("n"))
+        table = table.unionByName(there).unionByName(zeros)
+    found = neighbour_information(table) if bins is None else binned_information(table, bins, [j for j, _ in flags])
+    return out | {s.name: found.get(j, 0.0) for j, s in asked}
 
 
 def target_classes(df: DataFrame, y: str, into: str, bins: int = BINS) -> DataFrame:
@@ -128,14 +198,17 @@ def information(table: Sequence[Sequence[int]]) -> float:
     return max(0.0, out)
 
 
-def mutual_info(df: DataFrame, stats: Sequence[FeatureStats], y: str, bins: int = BINS) -> dict[str, float]:
-    """Mutual information of each varying feature and the class over equal-frequency bins.
+def mutual_info(df: DataFrame, stats: Sequence[FeatureStats], y: str, bins: int | None = BINS) -> dict[str, float]:
+    """Mutual information of each varying feature and the class over equal-frequency bins, or by nearest neighbours (no bins).
 
     For a 0/1 feature the class statistics already hold the table. The others
     are cut at quantiles (see `bin_edges`) and counted in one pre-aggregated pass.
     """
     out: dict[str, float] = {}
     rest = []
+    if bins is None:
+        found = neighbour_information(value_table(df, {i: F.col("features")[i] for i, s in enumerate(stats) if s.varies}, q(y)))
+        return {s.name: found.get(i, 0.0) for i, s in enumerate(stats)}
     for i, s in enumerate(stats):
         if not s.varies:
             out[s.name] = 0.0
@@ -218,7 +291,8 @@ def joint_select(scores: Sequence[Scored], k: int, stats: Sequence[FeatureStats]
     k = min(k, len(scores))
     if k <= 0:
         return [max(stats, key=lambda s: s.variance).name]
-    best = sorted(range(len(scores)), key=lambda i: (-scores[i].combined, i))[:k]
+    # scores that differ by rounding alone are equal
+    best = sorted(range(len(scores)), key=lambda i: (-round(scores[i].combined, 9), i))[:k]
     return [scores[i].name for i in sorted(best)]
 
 

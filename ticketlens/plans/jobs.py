@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from ticketlens.catalogue import DEFAULT, Catalogue
 from ticketlens.operators import history, ledger, prepare, snapshots, summaries, units
-from ticketlens.operators.model import FeatureParams, ForestParams, TicketModel, cross_predict, cross_validate
+from ticketlens.operators.model import FeatureParams, ForestParams, SharedFolds, TicketModel, cross_predict
 from ticketlens.operators.score import class_labels, rank_rows, score
 from ticketlens.session import remove_folder
 from ticketlens.skew import q
@@ -362,15 +362,22 @@ def search(
     df: DataFrame, y: str, key: str, space: SearchSpace = SearchSpace(), trials: int = 40, seed: int = 42, folds: int = 10,
     features: FeatureParams = FeatureParams(), **fit,
 ) -> DataFrame:
-    """Trials with their mean weighted F1 and accuracy over the folds, one row each."""
+    """Trials with their mean weighted F1 and accuracy over the folds, one row each.
+
+    Encoders and feature scores are fitted once per fold and shared; a trial is a
+    cut of each fold's ranking and a forest.
+    """
+    drawn = draws(space, trials, seed)
+    ref, cv = fit.get("ref"), fit.get("cv", 5)
+    shared = SharedFolds.prepare(df, y, key, folds, seed, max((k for k, _ in drawn), default=0), ref, features)
     rows = []
-    for number, (k, forest) in enumerate(draws(space, trials, seed)):
-        scores = cross_validate(
-            df, y, key, folds, seed, train_scores=False, features=replace(features, k_features=k), forest=forest, **fit)
-        f1 = sum(s["test_f1_weighted"] for s in scores) / len(scores)
-        acc = sum(s["test_accuracy"] for s in scores) / len(scores)
+    for number, (k, forest) in enumerate(drawn):
+        scores = shared.trial(k, forest, cv)
+        f1 = sum(s.f1_weighted for s in scores) / len(scores)
+        acc = sum(s.accuracy for s in scores) / len(scores)
         tried = {name: v for name, v in asdict(forest).items() if name != "min_samples_split"}
         rows.append((number, f1, acc, k, *tried.values()))
+    shared.release()
     return df.sparkSession.createDataFrame(rows, TRIAL_SCHEMA)
 
 
