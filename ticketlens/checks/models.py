@@ -6,11 +6,12 @@ the most probable class, a saved model predicts the same) beside what SQL can co
 
 from __future__ import annotations
 
+from pyspark.ml.functions import array_to_vector
 from pyspark.sql import functions as F
 
 from ticketlens.checks.selection import F_TABLE, MI_TABLE, REF_TABLE, SCALED, neighbours_sql
 from ticketlens.fixtures import fixture, with_views
-from ticketlens.operators import model, select
+from ticketlens.operators import model, select, trees
 from ticketlens.operators.model import FeatureParams, ForestParams, TicketModel
 from ticketlens.plans import jobs
 from ticketlens.session import scratch_folder
@@ -81,6 +82,58 @@ def _random_forest(spark, sf):
     return model.forest_probabilities(forest, rows, "p").select("key", "y", *_laws(F.col("p")))
 
 
+FLAGS = {"urgent": "CASE WHEN c_onehot = '1-URGENT' THEN 1 ELSE 0 END", "promo": "CASE WHEN t_bin LIKE '%PROMO%' THEN 1 ELSE 0 END",
+         "priced": "CASE WHEN n_price > 250000 THEN 1 ELSE 0 END", "large": "CASE WHEN t_bin LIKE '%LARGE%' THEN 1 ELSE 0 END"}
+
+
+def _forest_nodes(spark, sf):
+    """Class probabilities by walking the node table of one tree, whose nodes with less than half of the rows are not split."""
+    flags = fixture(spark, sf, "fx_items").selectExpr("key", "y", f"array({', '.join(f'CAST({x} AS DOUBLE)' for x in FLAGS.values())}) AS cells").cache()
+    labels = sorted(r["y"] for r in flags.select("y").distinct().collect())
+    params = ForestParams(n_estimators=1, max_depth=2, min_samples_split=(flags.count() + 1) // 2, min_samples_leaf=1, max_features="all", bootstrap=False)
+    forest = model.fit_forest(flags.select("y", array_to_vector("cells").alias("features")), labels, params)
+    folder = scratch_folder(spark)
+    forest.write().save(folder)
+    nodes = trees.node_table(trees.saved_nodes(spark, folder))
+    walked = trees.walked_probabilities(flags.select("key", F.col("cells").alias("features")), nodes, 2)
+    return walked.select("key", F.posexplode("p").alias("c", "p")).select("key", F.get(F.array(*[F.lit(c) for c in labels]), F.col("c")).alias("y"), F.round("p", 6).alias("p"))
+
+
+def _impure(level: str, source: str, by: str) -> str:
+    """best_<level>: the flag whose two sides are least impure, per group of `by`."""
+    return f"""
+side_{level} AS (SELECT {by}, flag, v, sum(n) AS n, sum(n) - sum(n * n) / sum(n) AS impure FROM (
+  SELECT {by}, flag, v, y, CAST(count(*) AS DOUBLE) AS n FROM {source} GROUP BY {by}, flag, v, y) GROUP BY {by}, flag, v),
+best_{level} AS (SELECT {by}, flag FROM (
+  SELECT {by}, flag, row_number() OVER (PARTITION BY {by} ORDER BY impure, flag) AS place FROM (
+    SELECT {by}, flag, sum(impure) AS impure FROM side_{level} GROUP BY {by}, flag HAVING count(*) = 2)) WHERE place = 1)"""
+
+
+def _shares(name: str, source: str, by: str) -> str:
+    """<name>: class shares per group of `by`; <name>_top: rows and the likeliest class."""
+    return f"""
+{name} AS (SELECT {by}, y, n / sum(n) OVER (PARTITION BY {by}) AS p, sum(n) OVER (PARTITION BY {by}) AS size FROM (SELECT {by}, y, count(*) AS n FROM {source} GROUP BY {by}, y)),
+{name}_top AS (SELECT {by}, size, y AS top FROM (SELECT *, row_number() OVER (PARTITION BY {by} ORDER BY p DESC, y) AS place FROM {name}) WHERE place = 1)"""
+
+
+FOREST_SQL = "long AS (" + " UNION ALL ".join(f"SELECT key, y, 0 AS root, {i} AS flag, {x} AS v FROM fx_items" for i, x in enumerate(FLAGS.values())) + "),"
+FOREST_SQL += _impure("a", "long", "root") + ",\nfirst AS (SELECT l.key, l.y, l.v AS node FROM long l JOIN best_a b ON l.flag = b.flag),"
+FOREST_SQL += "\nbelow AS (SELECT l.key, l.y, f.node, l.flag, l.v FROM long l JOIN first f ON l.key = f.key),"
+FOREST_SQL += _impure("b", "below", "node") + ",\nleaves AS (SELECT l.key, l.y, l.node, l.v AS leaf FROM below l JOIN best_b b ON l.node = b.node AND l.flag = b.flag),"
+FOREST_SQL += _shares("root_shares", "(SELECT *, 0 AS root FROM first)", "root") + "," + _shares("node_shares", "first", "node") + ","
+FOREST_SQL += _shares("leaf_shares", "leaves", "node, leaf") + """,
+-- leaves beside each other with one likeliest class are one leaf
+merged AS (SELECT n.node, n.size, n.top, count(DISTINCT l.top) < 2 AS is_leaf FROM node_shares_top n LEFT JOIN leaf_shares_top l ON n.node = l.node GROUP BY n.node, n.size, n.top),
+whole AS (SELECT bool_and(is_leaf) AND count(DISTINCT top) = 1 AS is_leaf FROM merged),
+reached AS (
+  SELECT f.key, f.node, l.leaf, w.is_leaf AS at_root, m.is_leaf OR m.size < (SELECT (count(*) + 1) // 2 FROM fx_items) AS at_node
+  FROM first f JOIN merged m ON f.node = m.node CROSS JOIN whole w LEFT JOIN leaves l ON l.key = f.key),
+labels AS (SELECT DISTINCT y FROM fx_items)
+SELECT r.key, c.y, round(coalesce(CASE WHEN at_root THEN a.p WHEN at_node THEN b.p ELSE d.p END, 0), 6) AS p
+FROM reached r CROSS JOIN labels c LEFT JOIN root_shares a ON a.y = c.y LEFT JOIN node_shares b ON b.node = r.node AND b.y = c.y
+LEFT JOIN leaf_shares d ON d.node = r.node AND d.leaf = r.leaf AND d.y = c.y"""
+
+
 def _regression(spark, sf):
     """Means of targets stay within the targets."""
     rows = items(spark, sf).withColumn("y", F.regexp_replace("y", "\\+", "").cast("double"))
@@ -284,6 +337,8 @@ def _search(spark, sf):
     return top.select("n_trials", (F.col("top") == best["f1w"]).alias("is_best"), F.lit(best["k_features"] in (6, 12)).alias("in_space"))
 
 
+QUERIES["forest_nodes"] = _forest_nodes
+ORACLE["forest_nodes"] = with_views("", "fx_items").rstrip() + ",\n" + FOREST_SQL
 QUERIES["random_forest"] = _random_forest
 ORACLE["random_forest"] = _sql(f"SELECT key, y, {LAWS_SQL} FROM fx_items")
 QUERIES["random_forest_regression"] = _regression

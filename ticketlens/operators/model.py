@@ -20,6 +20,7 @@ from ticketlens.operators.encode import Preprocessor
 from ticketlens.operators.folds import ALL_ROWS, ValueCounts, column_groups, encoders, feature_stats, feature_table, information
 from ticketlens.operators.profile import ColumnGroups, group_columns
 from ticketlens.operators.score import PREFIX, total
+from ticketlens.operators.trees import with_min_split
 from ticketlens.session import ensure_checkpoint_dir, materialize, together
 from ticketlens.skew import q
 
@@ -29,7 +30,7 @@ DEEPEST = 30
 
 @dataclass(frozen=True)
 class ForestParams:
-    """Forest settings. `min_samples_split` has no counterpart in Spark and is kept for the record only."""
+    """Forest settings. Nodes with fewer than `min_samples_split` rows are made leaves once the trees are grown."""
 
     # Default forest
     n_estimators: int = 300
@@ -38,6 +39,7 @@ class ForestParams:
     min_samples_leaf: int = 2
     max_features: str = "sqrt"
     random_state: int = 42
+    bootstrap: bool = True
 
     def settings(self) -> dict:
         if self.max_depth > DEEPEST:
@@ -45,6 +47,7 @@ class ForestParams:
         return {
             "numTrees": self.n_estimators, "maxDepth": self.max_depth, "minInstancesPerNode": self.min_samples_leaf,
             "featureSubsetStrategy": self.max_features, "seed": self.random_state, "cacheNodeIds": self.max_depth > 10,
+            "bootstrap": self.bootstrap,
         }
 
 
@@ -198,14 +201,15 @@ def fit_forest(rows: DataFrame, labels: Sequence[str] | None, params: ForestPara
         ensure_checkpoint_dir(rows.sparkSession)
     if labels is None:
         rows = rows.select("features", F.col("y").cast("double").alias("label"))
-        return RandomForestRegressor(**params.settings()).fit(rows)
+        return with_min_split(RandomForestRegressor(**params.settings()).fit(rows), params.min_samples_split, rows.sparkSession)
     chosen = F.lit(1.0)
     if weights:
         chosen = F
         for label, w in weights.items():
             chosen = chosen.when(F.col("y") == F.lit(label), F.lit(w))
     rows = rows.select("features", _index(labels), chosen.alias("weight"))
-    return RandomForestClassifier(weightCol="weight", **params.settings()).fit(rows)
+    grown = RandomForestClassifier(weightCol="weight", **params.settings()).fit(rows)
+    return with_min_split(grown, params.min_samples_split, rows.sparkSession)
 
 
 def forest_probabilities(model, rows: DataFrame, into: str) -> DataFrame:

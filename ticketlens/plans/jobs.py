@@ -68,6 +68,7 @@ class SearchSpace:
     k_features: Sequence[int] = tuple(range(60, 261, 20))
     n_estimators: Sequence[int] = tuple(range(200, 801, 100))
     max_depth: Sequence[int] = tuple(range(10, 31, 5))
+    min_samples_split: Sequence[int] = tuple(range(2, 21))
     min_samples_leaf: Sequence[int] = tuple(range(1, 11))
     max_features: Sequence[str] = ("sqrt", "log2")
 
@@ -347,13 +348,13 @@ def draws(space: SearchSpace, trials: int, seed: int) -> list[tuple[int, ForestP
         k = rng.choice(list(space.k_features))
         out.append((k, ForestParams(
             n_estimators=rng.choice(list(space.n_estimators)), max_depth=rng.choice(list(space.max_depth)),
-            min_samples_leaf=rng.choice(list(space.min_samples_leaf)),
+            min_samples_split=rng.choice(list(space.min_samples_split)), min_samples_leaf=rng.choice(list(space.min_samples_leaf)),
             max_features=rng.choice(list(space.max_features)), random_state=seed)))
     return out
 
 
 TRIAL_SCHEMA = (
-    "number int, f1w double, acc double, k_features int, n_estimators int, max_depth int, min_samples_leaf int, "
+    "number int, f1w double, acc double, k_features int, n_estimators int, max_depth int, min_samples_split int, min_samples_leaf int, "
     "max_features string, random_state int"
 )
 
@@ -375,7 +376,7 @@ def search(
         scores = shared.trial(k, forest, cv)
         f1 = sum(s.f1_weighted for s in scores) / len(scores)
         acc = sum(s.accuracy for s in scores) / len(scores)
-        tried = {name: v for name, v in asdict(forest).items() if name != "min_samples_split"}
+        tried = {name: v for name, v in asdict(forest).items() if name != "bootstrap"}
         rows.append((number, f1, acc, k, *tried.values()))
     shared.release()
     return df.sparkSession.createDataFrame(rows, TRIAL_SCHEMA)
