@@ -175,3 +175,40 @@ def test_small_functions(spark):
     tagged = spark.createDataFrame([("a# #b",), ("",), (None,)], "t string")
     assert [r.n for r in tagged.select(tag_count(F.col("t")).alias("n")).collect()] == [2, 0, 0]
     assert encode.null_columns(rows) == ["s"]
+
+
+@pytest.mark.parametrize("parts", [1, 3, 7])
+def test_samples_have_the_exact_size(spark, parts):
+    rows = [(k, f"v{k % 4}" if k % 3 else None, "2024-01-01" if k < 30 else "odd", None) for k in range(60)] + [(1, "v1", "2024-01-01", None)] * 3
+    df = spark.createDataFrame(rows, "key long, a string, d string, gone string").repartition(parts)
+    got = [(r["column"], r["value"]) for r in profile.sample_values(df, ["a", "d", "gone"], 10, F.col("key")).collect()]
+    assert sorted({c: sum(x == c for x, _ in got) for c, _ in got}.items()) == [("a", 10), ("d", 10)]
+    again = profile.sample_values(df.repartition(5), ["a", "d", "gone"], 10, F.col("key"))
+    assert sorted(got) == sorted((r["column"], r["value"]) for r in again.collect())
+    few = profile.sample_values(df.limit(5), ["d"], 10)
+    assert few.count() == 5
+    assert profile.detect_dates(df.drop("key"), 0.05, sample_size=60) == ["d"] and profile.detect_dates(df, sample_size=1000) == profile.detect_dates(df)
+
+
+def test_many_tags_stay_sparse(spark):
+    """Thousands of flags: statistics and selection follow the tags that rows have, and equal the dense path on the chosen ones."""
+    draw = random.Random(9)
+    rows = [(k, "#".join({f"t{draw.randrange(4_000)}" for _ in range(4)} | ({"hot"} if k % 2 else set())), "ab"[k % 2]) for k in range(2_000)]
+    df = spark.createDataFrame(rows, "key int, tags string, y string").repartition(4)
+    fitted = Preprocessor.fit(df, ColumnGroups(tag_count=["tags"], tag_binarize=["tags"]))
+    names = fitted.names()
+    assert names == list(fitted.features())
+    assert len(names) > 3_000
+    sparse = fitted.sparse(df, ["key", "y"]).cache()
+    assert sparse.agg(F.max(F.size("entries"))).first()[0] <= 6
+    stats = select.sparse_stats(sparse, names, "y")
+    top = max(stats, key=select.f_score).name
+    some = [top, *names[:20], "ml_count__tags"]
+    dense = select.feature_stats(fitted.vectors(df, ["y"], some), some, "y")
+    by_name = {s.name: s for s in stats}
+    for s in dense:
+        assert (by_name[s.name].present, by_name[s.name].class_present) == (s.present, s.class_present) and by_name[s.name].variance == pytest.approx(s.variance)
+    mi = select.sparse_information(sparse, stats, "y")
+    assert sorted(mi, key=mi.get)[-2:] == sorted(["ml_binarize__tags_hot", "ml_count__tags"], key=mi.get)
+    assert mi["ml_binarize__tags_hot"] == pytest.approx(np.log(2), abs=0.01)
+    sparse.unpersist()

@@ -60,6 +60,61 @@ def test_rejected_tickets_are_told_apart(raw):
     assert (good.count(), bad.count()) == (2, 1)
 
 
+def test_lines_that_are_no_tickets(spark, tmp_path):
+    lines = [
+        json.dumps(TICKETS[1]), json.dumps(TICKETS[2]), '{"key": "A-3", "created": null}', '{"key": "A-4", "created"', "[1, 2]", '"text"', "",
+        '{"key": "A-5", "created": "2023-01-01", "fields": "none"}', '{"key": "A-6", "created": "2023-01-01", "changelog": {"histories": 7}}', "no json at all",
+    ]
+    (tmp_path / "t.json").write_text("\n".join(lines))
+    good, bad = tickets.split_tickets(tickets.read_tickets(spark, str(tmp_path / "t.json"), keep_corrupt=True))
+    assert [r.key for r in good.collect()] == ["A-2"] and tickets.RECORD not in good.columns
+    got = {(r.reason, r.record) for r in bad.collect()}
+    assert got == {
+        ("no key", None), ("no creation time", None), ("broken JSON", lines[3]), ("no object", lines[4]), ("no object", lines[5]),
+        ("wrong type: fields", lines[7]), ("wrong type: a nested field", lines[8]), ("broken JSON", lines[9]),
+    }
+
+
+def test_seconds_per_day_are_a_setting(spark, raw):
+    from dataclasses import replace
+
+    from ticketlens.catalogue import DEFAULT
+
+    eight = replace(DEFAULT, seconds_per_day=8 * 3600)
+    assert tickets.flatten_current(raw, eight).filter("issuekey = 'A-1'").first().epic_jira_spent_dev_etc_md == 6.0
+    panel = jobs.panel_from_tickets(raw, eight).filter("key = 'A-1'").orderBy("extract_date").collect()
+    assert [r.epic_jira_spent_dev_etc_md for r in panel] == [3.0, 3.0, 6.0]
+
+
+def test_a_batch_rewrites_the_buckets_it_touches(spark, tmp_path):
+    path = f"{tmp_path}/ledger"
+
+    def batch(keys, at, model="m/1 *%", p=0.5):
+        rows = [(f"K{k}", "Open", "1", model, at, p, 1 - p) for k in keys]
+        return spark.createDataFrame(rows, "epic_key string, epic_status string, predicted_lead_time string, model_name string, last_prediction_at string, proba_1 double, proba_2 double")
+
+    def folders():
+        return {str(p.parent.relative_to(tmp_path)) for p in tmp_path.glob("ledger/rows/*/*/*/*.parquet")}
+
+    jobs.update_ledger(spark, batch(range(300), "2024-01-01 00:00:00"), path, buckets=16)
+    jobs.update_ledger(spark, batch(range(40), "2024-01-01 00:00:00", "other"), path)
+    before = folders()
+    assert len({f.rsplit("/", 1)[1] for f in before}) == 16
+    out = jobs.update_ledger(spark, batch([1, 2, 999], "2024-02-01 00:00:00", p=0.9), path)
+    new = folders() - before
+    assert 1 <= len(new) <= 3 and all("version=3" in f for f in new)
+    assert out.count() == 341
+    rows = {(r.epic_key, r.model_name): r for r in out.collect()}
+    assert rows["K1", "m/1 *%"].proba_1 == 0.9 and rows["K1", "other"].proba_1 == 0.5 and rows["K3", "m/1 *%"].proba_1 == 0.5
+    # other classes join, older versions go
+    wide = batch([1], "2024-03-01 00:00:00").withColumn("proba_3", F.lit(0.0))
+    out = jobs.update_ledger(spark, wide, path)
+    assert out.count() == 341 and "proba_3" in out.columns
+    bucket = next(f for f in new if len([g for g in folders() if g.rsplit("/", 2)[1:] == f.rsplit("/", 2)[1:]]) >= 2)
+    jobs.update_ledger(spark, batch([1], "2024-04-01 00:00:00"), path)
+    assert len([g for g in folders() if g.rsplit("/", 2)[1:] == bucket.rsplit("/", 2)[1:]]) == 2
+
+
 def test_panel_has_the_last_state_of_each_day(spark, raw):
     people = spark.createDataFrame([("Ann", "ann@x.org")], "name string, email string")
     panel = jobs.panel_from_tickets(raw, people=people)

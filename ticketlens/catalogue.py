@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from dataclasses import dataclass, field
 
+from ticketlens.functions.normalise import SECONDS_PER_DAY
+
 
 @dataclass(frozen=True)
 class Header:
@@ -45,6 +47,7 @@ class Route:
 class Catalogue:
     headers: tuple[Header, ...]
     sources: tuple[Source, ...]
+    seconds_per_day: int = SECONDS_PER_DAY
 
     def source(self, name: str) -> Source | None:
         return next((s for s in self.sources if s.source == name), None)
@@ -63,7 +66,7 @@ class Catalogue:
 
     def restricted(self, sources: set[str]) -> Catalogue:
         """The catalogue of tickets that hold only these fields."""
-        return Catalogue(tuple(h for h in self.headers if h.source in sources), self.sources)
+        return Catalogue(tuple(h for h in self.headers if h.source in sources), self.sources, self.seconds_per_day)
 
     def routes(self) -> dict[str, list[Route]]:
         """Display name of a change item -> the columns it changes."""

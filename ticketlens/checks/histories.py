@@ -224,6 +224,36 @@ ORACLE["skip_failed"] = with_views(
     "SELECT field AS header, count(before_value) AS good, nullif(count(*) - count(before_value), 0) AS rejected FROM fx_change GROUP BY 1", "fx_change")
 
 
+def _ticket_lines(spark, sf):
+    """A line of text per event: whole tickets, cut ones, other types, other JSON, and tickets without key or time."""
+    kind = F.col("event_id") % 9
+    key = F.when(kind == 3, F.lit("null")).otherwise(F.concat(F.lit('"E'), F.col("event_id"), F.lit('"')))
+    made = F.when(kind == 4, F.lit("null")).otherwise(F.lit('"2024-01-01T00:00:00.000+0000"'))
+    fields = F.when(kind == 2, F.lit("5")).otherwise(F.lit('{"status":{"name":"Open"}}'))
+    whole = F.concat(F.lit('{"key":'), key, F.lit(',"created":'), made, F.lit(',"fields":'), fields, F.lit(',"changelog":{"histories":[]}}'))
+    line = F.when(kind == 1, F.substr(whole, F.lit(1), F.length(whole) - 7)).when(kind == 5, F.concat(F.lit("["), F.col("event_id"), F.lit("]"))).otherwise(whole)
+    folder = scratch_folder(spark)
+    table(spark, sf, "events").select(line.alias("value")).write.text(folder)
+    return tickets.read_tickets(spark, folder, keep_corrupt=True)
+
+
+def _rejected_records(spark, sf):
+    """Every line: usable, or the reason and the text that was rejected."""
+    good, bad = tickets.split_tickets(_ticket_lines(spark, sf))
+    return good.select(F.lit("usable").alias("reason"), "key", F.lit(None).cast("string").alias("record")).unionByName(
+        bad.select("reason", F.when(F.col("record").isNull(), F.col("key")).alias("key"), "record"))
+
+
+QUERIES["rejected_records"] = _rejected_records
+ORACLE["rejected_records"] = """
+WITH lines AS (SELECT event_id, event_id % 9 AS kind, '{"key":' || CASE WHEN event_id % 9 = 3 THEN 'null' ELSE '"E' || event_id || '"' END || ',"created":'
+  || CASE WHEN event_id % 9 = 4 THEN 'null' ELSE '"2024-01-01T00:00:00.000+0000"' END || ',"fields":'
+  || CASE WHEN event_id % 9 = 2 THEN '5' ELSE '{"status":{"name":"Open"}}' END || ',"changelog":{"histories":[]}}' AS line FROM events)
+SELECT CASE kind WHEN 1 THEN 'broken JSON' WHEN 2 THEN 'wrong type: fields' WHEN 3 THEN 'no key' WHEN 4 THEN 'no creation time' WHEN 5 THEN 'no object' ELSE 'usable' END AS reason,
+  CASE WHEN kind NOT IN (1, 2, 3, 5) THEN 'E' || event_id END AS key,
+  CASE kind WHEN 1 THEN left(line, length(line) - 7) WHEN 2 THEN line WHEN 5 THEN '[' || event_id || ']' END AS record FROM lines"""
+
+
 def _daily(spark, sf):
     states = history.states(current_scalars(spark, sf), scalar_changes(spark, sf), FIELDS)
     return snapshots.daily_last(states)

@@ -294,6 +294,16 @@ scaled AS (SELECT f.side, f.feature, f.ord, (f - min(f) OVER w) / (max(f) OVER w
 ranked AS (SELECT *, row_number() OVER (PARTITION BY side ORDER BY round(CASE WHEN cov >= 0.05 THEN 0.85 * (0.5 * fn + 0.5 * mn) + 0.15 * cn ELSE 0 END, 9) DESC, ord) AS place FROM scaled)"""
 
 
+def _text_terms(spark, sf):
+    """TF-IDF columns of a long text among the features that a model chooses; of each row those that are not 0."""
+    rows = fixture(spark, sf, "fx_items").select("key", "y", "n_qty", "c_text")
+    plan, held = model.fit_features(rows, "y", "key", None, FeatureParams(k_features=99, min_presence=0.0, text_terms=12, bins=10))
+    held.unpersist()
+    names = [n for n in plan.names if n.startswith("text__")]
+    cells = F.array(*[F.struct(F.lit(n).alias("feature"), F.round(f"`{n}`", 6).alias("x")) for n in names])
+    return plan.transform(rows, ["key"]).select("key", F.inline(cells)).filter("x <> 0")
+
+
 def _config(spark):
     folder = scratch_folder(spark)
     return jobs.JobConfig(
@@ -359,6 +369,13 @@ SELECT key, y, CAST((row_number() OVER (PARTITION BY y ORDER BY md5(CAST(key AS
        TRUE AS known_class FROM fx_items""")
 QUERIES["cross_validate"] = _cross_validate
 ORACLE["cross_validate"] = "SELECT CAST(range AS INTEGER) AS fold, TRUE AS are_shares FROM range(2)"
+QUERIES["model_text_terms"] = _text_terms
+ORACLE["model_text_terms"] = with_views("", "fx_items").rstrip() + """,
+words AS (SELECT key, unnest(string_split(lower(c_text), ' ')) AS term FROM fx_items),
+seen AS (SELECT term, count(DISTINCT key) AS n FROM words WHERE term <> '' GROUP BY 1 ORDER BY n DESC, term LIMIT 12),
+total AS (SELECT count(*) AS n FROM fx_items)
+SELECT w.key, 'text__c_text_' || w.term AS feature, round(count(*) * ln((any_value(t.n) + 1.0) / (any_value(s.n) + 1.0)), 6) AS x
+FROM words w JOIN seen s ON s.term = w.term CROSS JOIN total t WHERE s.n < t.n GROUP BY 1, 2"""
 QUERIES["fold_scores"] = _fold_scores
 ORACLE["fold_scores"] = with_views("", "fx_items").rstrip() + ",\n" + SIDES + neighbours_sql("side, feature") + """
 SELECT f.side AS fold, f.feature, round(f, 4) AS f, round(mi, 6) AS mi FROM f_table f JOIN near_table n ON n.side = f.side AND n.feature = f.feature"""

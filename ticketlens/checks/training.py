@@ -204,6 +204,13 @@ ORACLE["sample"] = with_views(
     "SELECT key FROM fx_items WHERE CAST('0x' || substr(md5(CAST(key AS VARCHAR) || ':42'), 1, 8) AS BIGINT) / 4294967296.0 < 0.1", "fx_items")
 
 
+QUERIES["sample_values"] = lambda spark, sf: profile.sample_values(items(spark, sf), TEXTS, 10, F.col("key"))
+ORACLE["sample_values"] = with_views(
+    "SELECT \"column\", value FROM (" + " UNION ALL ".join(
+        f"SELECT '{c}' AS \"column\", CAST({c} AS VARCHAR) AS value, md5(CAST(key AS VARCHAR) || ':{c}:42') AS digest FROM fx_items WHERE {c} IS NOT NULL" for c in TEXTS)
+    + ") QUALIFY row_number() OVER (PARTITION BY \"column\" ORDER BY digest, value) <= 10", "fx_items")
+
+
 def _values(spark, sf):
     return profile.value_counts(items(spark, sf), TEXTS)
 

@@ -58,5 +58,14 @@ RAW_TYPES = {
 }
 
 
-def apply_rule(rule: str | None, c: Column) -> Column:
+#: The rules that turn seconds into days.
+DAY_RULES: dict[str, Callable[[Column], Column]] = {
+    "days": lambda c: c, "spent_days": lambda c: c["timeSpentSeconds"], "remaining_days": lambda c: c["remainingEstimateSeconds"],
+}
+
+
+def apply_rule(rule: str | None, c: Column, seconds_per_day: int = SECONDS_PER_DAY) -> Column:
+    """The value by a rule; days have `seconds_per_day` (a working day may have fewer than 24 hours)."""
+    if rule in DAY_RULES:
+        return days(DAY_RULES[rule](c), seconds_per_day)
     return RULES[rule or ""](c)

@@ -171,7 +171,7 @@ class Preprocessor:
         asked = [t for t, there in ((numbers, groups.numeric), (vocabularies, texts), (shares, groups.frequency)) if there]
         found = dict(zip(asked, together(*asked), strict=True)) if asked else {}
         for c in groups.text if text_terms else []:
-            state.text_terms[c] = frequent_terms(df, c, text_terms)
+            state.text_terms[c] = frequent_terms(df, c, text_terms, None if within is None else list(within.text_terms.get(c, {})))
         return cls(state, found.get(shares), sep)
 
     # one method per encoder: output name -> expression over the input columns
@@ -246,12 +246,18 @@ class Preprocessor:
         }
 
     def names(self) -> list[str]:
-        return list(self.features())
-
-    @property
-    def term_count(self) -> int:
-        """Terms of the long text that has most of them; 0 if long texts have no columns."""
-        return max(map(len, self.state.text_terms.values()), default=0)
+        """Names of all features in order, without an expression for each."""
+        s, g = self.state, self.state.groups
+        return [
+            *[f"num__{c}" for c in g.numeric if c in s.fill],
+            *[f"onehot__{c}_{v}" for c in g.one_hot for v in s.categories.get(c, [])],
+            *[f"date__{c}_{part}" for c in g.dates for part in DATE_PARTS],
+            *[f"topk__{c}_{v}" for c in g.top_k for v in [*[v for v in s.top_values.get(c, []) if v != OTHER], OTHER]],
+            *[f"high_card__{c}" for c in g.frequency], *[f"ml_count__{c}" for c in g.tag_count],
+            *[f"ml_binarize__{c}_{t}" for c in g.tag_binarize for t in s.tag_vocabulary.get(c, [])],
+            *[f"ml_topk__{c}_{t}" for c in g.tag_top_k for t in s.top_tags.get(c, [])],
+            *[f"text__{c}_{t}" for c, idf in s.text_terms.items() for t in idf],
+        ]
 
     def entries(self, names: Sequence[str] | None = None, shares: dict[str, Column] | None = None) -> dict[str, Column]:
         """Per input column its features that are not 0, as an array of j (the place in `names`) and x.
@@ -433,11 +439,14 @@ def inverse_frequency(rows: Column, total: int) -> Column:
     return F.log((F.lit(float(total)) + 1.0) / (rows + 1.0))
 
 
-def frequent_terms(df: DataFrame, column: str, k: int) -> dict[str, float]:
-    """Inverse document frequency of the k terms that most rows have, smallest term first on ties."""
+def frequent_terms(df: DataFrame, column: str, k: int, among: Sequence[str] | None = None) -> dict[str, float]:
+    """Inverse document frequency of the k terms that most rows have, smallest term first on ties; of those `among`, if given."""
     order = [F.col("rows").desc(), F.col("term")]
     idf = inverse_frequency(F.col("rows"), df.count())
-    return {r["term"]: r["idf"] for r in document_frequency(df, column).orderBy(*order).limit(k).select("term", idf.alias("idf")).collect()}
+    rows = document_frequency(df, column)
+    if among is not None:
+        rows = rows.filter(F.col("term").isin(list(among)))
+    return {r["term"]: r["idf"] for r in rows.orderBy(*order).limit(k).select("term", idf.alias("idf")).collect()}
 
 
 def text_tfidf(df: DataFrame, key: str, column: str) -> DataFrame:

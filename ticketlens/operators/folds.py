@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 from ticketlens.functions.dates import date_or_null
 from ticketlens.functions.text import SEPARATOR, tags
 from ticketlens.operators import select
-from ticketlens.operators.encode import ENTRIES, MOST_COLUMNS, TOP_K, EncoderState, Preprocessor
+from ticketlens.operators.encode import ENTRIES, MOST_COLUMNS, TOP_K, EncoderState, Preprocessor, terms
 from ticketlens.operators.neighbours import RANGE_ROWS, binned_information, neighbour_information, ranges
 from ticketlens.operators.profile import DATE_SHARE, NUMBERS, RARE_COUNT, ColumnGroups, classify
 from ticketlens.operators.quantiles import number
@@ -231,9 +231,27 @@ def _vocabularies(
             getattr(state, r["kind"]).setdefault(c, []).append(r["value"])
 
 
+def _terms(counts: ValueCounts, states: Sequence[EncoderState], views: Sequence[int], within: Sequence[EncoderState] | None, k: int) -> None:
+    """Inverse document frequencies of the k terms of each long text that most rows have, into the states."""
+    asked = [(counts.columns.index(c), at) for at, s in enumerate(states) for c in s.groups.text]
+    if not asked:
+        return
+    texts = sorted({counts.columns[c] for c, _ in asked})
+    rows = counts.weighted(texts, views).filter(F.struct("c", "view").isin([F.struct(F.lit(c), F.lit(at)) for c, at in asked]))
+    uses = rows.select("c", "view", "w", F.explode(F.array_distinct(terms(F.col("v")))).alias("term")).groupBy("c", "view", "term").agg(F.sum("w").alias("rows"))
+    if within is not None:
+        known = [(counts.columns.index(c), at, t) for at, s in enumerate(within) for c, idf in s.text_terms.items() for t in idf]
+        uses = uses.join(F.broadcast(uses.sparkSession.createDataFrame(known, "c int, view int, term string")), ["c", "view", "term"], "left_semi")
+    order = Window.partitionBy("c", "view").orderBy(F.col("rows").desc(), "term")
+    first = uses.withColumn("place", F.row_number().over(order)).filter(F.col("place") <= k).collect()  # k per column and view
+    for r in sorted(first, key=lambda r: (r["c"], r["view"], r["place"])):
+        idf = math.log((counts.rows(views[r["view"]]) + 1.0) / (r["rows"] + 1.0))
+        states[r["view"]].text_terms.setdefault(counts.columns[r["c"]], {})[r["term"]] = idf
+
+
 def encoders(
     counts: ValueCounts, groups: Sequence[ColumnGroups], views: Sequence[int], within: Sequence[EncoderState] | None = None,
-    k: int = TOP_K, sep: str = SEPARATOR, most_columns: int = MOST_COLUMNS, range_rows: int = RANGE_ROWS,
+    k: int = TOP_K, sep: str = SEPARATOR, most_columns: int = MOST_COLUMNS, range_rows: int = RANGE_ROWS, text_terms: int = 0,
 ) -> list[Preprocessor]:
     """A fitted encoder per view."""
     states = []
@@ -242,6 +260,8 @@ def encoders(
         states.append(EncoderState(g, {c: counts.kinds[c] for c in used}))
     _numbers(counts, states, views, range_rows)
     _vocabularies(counts, states, views, within, k, sep, most_columns)
+    if text_terms:
+        _terms(counts, states, views, within, text_terms)
     return [Preprocessor(s, _shares(counts, s.groups.frequency, view), sep) for s, view in zip(states, views, strict=True)]
 
 
@@ -282,6 +302,9 @@ def feature_table(counts: ValueCounts, fitted: Sequence[Preprocessor], views: Se
     split = sorted({c for e in fitted for c in [*e.state.groups.tag_binarize, *e.state.groups.tag_top_k]})
     if split:
         rows = rows.withColumns({f"tags of {c}": tags(q(c), fitted[0].sep) for c in split})
+    long_texts = sorted({c for e in fitted for c in e.state.text_terms})
+    if long_texts:
+        rows = rows.withColumns({f"words of {c}": terms(q(c)) for c in long_texts})
     frequent = sorted({c for e in fitted for c in e.state.groups.frequency})
     filled = _filled(counts, frequent, views)
     sides = []

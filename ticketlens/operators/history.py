@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ticketlens.catalogue import DEFAULT, Catalogue
-from ticketlens.functions.normalise import apply_rule
+from ticketlens.functions.normalise import SECONDS_PER_DAY, apply_rule
 from ticketlens.functions.text import SEPARATOR, blank_as_null, tags
 from ticketlens.session import materialize
 from ticketlens.skew import HOT_ROWS, hot_groups, largest_group, last_before, lookup_join, q, range_chunks, split_hot
@@ -51,8 +51,8 @@ def id_or_string(picks_id: Column, by_id: Column, by_string: Column) -> Column:
     return F.when(picks_id, by_id).otherwise(by_string)
 
 
-def normalise_changes(routed: DataFrame, people: DataFrame | None = None) -> DataFrame:
-    """Before and after values by the rule of their column.
+def normalise_changes(routed: DataFrame, people: DataFrame | None = None, seconds_per_day: int = SECONDS_PER_DAY) -> DataFrame:
+    """Before and after values by the rule of their column; days have `seconds_per_day`.
 
     `people(name, email)` with unique names serves the e-mail rule; a name it
     does not list, or any name without it, gives null.
@@ -62,7 +62,7 @@ def normalise_changes(routed: DataFrame, people: DataFrame | None = None) -> Dat
     def value(c: str) -> Column:
         out = F.when(F.col("rule") == "", q(c))
         for rule in rules:
-            out = out.when(F.col("rule") == rule, apply_rule(rule, q(c)).cast("string"))
+            out = out.when(F.col("rule") == rule, apply_rule(rule, q(c), seconds_per_day).cast("string"))
         if people is not None:
             named = F.when(q(c).isNull() | (q(c) == ""), q(c)).otherwise(q(f"{c}_email"))
             out = out.when(F.col("rule") == "email_of_name", named)

@@ -61,6 +61,8 @@ class FeatureParams:
     min_presence: float = 0.05
     # mutual information by nearest neighbours (None), or over so many equal-frequency bins
     bins: int | None = None
+    # TF-IDF columns for so many terms of each long text; 0 leaves long texts out
+    text_terms: int = 0
 
 
 @dataclass
@@ -103,7 +105,7 @@ def _fit_features(
 ) -> tuple[FeaturePlan, DataFrame]:
     inputs = df.drop(key, y)
     groups = group_columns(inputs)
-    encoder = Preprocessor.fit(inputs, groups)
+    encoder = Preprocessor.fit(inputs, groups, text_terms=params.text_terms)
     classes = "target class" if numeric_target else y
     labelled = select.target_classes(df, y, classes) if numeric_target else df
     rows = encoder.sparse(labelled, list(dict.fromkeys([key, y, classes]))).persist(StorageLevel.MEMORY_AND_DISK)
@@ -123,7 +125,7 @@ def _choose(
         ref_stats = stats
     else:
         ref_inputs = with_absent(ref, encoder.state.kinds)
-        ref_encoder = Preprocessor.fit(ref_inputs, groups, within=encoder.state, text_terms=encoder.term_count)
+        ref_encoder = Preprocessor.fit(ref_inputs, groups, within=encoder.state, text_terms=params.text_terms)
         ref_stats = select.sparse_stats(ref_encoder.sparse(ref_inputs), ref_encoder.names())
     return Scores.of(stats, mi, ref_stats, params).names(params.k_features)
 
@@ -174,7 +176,7 @@ def fold_scores(
     views = list(range(folds))
     counts = ValueCounts.count(rows, inputs, q(y), F.col("fold"))
     groups = column_groups(counts, views)
-    fitted = encoders(counts, groups, views)
+    fitted = encoders(counts, groups, views, text_terms=params.text_terms)
     table = feature_table(counts, fitted, views)
     stats = feature_stats(counts, table, fitted, views)
     mi = information(counts, table, stats, views, params.bins)
@@ -182,7 +184,7 @@ def fold_scores(
     if ref is not None:
         ref_counts = ValueCounts.count(with_absent(ref, counts.kinds).select(*[q(c) for c in inputs]), inputs)
         every = [ALL_ROWS] * folds
-        ref_fitted = encoders(ref_counts, groups, every, within=[e.state for e in fitted])
+        ref_fitted = encoders(ref_counts, groups, every, within=[e.state for e in fitted], text_terms=params.text_terms)
         ref_stats = feature_stats(ref_counts, feature_table(ref_counts, ref_fitted, every), ref_fitted, every)
     return [(e, Scores.of(s, m, r, params)) for e, s, m, r in zip(fitted, stats, mi, ref_stats, strict=True)]
 

@@ -36,11 +36,36 @@ def sample_rows(df: DataFrame, share: float, key: Column, seed: int = 42) -> Dat
     return df.filter(F.conv(digest, 16, 10).cast("long") / F.lit(2.0**32) < share)
 
 
-def detect_dates(df: DataFrame, threshold: float = DATE_SHARE, sample: float | None = None) -> list[str]:
-    """Text columns whose values are dates in at least the given share of rows, in one pass."""
+def sample_values(df: DataFrame, columns: Sequence[str], n: int, key: Column | None = None, seed: int = 42) -> DataFrame:
+    """(column, value): exactly n values of each text column that are not null, or all if there are fewer.
+
+    Those whose digest of row key, column and seed is smallest, so the choice does
+    not depend on partitions; without a key the row itself is the key. A task keeps
+    n rows per column before the shuffle, and rows that are alike count each.
+    """
+    own = F.xxhash64(*[q(c) for c in df.columns]) if key is None else key
+    cells = F.array(*[F.struct(F.lit(c).alias("column"), as_text(df, c).alias("value")) for c in columns])
+    long = df.select(own.cast("string").alias("key"), F.inline(cells)).filter("value IS NOT NULL")
+    digest = F.md5(F.concat(F.coalesce("key", F.lit("")), F.lit(":"), F.col("column"), F.lit(f":{seed}")))
+    order = Window.partitionBy("column").orderBy("digest", "value")
+    placed = long.select("column", "value", digest.alias("digest")).withColumn("place", F.row_number().over(order))
+    return placed.filter(F.col("place") <= n).select("column", "value")
+
+
+def detect_dates(
+    df: DataFrame, threshold: float = DATE_SHARE, sample: float | None = None, sample_size: int | None = None, key: Column | None = None
+) -> list[str]:
+    """Text columns whose values are dates in at least the given share of rows, in one pass.
+
+    Of all rows, of a share of them (`sample`), or of exactly `sample_size` values of each column.
+    """
     texts = [c for c, t in df.dtypes if t == "string"]
     if not texts:
         return []
+    if sample_size is not None:
+        dated = date_or_null(F.col("value")).isNotNull().cast("int")
+        shares = {r["column"]: r["share"] for r in sample_values(df, texts, sample_size, key).groupBy("column").agg(F.avg(dated).alias("share")).collect()}
+        return [c for c in texts if c in shares and shares[c] >= threshold]
     rows = df.select(*[q(c) for c in texts])
     rows = sample_rows(rows, sample, F.xxhash64(*[q(c) for c in texts])) if sample else rows
     share = rows.agg(

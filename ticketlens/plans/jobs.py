@@ -5,10 +5,9 @@ from __future__ import annotations
 import random
 from collections.abc import Mapping, Sequence
 from dataclasses import asdict, dataclass, field, replace
-from urllib.parse import quote
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ticketlens.catalogue import DEFAULT, Catalogue
@@ -93,10 +92,10 @@ def panel_from_tickets(
     targets: Sequence[str] = (), people: DataFrame | None = None, require_history: bool = False,
 ) -> DataFrame:
     """Raw tickets -> one row per ticket and day (or target date), as one lazy plan. Targets replace the period."""
-    good, _ = tickets.split_bad(raw, ["key", "created"])
+    good, _ = tickets.split_tickets(raw)
     current = tickets.flatten_current(good, catalogue, ["key", "created"]).drop("issuekey")
     fields = [c for c in current.columns if c not in ("key", "created")]
-    routed = history.normalise_changes(history.route_changes(tickets.flatten_changes(good, catalogue), catalogue), people)
+    routed = history.normalise_changes(history.route_changes(tickets.flatten_changes(good, catalogue), catalogue), people, catalogue.seconds_per_day)
     lists = sorted({r.header for rs in catalogue.routes().values() for r in rs if r.is_list}.intersection(fields))
     log = routed.filter(~F.col("is_list")).drop("is_list", "field", "after")
     if lists:
@@ -134,11 +133,11 @@ def refresh_reports(
     raw: DataFrame, panel: DataFrame, releases: DataFrame, config: prepare.PrepareConfig = prepare.PrepareConfig(),
     catalogue: Catalogue = DEFAULT, known: DataFrame | None = None,
 ) -> dict[str, DataFrame]:
-    """Rejected tickets, changes that could not be used, release names without a day and, with a list of `known`
+    """Rejected tickets with the reason (and the text of lines that do not fit, if it was kept on reading), changes that could not be used, release names without a day and, with a list of `known`
     equivalent names (var1, var2), the pairs of owner and product manager that it lacks."""
-    good, bad = tickets.split_bad(raw, ["key", "created"])
+    good, bad = tickets.split_tickets(raw)
     current = tickets.flatten_current(good, catalogue, ["key", "created"])
-    routed = history.normalise_changes(history.route_changes(tickets.flatten_changes(good, catalogue), catalogue))
+    routed = history.normalise_changes(history.route_changes(tickets.flatten_changes(good, catalogue), catalogue), None, catalogue.seconds_per_day)
     lists = sorted({r.header for rs in catalogue.routes().values() for r in rs if r.is_list}.intersection(current.columns))
     effects = None
     if lists:
@@ -146,7 +145,7 @@ def refresh_reports(
         effects = history.list_effects(held, routed.filter("is_list"))
     columns = {"epic_dev_roadmap": config.roadmap_separators, "epic_fix_version": config.version_separators}
     out = {
-        "rejected": bad.select("key", "created", F.when(F.col("key").isNull(), "no key").otherwise("no creation time").alias("reason")),
+        "rejected": bad,
         "unresolved": history.unresolved(tickets.changed_fields(good), effects, sorted(catalogue.routes())),
         "release_errors": prepare.unknown_releases(panel, {c: s for c, s in columns.items() if c in panel.columns}, releases),
     }
@@ -286,58 +285,73 @@ def write_reports(scored: DataFrame, folder: str) -> None:
         write_table(rows.coalesce(1), f"{folder}/{name}")
 
 
-def update_ledger(spark: SparkSession, batch: DataFrame, path: str, keep: int = 1) -> DataFrame:
-    """Upserts the batch into the parts of the models it names; other models' parts are not touched. Returns the ledger.
+#: Buckets of a model's rows by key; a batch rewrites those that it touches. Fixed once the ledger has been written.
+LEDGER_BUCKETS = 64
 
-    A part is one model's rows, in version folders. The newest committed version
-    of a part is read and the next one written; versions count once they are in
-    the list of versions, which one write adds for all parts, so a failed job
-    leaves the ledger as it was. Of older versions the last `keep` stay.
+
+def update_ledger(spark: SparkSession, batch: DataFrame, path: str, keep: int = 1, buckets: int = LEDGER_BUCKETS) -> DataFrame:
+    """Upserts the batch into the buckets of the models and keys it names; no other bucket is touched. Returns the ledger.
+
+    A bucket holds the rows of one model whose key digest falls into it, in version
+    folders. The newest committed version of a bucket is read and a new one written;
+    versions count once they are in the list of versions, which one write adds for
+    all buckets of the batch, so a failed job leaves the ledger as it was. Of older
+    versions the last `keep` stay.
     """
-    newest = newest_versions(spark, path)
-    models = [r["model_name"] for r in batch.select("model_name").distinct().collect()]
-    written = []
-    for model in models:
-        rows = batch.filter(F.col("model_name").eqNullSafe(F.lit(model)))
-        part = quote(model or "", safe="") or "none"
-        version = newest.get(part, 0)
-        if version:
-            old = spark.read.parquet(_version_path(path, part, version))
-            merged = ledger.upsert(old, rows, order=["last_prediction_at"], old_unique=True)
-        else:
-            merged = ledger.last_per_key(rows, ledger.pick_keys(rows.columns), ["last_prediction_at"])
-        write_table(merged, _version_path(path, part, version + 1))
-        written.append((part, version + 1))
-    spark.createDataFrame(written, VERSIONS).coalesce(1).write.mode("append").json(f"{path}/versions")
-    for part, version in written:
-        if version > keep + 1:
-            remove_folder(spark, _version_path(path, part, version - keep - 1))
+    known = ledger_versions(spark, path)
+    buckets = next((r["buckets"] for rows in known.values() for r in rows), buckets)
+    keys = ledger.pick_keys(batch.columns)
+    model = F.col("model_name") if "model_name" in batch.columns else F.lit(None).cast("string")
+    own = [q(k).cast("string") for k in keys if k != "model_name"]
+    # rows without a key can repeat any other row, so they share one bucket
+    bucket = F.pmod(F.xxhash64(*own), F.lit(buckets)).cast("int") if own else F.lit(0)
+    placed = batch.withColumns({"part": part_name(model), "bucket": bucket})
+    touched = [(r["part"], r["bucket"]) for r in placed.select("part", "bucket").distinct().collect()]  # models x buckets at most
+    old_paths = [_version_path(path, *t, known[t][-1]["version"]) for t in touched if t in known]
+    if old_paths:
+        old = spark.read.option("mergeSchema", "true").parquet(*old_paths)
+        merged = ledger.upsert(old, batch, order=["last_prediction_at"], old_unique=True)
+    else:
+        merged = ledger.last_per_key(batch, keys, ["last_prediction_at"]) if keys else batch.dropDuplicates()
+    version = 1 + max((r["version"] for rows in known.values() for r in rows), default=0)
+    model = F.col("model_name") if "model_name" in merged.columns else F.lit(None).cast("string")
+    spread = merged.withColumns({"part": part_name(model), "bucket": bucket}).hint("rebalance", "part", "bucket")
+    spread.write.partitionBy("part", "bucket").parquet(f"{path}/rows/version={version}")
+    spark.createDataFrame([(*t, version, buckets) for t in touched], VERSIONS).coalesce(1).write.mode("append").json(f"{path}/versions")
+    for t in touched:
+        for gone in known.get(t, [])[: -keep if keep else None][-1:]:
+            remove_folder(spark, _version_path(path, *t, gone["version"]))
     return read_ledger(spark, path)
 
 
-VERSIONS = "part string, version int"
+VERSIONS = "part string, bucket int, version int, buckets int"
+
 
+def part_name(model: Column) -> Column:
+    """Folder of a model: a digest of its name, so that any name makes a folder."""
+    return F.coalesce(F.md5(model), F.lit("no-model"))
 
-def _version_path(path: str, part: str, version: int) -> str:
-    return f"{path}/part={part}/version={version}"
 
+def _version_path(path: str, part: str, bucket: int, version: int) -> str:
+    return f"{path}/rows/version={version}/part={part}/bucket={bucket}"
 
-def newest_versions(spark: SparkSession, path: str) -> dict[str, int]:
-    """Newest committed version of each part; there is a part per model."""
+
+def ledger_versions(spark: SparkSession, path: str) -> dict[tuple[str, int], list]:
+    """Committed versions of each bucket, oldest first."""
     try:
-        rows = spark.read.schema(VERSIONS).json(f"{path}/versions").groupBy("part").agg(F.max("version").alias("version")).collect()
+        rows = spark.read.schema(VERSIONS).json(f"{path}/versions").collect()  # models x buckets x batches
     except AnalysisException:
         return {}
-    return {r["part"]: r["version"] for r in rows}
+    out: dict[tuple[str, int], list] = {}
+    for r in sorted(rows, key=lambda r: r["version"]):
+        out.setdefault((r["part"], r["bucket"]), []).append(r)
+    return out
 
 
 def read_ledger(spark: SparkSession, path: str) -> DataFrame | None:
-    """All models' newest rows, rescored over all their classes, row by row; None for a ledger never written."""
-    out = None
-    for part, version in sorted(newest_versions(spark, path).items()):
-        rows = spark.read.parquet(_version_path(path, part, version))
-        out = rows if out is None else out.unionByName(rows, allowMissingColumns=True)
-    return None if out is None else ledger.rescore(out)
+    """The newest rows of all buckets, rescored over all their classes, row by row; None for a ledger never written."""
+    paths = [_version_path(path, *t, rows[-1]["version"]) for t, rows in sorted(ledger_versions(spark, path).items())]
+    return ledger.rescore(spark.read.option("mergeSchema", "true").parquet(*paths)) if paths else None
 
 
 def draws(space: SearchSpace, trials: int, seed: int) -> list[tuple[int, ForestParams]]:

@@ -25,16 +25,46 @@ def ticket_schema(catalogue: Catalogue = DEFAULT) -> str:
     return f"key string, created string, fields struct<{fields}>, {log}"
 
 
-def read_tickets(spark: SparkSession, path: str, catalogue: Catalogue = DEFAULT) -> DataFrame:
-    """Raw tickets from JSON lines, one ticket per line, read without an inference pass."""
-    return spark.read.schema(ticket_schema(catalogue)).json(path)
+#: Column that holds the text of a line that is no ticket.
+RECORD = "corrupt_record"
+
+
+def read_tickets(spark: SparkSession, path: str, catalogue: Catalogue = DEFAULT, keep_corrupt: bool = False) -> DataFrame:
+    """Raw tickets from JSON lines, one ticket per line, read without an inference pass.
+
+    With `keep_corrupt` lines that do not fit the schema keep their text in RECORD (see `split_tickets`).
+    """
+    if not keep_corrupt:
+        return spark.read.schema(ticket_schema(catalogue)).json(path)
+    schema = f"{ticket_schema(catalogue)}, {RECORD} string"
+    return spark.read.schema(schema).json(path, mode="PERMISSIVE", columnNameOfCorruptRecord=RECORD)
+
+
+def split_tickets(raw: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(usable tickets, rejected ones with key, created, reason and, of lines that do not fit, their record).
+
+    Broken JSON, JSON that is no object, and values of another type than the field's
+    are told apart from tickets that lack a key or a creation time.
+    """
+    record = F.col(RECORD) if RECORD in raw.columns else F.lit(None).cast("string")
+    parsed = F.try_parse_json(record)
+    odd = [F.when(F.get_json_object(record, f"$.{c}").isNotNull() & q(c).isNull(), F.lit(c)) for c in ("key", "created", "fields", "changelog")]
+    reason = (
+        F.when(parsed.isNull() & record.isNotNull(), "broken JSON")
+        .when(record.isNotNull() & ~F.ltrim(record).startswith("{"), "no object")
+        .when(record.isNotNull(), F.concat(F.lit("wrong type: "), F.coalesce(*odd, F.lit("a nested field"))))
+        .when(F.col("key").isNull(), "no key").when(F.col("created").isNull(), "no creation time")
+    )
+    judged = raw.withColumn("reason", reason)
+    bad = judged.filter("reason IS NOT NULL").select("key", "created", "reason", record.alias("record"))
+    return judged.filter("reason IS NULL").drop("reason", RECORD), bad
 
 
 def flatten_current(raw: DataFrame, catalogue: Catalogue = DEFAULT, keep: Sequence[str] = ()) -> DataFrame:
     """One flat row per ticket: kept raw columns, `issuekey` and the catalogued columns in name order."""
     columns = {"issuekey": F.col("key")}
     for h in catalogue.used_headers():
-        columns[h.name] = apply_rule(catalogue.current_rule(h), F.col("fields")[h.source])
+        columns[h.name] = apply_rule(catalogue.current_rule(h), F.col("fields")[h.source], catalogue.seconds_per_day)
     return raw.select(*[q(c) for c in keep], *[columns[c].alias(c) for c in sorted(columns)])
 
 
