@@ -32,12 +32,15 @@ RECORD = "corrupt_record"
 def read_tickets(spark: SparkSession, path: str, catalogue: Catalogue = DEFAULT, keep_corrupt: bool = False) -> DataFrame:
     """Raw tickets from JSON lines, one ticket per line, read without an inference pass.
 
-    With `keep_corrupt` lines that do not fit the schema keep their text in RECORD (see `split_tickets`).
+    With `keep_corrupt` lines that do not fit the schema keep their text in RECORD (see `split_tickets`). They are then
+    parsed as a whole: a reader that leaves out columns does not see what is wrong in them.
     """
     if not keep_corrupt:
         return spark.read.schema(ticket_schema(catalogue)).json(path)
     schema = f"{ticket_schema(catalogue)}, {RECORD} string"
-    return spark.read.schema(schema).json(path, mode="PERMISSIVE", columnNameOfCorruptRecord=RECORD)
+    lines = spark.read.text(path).filter(F.trim("value") != "")
+    parsed = F.from_json("value", schema, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": RECORD})
+    return lines.select(F.inline(F.array(parsed)))
 
 
 def split_tickets(raw: DataFrame) -> tuple[DataFrame, DataFrame]:
