@@ -28,6 +28,7 @@ def test_round_trip(spark):
         3: [("user", NASTY[4]), ("assistant", NASTY[5]), ("user", NASTY[6]), ("assistant", NASTY[7])],
         4: [("assistant", NASTY[1]), ("assistant", NASTY[8]), ("tool\n<x>", NASTY[9])],
         5: [("user", "x" * 100_000)], 6: [("human", "not renamed"), ("gpt", "kept")], 7: [(None, "no role")],
+        8: [("user,assistant", "one turn")], 9: [("system,user", "a"), ("assistant", "b")],
         **{k: [("user", NASTY[k % 10]), ("assistant", f"{k}"), ("user", NASTY[(k + 3) % 10])] for k in range(10, 30)},
     }
     table = rows(spark, conversations)
@@ -72,6 +73,22 @@ def test_fingerprints(spark):
     assert unknown == {"extra|prompt|response": 1, "messages": 1}
 
 
+def test_paths_of_all_elements_and_objects(spark):
+    records = [
+        {"messages": [{"role": "user", "content": "a"}, {"role": "assistant", "content": "b", "tool_calls": [{"name": "f"}]}]},
+        {"prompt": {"text": "p"}, "response": "r"}, {"prompt": "p", "response": "r"}, {"a": [[{"b": 1}], [{"c": None}]], "a b": {"x:y": 1}},
+    ]
+    lines = [*map(json.dumps, records), "no json", None]
+    df = spark.createDataFrame([(k, x, "mine") for k, x in enumerate(lines)], "k int, record string, fingerprint string")
+    found = {r["k"]: r["p"] for r in df.select("k", chat.field_paths(F.col("record")).alias("p")).collect()}
+    assert found[0] == sorted(["messages", "messages[].content", "messages[].role", "messages[].tool_calls", "messages[].tool_calls[].name"])
+    assert found[1] == ["prompt", "prompt.text", "response"] and found[2] == ["prompt", "response"]
+    assert {"a", "a[][].b", "a[][].c"} <= set(found[3])
+    turns = {r["k"]: (r["layout"], r["fingerprint"]) for r in chat.canonical_turns(df, "record").collect()}
+    assert [turns[k][0] for k in range(6)] == [None, None, "prompt", None, None, None] and all(f == "mine" for _, f in turns.values())
+    assert sum(r["records"] for r in chat.unknown_layouts(df, "record").collect()) == 5
+
+
 def test_no_conversations(spark):
     none = spark.createDataFrame([], "conv_id long, turn long, role string, text string")
     records = chat.as_records(chat.gather_turns(none))

@@ -4,6 +4,7 @@ import re
 from collections import Counter, defaultdict
 
 from frames import edge_docs, edge_texts, empty_docs, plain, prose, words
+from pyspark.sql import functions as F
 
 from ticketlens.llm import quality
 
@@ -13,9 +14,9 @@ def normalised(line):
 
 
 def brute_force(rows, limits):
-    holders, hosts = defaultdict(set), Counter()
+    holders = defaultdict(set)
+    hosts = Counter(host for _, host in {(doc, host) for doc, _, host in rows})
     for doc, text, host in rows:
-        hosts[host] += 1
         for line in (text or "").split("\n"):
             if words(line):
                 holders[host, normalised(line)].add((doc, text))
@@ -29,8 +30,7 @@ def brute_force(rows, limits):
         again = {k + j for k, x in enumerate(windows) if often[x] > 1 for j in range(8)}
         gone = 0
         for line in lines:
-            # repeated rows of a document are documents for the limit
-            n = sum(1 for d, t, h in rows if h == host and any(normalised(x) == normalised(line) for x in (t or "").split("\n") if words(x)))
+            n = len({d for d, _ in holders[host, normalised(line)]})
             first = min(d for d, t in holders[host, normalised(line)])
             if n > limits.line_docs and n > limits.line_share * hosts[host] and doc != first:
                 gone += len(words(line))
@@ -50,7 +50,7 @@ def found(df):
 def test_edge_rows(spark):
     limits = quality.Limits(line_docs=3, line_share=0.1)
     texts = [t for t in edge_texts() if len(t or "") < 20_000] + ["a#b $c\n\na#b $c\nA 1\nA 2\n" + prose(5, 30)] * 3
-    footer = "\n".join(f"Terms of use and other matters of line {k} in this place" for k in range(4))
+    footer = "\n".join(prose(400 + k, 11).replace("\n", " ") for k in range(4))
     texts += [f"{prose(200 + k, 6)}\n{footer}\nVisits: {k}" for k in range(12)] + [prose(300 + k, 80) + "\n" + footer for k in range(4)]
     docs = edge_docs(spark, texts).cache()
     rows = found(quality.verdicts(docs, limits=limits))
@@ -59,6 +59,26 @@ def test_edge_rows(spark):
     docs.unpersist()
 
 
+def test_rows_of_one_document_count_once(spark):
+    line = "A line that stands in very many rows of one document and in one more"
+    rows = [(1, f"{line}\n{prose(700 + k, 40)}", "h") for k in range(30)] + [(2, f"{line}\n{prose(699, 40)}", "h")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    out = quality.verdicts(docs, limits=quality.Limits(line_share=0.0)).collect()
+    assert len(out) == 31 and not any(r["n_removed_words"] for r in out) and all(r["kept"] for r in out)
+
+
+def test_any_figure_can_be_filtered(spark):
+    docs = edge_docs(spark, [t for t in edge_texts() if len(t or "") < 20_000])
+    out = quality.verdicts(docs)
+    rows = out.collect()
+    for c in out.columns:
+        value = rows[0][c]
+        assert out.filter(F.col(c) == F.lit(value)).count() == sum(r[c] == value for r in rows)
+    assert out.filter("not kept and not base_failed").count() == sum(not r["kept"] and not r["base_failed"] for r in rows)
+    base = quality.base_figures(docs, "doc_id", "text", "source")
+    assert base.filter("base_failed").count() == sum(r["base_failed"] for r in rows)
+
+
 def test_long_text(spark):
     text = prose(3, 20_000, 5_000)
     docs = spark.createDataFrame([(1, text, "h"), (2, text + " " + text, "h")], "doc_id long, text string, source string")

@@ -74,7 +74,31 @@ LAYOUTS = (
 
 
 def field_paths(record: Column) -> Column:
-    """Sorted paths of a JSON object: its keys, and the keys of the objects in its arrays."""
+    """Sorted paths of a JSON object at any depth, over all elements of its arrays: `a`, `a.b` in objects, `a[].b` in arrays.
+
+    Read off the record's type, which puts the fields of all elements together. A
+    record that has none (text that is no JSON) gives the paths of its first level.
+    """
+    kind = F.schema_of_variant(F.try_parse_json(record))
+    marks = F.regexp_extract_all(kind, F.lit(r"(OBJECT<|ARRAY<|>|(?:`(?:[^`]|``)+`|[^<>,: ]+): )"), F.lit(1))
+    start = F.struct(F.array(F.lit("")).alias("above"), F.lit("").alias("at"), F.array().cast("array<string>").alias("paths"))
+
+    def read(state: Column, mark: Column) -> Column:
+        above, at, paths = state["above"], state["at"], state["paths"]
+        inside = F.when(mark == "ARRAY<", F.concat(at, F.lit("[]"))).when(at == "", "").otherwise(F.concat(at, F.lit(".")))
+        named = F.concat(F.element_at(above, -1), F.substr(mark, F.lit(1), F.length(mark) - 2))
+        return (
+            F.when(mark == ">", F.struct(F.slice(above, F.lit(1), F.size(above) - 1).alias("above"), at.alias("at"), paths.alias("paths")))
+            .when(mark.isin("OBJECT<", "ARRAY<"), F.struct(
+                F.array_append(above, inside).alias("above"), F.when(mark == "ARRAY<", inside).otherwise(at).alias("at"), paths.alias("paths")))
+            .otherwise(F.struct(above.alias("above"), named.alias("at"), F.array_append(paths, named).alias("paths")))
+        )
+
+    found = F.array_sort(F.array_distinct(F.aggregate(marks, start, read, lambda s: s["paths"])))
+    return F.coalesce(found, _first_level(record))
+
+
+def _first_level(record: Column) -> Column:
     keys = F.json_object_keys(record)
     nested = F.flatten(
         F.transform(
@@ -97,10 +121,10 @@ def fingerprint(record: Column) -> Column:
 
 def canonical_turns(records: DataFrame, record: str, layouts: tuple[Layout, ...] = LAYOUTS) -> DataFrame:
     """Adds layout and turns (role, content) to each record."""
-    printed = records.withColumn("fingerprint", fingerprint(F.col(record)))
+    printed = records.withColumn("__print", fingerprint(F.col(record)))
     name, turns = F.lit(None).cast("string"), F.lit(None).cast(TURNS)
     for layout in layouts:
-        here = F.col("fingerprint") == layout.fingerprint
+        here = F.col("__print") == layout.fingerprint
         parsed = F.from_json(F.col(record), layout.schema)
         mapped = F.expr("transform(array(__parsed), r -> " + layout.turns + ")[0]")
         printed = printed.withColumn("__parsed", F.when(here, parsed)).withColumn(
@@ -111,7 +135,7 @@ def canonical_turns(records: DataFrame, record: str, layouts: tuple[Layout, ...]
         turns, lambda t: F.struct(F.coalesce(t["role"], F.lit("")).alias("role"), F.coalesce(t["content"], F.lit("")).alias("content"))
     )
     return printed.select("*", name.alias("layout"), filled.alias("turns")).drop(
-        "fingerprint", *[f"__{layout.name}" for layout in layouts]
+        "__print", *[f"__{layout.name}" for layout in layouts]
     )
 
 
@@ -212,7 +236,11 @@ def gather_turns(rows: DataFrame, conv_id: str = "conv_id", turn: str = "turn",
 
 def as_records(conversations: DataFrame) -> DataFrame:
     """conv_id and record: each conversation in the layout that fits its roles, JSON as a collection would hold it."""
-    roles = F.array_join(F.transform("turns", lambda t: t["role"]), ",")
+    roles = F.transform("turns", lambda t: t["role"])
+
+    def are(*names: str) -> Column:
+        return roles == F.array(*[F.lit(n) for n in names])
+
     content = lambda k: F.get("turns", F.lit(k))["content"]
     other = F.transform(
         "turns",
@@ -224,9 +252,9 @@ def as_records(conversations: DataFrame) -> DataFrame:
     plain = F.transform("turns", lambda t: t["role"].isin("user", "assistant", "system"))
     even = F.forall(plain, lambda x: x) & (F.pmod(F.xxhash64("conv_id"), F.lit(2)) == 0)
     record = (
-        F.when(roles == "user,assistant", F.to_json(F.struct(content(0).alias("prompt"), content(1).alias("response"))))
+        F.when(are("user", "assistant"), F.to_json(F.struct(content(0).alias("prompt"), content(1).alias("response"))))
         .when(
-            roles == "system,user,assistant",
+            are("system", "user", "assistant"),
             F.to_json(F.struct(content(0).alias("instruction"), content(1).alias("input"), content(2).alias("output"))),
         )
         .when(even, F.to_json(F.struct(other.alias("conversations"))))

@@ -6,7 +6,8 @@ documents that are left with too little are rejected.
 
 Defined cases: a null or empty text has no words and no lines, so all its
 figures are 0 and it fails the base rule. A null host is a host of its own. Rows
-that repeat a document's text, host and id all get that document's figures.
+that repeat a document's text, host and id all get that document's figures; for
+the line rule rows with one id are one document, rows without an id one per text.
 Columns other than the three named ones are not read and may have any name.
 """
 
@@ -61,7 +62,10 @@ def normalised_lines(text: Column) -> Column:
 
 
 def base_figures(docs: DataFrame, doc_id: str, text: str, host: str, limits: Limits = Limits()) -> DataFrame:
-    """One row per document: counts over its own words and lines, and whether the base rule fails it."""
+    """One row per document: counts over its own words and lines, and whether the base rule fails it.
+
+    Written once, so that a filter on any of them reads numbers and is not pushed into the steps that count them.
+    """
     whole = F.coalesce(F.col(text), F.lit(""))
     own = docs.select(
         F.col(doc_id).alias("doc_id"), F.col(host).alias("host"), whole.alias("text"),
@@ -120,7 +124,7 @@ def base_figures(docs: DataFrame, doc_id: str, text: str, host: str, limits: Lim
     failed = (F.col("n_words") < limits.min_words) | (
         100 * F.col("n_repeat_words") > limits.repeat_percent * F.col("n_words")
     )
-    return figures.select("*", failed.alias("base_failed"))
+    return stored(figures.select("*", failed.alias("base_failed")))
 
 
 def row_key(*columns: Column) -> Column:
@@ -146,16 +150,32 @@ def host_lines(docs: DataFrame, doc_id: str, text: str, host: str) -> DataFrame:
     return ordered.select("doc_id", "host", "row_key", F.inline(marked))
 
 
-def frequent_lines(lines: DataFrame, docs: DataFrame, host: str, limits: Limits) -> DataFrame:
-    """host, line and the first document of the lines that too many documents of a host hold.
+def _document() -> list[Column]:
+    """What tells documents apart: the id, of rows without one their key."""
+    return [F.col("doc_id"), F.when(F.col("doc_id").isNull(), F.col("row_key")).alias("no_id")]
+
+
+def held_lines(lines: DataFrame, limits: Limits) -> DataFrame:
+    """host, line, doc_id and row_key of the lines in more rows than documents may hold; written once.
 
-    Counts are combined before the shuffle, so a line of a third of all rows is
-    one row per task.
+    Rows are counted first, combined before the shuffle, so a line of a third of all
+    rows is one row per task; only the lines that many rows hold are looked at again.
     """
-    counts = lines.groupBy("host", "line").agg(
-        F.sum(F.col("first").cast("long")).alias("docs"), F.min("doc_id").alias("first_doc")
+    many = lines.groupBy("host", "line").agg(F.sum(F.col("first").cast("long")).alias("rows")).filter(F.col("rows") > limits.line_docs)
+    many = many.select(F.col("host").alias("many_host"), F.col("line").alias("many_line"))
+    same = (F.col("line") == F.col("many_line")) & F.col("host").eqNullSafe(F.col("many_host"))
+    # these lines are few, their occurrences may be many: Spark splits a hot line in this join
+    return stored(lines.filter("first").join(many, same).select("host", "line", "doc_id", "row_key"))
+
+
+def frequent_lines(held: DataFrame, docs: DataFrame, doc_id: str, text: str, host: str, limits: Limits) -> DataFrame:
+    """host, line and the first document of the lines that too many distinct documents of a host hold."""
+    counts = held.select("host", "line", *_document()).distinct().groupBy("host", "line").agg(
+        F.count(F.lit(1)).alias("docs"), F.min("doc_id").alias("first_doc")
     ).filter(F.col("docs") > limits.line_docs)
-    sizes = docs.groupBy(F.col(host).alias("size_host")).agg(F.count(F.lit(1)).alias("host_docs"))
+    key = row_key(F.col(doc_id), F.col(host), F.coalesce(F.col(text), F.lit("")))
+    own = docs.select(F.col(doc_id).alias("doc_id"), F.col(host).alias("size_host"), F.when(F.col(doc_id).isNull(), key).alias("row_key"))
+    sizes = own.select("size_host", *_document()).distinct().groupBy("size_host").agg(F.count(F.lit(1)).alias("host_docs"))
     return (
         counts.join(sizes, F.col("host").eqNullSafe(F.col("size_host")))
         .filter(F.col("docs") > limits.line_share * F.col("host_docs"))
@@ -168,10 +188,9 @@ def removed_lines(
 ) -> DataFrame:
     """removed_key, removed_doc and gone (hashes of lines) of each document with lines above the limit that are not its own to keep."""
     lines = host_lines(docs, doc_id, text, host)
-    frequent = frequent_lines(lines, docs, host, limits)
-    # the lines above the limit are few, their occurrences may be many: Spark splits a hot line in this join
-    held = lines.filter("first").join(
-        frequent,
+    every = held_lines(lines, limits)
+    held = every.join(
+        frequent_lines(every, docs, doc_id, text, host, limits),
         (F.col("line") == F.col("frequent_line")) & F.col("host").eqNullSafe(F.col("frequent_host")),
     ).filter(~F.col("doc_id").eqNullSafe(F.col("first_doc")))
     # at most the distinct lines of one document

@@ -39,7 +39,7 @@ ln AS (
     len(list_filter(string_split_regex(x, '[\x20\x09-\x0D]+'), lambda v: v <> '')) AS words
   FROM (SELECT doc_id, source, unnest(lines) AS x FROM w)
 ),
-hosts AS (SELECT source, count(*) AS n FROM d GROUP BY source),
+hosts AS (SELECT source, count(DISTINCT doc_id) AS n FROM d GROUP BY source),
 freq AS (
   SELECT f.source, f.line, f.first_doc FROM (
     SELECT source, line, count(DISTINCT doc_id) AS docs, min(doc_id) AS first_doc FROM ln GROUP BY source, line
