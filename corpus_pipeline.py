@@ -7,11 +7,16 @@ stage returns as Parquet and gives it, read again, to the next.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+import math
+from functools import reduce
+from operator import and_
+
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ticketlens.llm import cube, decontam, neardup, quality, sharding
 from ticketlens.llm.storage import small, stored
+from ticketlens.skew import HOT_ROWS
 
 KEY = "__row_key"
 #: Near-duplicates share this percentage of their 5-word shingles; the 85 of op2 is the contract of that query only.
@@ -37,11 +42,14 @@ def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One row of each group of near-duplicates stays: that of the smallest id, and of its rows the one with the smallest key."""
-    found = stored(neardup.near_duplicates(docs, percent=NEAR_PERCENT).select("row_key", "component_id", "kept"))
-    grouped = found.filter(F.col("component_id").isNotNull())
+    """One row of each group of near-duplicates stays: that of the smallest id, and of its rows the one with the smallest key.
+
+    Groups without any id keep one row too. Rows without id and words are in no group.
+    """
+    found = stored(neardup.near_duplicates(docs, percent=NEAR_PERCENT).select("row_key", "group_id", "kept"))
+    grouped = found.filter(F.col("group_id").isNotNull())
     stays = stored(
-        grouped.filter("kept").groupBy("component_id").agg(F.min("row_key").alias("row_key"), F.count(F.lit(1)).alias("n"))
+        grouped.filter("kept").groupBy("group_id").agg(F.min("row_key").alias("row_key"), F.count(F.lit(1)).alias("n"))
     )
     left = _without(docs, grouped.select("row_key").join(stays, "row_key", "left_anti"), _id_and_text())
     repeated = stays.filter(F.col("n") > 1).select(F.col("row_key").alias(KEY))
@@ -60,13 +68,42 @@ def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Each document as often as the mix takes it: not at all, once or twice."""
-    taken = stored(cube.mix(docs).groupBy(F.col("row_key").alias(KEY)).agg(F.min("times").alias("__times")))
-    joined = docs.withColumn(KEY, _id_and_text()).join(small(taken), KEY)
+    """Each row as often as the mix takes it: not at all, once or twice.
+
+    Equal rows of a source are drawn one by one; how many of them are taken once
+    more than the others is what their draws add up to.
+    """
+    key = [KEY, "__source"]
+    drawn = cube.mix(docs).groupBy(F.col("row_key").alias(KEY), F.col("source").alias("__from")).agg(
+        F.min("times").alias("__times"), (F.sum("times") - F.count(F.lit(1)) * F.min("times")).alias("__more")
+    )
+    taken = stored(drawn)
+    keyed = docs.withColumns({KEY: _id_and_text(), "__source": F.col("source")})
+    same = (F.col(KEY) == F.col("__key")) & F.col("__source").eqNullSafe(F.col("__from"))
+    joined = keyed.join(small(taken.withColumnRenamed(KEY, "__key")), same).drop("__key", "__from")
+    if not taken.filter("__more > 0").isEmpty():
+        uneven = _numbered(joined.filter("__more > 0"), key)
+        even = joined.filter("__more = 0").withColumn("__place", F.lit(1).cast("long"))
+        joined = even.unionByName(uneven).withColumn("__times", F.col("__times") + (F.col("__place") <= F.col("__more")).cast("long"))
     copies = joined.withColumn("__copy", F.explode(F.array_repeat(F.lit(0), F.col("__times").cast("int"))))
     return copies.select(*docs.columns)
 
 
+def _numbered(rows: DataFrame, key: list[str]) -> DataFrame:
+    """Adds `__place`, counting the rows of each key from 1. Keys are cut into ranges, so one may hold any share of the rows."""
+    parts = max(2, math.ceil(rows.count() / HOT_ROWS))
+    ranged = rows.withColumn("__row", F.monotonically_increasing_id()).repartitionByRange(parts, *[F.col(k) for k in key], "__row")
+    chunks = stored(ranged.withColumn("__chunk", F.spark_partition_id()))
+    of = {k: f"{k}_of" for k in [*key, "__chunk"]}
+    sizes = chunks.groupBy(*of).agg(F.count(F.lit(1)).alias("__n"))
+    earlier = Window.partitionBy(*key).orderBy("__chunk").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = sizes.select(*[F.col(k).alias(n) for k, n in of.items()], F.coalesce(F.sum("__n").over(earlier), F.lit(0)).alias("__before"))
+    inside = F.row_number().over(Window.partitionBy(*of).orderBy("__row"))
+    same = [F.col(k).eqNullSafe(F.col(n)) for k, n in of.items()]
+    placed = chunks.withColumn("__inside", inside).join(offsets, reduce(and_, same))
+    return placed.select(*rows.columns, (F.col("__inside") + F.col("__before")).alias("__place"))
+
+
 def assign_shards(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """doc_id, size, text_crc32, law, shard, slot and grown_shard of each row of the mix."""
     return sharding.shard(docs, shards=16)

@@ -10,7 +10,7 @@ import test_quality
 import test_sharding
 from frames import edge_docs, edge_texts, empty_docs, plain, prose
 
-from ticketlens.llm import quality
+from ticketlens.llm import neardup, quality
 from ticketlens.llm.storage import stored
 
 
@@ -98,3 +98,47 @@ def test_quality_stage_hands_on_cleaned_texts(spark, tmp_path):
     after = plain(corpus_pipeline.keep_quality(spark, docs, str(tmp_path)))
     assert len(after) == 30
     assert [d for d, text, _ in after if "Terms OF" in text] == [0]
+
+
+def test_copies_without_ids_are_linked_and_one_stays(spark, tmp_path):
+    base = prose(700, 80)
+    near = base.replace(base.split(" ")[3], "other", 1)
+    lone, named = prose(701, 40), prose(702, 50)
+    rows = [(None, base, "a"), (None, base, "a"), (None, base.upper(), "b"), (None, near, None), (None, lone, "a"), (None, lone, "a"),
+            (None, named, "a"), (7, named + " ", "a"), (None, None, "a"), (None, "", "a"), (None, None, None)]
+    docs = stored(spark.createDataFrame(rows, "doc_id long, text string, source string"))
+    found = neardup.near_duplicates(docs, percent=80).collect()
+    assert len(found) == len(rows)
+    assert {r["component_id"] for r in found} == {None, 7}
+    assert sorted(Counter(r["group_id"] for r in found if r["n_shingles"]).values()) == [2, 2, 4]
+    after = plain(corpus_pipeline.drop_near_duplicates(spark, docs, str(tmp_path)))
+    assert sum(text is not None and text.lower() in (base, base.lower(), near.lower()) for _, text, _ in after) == 1
+    assert [(d, t) for d, t, _ in after if t and t.strip() == named.strip()] == [(7, named + " ")]
+    assert sum(t == lone for _, t, _ in after) == 1
+    assert len(after) == 3 + 3  # texts without words are in no group
+
+
+def test_a_hash_below_all_ids_does_not_lead_a_group(spark):
+    """Two classes without ids and one with; whatever their hashes, the id names the group."""
+    base = prose(710, 80)
+    rows = [(2**63 - 1, base)] + [(None, " ".join([*base.split(" ")[:-1], f"end{k}"])) for k in range(12)]
+    docs = stored(spark.createDataFrame(rows, "doc_id long, text string"))
+    found = neardup.near_duplicates(docs, percent=80).collect()
+    assert {(r["component_id"], r["kept"] == (r["doc_id"] is not None)) for r in found} == {(2**63 - 1, True)}
+
+
+def test_equal_rows_are_drawn_one_by_one(spark, tmp_path):
+    text = prose(720, 30)
+    rows = [(None, text, "a", k) for k in range(400)] + [(k, prose(800 + k, 30), "b", k) for k in range(10)]
+    docs = stored(spark.createDataFrame(rows, "doc_id long, text string, source string, chunk int").repartition(5))
+    out = corpus_pipeline.mix_sources(spark, docs, str(tmp_path))
+    assert out.columns == docs.columns
+    sizes = Counter()
+    for _, t, source, _ in rows:
+        sizes[source] += len(test_cube.words(t))
+    taken = Counter()
+    for r in out.collect():
+        taken[r["source"]] += len(test_cube.words(r["text"]))
+    targets = test_cube.expected_targets(sizes)
+    assert all(abs(taken[s] - t) <= 40 for s, t in targets.items())
+    assert max(Counter(r["chunk"] for r in out.filter("source = 'a'").collect()).values()) <= 2

@@ -17,7 +17,8 @@ by part.
 
 Defined cases: a null or empty text is the empty set, linked with nothing. Rows
 that repeat a doc_id share its class name and count as linked. Rows without an id
-take part in their class but name none. Equal sets have one class at any number.
+take part in their class; a class of nothing else goes by its smallest row_key, a
+64-bit hash, so it is linked as any other. Equal sets have one class at any number.
 """
 
 from __future__ import annotations
@@ -34,6 +35,7 @@ from ticketlens.llm.graph import components
 from ticketlens.llm.storage import small, stored
 from ticketlens.llm.textblocks import LOWER, Block, Hasher, blocks, mix, spans
 from ticketlens.session import materialize
+from ticketlens.skew import lookup_join
 
 SHINGLE_WORDS = 5
 PERCENT = 85
@@ -284,23 +286,53 @@ def full_sets(docs: DataFrame, names: DataFrame, doc_id: str = "doc_id", text: s
     return rows.mapInArrow(build, "name long, shingles binary").filter(F.length("shingles") > 0)
 
 
+def _without_id(docs: DataFrame) -> DataFrame:
+    """The rows without an id under their row_key, equal ones once."""
+    nameless = docs.filter(F.col("doc_id").isNull()).select(F.xxhash64("doc_id", "text").alias("doc_id"), "text")
+    return nameless.dropDuplicates(["doc_id"])
+
+
+def _groups(classes: DataFrame, roots: DataFrame, nameless: bool) -> DataFrame:
+    """The classes with group (the root of their component), component (its smallest doc_id) and lead (no class of the group comes before)."""
+    named = classes.drop("sketch").join(roots.withColumnRenamed("node", "name"), "name", "left").withColumn("group", F.coalesce("root", "name"))
+    if not nameless:
+        return named.select("*", F.col("group").alias("component"), (F.col("name") == F.col("group")).alias("lead"))
+    # a hash may be the smallest name of a group that has ids
+    ids = named.groupBy("group").agg(F.min("first_id").alias("component"))
+    found = lookup_join(stored(named), stored(ids), ["group"])
+    return found.withColumn("group", F.coalesce("component", "group")).withColumn("lead", F.col("name") == F.col("group"))
+
+
 def near_duplicates(
     docs: DataFrame, doc_id: str = "doc_id", text: str = "text", percent: int = PERCENT, part_shingles: int = PART_SHINGLES
 ) -> DataFrame:
-    """doc_id, row_key, n_shingles, component_id (the smallest linked id) and kept (is it its own) for each row; ids are long."""
+    """doc_id, row_key, n_shingles, component_id (the smallest linked id), kept (is it its own) and group_id for each row; ids are long.
+
+    A component without any id has a null component_id; there kept is true for
+    the rows of the class with the smallest row_key. group_id is the component_id,
+    else that row_key; it is null only for rows with neither an id nor words.
+    """
     docs = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
     rows = stored(sketches(docs))
     prints = ["print_a", "print_b", "n_shingles"]
-    classes = rows.filter(F.col("n_shingles") > 0).groupBy(*prints).agg(F.min("doc_id").alias("name"), F.first("sketch").alias("sketch"))
-    classes = stored(classes.filter(F.col("name").isNotNull()))
+    classes = rows.filter(F.col("n_shingles") > 0).groupBy(*prints).agg(
+        F.min("doc_id").alias("first_id"), F.min("row_key").alias("first_key"), F.first("sketch").alias("sketch")
+    )
+    classes = stored(classes.withColumn("name", F.coalesce("first_id", "first_key")).drop("first_key"))
+    nameless = not classes.filter(F.col("first_id").isNull()).isEmpty()
     members = materialize(gathered(listed_values(classes, percent)))
-    sets = full_sets(docs, members.select("name").distinct())
+    names = members.select("name").distinct()
+    sets = full_sets(docs, names)
+    if nameless:
+        sets = sets.unionByName(full_sets(_without_id(docs), names))
     links = links_between(members, sets, percent, part_shingles)
-    roots = components(links.select("a", "b"))
-    named = classes.select(*prints, "name").join(roots.withColumnRenamed("node", "name"), "name", "left").select(
-        *[F.col(c).alias(f"class_{c}") for c in prints], F.coalesce("root", "name").alias("class_root")
+    grouped = _groups(classes, components(links.select("a", "b")), nameless).select(
+        *[F.col(c).alias(f"class_{c}") for c in prints], F.col("group").alias("class_group"), F.col("component").alias("class_component"), "lead"
     )
     same = [F.col(c) == F.col(f"class_{c}") for c in prints]
-    joined = rows.drop("sketch").join(named, same[0] & same[1] & same[2], "left")
-    component = F.coalesce("class_root", "doc_id")
-    return joined.select("doc_id", "row_key", "n_shingles", component.alias("component_id"), F.col("doc_id").eqNullSafe(component).alias("kept"))
+    joined = rows.drop("sketch").join(grouped, same[0] & same[1] & same[2], "left")
+    component = F.coalesce("class_component", F.when(F.col("class_group").isNull(), F.col("doc_id")))
+    kept = F.when(component.isNull(), F.coalesce("lead", F.lit(True))).otherwise(F.col("doc_id").eqNullSafe(component))
+    return joined.select(
+        "doc_id", "row_key", "n_shingles", component.alias("component_id"), kept.alias("kept"), F.coalesce("class_group", "doc_id").alias("group_id")
+    )

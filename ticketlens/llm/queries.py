@@ -88,7 +88,7 @@ FROM f
 
 
 def op2_bottom_k_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return neardup.near_duplicates(table(spark, sf_dir, "documents")).drop("row_key")
+    return neardup.near_duplicates(table(spark, sf_dir, "documents")).drop("row_key", "group_id")
 
 
 def op3_lattice_score(spark: SparkSession, sf_dir: str) -> DataFrame:
