@@ -4,6 +4,8 @@ import random
 from datetime import datetime, timedelta
 
 import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from ticketlens.catalogue import DEFAULT
@@ -85,6 +87,71 @@ def test_states_equal_a_backward_walk(spark, seed, limit, list_rows):
     assert built.count() == len(want_states)
 
 
+@pytest.mark.parametrize("list_rows", [1_000, 6])
+def test_lists_only_at_the_asked_changes(spark, list_rows):
+    current, changes = random_log(6)
+    now, _, tag_log = frames(spark, current, changes)
+    asked = (F.col("history_id") % 17 == 3) & (F.col("item_ord") == 0)
+    got = sorted((r.key, r.history_id, r.item_ord, r.before) for r in lists(now, tag_log, list_rows=list_rows, asked=asked).collect())
+    want = [u for u in backward_walk(current, changes)[1] if u[1] % 17 == 3 and u[2] == 0]
+    assert got == want and want
+
+
+@pytest.mark.parametrize("asked", [None, "history_id in (0, 2500, 5999)"])
+def test_many_tags_held_through_many_pieces(spark, asked):
+    """500 tags stay through 600 pieces; interval rows follow the changes, not tags times pieces."""
+    kept = [f"t{k}" for k in range(500)]
+    changes = [("K", START + timedelta(seconds=h), h, 0, "tags", None, f"new{h}") for h in range(6_000)]
+    tags = "#".join([*kept, *[c[6] for c in changes]])
+    now = spark.createDataFrame([("K", "tags", tags)], "key string, header string, value string")
+    log = spark.createDataFrame(changes, SCALAR)
+    got = {r.history_id: r.before for r in history.replay_list(now, log, list_rows=10, asked=asked and F.expr(asked)).collect()}
+    assert len(got) == (6_000 if asked is None else 3)
+    assert all(got[h] == "#".join([*kept, *[f"new{k}" for k in range(h)]]) for h in (0, 2500, 5999))
+
+
+def test_interval_rows_follow_the_changes(spark):
+    """500 tags come in the first pieces and stay through 2,000 more."""
+    steps = spark.range(25_000).selectExpr(
+        "'K' key", "'tags' header", "id div 10 piece", "0 recent", "timestamp '2024-01-01' - make_dt_interval(0, 0, 0, id) moment",
+        "-id history_id", "0 item_ord", "cast(null as timestamp) changed_at",
+        "if(id < 500, concat('t', id), concat('x', (id - 500) div 2)) tag", "id >= 500 and id % 2 = 1 added")
+    spans = history.tag_spans(steps)
+    assert spans.count() <= 25_000
+    cut = spans.withColumn("until", F.least("until", F.lit(2_500)))
+    blocks = cut.select("tag", F.inline(history.span_blocks(F.col("first"), F.col("until"))))
+    assert 500 < blocks.count() <= 500 * 4 * 2 * 16  # tags times pieces are 1,000,000
+    wanted = spark.createDataFrame([("K", "tags", p) for p in (1, 49, 50, 700, 2_499)], "key string, header string, piece long")
+    got = {r.piece: r.carry for r in history.held_at(spans, wanted).collect()}
+    assert {p: len(c) for p, c in got.items()} == {1: 10, 49: 490, 50: 500, 700: 500, 2_499: 500}
+    assert got[2_499] == [f"t{k}" for k in range(500)]
+
+
+@settings(max_examples=60, deadline=None)
+@given(first=st.integers(0, 5_000), length=st.integers(0, 5_000))
+def test_blocks_cover_a_span_once(first, length):
+    """The rule of `span_blocks` in plain numbers."""
+    until, size, got, blocks = first + length, 1, [], 0
+    while -(-first // size) < until // size:
+        low, high = -(-first // size), until // size
+        up = size * history.BLOCK_PLACES
+        inner = -(-first // up) < until // up
+        runs = [(low, -(-first // up) * 16), (until // up * 16, high)] if inner else [(low, high)]
+        for a, b in runs:
+            got += [x for k in range(a, b) for x in range(k * size, (k + 1) * size)]
+            blocks += max(b - a, 0)
+        size = up
+    assert sorted(got) == list(range(first, until)) and blocks <= 4 * 32
+
+
+def test_blocks_of_spans_and_places_meet_once(spark):
+    spans = [(0, 1), (0, 16), (3, 300), (255, 257), (17, 5_000), (4_096, 4_096), (1, 70_000)]
+    rows = spark.createDataFrame(spans, "first long, until long").select("first", "until", F.inline(history.span_blocks(F.col("first"), F.col("until"))))
+    points = spark.range(0, 5_100, 7).select(F.col("id").alias("place"), F.inline(history.place_blocks(F.col("id"))))
+    got = sorted((r.first, r.until, r.place) for r in rows.join(points, ["level", "block"]).collect())
+    assert got == sorted((a, b, p) for a, b in spans for p in range(0, 5_100, 7) if a <= p < b)
+
+
 def test_prune_keeps_the_newest_state_and_true_values(spark):
     current, changes = random_log(5)
     now, scalars, _ = frames(spark, current, changes)

@@ -153,6 +153,14 @@ QUERIES["undo_list"] = lambda spark, sf: history.replay_list(current_tags(spark,
     "key", "history_id", "changed_at", F.col("before").alias("tags_before"))
 ORACLE["undo_list"] = with_tag_log("SELECT key, history_id, changed_at, tags_before FROM tag_log WHERE undoable")
 
+# in short pieces, so that lists are carried as spans of their tags
+LISTS_FROM = "2024-01-15"
+QUERIES["asked_lists"] = lambda spark, sf: history.replay_list(
+    current_tags(spark, sf), tag_changes(spark, sf), list_rows=20, asked=history.on_or_after(LISTS_FROM)).select(
+    "key", "history_id", "changed_at", F.col("before").alias("tags_before"))
+ORACLE["asked_lists"] = with_tag_log(
+    f"SELECT key, history_id, changed_at, tags_before FROM tag_log WHERE undoable AND changed_at >= DATE '{LISTS_FROM}'")
+
 
 def _unresolved(spark, sf):
     effects = history.list_effects(current_tags(spark, sf), tag_changes(spark, sf))

@@ -124,8 +124,8 @@ def list_effects(current: DataFrame, changes: DataFrame, limit: int | None = HOT
 
 
 def _fold(rows: DataFrame, keys: Sequence[str], carry: DataFrame | None = None) -> DataFrame:
-    """Walks the changes of one group in one array, from the carried tag list on."""
-    event = F.struct(*[_walk_rank().alias("rank"), "tag", "added"])
+    """Walks the changes of one group in one array, from the carried tag list on; lists come out at the asked ones."""
+    event = F.struct(*[_walk_rank().alias("rank"), "tag", "added", "asked"])
     grouped = rows.groupBy(*keys).agg(F.reverse(F.sort_array(F.collect_list(event))).alias("events"))
     empty = F.array().cast("array<string>")
     if carry is not None:
@@ -140,10 +140,8 @@ def _fold(rows: DataFrame, keys: Sequence[str], carry: DataFrame | None = None)
         held = F.when(change["added"], F.array_remove(state["held"], change["tag"])).otherwise(
             F.array_append(state["held"], change["tag"])
         )
-        return F.struct(
-            held.alias("held"),
-            F.concat(state["done"], F.array(F.struct(change["rank"].alias("rank"), held.alias("held")))).alias("done"),
-        )
+        step = F.array(F.struct(change["rank"].alias("rank"), held.alias("held")))
+        return F.struct(held.alias("held"), F.when(change["asked"], F.concat(state["done"], step)).otherwise(state["done"]).alias("done"))
 
     steps = F.aggregate("events", F.struct(start.alias("held"), done.alias("done")), undo, lambda s: s["done"])
     return grouped.select(*keys, F.inline(steps))
@@ -160,47 +158,103 @@ def _pieces(chunks: DataFrame, rows: int) -> DataFrame:
     return placed.withColumn("piece", F.col("offset") + F.floor((F.col("place") - 1) / rows)).drop("place", "offset", "chunk")
 
 
-def _carried_tags(pieces: DataFrame) -> DataFrame:
-    """Tags held at the start of each piece: set by the last earlier piece that touched the tag."""
+def tag_spans(pieces: DataFrame) -> DataFrame:
+    """One row per tag and piece that leaves it held: key, header, tag, rank (when it came) and the pieces [first, until) it is held at the start of.
+
+    Rows are in proportion to the changes, however many pieces a tag is held through.
+    """
     group = ["key", "header"]
     last = pieces.groupBy(*group, "tag", "piece").agg(F.min(F.struct(_walk_rank().alias("rank"), "added")).alias("last"))
-    ends = pieces.groupBy(*group).agg(F.max("piece").alias("last_piece"))
     following = F.lead("piece").over(Window.partitionBy(*group, "tag").orderBy("piece"))
-    spans = lookup_join(last.withColumn("following", following), ends, group, "inner")
-    until = F.coalesce("following", "last_piece")
-    held = spans.filter(~F.col("last.added") & (F.col("piece") < until)).select(
-        *group, "tag", F.col("last.rank").alias("rank"), F.explode(F.sequence(F.col("piece") + 1, until)).alias("piece")
+    until = F.coalesce(F.col("following") + 1, F.lit(2**62))
+    spans = last.withColumn("following", following).filter(~F.col("last.added"))
+    return spans.select(*group, "tag", F.col("last.rank").alias("rank"), (F.col("piece") + 1).cast("long").alias("first"), until.cast("long").alias("until"))
+
+
+#: Places of a block of the next level, and levels (an end beyond all places is cut at the group's last one).
+BLOCK_PLACES = 16
+BLOCK_LEVELS = 15
+
+
+def span_blocks(first: Column, until: Column) -> Column:
+    """The fewest aligned blocks (level, block) that make up the places [first, until); a block of a level has 16 of the level below."""
+
+    def edge(level: Column) -> Column:
+        size = F.pow(F.lit(BLOCK_PLACES), level).cast("long")
+        low, high = F.ceil(first / size), F.floor(until / size)
+        next_low, next_high = F.ceil(first / (size * BLOCK_PLACES)), F.floor(until / (size * BLOCK_PLACES))
+        inner = next_low < next_high
+        left = _places(low, F.when(inner, next_low * BLOCK_PLACES).otherwise(high))
+        right = F.when(inner, _places(next_high * BLOCK_PLACES, high)).otherwise(F.array().cast("array<bigint>"))
+        return F.transform(F.concat(left, right), lambda block: F.struct(level.cast("int").alias("level"), block.alias("block")))
+
+    return F.flatten(F.transform(F.sequence(F.lit(0), F.lit(BLOCK_LEVELS - 1)), edge))
+
+
+def _places(low: Column, high: Column) -> Column:
+    return F.when(low < high, F.sequence(low.cast("long"), high.cast("long") - 1)).otherwise(F.array().cast("array<bigint>"))
+
+
+def place_blocks(place: Column) -> Column:
+    """The block of each level that holds a place."""
+    return F.transform(
+        F.sequence(F.lit(0), F.lit(BLOCK_LEVELS - 1)),
+        lambda level: F.struct(level.cast("int").alias("level"), F.floor(place / F.pow(F.lit(BLOCK_PLACES), level).cast("long")).cast("long").alias("block")),
     )
+
+
+def held_at(spans: DataFrame, wanted: DataFrame) -> DataFrame:
+    """The tag list at the start of each wanted piece (key, header, piece), in the order the tags came.
+
+    Spans meet pieces in aligned blocks, so only what is held at a wanted piece
+    becomes a row; a span through any number of other pieces costs a few.
+    """
+    group = ["key", "header"]
+    ends = wanted.groupBy(*group).agg(F.max("piece").alias("last_piece"))
+    cut = lookup_join(spans, ends, group, "inner").withColumn("until", F.least("until", F.col("last_piece") + 1)).filter("first < until")
+    parts = cut.select(*group, "tag", "rank", F.inline(span_blocks(F.col("first"), F.col("until"))))
+    points = wanted.select(*group, "piece", F.inline(place_blocks(F.col("piece"))))
+    held = parts.join(points, [*group, "level", "block"])
     in_order = F.reverse(F.sort_array(F.collect_list(F.struct("rank", "tag"))))
     return held.groupBy(*group, "piece").agg(F.transform(in_order, lambda x: x["tag"]).alias("carry"))
 
 
 def replay_list(
-    current: DataFrame, changes: DataFrame, limit: int = HOT_ROWS, list_rows: int = LIST_ROWS
+    current: DataFrame, changes: DataFrame, limit: int = HOT_ROWS, list_rows: int = LIST_ROWS, asked: Column | None = None
 ) -> DataFrame:
-    """Joined tags in force before each undoable list change.
+    """Joined tags in force before each undoable list change, or before those for which `asked` holds.
 
     Removed tags come back at the end of the list. Groups above `list_rows` are
-    cut into ordered pieces, each folded from the tags held at its start. Groups
-    are measured on the change rows as given, before any other work on them.
+    cut into ordered pieces; those with an asked change are folded, each from the
+    tags held at its start. `asked` reads key, header, changed_at, history_id and
+    item_ord. Groups are measured on the change rows as given, before any other
+    work on them.
     """
     group = ["key", "header"]
     hot = hot_groups(changes, group, min(limit, list_rows))
     steps = list_effects(current, changes, None if hot is None else limit).filter("undoable").drop("undoable")
+    wanted = F.col("recent") == 0
+    steps = steps.withColumn("asked", wanted if asked is None else wanted & F.coalesce(asked, F.lit(False)))
     if hot is None:
-        folded = _fold(steps, group)
+        rows = _fold(steps, group)
     else:
         hot_rows, cold_rows = split_hot(materialize(steps), group, hot)
         pieces = _pieces(range_chunks(hot_rows, [F.col("key"), F.col("header"), *_walk()], hot.rows, limit), list_rows)
-        hot_folded = _fold(pieces, [*group, "piece"], _carried_tags(pieces)).drop("piece")
-        folded = _fold(cold_rows, group).unionByName(hot_folded)
-    rows = folded.filter(F.col("rank.recent") == 0)
+        read = pieces.filter("asked").select(*group, "piece").distinct()
+        used = pieces if asked is None else pieces.join(read, [*group, "piece"], "left_semi")
+        hot_folded = _fold(used, [*group, "piece"], held_at(tag_spans(pieces), read)).drop("piece")
+        rows = _fold(cold_rows, group).unionByName(hot_folded)
     return rows.select(
         "key", "header", "rank.changed_at", "rank.history_id", (-F.col("rank.item_back")).alias("item_ord"),
         blank_as_null(F.array_join("held", SEPARATOR)).alias("before"),
     )
 
 
+def on_or_after(day: str) -> Column:
+    """Changes that a state of this day or later can need the list of."""
+    return F.col("changed_at").cast("date") >= F.lit(day).cast("date")
+
+
 def unresolved(changes: DataFrame, effects: DataFrame | None, known: Sequence[str]) -> DataFrame:
     """Fields whose changes could not be used, with the reason, sorted.
 
@@ -241,11 +295,10 @@ def states(
     if require_history:
         births = births.join(touched.select("key").distinct(), "key", "left_semi")
     if min_valid_from is not None:
-        start = F.lit(min_valid_from).cast("date")
         newest = touched.groupBy("key").agg(F.max(F.struct("moment", "changed_at")).alias("newest"))
         newest = newest.select("key", "newest.changed_at", *bare, "newest.moment")
-        touched = touched.filter(F.col("changed_at").cast("date") >= start).unionByName(newest)
-        births = births.filter(F.col("changed_at").cast("date") >= start)
+        touched = touched.filter(on_or_after(min_valid_from)).unionByName(newest)
+        births = births.filter(on_or_after(min_valid_from))
     # several changes at one time: the one undone last holds the value before all of them
     undone_last = F.struct("history_id", (-F.col("item_ord")).alias("item_back"))
     per_time = touched.unionByName(births).groupBy("key", "moment", F.when(F.col("moment").isNull(), F.col("changed_at")).alias("at")).agg(

@@ -98,10 +98,11 @@ def panel_from_tickets(
     routed = history.normalise_changes(history.route_changes(tickets.flatten_changes(good, catalogue), catalogue), people, catalogue.seconds_per_day)
     lists = sorted({r.header for rs in catalogue.routes().values() for r in rs if r.is_list}.intersection(fields))
     log = routed.filter(~F.col("is_list")).drop("is_list", "field", "after")
+    pruned = start if not targets else None
     if lists:
         held = current.select("key", F.inline(F.array(*[F.struct(F.lit(c).alias("header"), q(c).alias("value")) for c in lists])))
-        log = log.unionByName(history.replay_list(held, routed.filter("is_list")))
-    pruned = start if not targets else None
+        asked = history.on_or_after(pruned) if pruned else None  # older lists enter no state
+        log = log.unionByName(history.replay_list(held, routed.filter("is_list"), asked=asked))
     states = history.states(
         current, log, fields, times=tickets.history_times(good), min_valid_from=pruned, require_history=require_history,
         sizes=tickets.history_times(good))
