@@ -1,13 +1,14 @@
 """Model operators on a planted signal, and the jobs end to end."""
 
 import random
+from dataclasses import replace
 
 import pytest
 from pyspark.sql import functions as F
 
 from ticketlens.operators import model, select, units
 from ticketlens.operators.encode import Preprocessor
-from ticketlens.operators.model import FeatureParams, ForestParams, TicketModel
+from ticketlens.operators.model import FeatureParams, ForestParams, TicketModel, model_versions
 from ticketlens.operators.profile import ColumnGroups
 from ticketlens.plans import jobs
 
@@ -49,6 +50,26 @@ def test_calibrated_model_beats_the_majority_and_survives_saving(spark, items, t
     assert got == pytest.approx({r.key: r.Proba_Max for r in rows})
 
 
+def test_a_failed_save_leaves_the_model_as_it_was(spark, items, tmp_path, monkeypatch):
+    path = f"{tmp_path}/m"
+    assert jobs.load_if_there(spark, path) is None
+    with pytest.raises(FileNotFoundError):
+        TicketModel.load(spark, path)
+    old = TicketModel.fit(items, "needed_lead_time", "key", **fit_options())
+    old.save(path, spark)
+    other = replace(old, features=replace(FEATURES, k_features=FEATURES.k_features + 1), classifier=replace(old.classifier, forests=[*old.classifier.forests[:-1], None]))
+    with pytest.raises(AttributeError):  # encoder and first forests are written by then
+        other.save(path, spark)
+    again = jobs.load_if_there(spark, path)
+    assert again.features == FEATURES and len(again.classifier.forests) == 3
+    for k in range(2, 5):
+        replace(old, features=replace(FEATURES, k_features=k)).save(path, spark)
+        assert TicketModel.load(spark, path).features.k_features == k
+    assert [r["number"] for r in model_versions(spark, path)] == [1, 2, 3, 4]
+    # the newest two versions and what the failed save left
+    assert len(list((tmp_path / "m" / "versions").iterdir())) == 3
+
+
 def test_two_classes_and_fixed_seed(spark, items):
     two = items.filter("needed_lead_time <> '2'")
     runs = [

@@ -4,14 +4,16 @@ from __future__ import annotations
 
 import json
 import math
+import uuid
 from collections.abc import Callable, Iterator, Sequence
 from dataclasses import asdict, dataclass, field
 
 from pyspark import StorageLevel
+from pyspark.errors import AnalysisException
 from pyspark.ml.classification import RandomForestClassificationModel, RandomForestClassifier
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.regression import RandomForestRegressionModel, RandomForestRegressor
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
 from ticketlens.functions.labels import ordered_labels
@@ -21,7 +23,7 @@ from ticketlens.operators.folds import ALL_ROWS, ValueCounts, column_groups, enc
 from ticketlens.operators.profile import ColumnGroups, group_columns
 from ticketlens.operators.score import PREFIX, total
 from ticketlens.operators.trees import with_min_split
-from ticketlens.session import ensure_checkpoint_dir, materialize, together
+from ticketlens.session import ensure_checkpoint_dir, materialize, remove_folder, together
 from ticketlens.skew import q
 
 # Spark grows trees to this depth at most
@@ -400,23 +402,37 @@ class TicketModel:
             *[p[i].alias(PREFIX + c) for i, c in enumerate(self.classes)],
         )
 
-    def save(self, path: str, spark: SparkSession) -> None:
-        """Forests in Spark's own format, encoder tables and settings beside them."""
-        self.plan.encoder.save(path, spark)
+    def save(self, path: str, spark: SparkSession, keep: int = 1) -> None:
+        """Encoder tables and forests (in Spark's own format) as a new version in `path`.
+
+        A version counts once its settings are in the list of versions, which one
+        write adds, so a save that fails leaves the model as it was. Of older
+        versions the last `keep` stay for those who still read them.
+        """
+        known = model_versions(spark, path)
+        version = f"versions/{uuid.uuid4().hex}"
+        self.plan.encoder.save(f"{path}/{version}", spark)
         forests = self.classifier.forests if self.classifier else [self.regressor]
         for i, forest in enumerate(forests):
-            forest.write().overwrite().save(f"{path}/forest_{i}")
+            forest.write().save(f"{path}/{version}/forest_{i}")
         meta = {
             "names": self.plan.names, "classes": self.classes, "forests": len(forests),
             "sigmoids": [[asdict(s) for s in fold] for fold in self.classifier.sigmoids] if self.classifier else [],
             "features": asdict(self.features), "forest": asdict(self.forest),
             "model_type": "classification" if self.classifier else "regression",
         }
-        spark.createDataFrame([(json.dumps(meta),)], "meta string").coalesce(1).write.mode("overwrite").json(f"{path}/meta")
+        number = 1 + max((r["number"] for r in known), default=0)
+        spark.createDataFrame([(number, version, json.dumps(meta))], VERSION).coalesce(1).write.mode("append").json(f"{path}/meta")
+        for gone in known[: -keep if keep else None][-1:]:
+            remove_folder(spark, f"{path}/{gone['version']}")
 
     @classmethod
     def load(cls, spark: SparkSession, path: str) -> TicketModel:
-        meta = json.loads(spark.read.schema("meta string").json(f"{path}/meta").first()["meta"])
+        """The newest committed version."""
+        known = model_versions(spark, path)
+        if not known:
+            raise FileNotFoundError(f"no saved model in {path}")
+        meta, path = json.loads(known[-1]["meta"]), f"{path}/{known[-1]['version']}"
         plan = FeaturePlan(Preprocessor.load(spark, path), meta["names"])
         kind = RandomForestClassificationModel if meta["model_type"] == "classification" else RandomForestRegressionModel
         forests = [kind.load(f"{path}/forest_{i}") for i in range(meta["forests"])]
@@ -427,6 +443,18 @@ class TicketModel:
         return cls(plan, CalibratedForest(meta["classes"], forests, sigmoids), None, *settings, meta["classes"])
 
 
+VERSION = "number long, version string, meta string"
+
+
+def model_versions(spark: SparkSession, path: str) -> list[Row]:
+    """Committed versions of a saved model, oldest first; none if nothing was saved."""
+    try:
+        rows = spark.read.schema(VERSION).json(f"{path}/meta").collect()  # one row per save
+    except AnalysisException:
+        return []
+    return sorted(rows, key=lambda r: (r["number"], r["version"]))
+
+
 def _folded(df: DataFrame, y: str, key: str, folds: int, seed: int) -> tuple[DataFrame, int]:
     counts = [r["n"] for r in units.class_counts(df, y).collect()]
     used = units.fold_count(counts, folds)

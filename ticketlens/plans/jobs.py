@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from ticketlens.catalogue import DEFAULT, Catalogue
 from ticketlens.operators import history, ledger, prepare, snapshots, summaries, units
-from ticketlens.operators.model import FeatureParams, ForestParams, SharedFolds, TicketModel, cross_predict
+from ticketlens.operators.model import FeatureParams, ForestParams, SharedFolds, TicketModel, cross_predict, model_versions
 from ticketlens.operators.score import class_labels, rank_rows, score
 from ticketlens.session import remove_folder
 from ticketlens.skew import q
@@ -235,11 +235,7 @@ METRICS_SCHEMA = (
 
 
 def load_if_there(spark: SparkSession, path: str) -> TicketModel | None:
-    try:
-        spark.read.schema("meta string").json(f"{path}/meta").first()
-    except AnalysisException:
-        return None
-    return TicketModel.load(spark, path)
+    return TicketModel.load(spark, path) if model_versions(spark, path) else None
 
 
 def predict(
