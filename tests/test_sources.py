@@ -140,6 +140,13 @@ def test_panel_windows_and_targets(raw):
     assert ("A-2", "2023-02-01") not in days(require_history=True)
 
 
+def test_a_pruned_panel_has_the_rows_of_the_whole_one(raw):
+    whole = jobs.panel_from_tickets(raw)
+    for start in ("2023-01-02", "2023-01-05"):
+        want = sorted(map(tuple, whole.filter(F.col("extract_date") >= start).collect()), key=str)
+        assert sorted(map(tuple, jobs.panel_from_tickets(raw, start=start).collect()), key=str) == want and want
+
+
 def test_refresh_writes_panel_and_training_table(spark, raw, tmp_path):
     releases = spark.createDataFrame([("R1", "2023-01-01"), ("R2", "2023-05-01")], "release string, dev_cutoff string").withColumn(
         "dev_cutoff", F.col("dev_cutoff").cast("date"))
