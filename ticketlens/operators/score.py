@@ -32,6 +32,7 @@ TRUST_WEIGHTS = {
 BAND_EDGES = (0, 0.5, 0.75, 0.90, 1.0)
 BAND_LABELS = ("Low", "Med", "High", "Very High")
 
+# Columns of predictions that are read as numbers
 NUMERIC_COLUMNS = (
     "Proba_Max", "top2_proba", "top2_margin", "proximity_score", "local_mass_pm1",
     "dispersion_score", "data_quality", "trust_score_v2", "entropy_norm",

@@ -5,6 +5,7 @@ from __future__ import annotations
 import atexit
 import tempfile
 import uuid
+import warnings
 from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
 
@@ -58,12 +59,12 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
 
 
 def remove_folder(spark: SparkSession, path: str) -> None:
-    """Remove a folder in whatever file system holds it; one that is gone, or a session that is, is no error."""
+    """Remove a folder in whatever file system holds it; one that is gone is no error. What stays is told in a warning."""
     try:
         target = spark._jvm.org.apache.hadoop.fs.Path(path)
         target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
-    except Exception:
-        pass
+    except Exception as error:  # a refusal of the file system, or a session that is gone
+        warnings.warn(f"{path} stays: {type(error).__name__}: {error}", stacklevel=2)
 
 
 def together(*tasks: Callable[[], object], most: int = 4) -> list:
