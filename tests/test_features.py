@@ -148,6 +148,29 @@ def test_lookup_join_is_the_same_when_spread(spark):
         assert sorted(map(tuple, skew.lookup_join(big, small, ["k"], how, limit=20).collect()), key=str) == plain
 
 
+@pytest.mark.parametrize("how", ["left", "inner", "left_semi", "left_anti"])
+def test_lookup_join_spreads_keys_beyond_the_list(spark, monkeypatch, how):
+    big = spark.createDataFrame([(f"k{i % 5}" if i % 7 else None, i) for i in range(400)], "k string, v int").repartition(8)
+    small = spark.createDataFrame([(f"k{i}", i) for i in range(1, 7)], "k string, w int")
+    plain = sorted(map(tuple, big.join(small, ["k"], how).collect()), key=str)
+    monkeypatch.setattr(skew, "MAX_BROADCAST_ROWS", 2)
+    hot = skew.hot_groups(big, ["k"], 20)
+    assert hot.all_hot and hot.largest_unlisted > 60
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    spread = skew.lookup_join(big, small, ["k"], how, limit=20)
+    spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert sorted(map(tuple, spread.collect()), key=str) == plain
+
+
+def test_hot_values_list_the_largest(spark, monkeypatch):
+    rows = spark.createDataFrame([(f"v{min(i % 10, i % 4)}", "one") for i in range(300)], "a string, b string")
+    monkeypatch.setattr(skew, "MAX_BROADCAST_ROWS", 2)
+    hot = encode.hot_values(rows, ["a", "b"], 20)
+    counts = sorted((r["count"] for r in rows.groupBy("a").count().collect()), reverse=True)
+    assert hot["a"].all_hot and hot["a"].table.count() == 2 and not hot["b"].all_hot
+    assert (hot["a"].largest, hot["a"].largest_unlisted) == (counts[0], counts[2])
+
+
 def test_fill_is_the_same_when_every_group_is_hot(spark, monkeypatch):
     rows = spark.createDataFrame([(f"k{i % 7}", i, None if i % 3 else i) for i in range(200)], "k string, t int, v int")
     plain = sorted(map(tuple, skew.last_before(rows, ["k"], [F.col("t")], ["v"]).collect()), key=str)

@@ -39,16 +39,24 @@ def test_scoring_is_one_narrow_stage(spark):
     assert shuffles(score.score(rows)) == shuffles(rows)
 
 
-def test_states_need_two_shuffles(spark, tmp_path):
+def test_states_shuffle_the_log_once(spark, tmp_path):
     schema = "key string, changed_at timestamp_ntz, history_id long, item_ord int, header string, before string"
     spark.createDataFrame([], schema).write.parquet(f"{tmp_path}/log")
     spark.createDataFrame([], "key string, created timestamp_ntz, a string").write.parquet(f"{tmp_path}/now")
     built = history.states(spark.read.parquet(f"{tmp_path}/now"), spark.read.parquet(f"{tmp_path}/log"), ["a"])
-    assert shuffles(built) == 2
+    # the changes and the current tickets, each by key; nothing after their union
+    assert shuffles(built) == 2 and plan_of(built).index("Union") < plan_of(built).index("Exchange")
     # the days of a key stay where its states are
     assert shuffles(snapshots.daily_last(built)) == 2
 
 
+def test_tag_lists_shuffle_the_log_once(spark, tmp_path):
+    schema = "key string, header string, changed_at timestamp_ntz, history_id long, item_ord int, before string, after string"
+    spark.createDataFrame([], schema).write.parquet(f"{tmp_path}/log")
+    spark.createDataFrame([], "key string, header string, value string").write.parquet(f"{tmp_path}/now")
+    assert shuffles(history.replay_list(spark.read.parquet(f"{tmp_path}/now"), spark.read.parquet(f"{tmp_path}/log"))) == 1
+
+
 def test_filter_and_columns_reach_the_scan(spark):
     orders = table(spark, SF_DIR, "orders").select(F.col("o_orderdate").alias("extract_date"), "o_custkey", "o_totalprice")
     plan = plan_of(prepare.since(prepare.parse_day(orders), "1996-01-01").select("o_custkey"))

@@ -17,6 +17,7 @@ from operator import add
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ticketlens import skew
 from ticketlens.functions.dates import day_of
 from ticketlens.functions.text import SEPARATOR, tag_count, tags
 from ticketlens.operators.profile import ColumnGroups, as_text, most_frequent, tag_counts, value_counts
@@ -70,10 +71,11 @@ def hot_values(df: DataFrame, columns: Sequence[str], limit: int = HOT_ROWS) ->
     if not columns:
         return {}
     texts = F.array(*[F.struct(F.lit(c).alias("column"), as_text(df, c).alias("value")) for c in columns])
-    counts = df.select(F.explode(texts).alias("v")).groupBy("v.column", "v.value").agg(F.count(F.lit(1)).alias("hot_n"))
-    found = _by_column(counts.filter(F.col("hot_n") > limit).collect())  # at most rows / limit per column
+    counts = df.select(F.explode(texts).alias("v")).groupBy("v.column", "v.value").agg(F.count(F.lit(1)).alias("n"))
+    # one more than can be listed tells that there are more
+    found = _by_column(most_frequent(counts.filter(F.col("n") > limit), "value", skew.MAX_BROADCAST_ROWS + 1).collect())
     return {
-        c: hot_table(df.sparkSession, "frequency_value string", [(r["value"],) for r in found[c]], [r["hot_n"] for r in found[c]])
+        c: hot_table(df.sparkSession, "frequency_value string", [(r["value"],) for r in found[c]], [r["n"] for r in found[c]])
         if c in found else None
         for c in columns
     }

@@ -116,7 +116,11 @@ def list_effects(current: DataFrame, changes: DataFrame, limit: int | None = HOT
         "key", "header", F.lit(None).cast(changes.schema["changed_at"].dataType).alias("changed_at"),
         F.lit(None).cast("timestamp").alias("moment"), F.lit(0).cast("long").alias("history_id"), "item_ord", F.lit(1).alias("recent"), "tag", F.lit(False).alias("added"),
     )
-    later = last_before(logged.unionByName(start), ["key", "header", "tag"], _walk(), ["added"], limit)
+    log = logged.unionByName(start)
+    if limit is None:
+        # no large group: one shuffle serves the fill by tag and whatever follows by key and header
+        log = log.repartition("key", "header")
+    later = last_before(log, ["key", "header", "tag"], _walk(), ["added"], limit)
     present = F.coalesce(~F.col("prev_added"), F.lit(False))
     return later.withColumn(
         "undoable", F.col("tag").isNotNull() & ((F.col("recent") == 1) | (F.col("added") == present))
@@ -301,7 +305,11 @@ def states(
         births = births.filter(on_or_after(min_valid_from))
     # several changes at one time: the one undone last holds the value before all of them
     undone_last = F.struct("history_id", (-F.col("item_ord")).alias("item_back"))
-    per_time = touched.unionByName(births).groupBy("key", "moment", F.when(F.col("moment").isNull(), F.col("changed_at")).alias("at")).agg(
+    rows = touched.unionByName(births)
+    if fill_limit is None:
+        # no hot key: one shuffle by key serves the states of a time and the fill along the key
+        rows, current = rows.repartition("key"), current.repartition("key")
+    per_time = rows.groupBy("key", "moment", F.when(F.col("moment").isNull(), F.col("changed_at")).alias("at")).agg(
         F.max("changed_at").alias("changed_at"),
         *[
             F.min(F.when(F.col("header") == f, F.struct(undone_last.alias("rank"), F.col("before").try_cast(types[f]).alias("v")))).alias(f)

@@ -31,20 +31,22 @@ class Hot:
 
     `all_hot` says that there are more such groups than the table holds; those
     left out are no larger than rows / MAX_BROADCAST_ROWS. `largest` is the row
-    count of the largest group.
+    count of the largest group, `largest_unlisted` that of the largest left out.
     """
 
     table: DataFrame
     rows: int
     all_hot: bool
     largest: int = 0
+    largest_unlisted: int = 0
 
 
 def hot_table(spark: SparkSession, schema: StructType | str, keys: Sequence[tuple], sizes: Sequence[int]) -> Hot:
     """Hot groups that the caller has already counted."""
-    listed = sorted(zip(sizes, range(len(keys))), key=lambda x: (-x[0], x[1]))[:MAX_BROADCAST_ROWS]
-    table = spark.createDataFrame([keys[k] for _, k in listed], schema)
-    return Hot(F.broadcast(table), sum(sizes), len(keys) > MAX_BROADCAST_ROWS, max(sizes))
+    ranked = sorted(zip(sizes, range(len(keys))), key=lambda x: (-x[0], x[1]))
+    table = spark.createDataFrame([keys[k] for _, k in ranked[:MAX_BROADCAST_ROWS]], schema)
+    unlisted = ranked[MAX_BROADCAST_ROWS][0] if len(keys) > MAX_BROADCAST_ROWS else 0
+    return Hot(F.broadcast(table), sum(sizes), len(keys) > MAX_BROADCAST_ROWS, max(sizes), unlisted)
 
 
 def hot_groups(df: DataFrame, keys: Sequence[str], limit: int = HOT_ROWS) -> Hot | None:
@@ -60,7 +62,7 @@ def hot_groups(df: DataFrame, keys: Sequence[str], limit: int = HOT_ROWS) -> Hot
     all_hot = len(found) > MAX_BROADCAST_ROWS
     listed = df.sparkSession.createDataFrame(found[:MAX_BROADCAST_ROWS], counts.schema).drop("hot_n")
     rows = df.count() if all_hot else sum(r["hot_n"] for r in found)
-    return Hot(F.broadcast(listed), rows, all_hot, found[0]["hot_n"])
+    return Hot(F.broadcast(listed), rows, all_hot, found[0]["hot_n"], found[-1]["hot_n"] if all_hot else 0)
 
 
 def largest_group(df: DataFrame, keys: Sequence[str]) -> int:
@@ -99,7 +101,8 @@ def lookup_join(
     Rows of a hot key are spread over as many tasks as keep each below `limit`
     rows, and its single lookup row is copied to each; rows with a null key match
     nothing and are spread too. Other keys join as usual (Spark broadcasts `lookup`
-    by its measured size). `how` is inner, left, left_semi or left_anti. `hot` are
+    by its measured size); with more hot keys than can be listed, the others are
+    spread as the largest of them asks for. `how` is inner, left, left_semi or left_anti. `hot` are
     the hot groups if the caller has counted them, None if there are none.
     """
     on = list(on)
@@ -109,9 +112,10 @@ def lookup_join(
         return big.join(lookup, on, how)
     salts = max(2, math.ceil(hot.largest / limit))
     listed = hot.table.withColumn("hot_key", F.lit(True))
-    spread = F.when(F.col("hot_key") | ~_not_null(on), row_salt(big, salts)).otherwise(F.lit(0))
+    others = max(1, math.ceil(hot.largest_unlisted / limit))
+    spread = F.when(F.col("hot_key") | ~_not_null(on), row_salt(big, salts)).otherwise(row_salt(big, others))
     salted = big.join(listed, on, "left").withColumn("salt", spread).drop("hot_key")
-    every = F.when(F.col("hot_key"), F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(0)))
+    every = F.when(F.col("hot_key"), F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.sequence(F.lit(0), F.lit(others - 1)))
     copies = lookup.join(listed, on, "left").withColumn("salt", F.explode(every)).drop("hot_key")
     return salted.join(copies, [*on, "salt"], how).drop("salt")
 
