@@ -1,7 +1,10 @@
 """Held-out accuracy, defined cases and rejection."""
 
+import math
+from collections import Counter
+
 import numpy as np
-from frames import edge_docs, empty_docs
+from frames import edge_docs, empty_docs, prose
 
 import __spark_entry__ as entry
 from ticketlens.llm import langid
@@ -17,6 +20,52 @@ def test_held_out_accuracy(spark):
     assert len(found) == len(truth) and right >= 0.98 * len(held_out) > 100
 
 
+def grams(text):
+    """Features of a text: runs of 1 to 3 bytes of its letters in lower case, all else one blank."""
+    clean = []
+    for byte in text.encode():
+        byte = byte + 32 if 65 <= byte <= 90 else byte
+        byte = byte if byte >= 128 or 97 <= byte <= 122 else 32
+        if byte != 32 or not clean or clean[-1] != 32:
+            clean.append(byte)
+    found = Counter()
+    for n in (1, 2, 3):
+        for k in range(len(clean) - n + 1):
+            value = int.from_bytes(bytes(clean[k : k + n]), "big")
+            found[((value + n * 0x51ED270B) * 0x9E3779B1) % 2**32 >> (32 - langid.Settings.bits)] += 1
+    return found
+
+
+def test_features_and_nearest_centroid_against_brute_force(spark):
+    """Document frequencies, weights, cosines and rejection again, in plain Python."""
+    words = {"de": "der die und größe nicht straße".split(), "en": "the and size not street".split(), "fr": "le la et été où rue".split()}
+    draw = np.random.default_rng(11)
+    train = [(k, " ".join(draw.choice(words[lang], 9)), lang) for k, lang in enumerate(list(words) * 12)]
+    taught = train + [(100, None, "de"), (101, "the the the", None), (102, "", "fr"), (102, "", "fr")]
+    model = langid.fit(spark.createDataFrame(taught, "doc_id long, text string, lang string"))
+    rows = [t for t in taught if t[1] is not None and t[2] is not None]
+    frequency = Counter(cell for _, text, _ in rows for cell in grams(text))
+    weight = {cell: math.log((1 + len(rows)) / (1 + n)) + 1 for cell, n in frequency.items()}
+    asked = [(1, "The size: NOT the street!"), (2, "die Größe und die Straße"), (3, "où et la rue"), (4, "東京都庁"), (5, "12 -- 3"),
+             (6, ""), (7, None), (8, prose(5, 3000)), (9, "the die le"), (9, "the die le")]
+    found = langid.predict(spark.createDataFrame(asked, "doc_id long, text string"), model).collect()
+    assert len(found) == len(asked)
+    got = {r["doc_id"]: r for r in found}
+    for doc, text in asked:
+        if not any(c.isalpha() for c in text or ""):
+            assert (got[doc]["lang_pred"], got[doc]["score"], got[doc]["rejected"]) == ("und", 0.0, True)
+            continue
+        unseen = math.log(1 + len(rows)) + 1
+        vector = {cell: math.log1p(n) * weight.get(cell, unseen) for cell, n in grams(text).items()}
+        length = math.sqrt(sum(v * v for v in vector.values()))
+        cosines = [sum(v * float(c[cell]) for cell, v in vector.items()) / length for c in model.centroids]
+        best = max(range(len(cosines)), key=cosines.__getitem__)
+        assert got[doc]["lang_pred"] == model.languages[model.of_centroid[best]]
+        assert abs(got[doc]["score"] - max(0, cosines[best])) < 1e-5
+        assert got[doc]["rejected"] == (1 - cosines[best] > model.radius[best])
+    assert [got[k]["lang_pred"] for k in (1, 2, 3)] == ["en", "de", "fr"] and got[4]["rejected"]
+
+
 def test_edge_rows(spark):
     docs = edge_docs(spark).cache()
     model = langid.fit(docs)
