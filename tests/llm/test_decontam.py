@@ -2,7 +2,10 @@
 
 import hashlib
 import re
+from bisect import bisect_left
+from collections import Counter
 
+import pytest
 from frames import edge_docs, edge_texts, empty_docs, lower, plain, prose
 
 from ticketlens.llm import decontam
@@ -93,3 +96,42 @@ def test_proximity(spark):
         and min(a[f"w{1 + probes[1]}"] - probes[1], a[f"w{1 + probes[2]}"] - probes[2]) >= 0
     }
     assert near == expected and 0 in near
+
+
+def near_items(rows, bench, slop, rarest):
+    """Items with a window whose rarest terms stand, in some choice of their postings, within slop of their places to each other."""
+    count = Counter(w for _, text, _ in rows for w in terms(text))
+    out = []
+    for doc, text, _ in rows:
+        at, found = {}, set()
+        for k, w in enumerate(terms(text)):
+            at.setdefault(w, []).append(k)
+        for item, passage in bench:
+            t = terms(passage)
+            n = min(10, len(t))
+            for s in range(len(t) - n + 1 if n else 0):
+                window = t[s : s + n]
+                chosen = sorted(range(n), key=lambda q: (count[window[q]], q))[:rarest]
+                starts = [sorted(k - q for k in at.get(window[q], []) if k >= q) for q in chosen]
+                if all(starts):
+                    # a span of slop words that begins at some start and holds one of each list
+                    for low in sorted(set().union(*map(set, starts))):
+                        if all(bisect_left(x, low) < len(x) and x[bisect_left(x, low)] <= low + slop for x in starts):
+                            found.add(str(item))
+                            break
+        out.append((doc, sorted(found)))
+    return sorted(out)
+
+
+@pytest.mark.parametrize("rarest", [2, 3])
+def test_proximity_against_brute_force(spark, rarest, monkeypatch):
+    monkeypatch.setattr(decontam.build_index, "__defaults__", (*decontam.build_index.__defaults__[:-1], rarest))
+    passage = terms(prose(2, 25))
+    texts = ["ab x ab y ab", " ".join(passage[:12] + ["new", "words"] + passage[12:]), " ".join(reversed(passage)), "two of words", "words two", None, ""]
+    docs = edge_docs(spark, [*edge_texts()[:6], *texts, texts[1]]).cache()
+    bench_rows = [r for r in items() if r[0] != 8]
+    found = decontam.decontaminate(docs, bench(spark, bench_rows), slop=2).collect()
+    expected = near_items(plain(docs), bench_rows, 2, rarest)
+    assert sorted((r["doc_id"], list(r["near_item_ids"])) for r in found) == expected and any(ids for _, ids in expected)
+    assert all(set(r["item_ids"]) <= set(r["near_item_ids"]) for r in found)
+    docs.unpersist()

@@ -3,8 +3,8 @@
 The corpus frequency of every test term is counted. Each window of a benchmark
 item is looked up by its rarest terms: their postings (document and position) are
 stored, moved back by their place in the window, and intersected; what both lists
-agree on is a possible occurrence, and its words are compared as a whole. The
-postings of common terms are never stored, so the index stays small beside the
+agree on is a possible occurrence, and its words are compared as a whole. Where
+the lists agree only up to some words the match is one of proximity. The postings of common terms are never stored, so the index stays small beside the
 texts, and a passage that stands in very many documents is many rows of many
 documents.
 
@@ -58,6 +58,7 @@ class Index:
     postings: DataFrame
     windows: DataFrame
     probes: DataFrame
+    rarest: int = RAREST
 
 
 def items_of(benchmark: DataFrame, item_id: str, text: str) -> DataFrame:
@@ -105,7 +106,7 @@ def build_index(
     )
     path = scratch_folder(docs.sparkSession)
     kept.select("row_key", "doc_id", "n_words", "pos", F.col("wanted").alias("term")).write.parquet(path)
-    return Index(docs.sparkSession.read.parquet(path), windows.drop("terms"), probes)
+    return Index(docs.sparkSession.read.parquet(path), windows.drop("terms"), probes, rarest)
 
 
 def _starts(index: Index) -> DataFrame:
@@ -119,8 +120,8 @@ def _starts(index: Index) -> DataFrame:
     ).filter(F.col("at") >= 0)
 
 
-def phrase_candidates(index: Index) -> DataFrame:
-    """row_key, item, start, at: where all the rarest terms of a window stand as the window has them."""
+def _agreed(index: Index) -> DataFrame:
+    """Each place where a window would begin, the set of its rarest terms that say so (as bits) and how many terms it has."""
     needed = index.probes.groupBy("item", "start").agg(F.count(F.lit(1)).alias("needed"))
     needed = index.windows.join(needed, ["item", "start"])
     if index.windows.count() <= BROADCAST_ROWS:
@@ -128,7 +129,12 @@ def phrase_candidates(index: Index) -> DataFrame:
     agreed = _starts(index).groupBy("row_key", "n_words", "item", "start", "at").agg(
         F.expr("bit_or(shiftleft(1, rank))").alias("ranks")
     )
-    return agreed.join(needed, ["item", "start"]).filter(
+    return agreed.join(needed, ["item", "start"])
+
+
+def phrase_candidates(index: Index) -> DataFrame:
+    """row_key, item, start, at: where all the rarest terms of a window stand as the window has them."""
+    return _agreed(index).filter(
         (F.bit_count("ranks") == F.col("needed")) & (F.col("at") + F.col("length") <= F.col("n_words"))
     ).select("row_key", "item", "item_id", "at", "length", "digest")
 
@@ -155,18 +161,22 @@ def exact_matches(docs: DataFrame, index: Index, doc_id: str = "doc_id", text: s
 
 
 def proximity_matches(index: Index, slop: int) -> DataFrame:
-    """row_key, item_id and at: documents where the two rarest terms of a window stand within `slop` words of their distance.
+    """row_key, item_id and at: documents where all the rarest terms of a window stand within `slop` words of their places to each other.
 
-    Starts are compared within cells of slop + 1 words and the next cell, so no
-    two far postings ever meet.
+    One pass along each list of starts carries the last start by every term, so
+    far postings never meet; `at` is the first of the starts that lie together.
     """
-    starts = _starts(index).select("row_key", "item", "start", "rank", "at").distinct()
-    cell = F.floor(F.col("at") / (slop + 1))
-    first = starts.filter(F.col("rank") == 1).select("row_key", "item", "start", "at", F.explode(F.array(cell - 1, cell, cell + 1)).alias("cell"))
-    second = starts.filter(F.col("rank") == 2).select("row_key", "item", "start", F.col("at").alias("other"), cell.alias("cell"))
-    near = first.join(second, ["row_key", "item", "start", "cell"]).filter(F.abs(F.col("at") - F.col("other")) <= slop)
-    ids = index.windows.select("item", "item_id").distinct()
-    return near.join(ids, "item").select("row_key", "item_id", F.least("at", "other").alias("at")).distinct()
+    along = Window.partitionBy("row_key", "item", "start").orderBy("at").rowsBetween(Window.unboundedPreceding, 0)
+    seen = [
+        F.last(F.when(F.col("ranks").bitwiseAND(1 << rank) != 0, F.col("at")), ignorenulls=True).over(along).alias(f"at_{rank}")
+        for rank in range(1, index.rarest + 1)
+    ]
+    lists = _agreed(index).select("row_key", "item_id", "needed", "at", *seen)
+    last = [F.col(f"at_{rank}") for rank in range(1, index.rarest + 1)]
+    first = F.array_min(F.array(*last))
+    there = F.size(F.array_compact(F.array(*last)))
+    near = lists.filter((there == F.col("needed")) & (F.col("at") - first <= slop))
+    return near.select("row_key", "item_id", first.alias("at")).distinct()
 
 
 def coverage(matches: Column) -> Column:
@@ -184,9 +194,14 @@ def coverage(matches: Column) -> Column:
 
 
 def decontaminate(
-    docs: DataFrame, benchmark: DataFrame, doc_id: str = "doc_id", text: str = "text", item_id: str = "item_id", item_text: str = "text"
+    docs: DataFrame, benchmark: DataFrame, doc_id: str = "doc_id", text: str = "text", item_id: str = "item_id", item_text: str = "text",
+    slop: int | None = None,
 ) -> DataFrame:
-    """doc_id, row_key, n_words, n_hit, item_ids (sorted as strings) and contaminated for each row."""
+    """doc_id, row_key, n_words, n_hit, item_ids (sorted as strings) and contaminated for each row.
+
+    With `slop` also near_item_ids, the items with a match of proximity (see `proximity_matches`); they do not
+    contaminate a document by themselves.
+    """
     index = build_index(docs, benchmark, doc_id, text, item_id, item_text)
     matches = exact_matches(docs, index, doc_id, text).select(
         F.col("row_key").alias("match_key"), coverage(F.col("matches")).alias("n_hit"),
@@ -197,7 +212,14 @@ def decontaminate(
     )
     joined = lengths.join(matches, F.col("row_key") == F.col("match_key"), "left")
     hit = F.coalesce("n_hit", F.lit(0).cast("long"))
-    return joined.select(
+    found = [
         "doc_id", "row_key", "n_words", hit.alias("n_hit"),
         F.coalesce("item_ids", F.array().cast("array<string>")).alias("item_ids"), (hit > 0).alias("contaminated"),
+    ]
+    if slop is None:
+        return joined.select(*found)
+    near = proximity_matches(index, slop).groupBy(F.col("row_key").alias("near_key")).agg(
+        F.array_sort(F.collect_set(F.col("item_id").cast("string"))).alias("near_item_ids")
     )
+    nearby = F.coalesce("near_item_ids", F.array().cast("array<string>")).alias("near_item_ids")
+    return joined.join(near, F.col("row_key") == F.col("near_key"), "left").select(*found, nearby)

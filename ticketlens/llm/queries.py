@@ -139,11 +139,16 @@ def op7_prefix_free_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pfp.remove_repeats(table(spark, sf_dir, "documents")).drop("kept")
 
 
+#: How far the terms of a proximity match may be off their places to each other.
+NEAR_WORDS = 5
+
+
 def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = decontam.decontaminate(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    found = decontam.decontaminate(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), slop=NEAR_WORDS)
     return found.select(
         "doc_id", "n_words", "n_hit", F.size("item_ids").cast("long").alias("n_items"),
         F.sha2(F.array_join("item_ids", ","), 256).alias("items_sha256"), "contaminated",
+        F.size("near_item_ids").cast("long").alias("n_near_items"),
     )
 
 
@@ -174,11 +179,28 @@ hits AS (SELECT doc_id, count(DISTINCT i + k) AS n_hit FROM m, range(0, 10) t(k)
 items AS (
   SELECT doc_id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS listed
   FROM (SELECT DISTINCT doc_id, CAST(item_id AS VARCHAR) AS item FROM m) GROUP BY doc_id
-)
+),
+dt AS (SELECT doc_id, unnest(words) AS term, unnest(range(0, len(words))) AS pos FROM d),
+tc AS (SELECT term, count(*) AS n FROM dt GROUP BY term),
+wt AS (
+  SELECT win, unnest(string_split(win, ' ')) AS term, unnest(range(0, len(string_split(win, ' ')))) AS q
+  FROM (SELECT DISTINCT win FROM iw)
+),
+probe AS (
+  SELECT win, wt.term, q, row_number() OVER (PARTITION BY win ORDER BY coalesce(tc.n, 0), q) AS rk
+  FROM wt LEFT JOIN tc ON wt.term = tc.term QUALIFY rk <= 2
+),
+st AS (SELECT DISTINCT doc_id, win, rk, pos - q AS at FROM dt JOIN probe ON dt.term = probe.term WHERE pos >= q),
+near_win AS (
+  SELECT DISTINCT a.doc_id, a.win FROM st a JOIN st b ON a.doc_id = b.doc_id AND a.win = b.win AND b.rk = 2
+  WHERE a.rk = 1 AND abs(a.at - b.at) <= {NEAR_WORDS}
+  UNION SELECT DISTINCT doc_id, win FROM st WHERE strpos(win, ' ') = 0
+),
+near AS (SELECT doc_id, count(DISTINCT CAST(item_id AS VARCHAR)) AS n_near_items FROM near_win JOIN iw ON near_win.win = iw.win GROUP BY doc_id)
 SELECT d.doc_id, CAST(len(words) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
-  sha256(coalesce(listed, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
-FROM d LEFT JOIN hits ON d.doc_id = hits.doc_id LEFT JOIN items ON d.doc_id = items.doc_id
-"""
+  sha256(coalesce(listed, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated, coalesce(n_near_items, 0) AS n_near_items
+FROM d LEFT JOIN hits ON d.doc_id = hits.doc_id LEFT JOIN items ON d.doc_id = items.doc_id LEFT JOIN near ON d.doc_id = near.doc_id
+""".replace("{NEAR_WORDS}", str(NEAR_WORDS))
 
 
 def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
