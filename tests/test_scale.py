@@ -44,3 +44,25 @@ def test_a_query_joins_its_items_once(spark, monkeypatch):
         monkeypatch.setattr(place, "fixture", lambda *a: (joined.append(a[2]), real(*a))[1])
     assert models.QUERIES["model_io"](spark, "/root/testdata/sf0.001").filter("NOT same").isEmpty()
     assert joined == ["fx_items"]
+
+
+@pytest.mark.parametrize("limit", [1_000_000, 2])
+def test_tfidf_counts_so_many_terms_a_task(spark, monkeypatch, limit):
+    rows = [("a", "One two two"), ("a", "two three"), (None, "two x"), (None, "x"), ("b", None), ("c", " "), ("d", "one")]
+    texts = spark.createDataFrame(rows, "key string, said string")
+    monkeypatch.setattr(encode, "TERMS_AT_ONCE", 1)
+    monkeypatch.setattr(encode, "HOT_ROWS", limit)
+    hot_groups = encode.hot_groups
+    monkeypatch.setattr(encode, "hot_groups", lambda df, keys: hot_groups(df, keys, 1) if limit == 2 else hot_groups(df, keys))
+    old = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "3")
+    try:
+        out = encode.text_tfidf(texts, "key", "said")
+        assert "REPARTITION_BY_NUM" in out._jdf.queryExecution().executedPlan().toString()
+        got = {(r.key, r.term): r.tfidf for r in out.collect()}
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", old)
+    words = [(k, (t or "").lower().split()) for k, t in rows]
+    uses = Counter((k, w) for k, ws in words for w in ws)
+    having = Counter(w for _, ws in words for w in set(ws))
+    assert got == pytest.approx({(k, w): n * log((len(rows) + 1) / (having[w] + 1)) for (k, w), n in uses.items()})

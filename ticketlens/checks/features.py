@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ticketlens.fixtures import fixture, with_views
+from ticketlens.fixtures import fixture, held_fixture, with_views
 from ticketlens.functions.text import tag_count
 from ticketlens.operators import encode
 from ticketlens.operators.encode import Preprocessor
@@ -172,7 +172,7 @@ ORACLE["align_features"] = sql(
 
 
 def _text(spark, sf):
-    rows = items(spark, sf).select("key", "c_text")
+    rows = held_fixture(spark, sf, "fx_items", ["key", "c_text"])
     return encode.text_tfidf(rows, "key", "c_text").select("key", "term", F.round("tfidf", 9).alias("tfidf"))
 
 
