@@ -46,6 +46,64 @@ def test_a_query_joins_its_items_once(spark, monkeypatch):
     assert joined == ["fx_items"]
 
 
+def test_a_calibration_round_is_one_job_over_distinct_probabilities(spark):
+    draw = random.Random(3)
+    rows = []
+    for i in range(600):
+        p = draw.choice([0.1, 0.3, 0.7])
+        rows.append((i % 2, "a" if draw.random() < p else "b", [p, 1 - p]))
+    held = spark.createDataFrame(rows, "fold int, y string, p array<double>").repartition(5).cache()
+
+    def jobs(rounds):
+        spark.sparkContext.setJobGroup(f"rounds {rounds}", "")
+        try:
+            model.fit_sigmoids(held, [0, 1], ["a", "b"], rounds=rounds, tolerance=0.0)
+        finally:
+            spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+        return len(spark.sparkContext.statusTracker().getJobIdsForGroup(f"rounds {rounds}"))
+
+    jobs(1)
+    assert jobs(6) - jobs(2) == 4
+    fitted = model.fit_sigmoids(held, [0, 1], ["a", "b"])
+    # at the minimum the residuals are 0, summed as they are and times p
+    for f in (0, 1):
+        own = [r for r in rows if r[0] == f]
+        n = Counter(y for _, y, _ in own)
+        for c, label in enumerate("ab"):
+            high, low = (n[label] + 1) / (n[label] + 2), 1 / (len(own) - n[label] + 2)
+            s = fitted[f][c]
+            gap = [1 / (1 + 2.718281828459045 ** -(s.slope * p[c] + s.offset)) - (high if y == label else low) for _, y, p in own]
+            assert abs(sum(gap)) < 1e-4 and abs(sum(g * p[c] for g, (_, _, p) in zip(gap, own))) < 1e-4
+
+
+def test_chosen_cells_build_the_map_of_a_row_once(spark):
+    rows = spark.sql("SELECT 'k' AS key, 'a' AS y, array(named_struct('j', 0, 'x', 2.5D), named_struct('j', 2, 'x', 1.0D)) AS entries")
+    out = model._chosen_vectors(rows, "key", "y", ["p", "q", "r"], ["q", "r", "p"])
+    assert "lambda" not in out._jdf.queryExecution().analyzed().toString()
+    assert out.first()["features"].toArray().tolist() == [0.0, 1.0, 2.5]
+    out.unpersist()
+
+
+def test_long_texts_without_terms_are_not_counted(spark, monkeypatch):
+    draw = random.Random(5)
+    rows = [(f"K{i}", draw.choice("ab"), draw.random(), f"a long text about the ticket number {i} of many", f"2024-01-{1 + i % 28:02d} 00:00:00.000000000000{i}", draw.choice("xyz")) for i in range(2200)]
+    items = spark.createDataFrame(rows, "key string, y string, n double, said string, day string, kind string")
+    folded, used = model._folded(items, "y", "key", 2, 42)
+    counted = []
+    real = by_fold.ValueCounts.count.__func__
+    monkeypatch.setattr(by_fold.ValueCounts, "count", classmethod(lambda cls, df, columns, *a: (counted.append(list(columns)), real(cls, df, columns, *a))[1]))
+    found = model.fold_scores(folded, "y", "key", used, items, FeatureParams(k_features=5))
+    assert counted == [["n", "day", "kind"]] * 2
+    for f, (encoder, scores) in enumerate(found):
+        plan, vectors = model.fit_features(folded.filter(F.col("fold") != f).drop("fold"), "y", "key", items, FeatureParams(k_features=5))
+        vectors.unpersist()
+        assert encoder.state.groups == plan.encoder.state.groups and encoder.state.groups.text == ["said"] and scores.names(5) == plan.names
+    counted.clear()
+    model.fold_scores(folded, "y", "key", used, None, FeatureParams(k_features=5, text_terms=3))
+    assert counted == [["n", "said", "day", "kind"]]
+    folded.unpersist()
+
+
 @pytest.mark.parametrize("limit", [1_000_000, 2])
 def test_tfidf_counts_so_many_terms_a_task(spark, monkeypatch, limit):
     rows = [("a", "One two two"), ("a", "two three"), (None, "two x"), (None, "x"), ("b", None), ("c", " "), ("d", "one")]
@@ -66,3 +124,5 @@ def test_tfidf_counts_so_many_terms_a_task(spark, monkeypatch, limit):
     uses = Counter((k, w) for k, ws in words for w in ws)
     having = Counter(w for _, ws in words for w in set(ws))
     assert got == pytest.approx({(k, w): n * log((len(rows) + 1) / (having[w] + 1)) for (k, w), n in uses.items()})
+
+
