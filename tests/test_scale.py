@@ -126,3 +126,38 @@ def test_tfidf_counts_so_many_terms_a_task(spark, monkeypatch, limit):
     assert got == pytest.approx({(k, w): n * log((len(rows) + 1) / (having[w] + 1)) for (k, w), n in uses.items()})
 
 
+
+
+def test_folds_and_units_are_worked_on_side_by_side(spark, monkeypatch, tmp_path):
+    from threading import Barrier, BrokenBarrierError
+
+    from ticketlens.plans import jobs
+
+    def meeting(parties):
+        """A step that goes on only once so many are at it at a time."""
+        barrier, met = Barrier(parties), []
+
+        def meet():
+            try:
+                barrier.wait(timeout=60)
+                met.append(True)
+            except BrokenBarrierError:
+                met.append(False)
+
+        return meet, met
+
+    items = spark.createDataFrame([(f"K{i}", float(i % 7), "ab"[i % 2], "Open" if i % 3 else "Done") for i in range(120)], "key string, n double, y string, epic_status string")
+    real = model.TicketModel.fit.__func__
+    meet, met = meeting(2)
+    monkeypatch.setattr(model.TicketModel, "fit", classmethod(lambda cls, *a, **b: (meet(), real(cls, *a, **b))[1]))
+    fit = {"features": FeatureParams(k_features=2), "forest": model.ForestParams(n_estimators=2, max_depth=2), "cv": 2}
+    plain = [(r.key, r.fold) for r in model.cross_predict(items.drop("epic_status"), "y", "key", 2, **fit).collect()]
+    assert met == [True, True] and len(plain) == 120 and len(set(plain)) == 120
+    assert [s["fold"] for s in model.cross_validate(items.drop("epic_status"), "y", "key", 2, **fit)] == [0, 1]
+    meet, met = meeting(6)  # two units, of each two folds and the fit
+    monkeypatch.setattr(model.TicketModel, "fit", classmethod(lambda cls, *a, **b: (meet(), real(cls, *a, **b))[1]))
+    config = jobs.JobConfig(
+        model_dir=f"{tmp_path}/m", metrics_dir=f"{tmp_path}/t", target="y", id_column="key", row_key=("key",), drop=("key",), cv_folds=2,
+        calibration_folds=2, features=fit["features"], forest=fit["forest"], groups={"Live": ["Open"], "Past": ["Done"]})
+    done = jobs.train(spark, items, items, config).collect()
+    assert [r.unit_name for r in done] == [u.name for u in jobs.planned(items, config)] and met == [True] * 6
