@@ -8,7 +8,8 @@ from pathlib import Path
 import pytest
 from pyspark.sql import functions as F
 
-from ticketlens.catalogue import DEFAULT
+from ticketlens.catalogue import DEFAULT, Catalogue
+from ticketlens.operators import history
 from ticketlens.operators.prepare import PrepareConfig
 from ticketlens.plans import jobs
 from ticketlens.sources import tables, tickets
@@ -225,3 +226,29 @@ print("rows", spark.read.parquet(folder).count())
 def test_nan_is_no_value(spark, tmp_path):
     spark.createDataFrame([(1.0, 2.0), (float("nan"), None)], "a double, b float").write.parquet(f"{tmp_path}/t")
     assert sorted(tables.read_table(spark, f"{tmp_path}/t").collect(), key=str) == [(1.0, 2.0), (None, None)]
+
+
+def test_columns_with_one_history_are_replayed_once(spark, monkeypatch):
+    """The three version columns are one history, labels without a change are not replayed; the panel is that of each by itself."""
+    made = [
+        ticket(f"B-{k}", "2023-01-01T08:00:00.000+0100", {
+            "summary": f"s{k}", "status": {"name": "Done"}, "labels": ["x"], "fixVersions": [{"name": n} for n in ("R2", "R3")[:1 + k % 2]]},
+            ("2023-01-03T10:00:00.000+0100", [("Fix Version", "", "2", "", "R2"), ("status", "1", "2", "Open", "Done")]))
+        for k in range(4)
+    ]
+    rows = spark.read.schema(tickets.ticket_schema()).json(spark.sparkContext.parallelize([json.dumps(t) for t in made]))
+    few = DEFAULT.restricted({"summary", "status", "labels", "fixVersions"})
+    assert few.twins() == {"epic_PI": "epic_fix_version", "epic_release_name": "epic_fix_version"}
+    replayed, filled = [], []
+    replay, fill = history.replay_list, history.last_before
+    monkeypatch.setattr(history, "replay_list", lambda now, *a, **b: (replayed.extend(r["header"] for r in now.select("header").distinct().collect()), replay(now, *a, **b))[1])
+    monkeypatch.setattr(history, "last_before", lambda df, group, order, values, *a: (filled.append(list(values)), fill(df, group, order, values, *a))[1])
+    panel = jobs.panel_from_tickets(rows, few)
+    got = sorted(map(tuple, panel.collect()), key=str)
+    assert replayed == ["epic_fix_version"] and sorted(filled[-1]) == ["epic_fix_version", "epic_status", history.STILL]
+    by_name = {(r.key, str(r.extract_date)): r for r in panel.collect()}
+    assert by_name["B-1", "2023-01-01"].epic_PI == "R3" and by_name["B-1", "2023-01-03"].epic_release_name == "R2#R3"
+    assert by_name["B-0", "2023-01-01"].epic_fix_version is None and by_name["B-0", "2023-01-01"].epic_labels == "x"
+    monkeypatch.setattr(Catalogue, "twins", lambda self: {})
+    monkeypatch.setattr(tickets, "changing_columns", lambda raw, catalogue: [h.name for h in catalogue.headers])
+    assert sorted(map(tuple, jobs.panel_from_tickets(rows, few).collect()), key=str) == got and len(replayed) == 4 + 1

@@ -68,6 +68,19 @@ class Catalogue:
         """The catalogue of tickets that hold only these fields."""
         return Catalogue(tuple(h for h in self.headers if h.source in sources), self.sources, self.seconds_per_day)
 
+    def twins(self) -> dict[str, str]:
+        """Columns that read what an earlier one reads, of the ticket and of its changes, and that one: their history is the same."""
+        seen: dict[str, list[tuple]] = {}
+        for name, targets in self.routes().items():
+            for r in targets:
+                seen.setdefault(r.header, []).append((name, r.picks_id, r.is_list, r.rule))
+        first: dict[tuple, str] = {}
+        out = {}
+        for h in self.headers if len({h.name for h in self.headers}) == len(self.headers) else ():
+            if h.source and first.setdefault((h.source, self.current_rule(h), *seen.get(h.name, [])), h.name) != h.name:
+                out[h.name] = first[h.source, self.current_rule(h), *seen.get(h.name, [])]
+        return out
+
     def routes(self) -> dict[str, list[Route]]:
         """Display name of a change item -> the columns it changes."""
         used = {h.source for h in self.headers if h.source}

@@ -20,6 +20,8 @@ from ticketlens.skew import HOT_ROWS, hot_groups, largest_group, last_before, lo
 
 # changes one array fold may hold (its cost grows with the square); longer logs are folded piece by piece
 LIST_ROWS = 1_000
+# column of the fields that no change names
+STILL = "still fields"
 
 
 def route_changes(changes: DataFrame, catalogue: Catalogue = DEFAULT) -> DataFrame:
@@ -274,7 +276,7 @@ def unresolved(changes: DataFrame, effects: DataFrame | None, known: Sequence[st
 def states(
     current: DataFrame, changes: DataFrame, fields: Sequence[str], times: DataFrame | None = None,
     min_valid_from: str | None = None, require_history: bool = False, creation: bool = True, limit: int = HOT_ROWS,
-    sizes: DataFrame | None = None,
+    sizes: DataFrame | None = None, changing: Sequence[str] | None = None,
 ) -> DataFrame:
     """State of every ticket after each change and, with `creation`, at its creation.
 
@@ -284,8 +286,12 @@ def states(
     With `min_valid_from` older states are not built; the newest always is.
     `sizes` is any cheap table with at least as many rows per key as there are
     change times (such as the raw change items); keys are measured on it.
+    `changing` are the fields that `changes` can name, if the caller knows them:
+    the others are carried along as one value, the current ticket's.
     """
     types = dict(current.dtypes)
+    moved = [f for f in fields if changing is None or f in changing]
+    still = [f for f in fields if f not in moved]
     measured = sizes if sizes is not None else (
         changes.select("key") if times is None else changes.select("key").unionAll(times.select("key")))
     fill_limit = limit if largest_group(measured, ["key"]) + 2 > limit else None
@@ -313,23 +319,27 @@ def states(
         F.max("changed_at").alias("changed_at"),
         *[
             F.min(F.when(F.col("header") == f, F.struct(undone_last.alias("rank"), F.col("before").try_cast(types[f]).alias("v")))).alias(f)
-            for f in fields
+            for f in moved
         ]
     )
+    as_now = F.struct(*[q(f) for f in still])
+    carried = [*moved, *([STILL] if still else [])]
     before = per_time.select(
-        "key", "changed_at", "moment", F.lit(0).alias("recent"), *[_wrapped(q(f)["v"], q(f).isNotNull()).alias(f) for f in fields]
+        "key", "changed_at", "moment", F.lit(0).alias("recent"), *[_wrapped(q(f)["v"], q(f).isNotNull()).alias(f) for f in moved],
+        *[F.lit(None).cast(current.select(as_now.alias(c)).schema[c].dataType).alias(c) for c in carried[len(moved):]],
     )
     now = current.select(
         "key", F.lit(None).cast(before.schema["changed_at"].dataType).alias("changed_at"),
         F.lit(None).cast("timestamp").alias("moment"), F.lit(1).alias("recent"),
-        *[_wrapped(q(f), F.lit(True)).alias(f) for f in fields],
+        *[_wrapped(q(f), F.lit(True)).alias(f) for f in moved], *[as_now.alias(c) for c in carried[len(moved):]],
     )
     order = [F.col("recent").desc(), F.col("moment").desc(), F.col("changed_at").desc()]
     log = now.unionByName(before)
     # with a hot key the log is read several times, so it is built once
-    filled = last_before(log if fill_limit is None else materialize(log), ["key"], order, fields, fill_limit)
+    filled = last_before(log if fill_limit is None else materialize(log), ["key"], order, carried, fill_limit)
+    found = {f: q(f"prev_{f}")["v"] if f in moved else q(f"prev_{STILL}")[f] for f in fields}
     return filled.filter(F.col("recent") == 0).select(
-        "key", F.col("changed_at").alias("valid_from"), *[_clean(q(f"prev_{f}")["v"], types[f]).alias(f) for f in fields]
+        "key", F.col("changed_at").alias("valid_from"), *[_clean(found[f], types[f]).alias(f) for f in fields]
     )
 
 

@@ -92,6 +92,13 @@ def changed_fields(raw: DataFrame) -> DataFrame:
     return items.select("key", F.col("item.field").alias("field"))
 
 
+def changing_columns(raw: DataFrame, catalogue: Catalogue = DEFAULT) -> list[str]:
+    """The columns that any change item of these tickets names; a pass over the change items that collects known names alone."""
+    routes = catalogue.routes()
+    known = changed_fields(raw).filter(F.col("field").isin(sorted(routes))).select("field").distinct().collect()
+    return sorted({r.header for found in known for r in routes[found["field"]]})
+
+
 def history_times(raw: DataFrame) -> DataFrame:
     """Every change time of every ticket, whatever field changed."""
     return raw.select("key", F.explode("changelog.histories.created").alias("changed_at"))
