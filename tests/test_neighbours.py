@@ -5,6 +5,7 @@ import random
 
 import pytest
 
+from ticketlens.operators import neighbours
 from ticketlens.operators.neighbours import neighbour_information
 
 EULER = 0.5772156649015329
@@ -70,3 +71,22 @@ def test_counts_stand_for_rows(spark):
 
 def test_no_rows(spark):
     assert neighbour_information(spark.createDataFrame([], "i int, label string, x double, n long")) == {}
+
+
+def test_values_are_cut_into_ranges_once(spark, monkeypatch):
+    """Ends of intervals meet the ranges of the values; they are not cut into ranges of their own."""
+    cut, real = [], neighbours.ranges
+    monkeypatch.setattr(neighbours, "ranges", lambda rows, order, size, most: (cut.append(order), real(rows, order, size, most))[1])
+    one = spark.createDataFrame([(0, c, x, 1) for x, c in columns()[0]], "i int, label string, x double, n long")
+    assert math.isclose(neighbour_information(one, range_rows=20)[0], plain(columns()[0]), abs_tol=1e-9)
+    assert cut == [["i", "x"]]
+
+
+@pytest.mark.parametrize("range_rows", [9, 1_000_000])
+def test_intervals_through_several_ranges(spark, range_rows):
+    draw = random.Random(8)
+    # a class with few rows, far apart: its intervals take in whole ranges of the other
+    points = [(draw.random(), "often") for _ in range(120)] + [(v, "rare") for v in (-3.0, 0.01, 0.5, 0.51, 0.99, 4.0)]
+    counted = [(x, c, draw.randint(1, 5)) for x, c in points]
+    table = spark.createDataFrame([(3, c, x, n) for x, c, n in counted], "i int, label string, x double, n long")
+    assert math.isclose(neighbour_information(table, range_rows=range_rows)[3], plain([(x, c) for x, c, n in counted for _ in range(n)]), abs_tol=1e-9)
