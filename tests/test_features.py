@@ -235,3 +235,15 @@ def test_many_tags_stay_sparse(spark):
     assert sorted(mi, key=mi.get)[-2:] == sorted(["ml_binarize__tags_hot", "ml_count__tags"], key=mi.get)
     assert mi["ml_binarize__tags_hot"] == pytest.approx(np.log(2), abs=0.01)
     sparse.unpersist()
+
+
+def test_entries_are_built_once_a_row_and_flags_without_a_lambda(spark, monkeypatch):
+    df = spark.createDataFrame([(k, "abc"[k % 3], f"v{k % 60}") for k in range(180)], "key int, kind string, many string")
+    fitted = Preprocessor.fit(df, ColumnGroups(one_hot=["kind"], top_k=["many"]))
+    sparse = fitted.sparse(df)
+    assert "lambda" not in sparse._jdf.queryExecution().analyzed().toString()
+    names, plans = fitted.names(), []
+    collect = type(df).collect
+    monkeypatch.setattr(type(df), "collect", lambda self: (plans.append(self._jdf.queryExecution().optimizedPlan().toString()), collect(self))[1])
+    stats = select.sparse_stats(sparse, names)
+    assert not [p for p in plans if "size(" in p] and {s.name: s.present for s in stats}["onehot__kind_a"] == 60
